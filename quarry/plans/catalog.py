@@ -14,11 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.functions.numeric import round6
-from quarry.operators import ingest
-from quarry.plans.pipeline import Pipeline, long_rank
+from quarry.functions import vectors as V
+from quarry.functions.numeric import from_fixed, round6
+from quarry.operators import evaluate as E
+from quarry.operators import ingest, quality, report, rerank, search
+from quarry.plans.pipeline import DensePipeline, Pipeline, long_rank
+from quarry.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+TOP_K = 10
 
 
 def register(fn):
@@ -26,24 +30,73 @@ def register(fn):
     return fn
 
 
-# -- text functions ---------------------------------------------------------
+def _docs_table(spark, sf_dir):
+    return tables.read_table(spark, sf_dir, "documents")
+
+
+def _explode_vector(df: DataFrame, key: str, col: str = "embedding") -> DataFrame:
+    return df.select(key, F.posexplode(col).alias("dim", "value")).select(
+        key, F.col("dim").cast("long").alias("dim"), round6("value").alias("value"))
+
+
+# -- text functions (whole texts of the documents table) ----------------------
 
 @register
 def q_normalize_ws(spark, sf_dir):
-    p = Pipeline(spark, sf_dir)
-    d = p.raw
-    return d.select(F.col("id").alias("doc_id"), T.normalize_whitespace(
-        F.concat_ws("\n", "func_documentation_string", "func_code_string")).alias("normalized"))
+    return _docs_table(spark, sf_dir).select(
+        "doc_id", T.normalize_whitespace("text").alias("normalized"))
+
+
+@register
+def q_split_identifier(spark, sf_dir):
+    d = _docs_table(spark, sf_dir).select("doc_id", T.split_identifier("text").alias("p"))
+    return d.select("doc_id", F.size("p").cast("long").alias("piece_count"),
+                    F.array_join("p", " ").alias("pieces"))
+
+
+@register
+def q_tokenize(spark, sf_dir):
+    d = _docs_table(spark, sf_dir).select("doc_id", T.tokenize("text").alias("t"))
+    return d.select("doc_id", F.posexplode("t").alias("pos", "token")).select(
+        "doc_id", (F.col("pos") + 1).cast("long").alias("pos"), "token")
+
+
+@register
+def q_document_text(spark, sf_dir):
+    p = Pipeline(spark, sf_dir).prepared
+    return p.select("id", T.document_text("func_name", "docstring", "code").alias("document_text"))
 
 
-# -- corpus -------------------------------------------------------------------
+@register
+def q_preview(spark, sf_dir):
+    return _docs_table(spark, sf_dir).select("doc_id", T.preview("text").alias("text_preview"))
+
+
+# -- corpus build ---------------------------------------------------------------
 
 @register
 def q_documents(spark, sf_dir):
     return Pipeline(spark, sf_dir).documents
 
 
-# -- index --------------------------------------------------------------------
+@register
+def q_drop_reasons(spark, sf_dir):
+    return ingest.drop_reason_counts(Pipeline(spark, sf_dir).prepared)
+
+
+@register
+def q_corpus_stats(spark, sf_dir):
+    s = ingest.corpus_stats(Pipeline(spark, sf_dir).prepared)
+    total = s.agg(F.sum("kept_records").cast("long").alias("total_kept_records"))
+    return s.crossJoin(total)
+
+
+@register
+def q_length_histogram(spark, sf_dir):
+    return ingest.length_histogram(Pipeline(spark, sf_dir).documents)
+
+
+# -- index ------------------------------------------------------------------------
 
 @register
 def q_postings(spark, sf_dir):
@@ -63,7 +116,19 @@ def q_index_stats(spark, sf_dir):
     return Pipeline(spark, sf_dir).index.statistics
 
 
-# -- BM25 ---------------------------------------------------------------------
+# -- BM25 retrieval and evaluation ---------------------------------------------------
+
+@register
+def q_queries(spark, sf_dir):
+    return Pipeline(spark, sf_dir).queries
+
+
+@register
+def q_bm25_scores(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    s = search.bm25_scores(p.index, p.queries)
+    return s.select("query_id", "doc_id", from_fixed("score_fp").alias("score"))
+
 
 @register
 def q_bm25_topk(spark, sf_dir):
@@ -71,10 +136,158 @@ def q_bm25_topk(spark, sf_dir):
     return long_rank(p.bm25_ranking.select("query_id", "rank", "doc_id", "score"))
 
 
+@register
+def q_bm25_per_query(spark, sf_dir):
+    pq = Pipeline(spark, sf_dir).bm25_per_query
+    return pq.select("query_id", F.col("relevant_rank").cast("long").alias("relevant_rank"),
+                     *[round6(c).alias(c) for c in
+                       ("rr_at_10", "recall_at_10", "recall_at_50", "ndcg_at_10")])
+
+
 @register
 def q_bm25_metrics(spark, sf_dir):
     return Pipeline(spark, sf_dir).bm25_metrics
 
 
+@register
+def q_sample_rankings(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    return long_rank(E.sample_rankings(p.queries, p.bm25_ranking))
+
+
+@register
+def q_adhoc_search(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    qs = tables.benchmark_queries(spark, sf_dir)
+    return long_rank(search.search(p.index, qs, TOP_K).drop("score_fp"))
+
+
+@register
+def q_conversation_search(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    qs = tables.conversation_queries(spark, sf_dir)
+    return long_rank(search.search(p.index, qs, TOP_K).drop("score_fp"))
+
+
+@register
+def q_examples(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    return report.example_queries(p.index, p.documents)
+
+
+# -- vectors and rerank -----------------------------------------------------------------
+
+@register
+def q_l2_normalize(spark, sf_dir):
+    v = tables.stored_vectors(spark, sf_dir)
+    return _explode_vector(rerank.normalized(v), "doc_id")
+
+
+@register
+def q_cosine(spark, sf_dir):
+    p = DensePipeline(spark, sf_dir)
+    return rerank.cosine_pairs(p.candidates, p.query_vectors, p.vectors)
+
+
+@register
+def q_mean_pool(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    return _explode_vector(rerank.hashed_document_vectors(p.index), "doc_id")
+
+
+@register
+def q_rerank_topk(spark, sf_dir):
+    return DensePipeline(spark, sf_dir).rerank_ranking
+
+
+@register
+def q_rerank_metrics(spark, sf_dir):
+    return DensePipeline(spark, sf_dir).rerank_metrics
+
+
+@register
+def q_metrics_table(spark, sf_dir):
+    p = DensePipeline(spark, sf_dir)
+    return report.metrics_table(p.bm25_metrics, p.rerank_metrics)
+
+
+@register
+def q_compare_pipelines(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    qs = tables.benchmark_queries(spark, sf_dir)
+    return report.compare_pipelines(p.index, qs, rerank.hashed_query_vectors(qs),
+                                    rerank.hashed_document_vectors(p.index), top_k=TOP_K)
+
+
+@register
+def q_dense_summary(spark, sf_dir):
+    p = DensePipeline(spark, sf_dir)
+    docs = p.documents.filter(T.strip("document_text") != "") \
+        .select("split", F.col("id").alias("doc_id"))
+    dv = docs.join(p.vectors, "doc_id")
+    per_split = docs.groupBy("split").agg(F.count(F.lit(1)).alias("documents")) \
+        .join(dv.groupBy("split").agg(F.count(F.lit(1)).alias("vectors"),
+                                      F.max(F.size("embedding")).cast("long")
+                                      .alias("embedding_dimension")), "split", "left") \
+        .join(p.rerank_queries.select("query_id").withColumn("split", F.lit(p.query_split))
+              .groupBy("split").agg(F.count(F.lit(1)).alias("queries_with_vector")),
+              "split", "left")
+    return per_split.select("split", "documents",
+                            F.coalesce("vectors", F.lit(0)).alias("vectors"),
+                            "embedding_dimension",
+                            F.coalesce("queries_with_vector", F.lit(0)).alias("queries_with_vector"))
+
+
+# -- reports -------------------------------------------------------------------------------
+
+@register
+def q_document_lookup(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    return report.document_lookup(p.documents, p.metadata)
+
+
+@register
+def q_result_cards(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    top = p.bm25_ranking.filter(F.col("rank") <= TOP_K).drop("score_fp")
+    cards = report.result_cards(top, report.document_lookup(p.documents, p.metadata))
+    return long_rank(cards)
+
+
+# -- data quality ----------------------------------------------------------------------------
+
+@register
+def q_dq_counts(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    return quality.count_check(p.documents, p.metadata)
+
+
+@register
+def q_dq_id_mismatch(spark, sf_dir):
+    p = Pipeline(spark, sf_dir)
+    return quality.id_report(p.documents, p.metadata)
+
+
+@register
+def q_dq_empty_fields(spark, sf_dir):
+    return quality.empty_fields(Pipeline(spark, sf_dir).documents)
+
+
+@register
+def q_dq_sample(spark, sf_dir):
+    return quality.sample(Pipeline(spark, sf_dir).documents)
+
+
+@register
+def q_dq_stats_present(spark, sf_dir):
+    return quality.split_stats_present(ingest.corpus_stats(Pipeline(spark, sf_dir).prepared))
+
+
+@register
+def q_dq_vector_alignment(spark, sf_dir):
+    p = DensePipeline(spark, sf_dir)
+    return quality.vector_alignment(p.queries, p.query_vectors, p.vectors)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -195,14 +195,160 @@ def metrics_select(per_query: str) -> str:
 FROM ({per_query})"""
 
 
+def dot(a: str, b: str) -> str:
+    """Left fold of the element products, in index order (as in Spark)."""
+    return (f"list_reduce(list_transform(range(1, len({a}) + 1), "
+            f"lambda i: CAST({a}[i] AS DOUBLE) * CAST({b}[i] AS DOUBLE)), lambda x, y: x + y)")
+
+
+def l2_normalize(v: str) -> str:
+    n = f"greatest(sqrt(list_reduce(list_transform({v}, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)), lambda x, y: x + y)), {DBL('1e-12')})"
+    return f"list_transform({v}, lambda x: CAST(x AS DOUBLE) / {n})"
+
+
+HEX = "'0123456789abcdef'"
+
+
+def hashed_vector(term: str) -> str:
+    hx = " || ".join(f"md5('{s}:' || {term})" for s in range(4))
+    byte = (f"((instr({HEX}, substr(hx, 2 * j + 1, 1)) - 1) * 16 + "
+            f"(instr({HEX}, substr(hx, 2 * j + 2, 1)) - 1))")
+    return (f"(SELECT list_transform(range(64), lambda j: CAST({byte} AS DOUBLE) / {DBL(127.5)} - {DBL(1.0)}) "
+            f"FROM (SELECT {hx} AS hx))")
+
+
+def vec_sum(vs: str) -> str:
+    return f"list_reduce({vs}, lambda acc, v: list_transform(range(1, len(acc) + 1), lambda i: acc[i] + v[i]))"
+
+
+def explode_vector(src: str, key: str, vec: str) -> str:
+    return (f"SELECT {key}, CAST(unnest(range(0, len({vec}))) AS BIGINT) AS dim, "
+            f"unnest(list_transform({vec}, lambda x: {round6('x')})) AS value FROM {src}")
+
+
+def per_query(queries: str, ranking: str) -> str:
+    return PER_QUERY.format(queries=queries, ranking=ranking)
+
+
+def _hashed_docs() -> str:
+    mean = f"list_transform({vec_sum('vs')}, lambda x: x / greatest(CAST(sum_tf AS DOUBLE), {DBL('1e-9')}))"
+    return f"""hashed_items AS (
+  SELECT doc_id, term, term_frequency,
+         list_transform({hashed_vector("term")}, lambda x: x * term_frequency) AS v
+  FROM postings),
+hashed_docs AS (
+  SELECT doc_id, {l2_normalize("m")} AS embedding FROM (
+    SELECT doc_id, {mean} AS m FROM (
+      SELECT doc_id, list(v ORDER BY term) AS vs, sum(term_frequency) AS sum_tf
+      FROM hashed_items GROUP BY doc_id)))"""
+
+
+def hashed_queries(name: str, src: str) -> str:
+    toks = tokenize("coalesce(query_text, '')")
+    mean = f"list_transform({vec_sum('vs')}, lambda x: x / greatest(CAST(n AS DOUBLE), {DBL('1e-9')}))"
+    return f"""{name}_tok AS (
+  SELECT query_id, unnest(t) AS tok, unnest(range(len(t))) AS pos
+  FROM (SELECT query_id, {toks} AS t FROM {src}) WHERE len(t) > 0),
+{name}_tv AS (SELECT query_id, pos, {hashed_vector("tok")} AS v FROM {name}_tok),
+{name} AS (
+  SELECT query_id, {l2_normalize("m")} AS embedding FROM (
+    SELECT query_id, {mean} AS m FROM (
+      SELECT query_id, list(v ORDER BY pos) AS vs, count(*) AS n FROM {name}_tv GROUP BY query_id)))"""
+
+
+def rerank_ctes(name: str, cands: str, qvecs: str, dvecs: str, depth: int) -> str:
+    """``{name}`` (query_id, rank, doc_id, score, bm25_score) from candidates
+    (query_id, doc_id, score_fp), query vectors (query_id, embedding) and doc
+    vectors (doc_id, embedding)."""
+    cos = f"CASE WHEN dv.embedding IS NULL THEN {DBL(-2.0)} ELSE {dot('qv.embedding', 'dv.embedding')} END"
+    return f"""{name}_scored AS (
+  SELECT c.query_id, c.doc_id, c.score_fp, {to_fixed(cos)} AS cos_fp
+  FROM {cands} c JOIN {qvecs} qv ON qv.query_id = c.query_id
+       LEFT JOIN {dvecs} dv ON dv.doc_id = c.doc_id),
+{name} AS (
+  SELECT query_id, rank, doc_id, {from_fixed("cos_fp")} AS score, {from_fixed("score_fp")} AS bm25_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cos_fp DESC, score_fp DESC, doc_id) AS rank
+        FROM {name}_scored) WHERE rank <= {depth})"""
+
+
+STORED = """vectors AS (SELECT vec_id AS doc_id, embedding FROM embeddings),
+qvecs AS (SELECT q.query_id, v.embedding FROM queries q JOIN vectors v ON v.doc_id = q.relevant_doc_id),
+rerank_queries AS (SELECT q.* FROM queries q WHERE q.query_id IN (SELECT query_id FROM qvecs))"""
+
+DENSE = EVAL + (STORED, rerank_ctes("rr", "bm25", "qvecs", "vectors", 50))
+
+BENCH_Q = "bench_q AS (SELECT item_id AS query_id, text AS query_text FROM benchmark)"
+CONV_Q = ("conv_q AS (SELECT conv_id * 1000 + turn AS query_id, text AS query_text "
+          "FROM conversations WHERE role = 'user')")
+
+
+def preview(x: str, limit: int = PREVIEW_LIMIT) -> str:
+    flat = normalize_ws(f"coalesce({x}, '')")
+    return f"CASE WHEN length({flat}) <= {limit} THEN {flat} ELSE substr({flat}, 1, {limit - 3}) || '...' END"
+
+
+def truncate_code(x: str, limit: int = MAX_CODE_CHARS) -> str:
+    c = f"coalesce({x}, '')"
+    return f"CASE WHEN length({c}) <= {limit} THEN {c} ELSE substr({c}, 1, {limit}) || {sql_text(TRUNCATED_CODE_SUFFIX)} END"
+
+
+LOOKUP = """lookup AS (
+  SELECT d.*, nullif(m.repository_name, '') AS repository_name,
+         nullif(m.func_path_in_repository, '') AS func_path_in_repository,
+         nullif(m.func_code_url, '') AS func_code_url, nullif(m.language, '') AS language
+  FROM docs d LEFT JOIN meta m ON m.id = d.id)"""
+META = """meta AS (
+  SELECT id, split, language, repository_name, func_path_in_repository, func_name, func_code_url
+  FROM prepared WHERE drop_reason IS NULL)"""
+
+STATS_SQL = f"""split_stats AS (
+  SELECT *, {round_ratio("document_char_total", "greatest(kept_records, 1)", 2)} AS document_char_avg,
+         {round_ratio("lexical_token_total", "greatest(kept_records, 1)", 2)} AS lexical_token_avg,
+         {round_ratio("docstring_char_total", "greatest(kept_records, 1)", 2)} AS docstring_char_avg,
+         {round_ratio("records_without_docstring", "greatest(kept_records, 1)", 4)} AS missing_docstring_rate
+  FROM (
+    SELECT split, count(*) AS raw_records,
+           count(*) FILTER (WHERE drop_reason IS NULL) AS kept_records,
+           count(*) FILTER (WHERE drop_reason = 'missing_name') AS dropped_missing_name,
+           count(*) FILTER (WHERE drop_reason = 'missing_code') AS dropped_missing_code,
+           count(*) FILTER (WHERE drop_reason = 'empty_lexical') AS dropped_empty_lexical,
+           count(*) FILTER (WHERE drop_reason IS NULL AND length(docstring) > 0) AS records_with_docstring,
+           count(*) FILTER (WHERE drop_reason IS NULL AND length(docstring) = 0) AS records_without_docstring,
+           CAST(coalesce(sum(length({document_text("func_name", "docstring", "code")})) FILTER (WHERE drop_reason IS NULL), 0) AS BIGINT) AS document_char_total,
+           CAST(coalesce(sum(len(tokens)) FILTER (WHERE drop_reason IS NULL), 0) AS BIGINT) AS lexical_token_total,
+           CAST(coalesce(sum(length(docstring)) FILTER (WHERE drop_reason IS NULL), 0) AS BIGINT) AS docstring_char_total
+    FROM prepared GROUP BY split))"""
+
+
 ORACLE: dict[str, str] = {}
 
-ORACLE["q_normalize_ws"] = with_ctes(RAW) + f"""SELECT id AS doc_id,
-  {normalize_ws("concat_ws(chr(10), func_documentation_string, func_code_string)")} AS normalized
-FROM raw"""
+ORACLE["q_normalize_ws"] = f"SELECT doc_id, {normalize_ws('text')} AS normalized FROM documents"
+
+ORACLE["q_split_identifier"] = f"""SELECT doc_id, CAST(len(p) AS BIGINT) AS piece_count,
+  array_to_string(p, ' ') AS pieces FROM (SELECT doc_id, {subtokens('text')} AS p FROM documents)"""
+
+ORACLE["q_tokenize"] = f"""SELECT doc_id, CAST(unnest(range(1, len(t) + 1)) AS BIGINT) AS pos, unnest(t) AS token
+FROM (SELECT doc_id, {tokenize('text')} AS t FROM documents)"""
+
+ORACLE["q_document_text"] = with_ctes(*BASE) + \
+    f"SELECT id, {document_text('func_name', 'docstring', 'code')} AS document_text FROM prepared"
+
+ORACLE["q_preview"] = f"SELECT doc_id, {preview('text')} AS text_preview FROM documents"
 
 ORACLE["q_documents"] = with_ctes(*BASE) + "SELECT * FROM docs"
 
+ORACLE["q_drop_reasons"] = with_ctes(*BASE) + """SELECT split, drop_reason, count(*) AS n_records
+FROM prepared WHERE drop_reason IS NOT NULL GROUP BY split, drop_reason"""
+
+ORACLE["q_corpus_stats"] = with_ctes(*BASE, STATS_SQL) + """SELECT s.*,
+  (SELECT CAST(sum(kept_records) AS BIGINT) FROM split_stats) AS total_kept_records FROM split_stats s"""
+
+ORACLE["q_length_histogram"] = with_ctes(*BASE) + """SELECT split,
+  printf('%04d-%04d', CAST(floor(lexical_token_count / 50) * 50 AS BIGINT),
+         CAST(floor(lexical_token_count / 50) * 50 + 49 AS BIGINT)) AS bucket,
+  count(*) AS n_documents
+FROM docs GROUP BY ALL"""
+
 ORACLE["q_postings"] = with_ctes(*INDEXED) + "SELECT doc_id, term, term_frequency FROM postings"
 
 ORACLE["q_vocabulary"] = with_ctes(*INDEXED) + f"""SELECT term, document_frequency,
@@ -210,10 +356,166 @@ ORACLE["q_vocabulary"] = with_ctes(*INDEXED) + f"""SELECT term, document_frequen
 
 ORACLE["q_index_stats"] = with_ctes(*INDEXED) + "SELECT * FROM stats"
 
+ORACLE["q_queries"] = with_ctes(*BASE, QUERIES) + "SELECT * FROM queries"
+
+ORACLE["q_bm25_scores"] = with_ctes(*EVAL) + \
+    f"SELECT query_id, doc_id, {from_fixed('score_fp')} AS score FROM bm25_scores"
+
 ORACLE["q_bm25_topk"] = with_ctes(*EVAL) + "SELECT query_id, rank, doc_id, score FROM bm25"
 
-ORACLE["q_bm25_metrics"] = with_ctes(*EVAL) + metrics_select(
-    PER_QUERY.format(queries="queries", ranking="bm25"))
+ORACLE["q_bm25_per_query"] = with_ctes(*EVAL) + f"""SELECT query_id, relevant_rank,
+  {round6("rr_at_10")} AS rr_at_10, {round6("recall_at_10")} AS recall_at_10,
+  {round6("recall_at_50")} AS recall_at_50, {round6("ndcg_at_10")} AS ndcg_at_10
+FROM ({per_query("queries", "bm25")})"""
+
+ORACLE["q_bm25_metrics"] = with_ctes(*EVAL) + metrics_select(per_query("queries", "bm25"))
+
+ORACLE["q_sample_rankings"] = with_ctes(*EVAL) + """SELECT f.query_id, f.func_name, f.query_text,
+  r.rank, r.doc_id, r.score
+FROM (SELECT query_id, func_name, query_text FROM queries ORDER BY query_id LIMIT 5) f
+LEFT JOIN (SELECT * FROM bm25 WHERE rank <= 5) r ON r.query_id = f.query_id"""
+
+ORACLE["q_adhoc_search"] = with_ctes(*INDEXED, BENCH_Q, bm25_ctes("adhoc", "bench_q", 10)) + \
+    "SELECT query_id, rank, doc_id, score FROM adhoc"
+
+ORACLE["q_conversation_search"] = with_ctes(*INDEXED, CONV_Q, bm25_ctes("conv", "conv_q", 10)) + \
+    "SELECT query_id, rank, doc_id, score FROM conv"
+
+EXAMPLES = f"""head AS (
+  SELECT id, row_number() OVER (ORDER BY id) AS line_no FROM docs WHERE split = 'test'
+  ORDER BY id LIMIT 5000),
+ex_cands AS (
+  SELECT d.id AS query_id, {strip("d.docstring")} AS query_text, h.line_no
+  FROM docs d JOIN head h ON h.id = d.id
+  WHERE {strip("d.docstring")} <> '' AND length({strip("d.docstring")}) <= 150
+    AND strpos({strip("d.docstring")}, chr(10)) = 0),
+{bm25_ctes("probe", "ex_cands", 1)},
+ex_hits AS (
+  SELECT c.query_text, c.line_no, c.query_id FROM ex_cands c JOIN probe p ON p.query_id = c.query_id
+  WHERE p.doc_id = c.query_id),
+ex_first AS (
+  SELECT query_text, min(line_no) AS line_no, arg_min(query_id, line_no) AS doc_id
+  FROM ex_hits GROUP BY query_text),
+chosen AS (
+  SELECT CAST(row_number() OVER (ORDER BY line_no) AS BIGINT) AS example_rank, query_text, doc_id
+  FROM (SELECT * FROM ex_first ORDER BY line_no LIMIT 8))"""
+FALLBACK = " UNION ALL ".join(
+    f"SELECT CAST({i + 1} AS BIGINT), {q(t)}, CAST(NULL AS BIGINT)"
+    for i, t in enumerate(("read a json file and return a dict", "establish an ssh connection",
+                           "compute the sha256 hash of a string", "split a list into chunks of size n",
+                           "download a url and save to disk", "parse an iso 8601 timestamp")))
+ORACLE["q_examples"] = with_ctes(*INDEXED, EXAMPLES) + f"""SELECT * FROM chosen
+UNION ALL SELECT * FROM ({FALLBACK}) WHERE (SELECT count(*) FROM chosen) = 0"""
+
+ORACLE["q_l2_normalize"] = explode_vector(
+    f"(SELECT vec_id AS doc_id, {l2_normalize('embedding')} AS e FROM embeddings)", "doc_id", "e")
+
+ORACLE["q_cosine"] = with_ctes(*DENSE) + f"""SELECT c.query_id, c.doc_id,
+  {round6(dot("qv.embedding", "v.embedding"))} AS cosine
+FROM bm25 c JOIN qvecs qv ON qv.query_id = c.query_id JOIN vectors v ON v.doc_id = c.doc_id"""
+
+ORACLE["q_mean_pool"] = with_ctes(*INDEXED, _hashed_docs()) + explode_vector(
+    "hashed_docs", "doc_id", "embedding")
+
+ORACLE["q_rerank_topk"] = with_ctes(*DENSE) + "SELECT * FROM rr"
+
+ORACLE["q_rerank_metrics"] = with_ctes(*DENSE) + metrics_select(per_query("rerank_queries", "rr"))
+
+METRIC_ROWS = (("query_count", "Queries evaluated"), ("mrr_at_10", "MRR@10"),
+               ("recall_at_10", "Recall@10"), ("recall_at_50", "Recall@50"),
+               ("ndcg_at_10", "nDCG@10"))
+
+
+def _metrics_long(src: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{k}' AS metric, CAST({k} AS DOUBLE) AS value FROM {src}" for k, _ in METRIC_ROWS)
+
+
+ORACLE["q_metrics_table"] = with_ctes(
+    *DENSE,
+    f"m_bm25 AS ({metrics_select(per_query('queries', 'bm25'))})",
+    f"m_rr AS ({metrics_select(per_query('rerank_queries', 'rr'))})",
+    "names AS (" + " UNION ALL ".join(
+        f"SELECT '{k}' AS metric, '{label}' AS label, CAST({i} AS INTEGER) AS position"
+        for i, (k, label) in enumerate(METRIC_ROWS)) + ")",
+) + f"""SELECT n.metric, n.label, n.position, b.value AS bm25, r.value AS rerank
+FROM names n FULL OUTER JOIN ({_metrics_long("m_bm25")}) b ON b.metric = n.metric
+FULL OUTER JOIN ({_metrics_long("m_rr")}) r ON r.metric = n.metric"""
+
+ORACLE["q_compare_pipelines"] = with_ctes(
+    *INDEXED, BENCH_Q,
+    "cmp_q AS (SELECT * FROM bench_q WHERE " + strip("coalesce(query_text, '')") + " <> '')",
+    bm25_ctes("cmp", "cmp_q", 50), _hashed_docs(), hashed_queries("cmp_qv", "cmp_q"),
+    rerank_ctes("cmp_rr", "cmp", "cmp_qv", "hashed_docs", 10),
+    """cmp_both AS (
+  SELECT query_id, 'bm25' AS pipeline, rank, doc_id, score, score AS bm25_score FROM cmp WHERE rank <= 10
+  UNION ALL SELECT query_id, 'rerank', rank, doc_id, score, bm25_score FROM cmp_rr)""",
+) + """SELECT b.*, h.bm25_hits, c.shown FROM cmp_both b
+JOIN (SELECT query_id, count(*) AS bm25_hits FROM cmp GROUP BY query_id) h ON h.query_id = b.query_id
+JOIN (SELECT query_id, pipeline, count(*) AS shown FROM cmp_both GROUP BY ALL) c
+  ON c.query_id = b.query_id AND c.pipeline = b.pipeline"""
+
+ORACLE["q_dense_summary"] = with_ctes(*DENSE) + f"""SELECT d.split, d.documents,
+  coalesce(v.vectors, 0) AS vectors, v.embedding_dimension, coalesce(q.n, 0) AS queries_with_vector
+FROM (SELECT split, count(*) AS documents FROM docs WHERE {strip("document_text")} <> '' GROUP BY split) d
+LEFT JOIN (SELECT d2.split, count(*) AS vectors, CAST(max(len(v2.embedding)) AS BIGINT) AS embedding_dimension
+           FROM docs d2 JOIN vectors v2 ON v2.doc_id = d2.id WHERE {strip("d2.document_text")} <> ''
+           GROUP BY d2.split) v ON v.split = d.split
+LEFT JOIN (SELECT 'test' AS split, count(*) AS n FROM rerank_queries) q ON q.split = d.split"""
+
+ORACLE["q_document_lookup"] = with_ctes(*BASE, META, LOOKUP) + "SELECT * FROM lookup"
+
+ORACLE["q_result_cards"] = with_ctes(*EVAL, META, LOOKUP) + f"""SELECT r.query_id, r.rank, r.doc_id,
+  coalesce(nullif(l.func_name, ''), {q(UNKNOWN_FUNCTION)}) AS display_name,
+  coalesce(l.repository_name, '') AS repository_name, coalesce(l.func_code_url, '') AS func_code_url,
+  r.score, {strip("coalesce(l.docstring, '')")} AS docstring,
+  {truncate_code(strip("coalesce(l.code, '')"))} AS code
+FROM bm25 r LEFT JOIN lookup l ON l.id = r.doc_id WHERE r.rank <= 10"""
+
+ORACLE["q_dq_counts"] = with_ctes(*BASE, META) + """SELECT coalesce(d.split, m.split) AS split,
+  coalesce(d.n, 0) AS documents, coalesce(m.n, 0) AS metadata,
+  coalesce(d.n, 0) = coalesce(m.n, 0) AS counts_match
+FROM (SELECT split, count(*) AS n FROM docs GROUP BY split) d
+FULL OUTER JOIN (SELECT split, count(*) AS n FROM meta GROUP BY split) m ON m.split = d.split"""
+
+ORACLE["q_dq_id_mismatch"] = with_ctes(*BASE, META) + """SELECT coalesce(d.split, m.split) AS split,
+  count(*) FILTER (WHERE d.id IS NOT NULL AND m.id IS NOT NULL) AS matched_ids,
+  count(*) FILTER (WHERE m.id IS NULL) AS documents_only,
+  count(*) FILTER (WHERE d.id IS NULL) AS metadata_only,
+  count(DISTINCT d.id) AS distinct_document_ids, count(DISTINCT m.id) AS distinct_metadata_ids
+FROM (SELECT split, id FROM docs) d FULL OUTER JOIN (SELECT split, id FROM meta) m
+  ON m.split = d.split AND m.id = d.id
+GROUP BY 1"""
+
+
+def _blank(c: str) -> str:
+    return f"{strip(f'coalesce({c}, {chr(39)}{chr(39)})')} = ''"
+
+
+ORACLE["q_dq_empty_fields"] = with_ctes(*BASE) + f"""SELECT split, count(*) AS documents,
+  count(*) FILTER (WHERE {_blank("func_name")}) AS empty_func_name,
+  count(*) FILTER (WHERE {_blank("code")}) AS empty_code,
+  count(*) FILTER (WHERE {_blank("lexical_document")}) AS empty_lexical_document
+FROM docs GROUP BY split"""
+
+ORACLE["q_dq_sample"] = with_ctes(*BASE) + f"""SELECT split, sample_rank, id, func_name, has_docstring,
+  lexical_token_count, {preview("docstring")} AS docstring_preview, {preview("code")} AS code_preview,
+  {preview("lexical_document")} AS lexical_preview
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY md5('13:' || CAST(id AS VARCHAR)), id) AS BIGINT)
+        AS sample_rank FROM docs) WHERE sample_rank <= 3"""
+
+ORACLE["q_dq_stats_present"] = with_ctes(*BASE, STATS_SQL) + """SELECT e.split,
+  s.kept_records IS NOT NULL AS present, s.kept_records, s.missing_docstring_rate, s.lexical_token_avg
+FROM (SELECT 'train' AS split UNION ALL SELECT 'valid' UNION ALL SELECT 'test') e
+LEFT JOIN split_stats s ON s.split = e.split"""
+
+ORACLE["q_dq_vector_alignment"] = with_ctes(*DENSE) + """SELECT
+  (SELECT count(*) FROM queries) AS queries,
+  (SELECT count(*) FROM queries q JOIN qvecs v ON v.query_id = q.query_id) AS queries_with_vector,
+  (SELECT count(*) FROM qvecs v WHERE v.query_id NOT IN (SELECT query_id FROM queries)) AS vectors_without_query,
+  (SELECT count(*) FROM vectors) AS document_vectors,
+  (SELECT CAST(min(len(embedding)) AS BIGINT) FROM vectors) AS min_dimension,
+  (SELECT CAST(max(len(embedding)) AS BIGINT) FROM vectors) AS max_dimension"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -84,3 +84,41 @@ class Pipeline:
 
 def long_rank(df: DataFrame) -> DataFrame:
     return df.withColumn("rank", F.col("rank").cast("long"))
+
+
+class DensePipeline(Pipeline):
+    """Adds the dense stages: stored vectors keyed by doc id (the query vector
+    of a judged query is its own document's stored vector), the rerank of
+    ``max(bm25_candidates, depth)`` BM25 candidates, and its evaluation."""
+
+    bm25_candidates = 50
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        return tables.stored_vectors(self.spark, self.sf_dir)
+
+    @cached_property
+    def query_vectors(self) -> DataFrame:
+        q = self.queries.select("query_id", F.col("relevant_doc_id").alias("doc_id"))
+        return q.join(self.vectors, "doc_id").select("query_id", "embedding")
+
+    @cached_property
+    def rerank_queries(self) -> DataFrame:
+        return self.queries.join(self.query_vectors.select("query_id"), "query_id")
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        depth = max(self.bm25_candidates, self.depth)
+        if depth == self.depth:
+            return self.bm25_ranking
+        return search.bm25_topk(self.index, self.queries, depth)
+
+    @cached_property
+    def rerank_ranking(self) -> DataFrame:
+        from quarry.operators.rerank import rerank
+        return self._cut(rerank(self.candidates, self.query_vectors, self.vectors, self.depth),
+                         "rerank_ranking")
+
+    @cached_property
+    def rerank_metrics(self) -> DataFrame:
+        return E.metrics(E.per_query(self.rerank_queries, self.rerank_ranking))
