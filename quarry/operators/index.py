@@ -37,14 +37,21 @@ class BM25Index:
     postings: DataFrame
     vocabulary: DataFrame
     statistics: DataFrame
+    num_partitions: int = 0
 
     def materialized(self) -> "BM25Index":
-        from quarry.session import materialize
-        postings = materialize(self.postings, "postings")
+        """Store the index once: postings as a table bucketed by doc_id (keeps
+        the layout the query phase needs), the small tables checkpointed."""
+        from quarry.session import materialize, save_bucketed
+        n = self.num_partitions or int(
+            self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        postings = save_bucketed(self.postings, "postings", "doc_id", n)
         docs = materialize(self.documents, "documents")
-        stats = materialize(self.statistics, "statistics")
-        vocab = materialize(vocabulary_from(postings, stats), "vocabulary")
-        return BM25Index(docs, postings, vocab, statistics_from(docs, vocab, stats))
+        totals = materialize(_corpus_totals(docs), "totals")
+        vocab = materialize(vocabulary_from(postings, totals), "vocabulary")
+        k1, b = self.statistics.select("k1", "b").first()
+        stats = materialize(statistics_from(docs, vocab, totals, k1, b), "statistics")
+        return BM25Index(docs, postings, vocab, stats, n)
 
 
 def idf(document_count, document_frequency) -> F.Column:
@@ -109,7 +116,8 @@ def build_index(processed: DataFrame, num_partitions: int | None = None,
                 .select("doc_id", "term", "term_frequency", "doc_length"))
     totals = _corpus_totals(doc_table)
     vocab = vocabulary_from(postings, totals)
-    return BM25Index(doc_table, postings, vocab, statistics_from(doc_table, vocab, totals, k1, b))
+    return BM25Index(doc_table, postings, vocab, statistics_from(doc_table, vocab, totals, k1, b),
+                     n)
 
 
 def statistics_long(statistics: DataFrame) -> DataFrame:

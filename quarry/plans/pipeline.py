@@ -23,7 +23,7 @@ class Pipeline:
     when the session has none) so several reports reuse them.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False,
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True,
                  top_k: int = 10, query_split: str = "test"):
         self.spark = spark
         self.sf_dir = sf_dir

@@ -80,3 +80,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         raise RuntimeError("spark.checkpoint.dir is not set; pass an explicit output path")
     return f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` into the shared checkpoint
+    folder and read it back.  Unlike a checkpoint under adaptive execution,
+    the bucketed scan reports ``HashPartitioning(key, buckets)``, so later
+    aggregations and joins keyed on ``key`` need no exchange.  Without a
+    shared folder the table is persisted and counted instead."""
+    spark = df.sparkSession
+    if not checkpoint_root(spark):
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.count()
+        return cached
+    path = scratch_path(spark, name)
+    table = f"quarry_{name}_{uuid.uuid4().hex[:12]}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
