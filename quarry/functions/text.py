@@ -30,6 +30,8 @@ PREVIEW_LIMIT = 160
 MAX_CODE_CHARS = 1800
 TRUNCATED_CODE_SUFFIX = "\n# ... truncated ..."
 UNKNOWN_FUNCTION = "(unknown function)"
+# A match made only of lower-case ASCII letters and digits needs no splitting.
+SIMPLE_TOKEN = r"^[a-z0-9]+$"
 # ---------------------------------------------------------------------------
 
 
@@ -86,11 +88,15 @@ def tokenize(x) -> Column:
     digits) is kept whole, lower-cased."""
     matches = F.regexp_extract_all(_c(x), F.lit(TOKEN_PATTERN), 0)
 
-    def expand(m):
-        parts = _subtokens(m)
+    def split_match(parts, m):
         return F.when(F.size(parts) > 0, F.transform(parts, F.lower)) \
                 .otherwise(F.array(F.lower(m)))
 
+    def expand(m):
+        # fast path: a lower-case ASCII word or number is its own only token
+        return F.when(m.rlike(SIMPLE_TOKEN), F.array(m)).otherwise(
+            F.element_at(F.transform(F.array(_subtokens(m)), lambda parts: split_match(parts, m)), 1))
+
     return F.flatten(F.transform(matches, expand))
 
 
