@@ -57,20 +57,22 @@ def prepare(raw: DataFrame) -> DataFrame:
     reason = (F.when(F.col("func_name") == "", DROP_MISSING_NAME)
                .when(F.col("code") == "", DROP_MISSING_CODE)
                .when(F.size("tokens") == 0, DROP_EMPTY_LEXICAL))
-    return with_tokens.withColumn("drop_reason", reason)
+    # the token list travels as its space-joined text (tokens never contain
+    # whitespace, so splitting it gives the list back)
+    cols = [c for c in with_tokens.columns if c != "tokens"]
+    return with_tokens.select(
+        *cols, F.array_join("tokens", " ").alias("lexical_document"),
+        F.size("tokens").cast("long").alias("lexical_token_count"), reason.alias("drop_reason"))
 
 
-def documents(prepared: DataFrame, keep_tokens: bool = False) -> DataFrame:
+def documents(prepared: DataFrame) -> DataFrame:
     """Kept records in the processed-document shape."""
     cols = [
         "id", "split", "func_name", "docstring", "code",
         T.document_text("func_name", "docstring", "code").alias("document_text"),
-        F.array_join("tokens", " ").alias("lexical_document"),
-        F.size("tokens").cast("long").alias("lexical_token_count"),
+        "lexical_document", "lexical_token_count",
         (F.length("docstring") > 0).alias("has_docstring"),
     ]
-    if keep_tokens:
-        cols.append("tokens")
     return prepared.filter(F.col("drop_reason").isNull()).select(*cols)
 
 
@@ -105,7 +107,7 @@ def corpus_stats(prepared: DataFrame) -> DataFrame:
         F.count_if(kept & (F.length("docstring") == 0)).alias("records_without_docstring"),
         F.coalesce(F.sum(F.when(kept, doc_text_len)), F.lit(0)).cast("long")
          .alias("document_char_total"),
-        F.coalesce(F.sum(F.when(kept, F.size("tokens"))), F.lit(0)).cast("long")
+        F.coalesce(F.sum(F.when(kept, F.col("lexical_token_count"))), F.lit(0)).cast("long")
          .alias("lexical_token_total"),
         F.coalesce(F.sum(F.when(kept, F.length("docstring"))), F.lit(0)).cast("long")
          .alias("docstring_char_total"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators.search import BROADCAST_ROW_LIMIT, bm25_topk
+from quarry.operators.search import BROADCAST_ROW_LIMIT, bm25_topk, bounded_broadcast
 from quarry.operators.index import BM25Index
 
 # Metadata fields that override the document's, and the
@@ -34,10 +34,6 @@ METRIC_ROWS = (("query_count", "Queries evaluated"), ("mrr_at_10", "MRR@10"),
                ("ndcg_at_10", "nDCG@10"))
 
 
-def _bounded_broadcast(df: DataFrame, limit: int) -> DataFrame:
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def document_lookup(documents: DataFrame, metadata: DataFrame) -> DataFrame:
     """Documents left-joined with their metadata by id; the four metadata
     fields apply only when non-empty."""
@@ -52,7 +48,7 @@ def lookup(ranked: DataFrame, records: DataFrame, key: str = "doc_id",
     """Left join of a small ranked table to a large record table, streaming
     the large side once."""
     ids = ranked.select(F.col(key).alias(record_key)).distinct()
-    matched = records.join(_bounded_broadcast(ids, broadcast_limit), record_key, "left_semi")
+    matched = records.join(bounded_broadcast(ids, broadcast_limit), record_key, "left_semi")
     return ranked.join(matched.withColumnRenamed(record_key, key), key, "left")
 
 

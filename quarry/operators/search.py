@@ -33,16 +33,27 @@ def query_terms(queries: DataFrame) -> DataFrame:
         F.array_distinct(T.tokenize(F.coalesce(F.col("query_text"), F.lit(""))))).alias("term"))
 
 
-def weighted_terms(index: BM25Index, qterms: DataFrame) -> DataFrame:
-    """``(query_id, term, idf, avgdl, k1, b)``; out-of-vocabulary terms drop."""
+def weighted_terms(index: BM25Index, qterms: DataFrame, small: bool = False) -> DataFrame:
+    """``(query_id, term, idf, avgdl, k1, b)``; out-of-vocabulary terms drop.
+    With ``small`` (query terms counted within the broadcast limit) the query
+    terms are broadcast into the vocabulary scan."""
     stats = index.statistics.select(F.col("average_document_length").alias("avgdl"), "k1", "b")
-    return (qterms.join(index.vocabulary.select("term", "idf"), "term")
+    q = F.broadcast(qterms) if small else qterms
+    return (index.vocabulary.select("term", "idf").join(q, "term")
             .crossJoin(F.broadcast(stats)))
 
 
-def _bounded_broadcast(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast ``df`` only when its counted size is within ``limit`` rows."""
-    return F.broadcast(df) if df.count() <= limit else df
+def within_limit(df: DataFrame, limit: int, bound: int | None = None) -> bool:
+    """True when ``df`` has at most ``limit`` rows: ``bound`` is a proven upper
+    bound supplied by the caller, else the rows are counted."""
+    return (bound if bound is not None else df.count()) <= limit
+
+
+def bounded_broadcast(df: DataFrame, limit: int = None, bound: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only behind a size check; otherwise leave the join to
+    a shuffle (adaptive execution splits skewed partitions)."""
+    limit = BROADCAST_ROW_LIMIT if limit is None else limit
+    return F.broadcast(df) if within_limit(df, limit, bound) else df
 
 
 def impact(tf="term_frequency", dl="doc_length") -> F.Column:
@@ -53,11 +64,14 @@ def impact(tf="term_frequency", dl="doc_length") -> F.Column:
 
 
 def bm25_scores(index: BM25Index, queries: DataFrame,
-                broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                broadcast_limit: int = BROADCAST_ROW_LIMIT, n_terms: int | None = None) -> DataFrame:
     """``(query_id, doc_id, score_fp)``: summed impacts of every document
     sharing at least one term with the query, as an exact fixed-point sum."""
-    wt = _bounded_broadcast(weighted_terms(index, query_terms(queries)), broadcast_limit)
-    matches = index.postings.join(wt, "term")
+    qterms = query_terms(queries)
+    # the vocabulary join only drops rows, so the query-term count bounds it
+    small = within_limit(qterms, broadcast_limit, n_terms)
+    wt = weighted_terms(index, qterms, small)
+    matches = index.postings.join(F.broadcast(wt) if small else wt, "term")
     return (matches.groupBy("query_id", "doc_id")
             .agg(F.sum(to_fixed(impact())).alias("score_fp")))
 
@@ -69,16 +83,37 @@ def rank_by(df: DataFrame, partition: str, *order, k: int | None = None,
     return ranked.filter(F.col(rank_col) <= k) if k is not None else ranked
 
 
-def bm25_topk(index: BM25Index, queries: DataFrame, k: int,
-              broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """``(query_id, rank, doc_id, score, score_fp)`` for ranks 1..k; ties on
-    the score break by ``doc_id`` ascending."""
-    scores = bm25_scores(index, queries, broadcast_limit)
+def _topk(scores: DataFrame, k: int) -> DataFrame:
     top = rank_by(scores, "query_id", F.desc("score_fp"), F.asc("doc_id"), k=k)
     return top.select("query_id", "rank", "doc_id",
                       from_fixed("score_fp").alias("score"), "score_fp")
 
 
+def bm25_topk(index: BM25Index, queries: DataFrame, k: int,
+              broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """``(query_id, rank, doc_id, score, score_fp)`` for ranks 1..k; ties on
+    the score break by ``doc_id`` ascending.
+
+    When the query terms exceed the broadcast limit, the queries are split
+    into hash batches that each fit it; every batch keeps the broadcast,
+    no-exchange plan (one more scan of the postings per batch instead of a
+    shuffle of every (query, posting) match) and the batches are unioned, so
+    every query is answered."""
+    qterms = query_terms(queries)
+    n_terms = qterms.count()
+    batches = max(1, -(-n_terms // max(broadcast_limit, 1)))
+    if batches == 1:
+        return _topk(bm25_scores(index, queries, broadcast_limit, n_terms), k)
+    parts = []
+    for i in range(batches):
+        part = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == i)
+        parts.append(_topk(bm25_scores(index, part, broadcast_limit * 2), k))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def search(index: BM25Index, query_texts: DataFrame, top_k: int = 10) -> DataFrame:
     """Ad-hoc search: any ``(query_id, query_text)`` table; one row per query
     is one search.  Blank queries return nothing."""

@@ -78,3 +78,11 @@ def test_metrics_closed_form(spark):
     assert m["ndcg_at_10"] == round((1 + 1 / math.log2(4)) / 3, 6)
     pq = E.per_query(queries, ranking).collect()
     assert all(r["ndcg_at_10"] >= r["rr_at_10"] for r in pq)
+
+
+def test_query_batches_give_the_same_ranking(spark, tiny):
+    qs = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(
+        ["a", "b c", "a c", "c", "a b c", "b", "z", "a a"])], "query_id string, query_text string")
+    whole = search.bm25_topk(tiny, qs, 3)
+    batched = search.bm25_topk(tiny, qs, 3, broadcast_limit=3)
+    assert whole.exceptAll(batched).count() == 0 and batched.exceptAll(whole).count() == 0
