@@ -38,6 +38,8 @@ class BM25Index:
     vocabulary: DataFrame
     statistics: DataFrame
     num_partitions: int = 0
+    k1: float = K1
+    b: float = B
 
     def materialized(self) -> "BM25Index":
         """Store the index once: postings as a table bucketed by doc_id (keeps
@@ -49,9 +51,8 @@ class BM25Index:
         docs = materialize(self.documents, "documents")
         totals = materialize(_corpus_totals(docs), "totals")
         vocab = materialize(vocabulary_from(postings, totals), "vocabulary")
-        k1, b = self.statistics.select("k1", "b").first()
-        stats = materialize(statistics_from(docs, vocab, totals, k1, b), "statistics")
-        return BM25Index(docs, postings, vocab, stats, n)
+        stats = materialize(statistics_from(docs, vocab, totals, self.k1, self.b), "statistics")
+        return BM25Index(docs, postings, vocab, stats, n, self.k1, self.b)
 
 
 def idf(document_count, document_frequency) -> F.Column:
@@ -73,23 +74,27 @@ def _corpus_totals(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary_from(postings: DataFrame, totals: DataFrame) -> DataFrame:
+    """Document and collection frequency per term (partial-aggregated by
+    term, so a term in every document is combined map-side) and its idf.
+    The corpus size is read from the one-row totals and folded in as a
+    constant."""
     counts = postings.groupBy("term").agg(
         F.count(F.lit(1)).alias("document_frequency"),
         F.sum("term_frequency").cast("long").alias("collection_frequency"))
-    n = totals.select("document_count")
-    return counts.crossJoin(F.broadcast(n)).select(
-        "term", "document_frequency", "collection_frequency",
-        idf("document_count", "document_frequency").alias("idf"))
+    n = totals.select("document_count").first()["document_count"]
+    return counts.select("term", "document_frequency", "collection_frequency",
+                         idf(F.lit(n), F.col("document_frequency")).alias("idf"))
 
 
 def statistics_from(docs: DataFrame, vocabulary: DataFrame, totals: DataFrame | None = None,
                     k1: float = K1, b: float = B) -> DataFrame:
+    """The one-row statistics table (vocabulary size counted as a scalar)."""
     totals = totals if totals is not None else _corpus_totals(docs)
-    vsize = vocabulary.agg(F.count(F.lit(1)).alias("vocabulary_size"))
-    return totals.select("document_count", "total_token_count", "average_document_length") \
-        .crossJoin(vsize).select(
-            "document_count", "total_token_count", "average_document_length",
-            "vocabulary_size", F.lit(k1).alias("k1"), F.lit(b).alias("b"))
+    vsize = vocabulary.count()
+    return totals.select(
+        "document_count", "total_token_count", "average_document_length",
+        F.lit(vsize).cast("long").alias("vocabulary_size"),
+        F.lit(k1).alias("k1"), F.lit(b).alias("b"))
 
 
 def build_index(processed: DataFrame, num_partitions: int | None = None,
@@ -114,10 +119,33 @@ def build_index(processed: DataFrame, num_partitions: int | None = None,
                 .groupBy("doc_id", "doc_length", "term")
                 .agg(F.count(F.lit(1)).alias("term_frequency"))
                 .select("doc_id", "term", "term_frequency", "doc_length"))
-    totals = _corpus_totals(doc_table)
-    vocab = vocabulary_from(postings, totals)
-    return BM25Index(doc_table, postings, vocab, statistics_from(doc_table, vocab, totals, k1, b),
-                     n)
+    return _LazyIndex(doc_table, postings, n, k1, b)
+
+
+class _LazyIndex(BM25Index):
+    """An index whose vocabulary and statistics are derived on first use
+    (they need the corpus size, read as a scalar)."""
+
+    def __init__(self, documents, postings, n, k1, b):
+        self._docs, self._post, self._n, self._k1, self._b = documents, postings, n, k1, b
+
+    documents = property(lambda self: self._docs)
+    postings = property(lambda self: self._post)
+    num_partitions = property(lambda self: self._n)
+    k1 = property(lambda self: self._k1)
+    b = property(lambda self: self._b)
+
+    @property
+    def vocabulary(self):
+        if not hasattr(self, "_vocab"):
+            self._vocab = vocabulary_from(self._post, _corpus_totals(self._docs))
+        return self._vocab
+
+    @property
+    def statistics(self):
+        if not hasattr(self, "_stats"):
+            self._stats = statistics_from(self._docs, self.vocabulary, None, self._k1, self._b)
+        return self._stats
 
 
 def statistics_long(statistics: DataFrame) -> DataFrame:

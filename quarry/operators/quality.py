@@ -109,7 +109,9 @@ def vector_alignment(queries: DataFrame, query_vectors: DataFrame,
     a = j.agg(F.count_if(F.col("_q").isNotNull()).alias("queries"),
               F.count_if(F.col("_q").isNotNull() & F.col("_v").isNotNull()).alias("queries_with_vector"),
               F.count_if(F.col("_q").isNull()).alias("vectors_without_query"))
-    dims = doc_vectors.agg(F.count(F.lit(1)).alias("document_vectors"),
-                           F.min(F.size("embedding")).cast("long").alias("min_dimension"),
-                           F.max(F.size("embedding")).cast("long").alias("max_dimension"))
-    return a.crossJoin(dims)
+    d = doc_vectors.agg(F.count(F.lit(1)).alias("n"),
+                        F.min(F.size("embedding")).cast("long").alias("lo"),
+                        F.max(F.size("embedding")).cast("long").alias("hi")).first()
+    return a.select("*", F.lit(d["n"]).cast("long").alias("document_vectors"),
+                    F.lit(d["lo"]).cast("long").alias("min_dimension"),
+                    F.lit(d["hi"]).cast("long").alias("max_dimension"))

@@ -143,5 +143,5 @@ def example_queries(index: BM25Index, documents: DataFrame, split: str = "test",
     fallback = spark.createDataFrame(
         [(i + 1, t) for i, t in enumerate(FALLBACK_EXAMPLES)],
         "example_rank long, query_text string").withColumn("doc_id", F.lit(None).cast("long"))
-    none_chosen = chosen.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == 0)
-    return chosen.unionByName(fallback.crossJoin(none_chosen).drop("n"))
+    # at most ``count`` rows: the fallback applies only when none qualified
+    return chosen if chosen.take(1) else fallback

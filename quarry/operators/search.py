@@ -37,10 +37,12 @@ def weighted_terms(index: BM25Index, qterms: DataFrame, small: bool = False) ->
     """``(query_id, term, idf, avgdl, k1, b)``; out-of-vocabulary terms drop.
     With ``small`` (query terms counted within the broadcast limit) the query
     terms are broadcast into the vocabulary scan."""
-    stats = index.statistics.select(F.col("average_document_length").alias("avgdl"), "k1", "b")
+    s = index.statistics.select("average_document_length", "k1", "b").first()
     q = F.broadcast(qterms) if small else qterms
-    return (index.vocabulary.select("term", "idf").join(q, "term")
-            .crossJoin(F.broadcast(stats)))
+    # the one-row statistics are folded in as constants
+    return index.vocabulary.select("term", "idf").join(q, "term").select(
+        "term", "query_id", "idf", F.lit(s["average_document_length"]).alias("avgdl"),
+        F.lit(s["k1"]).alias("k1"), F.lit(s["b"]).alias("b"))
 
 
 def within_limit(df: DataFrame, limit: int, bound: int | None = None) -> bool:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -87,8 +87,9 @@ def q_drop_reasons(spark, sf_dir):
 @register
 def q_corpus_stats(spark, sf_dir):
     s = ingest.corpus_stats(Pipeline(spark, sf_dir).prepared)
-    total = s.agg(F.sum("kept_records").cast("long").alias("total_kept_records"))
-    return s.crossJoin(total)
+    # one row per split: the total over splits is a window over a few rows
+    return s.withColumn("total_kept_records",
+                        F.sum("kept_records").over(Window.partitionBy()).cast("long"))
 
 
 @register

@@ -90,16 +90,24 @@ def write_vectors(vectors: DataFrame, path: str, key: str = "doc_id",
 def evaluation_result(setup: dict, statistics: DataFrame, metrics: DataFrame,
                       samples_nested: DataFrame) -> DataFrame:
     """One row: ``evaluation_setup``, ``index_statistics``, ``metrics`` and
-    ``sample_rankings`` (array of per-query structs ordered by query id)."""
+    ``sample_rankings`` (array of per-query structs ordered by query id).
+    All inputs are one-row tables or the few sample queries; they are
+    aggregated to single rows and joined on a constant key."""
     spark = metrics.sparkSession
     setup_df = spark.createDataFrame([tuple(str(v) for v in setup.values())],
                                      ", ".join(f"`{k}` string" for k in setup))
-    samples = samples_nested.agg(F.array_sort(F.collect_list(F.struct(*samples_nested.columns)))
-                                 .alias("sample_rankings"))
-    return (setup_df.select(F.struct(*setup_df.columns).alias("evaluation_setup"))
-            .crossJoin(statistics.select(F.struct(*statistics.columns).alias("index_statistics")))
-            .crossJoin(metrics.select(F.struct(*metrics.columns).alias("metrics")))
-            .crossJoin(samples))
+    one = F.lit(1).alias("_k")
+    parts = [
+        setup_df.select(one, F.struct(*setup_df.columns).alias("evaluation_setup")),
+        statistics.select(one, F.struct(*statistics.columns).alias("index_statistics")),
+        metrics.select(one, F.struct(*metrics.columns).alias("metrics")),
+        samples_nested.groupBy(one).agg(
+            F.array_sort(F.collect_list(F.struct(*samples_nested.columns))).alias("sample_rankings")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, "_k", "left")
+    return out.drop("_k")
 
 
 def write_result(result: DataFrame, path: str) -> None:
