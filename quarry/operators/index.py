@@ -107,14 +107,18 @@ def build_index(processed: DataFrame, num_partitions: int | None = None,
     """
     spark = processed.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = (processed
-            .select(F.col("id").alias("doc_id"), "split", "func_name", "lexical_document")
-            .filter(F.col("lexical_document") != "")
+    indexed = processed.filter(F.col("lexical_document") != "")
+    count = (F.col("lexical_token_count") if "lexical_token_count" in processed.columns
+             else F.size(F.split("lexical_document", " "))).cast("long")
+    # the per-document table needs no particular layout: no shuffle
+    doc_table = indexed.select(F.col("id").alias("doc_id"), "split", "func_name",
+                               count.alias("lexical_token_count"))
+    # postings: one shuffle of the compact token text by doc_id, after which
+    # term counting and the postings table keep that partitioning
+    docs = (indexed.select(F.col("id").alias("doc_id"), "lexical_document")
             .repartition(n, "doc_id")
-            .withColumn("tokens", F.split("lexical_document", " "))
-            .withColumn("lexical_token_count", F.size("tokens").cast("long")))
-    doc_table = docs.select("doc_id", "split", "func_name", "lexical_token_count")
-    postings = (docs.select("doc_id", F.col("lexical_token_count").alias("doc_length"),
+            .withColumn("tokens", F.split("lexical_document", " ")))
+    postings = (docs.select("doc_id", F.size("tokens").cast("long").alias("doc_length"),
                             F.explode("tokens").alias("term"))
                 .groupBy("doc_id", "doc_length", "term")
                 .agg(F.count(F.lit(1)).alias("term_frequency"))

@@ -18,7 +18,7 @@ from quarry.functions import vectors as V
 from quarry.functions.numeric import from_fixed, round6
 from quarry.operators import evaluate as E
 from quarry.operators import ingest, quality, report, rerank, search
-from quarry.plans.pipeline import DensePipeline, Pipeline, long_rank
+from quarry.plans.pipeline import DensePipeline, HashedDensePipeline, Pipeline, long_rank
 from quarry.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,16 @@ def q_documents(spark, sf_dir):
     return Pipeline(spark, sf_dir).documents
 
 
+@register
+def q_metadata(spark, sf_dir):
+    return Pipeline(spark, sf_dir).metadata
+
+
+@register
+def q_rejected_records(spark, sf_dir):
+    return ingest.rejected(Pipeline(spark, sf_dir).prepared)
+
+
 @register
 def q_drop_reasons(spark, sf_dir):
     return ingest.drop_reason_counts(Pipeline(spark, sf_dir).prepared)
@@ -117,6 +127,12 @@ def q_index_stats(spark, sf_dir):
     return Pipeline(spark, sf_dir).index.statistics
 
 
+@register
+def q_index_stats_kv(spark, sf_dir):
+    from quarry.operators.index import statistics_long
+    return statistics_long(Pipeline(spark, sf_dir).index.statistics)
+
+
 # -- BM25 retrieval and evaluation ---------------------------------------------------
 
 @register
@@ -206,6 +222,16 @@ def q_rerank_metrics(spark, sf_dir):
     return DensePipeline(spark, sf_dir).rerank_metrics
 
 
+@register
+def q_rerank_hashed_topk(spark, sf_dir):
+    return HashedDensePipeline(spark, sf_dir).rerank_ranking
+
+
+@register
+def q_rerank_hashed_metrics(spark, sf_dir):
+    return HashedDensePipeline(spark, sf_dir).rerank_metrics
+
+
 @register
 def q_metrics_table(spark, sf_dir):
     p = DensePipeline(spark, sf_dir)

@@ -337,6 +337,11 @@ ORACLE["q_preview"] = f"SELECT doc_id, {preview('text')} AS text_preview FROM do
 
 ORACLE["q_documents"] = with_ctes(*BASE) + "SELECT * FROM docs"
 
+ORACLE["q_metadata"] = with_ctes(*BASE, META) + "SELECT * FROM meta"
+
+ORACLE["q_rejected_records"] = with_ctes(*BASE) + \
+    "SELECT id, split, drop_reason FROM prepared WHERE drop_reason IS NOT NULL"
+
 ORACLE["q_drop_reasons"] = with_ctes(*BASE) + """SELECT split, drop_reason, count(*) AS n_records
 FROM prepared WHERE drop_reason IS NOT NULL GROUP BY split, drop_reason"""
 
@@ -356,6 +361,12 @@ ORACLE["q_vocabulary"] = with_ctes(*INDEXED) + f"""SELECT term, document_frequen
 
 ORACLE["q_index_stats"] = with_ctes(*INDEXED) + "SELECT * FROM stats"
 
+ORACLE["q_index_stats_kv"] = with_ctes(*INDEXED) + """SELECT 'document_count' AS key, CAST(to_json(document_count) AS VARCHAR) AS value FROM stats
+UNION ALL SELECT 'average_document_length', CAST(to_json(average_document_length) AS VARCHAR) FROM stats
+UNION ALL SELECT 'vocabulary_size', CAST(to_json(vocabulary_size) AS VARCHAR) FROM stats
+UNION ALL SELECT 'total_token_count', CAST(to_json(total_token_count) AS VARCHAR) FROM stats
+UNION ALL SELECT 'bm25_parameters', CAST(to_json({'k1': k1, 'b': b}) AS VARCHAR) FROM stats"""
+
 ORACLE["q_queries"] = with_ctes(*BASE, QUERIES) + "SELECT * FROM queries"
 
 ORACLE["q_bm25_scores"] = with_ctes(*EVAL) + \
@@ -421,6 +432,14 @@ ORACLE["q_rerank_topk"] = with_ctes(*DENSE) + "SELECT * FROM rr"
 
 ORACLE["q_rerank_metrics"] = with_ctes(*DENSE) + metrics_select(per_query("rerank_queries", "rr"))
 
+HASHED = EVAL + (_hashed_docs(), hashed_queries("hq", "queries"),
+                 "hq_queries AS (SELECT q.* FROM queries q WHERE q.query_id IN (SELECT query_id FROM hq))",
+                 rerank_ctes("hrr", "bm25", "hq", "hashed_docs", 50))
+
+ORACLE["q_rerank_hashed_topk"] = with_ctes(*HASHED) + "SELECT * FROM hrr"
+
+ORACLE["q_rerank_hashed_metrics"] = with_ctes(*HASHED) + metrics_select(per_query("hq_queries", "hrr"))
+
 METRIC_ROWS = (("query_count", "Queries evaluated"), ("mrr_at_10", "MRR@10"),
                ("recall_at_10", "Recall@10"), ("recall_at_50", "Recall@50"),
                ("ndcg_at_10", "nDCG@10"))

@@ -122,3 +122,18 @@ class DensePipeline(Pipeline):
     @cached_property
     def rerank_metrics(self) -> DataFrame:
         return E.metrics(E.per_query(self.rerank_queries, self.rerank_ranking))
+
+
+class HashedDensePipeline(DensePipeline):
+    """The dense stages with the built-in hashed encoder on both sides: every
+    indexed document and every judged query gets a vector."""
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        from quarry.operators.rerank import hashed_document_vectors
+        return self._cut(hashed_document_vectors(self.index), "hashed_doc_vectors")
+
+    @cached_property
+    def query_vectors(self) -> DataFrame:
+        from quarry.operators.rerank import hashed_query_vectors
+        return self._cut(hashed_query_vectors(self.queries), "hashed_query_vectors")
