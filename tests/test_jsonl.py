@@ -102,3 +102,36 @@ def test_line_numbers_across_many_blocks(spark):
         assert recs.count() == len([x for x in lines if x]) and bad.count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_line_numbers_per_file_in_a_folder(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    for name, n in (("a.jsonl", 30000), ("b.jsonl", 25000)):
+        with open(os.path.join(d, name), "w", encoding="utf-8") as fh:
+            for i in range(1, n + 1):
+                fh.write(json.dumps({"k": f"{name}:{i}"}) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "131072")
+    try:
+        lines = jsonl.numbered_lines(spark, d)
+        bad = lines.filter(F.get_json_object("value", "$.k") != F.concat(
+            F.regexp_extract("file", r"([ab]\.jsonl)$", 1), F.lit(":"), F.col("line_no").cast("string")))
+        assert lines.count() == 55000 and bad.count() == 0
+        assert lines.rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_nested_corpus_stats(raw):
+    prepared = ingest.prepare(raw)
+    docs = ingest.documents(prepared)
+    nested = ingest.corpus_stats_nested(ingest.corpus_stats(prepared),
+                                        ingest.length_histogram(docs)).first()
+    test = nested["splits"]["test"]
+    assert nested["total_kept_records"] == test["kept_records"] == 3
+    assert sum(test["length_histogram"].values()) == 3
+    assert list(test["length_histogram"]) == sorted(test["length_histogram"])
+
+
+def test_export_split_renaming(spark):
+    df = spark.createDataFrame([("validation",), ("train",)], "split string")
+    assert [r[0] for r in jsonl.export_splits(df).collect()] == ["valid", "train"]
