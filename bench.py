@@ -75,7 +75,7 @@ def main() -> None:
         "adhoc_search", lambda: consume(search.search(idx, bq, 10)))
     rows["result_cards"] = timed("result_cards", lambda: consume(report.result_cards(
         p.bm25_ranking.filter("rank <= 10").drop("score_fp"),
-        report.document_lookup(p.documents, p.metadata))))
+        documents=p.documents, metadata=p.metadata)))
     rows["examples"] = timed("examples", lambda: consume(report.example_queries(idx, p.documents)))
     rows["quality"] = timed("data_quality", lambda: len(
         quality.id_report(p.documents, p.metadata).collect()))

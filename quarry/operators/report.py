@@ -52,10 +52,30 @@ def lookup(ranked: DataFrame, records: DataFrame, key: str = "doc_id",
     return ranked.join(matched.withColumnRenamed(record_key, key), key, "left")
 
 
-def result_cards(ranked: DataFrame, lookup_table: DataFrame) -> DataFrame:
+def lookup_ranked(ranked: DataFrame, documents: DataFrame, metadata: DataFrame,
+                  broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Document lookup for ranked rows only: documents and metadata are each
+    streamed once through a semi-join against the (counted, broadcast) ranked
+    ids, and only the matched rows are joined together and to the ranking."""
+    ids = ranked.select(F.col("doc_id").alias("id")).distinct()
+    ids = bounded_broadcast(ids, broadcast_limit)
+    docs = documents.join(ids, "id", "left_semi")
+    meta = metadata.join(ids, "id", "left_semi")
+    found = document_lookup(docs, meta).withColumnRenamed("id", "doc_id")
+    return ranked.join(found, "doc_id", "left")
+
+
+def result_cards(ranked: DataFrame, lookup_table: DataFrame | None = None,
+                 documents: DataFrame | None = None,
+                 metadata: DataFrame | None = None) -> DataFrame:
     """Enriched result rows: rank, id, display name, repository, url,
-    scores, docstring and code cut at 1800 characters."""
-    j = lookup(ranked, lookup_table)
+    scores, docstring and code cut at 1800 characters.  Pass ``documents``
+    and ``metadata`` (preferred: only ranked ids are looked up) or a prepared
+    ``lookup_table``."""
+    if documents is not None:
+        j = lookup_ranked(ranked, documents, metadata)
+    else:
+        j = lookup(ranked, lookup_table)
     extra = [c for c in ("bm25_score",) if c in ranked.columns]
     return j.select(
         "query_id", "rank", "doc_id",

@@ -277,7 +277,7 @@ def q_document_lookup(spark, sf_dir):
 def q_result_cards(spark, sf_dir):
     p = Pipeline(spark, sf_dir)
     top = p.bm25_ranking.filter(F.col("rank") <= TOP_K).drop("score_fp")
-    cards = report.result_cards(top, report.document_lookup(p.documents, p.metadata))
+    cards = report.result_cards(top, documents=p.documents, metadata=p.metadata)
     return long_rank(cards)
 
 
