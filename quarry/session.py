@@ -45,7 +45,10 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     SparkContext); ``None`` when the session has none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            root = None
         if root:
             # the context returns a per-application sub folder; its parent is fine
             root = os.path.dirname(root.rstrip("/"))
