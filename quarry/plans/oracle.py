@@ -230,30 +230,36 @@ def per_query(queries: str, ranking: str) -> str:
     return PER_QUERY.format(queries=queries, ranking=ranking)
 
 
+def hashed_units(term: str) -> str:
+    """The 64 integer components ``2 * byte - 255`` of a token's md5 digests."""
+    hx = " || ".join(f"md5('{s}:' || {term})" for s in range(4))
+    byte = (f"((instr({HEX}, substr(hx, 2 * j + 1, 1)) - 1) * 16 + "
+            f"(instr({HEX}, substr(hx, 2 * j + 2, 1)) - 1))")
+    return f"(SELECT list_transform(range(64), lambda j: CAST({byte} AS BIGINT) * 2 - 255) FROM (SELECT {hx} AS hx))"
+
+
+def hashed_vectors(name: str, src: str, key: str, term: str, weight: str) -> str:
+    """CTEs ``{name}`` (key, embedding): per-key exact integer sums of the
+    weighted components, as a list in dimension order, L2-normalised."""
+    return f"""{name}_u AS (
+  SELECT {key} AS k, CAST({weight} AS BIGINT) AS w, {hashed_units(term)} AS u FROM {src}),
+{name}_s AS (
+  SELECT k, dim, sum(u[dim + 1] * w) AS s
+  FROM (SELECT k, w, u, unnest(range(64)) AS dim FROM {name}_u) GROUP BY k, dim),
+{name} AS (
+  SELECT k AS {key}, {l2_normalize("v")} AS embedding
+  FROM (SELECT k, list(CAST(s AS DOUBLE) ORDER BY dim) AS v FROM {name}_s GROUP BY k))"""
+
+
 def _hashed_docs() -> str:
-    mean = f"list_transform({vec_sum('vs')}, lambda x: x / greatest(CAST(sum_tf AS DOUBLE), {DBL('1e-9')}))"
-    return f"""hashed_items AS (
-  SELECT doc_id, term, term_frequency,
-         list_transform({hashed_vector("term")}, lambda x: x * term_frequency) AS v
-  FROM postings),
-hashed_docs AS (
-  SELECT doc_id, {l2_normalize("m")} AS embedding FROM (
-    SELECT doc_id, {mean} AS m FROM (
-      SELECT doc_id, list(v ORDER BY term) AS vs, sum(term_frequency) AS sum_tf
-      FROM hashed_items GROUP BY doc_id)))"""
+    return hashed_vectors("hashed_docs", "postings", "doc_id", "term", "term_frequency")
 
 
 def hashed_queries(name: str, src: str) -> str:
     toks = tokenize("coalesce(query_text, '')")
-    mean = f"list_transform({vec_sum('vs')}, lambda x: x / greatest(CAST(n AS DOUBLE), {DBL('1e-9')}))"
     return f"""{name}_tok AS (
-  SELECT query_id, unnest(t) AS tok, unnest(range(len(t))) AS pos
-  FROM (SELECT query_id, {toks} AS t FROM {src}) WHERE len(t) > 0),
-{name}_tv AS (SELECT query_id, pos, {hashed_vector("tok")} AS v FROM {name}_tok),
-{name} AS (
-  SELECT query_id, {l2_normalize("m")} AS embedding FROM (
-    SELECT query_id, {mean} AS m FROM (
-      SELECT query_id, list(v ORDER BY pos) AS vs, count(*) AS n FROM {name}_tv GROUP BY query_id)))"""
+  SELECT query_id, unnest({toks}) AS tok FROM {src}),
+""" + hashed_vectors(name, f"{name}_tok", "query_id", "tok", "1")
 
 
 def rerank_ctes(name: str, cands: str, qvecs: str, dvecs: str, depth: int) -> str:
