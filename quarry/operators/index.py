@@ -47,7 +47,9 @@ class BM25Index:
         from quarry.session import materialize, save_bucketed
         n = self.num_partitions or int(
             self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        postings = save_bucketed(self.postings, "postings", "doc_id", n)
+        # bucketed by doc_id for the query phase; sorted by term inside each
+        # bucket so ad-hoc term lookups skip row groups (the term index)
+        postings = save_bucketed(self.postings, "postings", "doc_id", n, sort_by="term")
         docs = materialize(self.documents, "documents")
         totals = materialize(_corpus_totals(docs), "totals")
         vocab = materialize(vocabulary_from(postings, totals), "vocabulary")

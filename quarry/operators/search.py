@@ -78,6 +78,14 @@ def bm25_scores(index: BM25Index, queries: DataFrame,
             .agg(F.sum(to_fixed(impact())).alias("score_fp")))
 
 
+def postings_for_terms(index: BM25Index, terms: list[str]) -> DataFrame:
+    """Point lookup of the postings of a few terms (ad hoc): the ``IN``
+    filter is pushed to the parquet scan, where the per-bucket term order
+    lets row groups be skipped.  Batches of queries use the join instead."""
+    return index.postings.filter(F.col("term").isin(list(terms))) \
+        .select("term", "doc_id", "term_frequency")
+
+
 def rank_by(df: DataFrame, partition: str, *order, k: int | None = None,
             rank_col: str = "rank") -> DataFrame:
     w = Window.partitionBy(partition).orderBy(*order)

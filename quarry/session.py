@@ -83,12 +83,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int,
+                  sort_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table bucketed by ``key`` into the shared checkpoint
     folder and read it back.  Unlike a checkpoint under adaptive execution,
     the bucketed scan reports ``HashPartitioning(key, buckets)``, so later
-    aggregations and joins keyed on ``key`` need no exchange.  Without a
-    shared folder the table is persisted and counted instead."""
+    aggregations and joins keyed on ``key`` need no exchange.  ``sort_by``
+    orders rows inside each bucket, so the parquet min/max statistics let
+    lookups on that column skip row groups.  Without a shared folder the
+    table is persisted and counted instead."""
     spark = df.sparkSession
     if not checkpoint_root(spark):
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -96,5 +99,8 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame
         return cached
     path = scratch_path(spark, name)
     table = f"quarry_{name}_{uuid.uuid4().hex[:12]}"
-    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    w = df.write.bucketBy(buckets, key)
+    if sort_by:
+        w = w.sortBy(sort_by)
+    w.option("path", path).saveAsTable(table)
     return spark.table(table)

@@ -58,7 +58,7 @@ def write_index(index: BM25Index, out_dir: str, buckets: int | None = None) -> N
     index.vocabulary.write.mode("overwrite").parquet(f"{out_dir}/vocabulary")
     index.statistics.write.mode("overwrite").parquet(f"{out_dir}/statistics")
     name = f"quarry_postings_{uuid.uuid4().hex[:12]}"
-    index.postings.write.mode("overwrite").bucketBy(n, "doc_id") \
+    index.postings.write.mode("overwrite").bucketBy(n, "doc_id").sortBy("term") \
         .option("path", f"{out_dir}/postings").saveAsTable(name)
     spark.createDataFrame([(n,)], "buckets int").write.mode("overwrite") \
         .json(f"{out_dir}/postings_layout")
@@ -70,7 +70,8 @@ def read_index(spark: SparkSession, out_dir: str) -> BM25Index:
     n = spark.read.json(f"{out_dir}/postings_layout").first()["buckets"]
     name = f"quarry_postings_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE TABLE {name} (doc_id BIGINT, term STRING, term_frequency BIGINT, "
-              f"doc_length BIGINT) USING parquet CLUSTERED BY (doc_id) INTO {n} BUCKETS "
+              f"doc_length BIGINT) USING parquet CLUSTERED BY (doc_id) SORTED BY (term) "
+              f"INTO {n} BUCKETS "
               f"LOCATION '{out_dir}/postings'")
     return BM25Index(spark.read.parquet(f"{out_dir}/documents"), spark.table(name),
                      spark.read.parquet(f"{out_dir}/vocabulary"),

@@ -86,3 +86,11 @@ def test_query_batches_give_the_same_ranking(spark, tiny):
     whole = search.bm25_topk(tiny, qs, 3)
     batched = search.bm25_topk(tiny, qs, 3, broadcast_limit=3)
     assert whole.exceptAll(batched).count() == 0 and batched.exceptAll(whole).count() == 0
+
+
+def test_postings_point_lookup_is_pushed_down(spark, tiny):
+    df = search.postings_for_terms(tiny, ["a", "zzz"])
+    assert sorted((r["term"], r["doc_id"], r["term_frequency"]) for r in df.collect()) == \
+        [("a", "d1", 2), ("a", "d2", 1)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(term" in plan or "PushedFilters: [IsNotNull(term), In(term" in plan
