@@ -57,6 +57,7 @@ def write_index(index: BM25Index, out_dir: str, buckets: int | None = None) -> N
     index.documents.write.mode("overwrite").parquet(f"{out_dir}/documents")
     index.vocabulary.write.mode("overwrite").parquet(f"{out_dir}/vocabulary")
     index.statistics.write.mode("overwrite").parquet(f"{out_dir}/statistics")
+    write_summary(index.statistics, f"{out_dir}/summary")
     name = f"quarry_postings_{uuid.uuid4().hex[:12]}"
     index.postings.write.mode("overwrite").bucketBy(n, "doc_id").sortBy("term") \
         .option("path", f"{out_dir}/postings").saveAsTable(name)
@@ -64,6 +65,11 @@ def write_index(index: BM25Index, out_dir: str, buckets: int | None = None) -> N
         .json(f"{out_dir}/postings_layout")
 
 
+def write_summary(statistics: DataFrame, path: str) -> None:
+    """The index summary: the one-row statistics as a JSON document."""
+    statistics.coalesce(1).write.mode("overwrite").json(path)
+
+
 def read_index(spark: SparkSession, out_dir: str) -> BM25Index:
     """Open a written index; the postings are registered as a bucketed table
     over the existing files."""

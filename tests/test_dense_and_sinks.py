@@ -104,3 +104,25 @@ def test_streaming_search_matches_batch(spark, pipeline):
     want = search.bm25_topk(pipeline.index, qs, 10).select(
         "query_id", F.col("rank").cast("long"), "doc_id", "score")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_masked_mean_pool(spark):
+    df = spark.createDataFrame([([[1.0, 2.0], [3.0, 4.0], [100.0, 100.0]], [1, 1, 0]),
+                                ([[2.0, 2.0]], [0])],
+                               "v array<array<double>>, m array<int>")
+    got = [r[0] for r in df.select(rerank.mean_pool("v", "m")).collect()]
+    assert got[0] == [2.0, 3.0]
+    assert got[1] is None  # nothing unmasked
+
+
+def test_max_queries_keeps_first_in_id_order(pipeline):
+    q = E.build_queries(pipeline.documents, "test", max_queries=3)
+    all_ids = sorted(r[0] for r in pipeline.queries.select("query_id").collect())
+    assert sorted(r[0] for r in q.select("query_id").collect()) == all_ids[:3]
+
+
+def test_index_summary_written(spark, pipeline):
+    out = _tmp()
+    sinks.write_index(pipeline.index, out)
+    s = spark.read.json(f"{out}/summary").first()
+    assert s["document_count"] == pipeline.index.statistics.first()["document_count"]
