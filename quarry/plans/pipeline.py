@@ -99,8 +99,13 @@ class DensePipeline(Pipeline):
 
     @cached_property
     def query_vectors(self) -> DataFrame:
+        """The stored vector of each judged query's own document: the vector
+        table is streamed through a semi-join against the (counted,
+        broadcast) query documents, then joined to the few matches."""
         q = self.queries.select("query_id", F.col("relevant_doc_id").alias("doc_id"))
-        return q.join(self.vectors, "doc_id").select("query_id", "embedding")
+        ids = search.bounded_broadcast(q.select("doc_id").distinct())
+        found = self.vectors.join(ids, "doc_id", "left_semi")
+        return self._cut(q.join(found, "doc_id").select("query_id", "embedding"), "query_vectors")
 
     @cached_property
     def rerank_queries(self) -> DataFrame:
