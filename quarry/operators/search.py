@@ -22,8 +22,9 @@ from quarry.functions import text as T
 from quarry.functions.numeric import from_fixed, to_fixed
 from quarry.operators.index import BM25Index
 
-# Rows of (query, term, idf) that may be broadcast to every executor.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Rows of (query, term, idf) that may be broadcast to every executor
+# (about 40 bytes each: ~40 MB at the limit).
+BROADCAST_ROW_LIMIT = 1_000_000
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -34,15 +35,18 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def weighted_terms(index: BM25Index, qterms: DataFrame, small: bool = False) -> DataFrame:
-    """``(query_id, term, idf, avgdl, k1, b)``; out-of-vocabulary terms drop.
-    With ``small`` (query terms counted within the broadcast limit) the query
+    """``(term, query_id, idf)``; out-of-vocabulary terms drop.  With
+    ``small`` (query terms counted within the broadcast limit) the query
     terms are broadcast into the vocabulary scan."""
-    s = index.statistics.select("average_document_length", "k1", "b").first()
     q = F.broadcast(qterms) if small else qterms
-    # the one-row statistics are folded in as constants
-    return index.vocabulary.select("term", "idf").join(q, "term").select(
-        "term", "query_id", "idf", F.lit(s["average_document_length"]).alias("avgdl"),
-        F.lit(s["k1"]).alias("k1"), F.lit(s["b"]).alias("b"))
+    return index.vocabulary.select("term", "idf").join(q, "term").select("term", "query_id", "idf")
+
+
+def scoring_constants(index: BM25Index) -> dict:
+    """avgdl, k1 and b from the one-row statistics, folded into the impact
+    expression as literals (not carried on every row)."""
+    s = index.statistics.select("average_document_length", "k1", "b").first()
+    return {"avgdl": s["average_document_length"], "k1": s["k1"], "b": s["b"]}
 
 
 def within_limit(df: DataFrame, limit: int, bound: int | None = None) -> bool:
@@ -58,10 +62,10 @@ def bounded_broadcast(df: DataFrame, limit: int = None, bound: int | None = None
     return F.broadcast(df) if within_limit(df, limit, bound) else df
 
 
-def impact(tf="term_frequency", dl="doc_length") -> F.Column:
+def impact(avgdl: float, k1: float, b: float, tf="term_frequency", dl="doc_length") -> F.Column:
     """BM25 term weight, in the reference's operation order."""
     tf, dl = F.col(tf), F.col(dl)
-    k1, b, avgdl = F.col("k1"), F.col("b"), F.col("avgdl")
+    k1, b, avgdl = F.lit(float(k1)), F.lit(float(b)), F.lit(float(avgdl))
     return F.col("idf") * (tf * (k1 + F.lit(1.0))) / (tf + k1 * (F.lit(1.0) - b + b * dl / avgdl))
 
 
@@ -73,9 +77,10 @@ def bm25_scores(index: BM25Index, queries: DataFrame,
     # the vocabulary join only drops rows, so the query-term count bounds it
     small = within_limit(qterms, broadcast_limit, n_terms)
     wt = weighted_terms(index, qterms, small)
+    c = scoring_constants(index)
     matches = index.postings.join(F.broadcast(wt) if small else wt, "term")
     return (matches.groupBy("query_id", "doc_id")
-            .agg(F.sum(to_fixed(impact())).alias("score_fp")))
+            .agg(F.sum(to_fixed(impact(**c))).alias("score_fp")))
 
 
 def postings_for_terms(index: BM25Index, terms: list[str]) -> DataFrame:
