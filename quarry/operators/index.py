@@ -165,3 +165,46 @@ def statistics_long(statistics: DataFrame) -> DataFrame:
         F.lit("bm25_parameters"), F.to_json(F.struct("k1", "b")),
     )).alias("key", "value")).select(
         "key", F.regexp_replace("value", r"^\[(.*)\]$", "$1").alias("value"))
+
+
+def term_factor(avgdl: float, k1: float, b: float, tf="term_frequency", dl="doc_length"):
+    """The idf-free part of the BM25 weight, ``tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl))``."""
+    tf, dl = F.col(tf), F.col(dl)
+    k1c, bc = F.lit(float(k1)), F.lit(float(b))
+    return (tf * (k1c + F.lit(1.0))) / (tf + k1c * (F.lit(1.0) - bc + bc * dl / F.lit(float(avgdl))))
+
+
+def scoring_bounds(index: BM25Index, depth: int = 50) -> DataFrame:
+    """Per term: ``ub_fp``, an upper bound of its fixed-point impact in any
+    document, and ``lb_fp``, a lower bound of its ``depth``-th largest impact
+    (0 when fewer documents hold it).  Used for exact top-k pruning.
+
+    The maximum is a partial-aggregated ``groupBy(term)``; the depth-th
+    largest keeps at most ``depth`` rows per term and partition before its
+    exchange (``WindowGroupLimit``), so a term in every document moves only
+    ``depth`` rows per partition.  Margins of 2 fixed-point units cover the
+    different rounding of ``idf * f`` and the scorer's operation order."""
+    from pyspark.sql import Window
+    from quarry.functions.numeric import to_fixed
+    s = index.statistics.select("average_document_length", "k1", "b").first()
+    f = term_factor(s["average_document_length"], s["k1"], s["b"])
+    per = index.postings.select("term", f.alias("f"))
+    maxf = per.groupBy("term").agg(F.max("f").alias("max_f"))
+    w = Window.partitionBy("term").orderBy(F.desc("f"))
+    top = per.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= depth)
+    kth = top.groupBy("term").agg(F.min("f").alias("kth_f"), F.count(F.lit(1)).alias("_n")) \
+        .filter(F.col("_n") >= depth).select("term", "kth_f")
+    b = index.vocabulary.select("term", "idf").join(maxf, "term").join(kth, "term", "left")
+    return b.select(
+        "term",
+        (to_fixed(F.col("idf") * F.col("max_f")) + F.lit(2)).alias("ub_fp"),
+        F.coalesce(F.greatest(to_fixed(F.col("idf") * F.col("kth_f")) - F.lit(2), F.lit(0)),
+                   F.lit(0)).cast("long").alias("lb_fp"))
+
+
+def forward_index(index: BM25Index) -> DataFrame:
+    """``(doc_id, doc_length, terms)``: each document's ``term -> tf`` map,
+    built inside the postings' doc_id buckets (no exchange; one document's
+    map is bounded by the document itself)."""
+    return index.postings.groupBy("doc_id", "doc_length").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "term_frequency"))).alias("terms"))

@@ -129,6 +129,55 @@ def bm25_topk(index: BM25Index, queries: DataFrame, k: int,
     return out
 
 
+def bm25_topk_pruned(index: BM25Index, queries: DataFrame, k: int, bounds: DataFrame,
+                     forward: DataFrame, bound_depth: int,
+                     broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Exact top-k with max-score pruning; same rows as :func:`bm25_topk`.
+
+    Per query, ``theta`` = the largest lower bound of a term's
+    ``bound_depth``-th impact: at least ``bound_depth >= k`` documents score
+    at least ``theta``.  Terms sorted by upper bound whose bounds sum below
+    ``theta`` are non-essential: a document holding only those scores below
+    the k-th best, so candidates come only from the essential terms'
+    postings (summed in their doc_id buckets, no exchange).  The
+    non-essential terms' impacts are then added from the forward index
+    (``term -> tf`` per document, co-bucketed by doc_id: no exchange).
+    Falls back to the exhaustive plan when ``k > bound_depth`` or the query
+    terms exceed the broadcast limit."""
+    from pyspark.sql import Window as W
+    qterms = query_terms(queries)
+    n_terms = qterms.count()
+    if k > bound_depth or n_terms > broadcast_limit:
+        return bm25_topk(index, queries, k, broadcast_limit)
+    c = scoring_constants(index)
+    wt = weighted_terms(index, qterms, True).join(F.broadcast(
+        bounds.join(F.broadcast(qterms.select("term").distinct()), "term", "left_semi")), "term")
+    theta = wt.groupBy("query_id").agg(F.max("lb_fp").alias("theta"))
+    w = W.partitionBy("query_id").orderBy("ub_fp", "term").rowsBetween(W.unboundedPreceding, 0)
+    from quarry.session import materialize
+    # one small row per (query, term); stored once, read by both branches
+    cls = materialize(wt.join(theta, "query_id").withColumn("_cum", F.sum("ub_fp").over(w))
+                      .withColumn("essential", F.col("_cum") >= F.col("theta")), "query_terms")
+    essential = cls.filter("essential").select("term", "query_id", "idf")
+    optional = cls.filter(~F.col("essential")).groupBy("query_id").agg(
+        F.collect_list(F.struct("term", "idf")).alias("ne"))
+    e_scores = (index.postings.join(F.broadcast(essential), "term")
+                .groupBy("query_id", "doc_id").agg(F.sum(to_fixed(impact(**c))).alias("e_fp")))
+    joined = e_scores.join(forward, "doc_id").join(F.broadcast(optional), "query_id", "left")
+    k1, b, avgdl = (F.lit(float(c["k1"])), F.lit(float(c["b"])), F.lit(float(c["avgdl"])))
+    dl = F.col("doc_length")
+
+    def add(acc, x):
+        tf = F.try_element_at(F.col("terms"), x["term"])
+        w_ = x["idf"] * (tf * (k1 + F.lit(1.0))) / (tf + k1 * (F.lit(1.0) - b + b * dl / avgdl))
+        return acc + F.coalesce(to_fixed(w_), F.lit(0).cast("long"))
+
+    ne_fp = F.aggregate(F.coalesce(F.col("ne"), F.array().cast("array<struct<term:string,idf:double>>")),
+                        F.lit(0).cast("long"), add)
+    scores = joined.select("query_id", "doc_id", (F.col("e_fp") + ne_fp).alias("score_fp"))
+    return _topk(scores, k)
+
+
 def search(index: BM25Index, query_texts: DataFrame, top_k: int = 10) -> DataFrame:
     """Ad-hoc search: any ``(query_id, query_text)`` table; one row per query
     is one search.  Blank queries return nothing."""

@@ -153,6 +153,13 @@ def q_bm25_topk(spark, sf_dir):
     return long_rank(p.bm25_ranking.select("query_id", "rank", "doc_id", "score"))
 
 
+@register
+def q_bm25_topk_pruned(spark, sf_dir):
+    """Same rows as q_bm25_topk, computed with exact max-score pruning."""
+    p = Pipeline(spark, sf_dir)
+    return long_rank(p.bm25_ranking_pruned.select("query_id", "rank", "doc_id", "score"))
+
+
 @register
 def q_bm25_per_query(spark, sf_dir):
     pq = Pipeline(spark, sf_dir).bm25_per_query

@@ -380,6 +380,9 @@ ORACLE["q_bm25_scores"] = with_ctes(*EVAL) + \
 
 ORACLE["q_bm25_topk"] = with_ctes(*EVAL) + "SELECT query_id, rank, doc_id, score FROM bm25"
 
+# pruning must not change a single row: same SQL as the exhaustive ranking
+ORACLE["q_bm25_topk_pruned"] = ORACLE["q_bm25_topk"]
+
 ORACLE["q_bm25_per_query"] = with_ctes(*EVAL) + f"""SELECT query_id, relevant_rank,
   {round6("rr_at_10")} AS rr_at_10, {round6("recall_at_10")} AS recall_at_10,
   {round6("recall_at_50")} AS recall_at_50, {round6("ndcg_at_10")} AS ndcg_at_10

@@ -94,3 +94,16 @@ def test_postings_point_lookup_is_pushed_down(spark, tiny):
         [("a", "d1", 2), ("a", "d2", 1)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(term" in plan or "PushedFilters: [IsNotNull(term), In(term" in plan
+
+
+def test_pruned_topk_equals_exhaustive(spark, pipeline):
+    from quarry.operators.index import forward_index, scoring_bounds
+    from quarry.session import save_bucketed
+    idx = pipeline.index
+    bounds = scoring_bounds(idx, 5).cache()
+    fwd = save_bucketed(forward_index(idx), "fwd_test", "doc_id", idx.num_partitions)
+    qs = pipeline.queries.select("query_id", "query_text")
+    for k in (1, 3, 5):
+        a = search.bm25_topk(idx, qs, k).drop("score_fp")
+        b = search.bm25_topk_pruned(idx, qs, k, bounds, fwd, 5).drop("score_fp")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
