@@ -126,3 +126,23 @@ def test_index_summary_written(spark, pipeline):
     sinks.write_index(pipeline.index, out)
     s = spark.read.json(f"{out}/summary").first()
     assert s["document_count"] == pipeline.index.statistics.first()["document_count"]
+
+
+def test_streaming_search_with_rerank(spark, pipeline):
+    src, out = _tmp(), _tmp()
+    qs = pipeline.queries.select(F.col("query_id").cast("string").alias("query_id"), "query_text")
+    qs.coalesce(1).write.mode("overwrite").json(os.path.join(src, "q"))
+    stream = search_stream.query_stream(spark, os.path.join(src, "q"))
+    dv = rerank.hashed_document_vectors(pipeline.index) \
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
+    handle = search_stream.start_search_stream(
+        pipeline.index, stream, os.path.join(out, "res"), os.path.join(out, "chk"), top_k=5,
+        query_vectors=rerank.hashed_query_vectors, doc_vectors=dv)
+    handle.awaitTermination(180)
+    got = spark.read.parquet(os.path.join(out, "res"))
+    per = {r["pipeline"]: r["n"] for r in got.groupBy("pipeline").agg(F.count("*").alias("n")).collect()}
+    assert per["bm25"] == search.bm25_topk(pipeline.index, qs, 5).count()
+    want = rerank.rerank(search.bm25_topk(pipeline.index, qs, 50), rerank.hashed_query_vectors(qs),
+                         dv, 5).select("query_id", "rank", "doc_id", "score")
+    have = got.filter("pipeline = 'rerank'").select("query_id", "rank", "doc_id", "score")
+    assert have.exceptAll(want).count() == 0 and want.exceptAll(have).count() == 0
