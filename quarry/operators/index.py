@@ -11,8 +11,6 @@ collection-frequency count by term, which is partially aggregated map-side.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +21,6 @@ K1 = 1.5
 B = 0.75
 
 
-@dataclass
 class BM25Index:
     """Four tables of the index.
 
@@ -32,18 +29,39 @@ class BM25Index:
     * ``vocabulary`` (term, document_frequency, collection_frequency, idf)
     * ``statistics`` one row (document_count, total_token_count,
       average_document_length, vocabulary_size, k1, b)
+
+    When ``vocabulary`` / ``statistics`` are not given they are derived from
+    the postings and documents on first use (they need the corpus size,
+    read as a scalar from a one-row aggregate).
     """
-    documents: DataFrame
-    postings: DataFrame
-    vocabulary: DataFrame
-    statistics: DataFrame
-    num_partitions: int = 0
-    k1: float = K1
-    b: float = B
+
+    def __init__(self, documents: DataFrame, postings: DataFrame,
+                 vocabulary: DataFrame | None = None, statistics: DataFrame | None = None,
+                 num_partitions: int = 0, k1: float = K1, b: float = B):
+        self.documents = documents
+        self.postings = postings
+        self._vocabulary = vocabulary
+        self._statistics = statistics
+        self.num_partitions = num_partitions
+        self.k1 = k1
+        self.b = b
+
+    @property
+    def vocabulary(self) -> DataFrame:
+        if self._vocabulary is None:
+            self._vocabulary = vocabulary_from(self.postings, _corpus_totals(self.documents))
+        return self._vocabulary
+
+    @property
+    def statistics(self) -> DataFrame:
+        if self._statistics is None:
+            self._statistics = statistics_from(self.documents, self.vocabulary, None,
+                                               self.k1, self.b)
+        return self._statistics
 
     def materialized(self) -> "BM25Index":
         """Store the index once: postings as a table bucketed by doc_id (keeps
-        the layout the query phase needs), the small tables checkpointed."""
+        the layout the query phase needs), the small tables as parquet."""
         from quarry.session import materialize, save_bucketed
         n = self.num_partitions or int(
             self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -125,33 +143,7 @@ def build_index(processed: DataFrame, num_partitions: int | None = None,
                 .groupBy("doc_id", "doc_length", "term")
                 .agg(F.count(F.lit(1)).alias("term_frequency"))
                 .select("doc_id", "term", "term_frequency", "doc_length"))
-    return _LazyIndex(doc_table, postings, n, k1, b)
-
-
-class _LazyIndex(BM25Index):
-    """An index whose vocabulary and statistics are derived on first use
-    (they need the corpus size, read as a scalar)."""
-
-    def __init__(self, documents, postings, n, k1, b):
-        self._docs, self._post, self._n, self._k1, self._b = documents, postings, n, k1, b
-
-    documents = property(lambda self: self._docs)
-    postings = property(lambda self: self._post)
-    num_partitions = property(lambda self: self._n)
-    k1 = property(lambda self: self._k1)
-    b = property(lambda self: self._b)
-
-    @property
-    def vocabulary(self):
-        if not hasattr(self, "_vocab"):
-            self._vocab = vocabulary_from(self._post, _corpus_totals(self._docs))
-        return self._vocab
-
-    @property
-    def statistics(self):
-        if not hasattr(self, "_stats"):
-            self._stats = statistics_from(self._docs, self.vocabulary, None, self._k1, self._b)
-        return self._stats
+    return BM25Index(doc_table, postings, None, None, n, k1, b)
 
 
 def statistics_long(statistics: DataFrame) -> DataFrame:
