@@ -18,7 +18,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from quarry.operators import evaluate as E  # noqa: E402
 from quarry.operators import ingest, quality, report, rerank, search  # noqa: E402
 from quarry.plans.pipeline import DensePipeline  # noqa: E402
 from quarry.session import checkpoint_root, local_session  # noqa: E402

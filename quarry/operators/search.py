@@ -8,9 +8,12 @@ because the postings are already hash-partitioned by ``doc_id``; and the
 per-query top-k keeps at most k rows per (partition, query) before the only
 exchange of the query phase (``WindowGroupLimit``).
 
-When the query-term table is too large to broadcast, the join falls back to
-a shuffle on ``term`` (adaptive skew-join splits hot terms), which is correct
-but moves every match; split very large query sets into batches instead.
+When the query-term table is too large to broadcast, :func:`bm25_topk`
+splits the queries into hash batches that each fit the limit and unions
+their results (every batch keeps the no-exchange plan); the bare
+:func:`bm25_scores` falls back to a shuffle join on ``term`` (adaptive
+skew-join splits hot terms).  :func:`bm25_topk_pruned` is an exact
+max-score variant of the top-k.
 """
 
 from __future__ import annotations

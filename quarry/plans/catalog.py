@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.functions import vectors as V
 from quarry.functions.numeric import from_fixed, round6
 from quarry.operators import evaluate as E
 from quarry.operators import ingest, quality, report, rerank, search
