@@ -15,7 +15,7 @@ ALPHABET = list("aZbY09_ .-\t\n\r\x0b\x0c") + ["\u0085", " ", " ", "　",
                                                 "HTTP", "Json", "x2", "__"]
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=25).map("".join), min_size=1, max_size=20))
 def test_tokenizer_and_whitespace_match_sql(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
