@@ -40,7 +40,13 @@ class Pipeline:
     # -- corpus -----------------------------------------------------------
     @cached_property
     def raw(self) -> DataFrame:
-        return tables.raw_records(self.spark, self.sf_dir)
+        raw = tables.raw_records(self.spark, self.sf_dir)
+        if not self.materialize:
+            return raw
+        # tokenization is the costly per-row step: make sure the rows are
+        # spread over the tasks (a single-row-group file is read by one task)
+        from quarry.session import spread
+        return spread(raw, "id")
 
     @cached_property
     def prepared(self) -> DataFrame:

@@ -104,3 +104,25 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int,
         w = w.sortBy(sort_by)
     w.option("path", path).saveAsTable(table)
     return spark.table(table)
+
+
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` only when its scan puts the rows in
+    too few tasks (for example one file with a single parquet row group is
+    read by one task, whatever its size); otherwise return it unchanged, so
+    a well-laid-out input is not shuffled.
+
+    The check is one small job over the key column: rows per scan task,
+    reduced on the executors to a single row (tasks with rows, the largest
+    task, the total)."""
+    from pyspark.sql import functions as F
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_task = df.select(key).groupBy(F.spark_partition_id().alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    s = per_task.agg(F.count(F.lit(1)).alias("tasks"), F.max("_n").alias("biggest"),
+                     F.sum("_n").alias("total")).first()
+    if not s["total"]:
+        return df
+    if s["tasks"] < n and s["biggest"] > 2 * s["total"] / n:
+        return df.repartition(n, key)
+    return df
