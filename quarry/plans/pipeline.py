@@ -23,13 +23,22 @@ class Pipeline:
     when the session has none) so several reports reuse them.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True,
-                 top_k: int = 10, query_split: str = "test"):
+    def __init__(self, spark: SparkSession, sf_dir: str | None, materialize: bool = True,
+                 top_k: int = 10, query_split: str = "test", raw: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
         self.top_k = top_k
         self.query_split = query_split
+        self._raw = raw
+
+    @classmethod
+    def from_jsonl(cls, spark: SparkSession, paths_by_split: dict[str, str],
+                   mode: str = "FAILFAST", **kwargs) -> "Pipeline":
+        """The pipeline over raw JSON-lines files, one file (or folder) per
+        split; record ids are ``{split}-{line}``."""
+        from quarry.sources import jsonl
+        return cls(spark, None, raw=jsonl.read_records(spark, paths_by_split, mode), **kwargs)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
@@ -40,7 +49,7 @@ class Pipeline:
     # -- corpus -----------------------------------------------------------
     @cached_property
     def raw(self) -> DataFrame:
-        raw = tables.raw_records(self.spark, self.sf_dir)
+        raw = self._raw if self._raw is not None else tables.raw_records(self.spark, self.sf_dir)
         if not self.materialize:
             return raw
         # tokenization is the costly per-row step: make sure the rows are

@@ -135,3 +135,36 @@ def test_nested_corpus_stats(raw):
 def test_export_split_renaming(spark):
     df = spark.createDataFrame([("validation",), ("train",)], "split string")
     assert [r[0] for r in jsonl.export_splits(df).collect()] == ["valid", "train"]
+
+
+def test_pipeline_from_jsonl_end_to_end(spark):
+    from quarry.operators import rerank
+    from quarry.operators import evaluate as E
+    from quarry.plans.pipeline import Pipeline
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    words = ["parse json file", "open ssh connection", "hash a string with sha256",
+             "split list into chunks", "download url to disk", "read csv rows"]
+    paths = {}
+    for split, n in (("train", 30), ("valid", 6), ("test", 12)):
+        p = os.path.join(d, f"{split}.jsonl")
+        with open(p, "w", encoding="utf-8") as fh:
+            for i in range(n):
+                w = words[i % len(words)]
+                name = w.replace(" ", "_") + f"_{split}{i}"
+                fh.write(json.dumps({"func_name": name,
+                                     "func_code_string": f"def {name}():\n    return '{w}'",
+                                     "func_documentation_string": f"{w.capitalize()} ({split} {i})."})
+                         + "\n")
+        paths[split] = p
+    pipe = Pipeline.from_jsonl(spark, paths)
+    assert pipe.documents.count() == 48
+    assert pipe.index.statistics.first()["document_count"] == 48
+    q = pipe.queries
+    assert q.count() == 12 and q.filter(~F.col("query_id").startswith("test-")).count() == 0
+    m = pipe.bm25_metrics.first()
+    assert m["query_count"] == 12 and m["recall_at_10"] == 1.0
+    qv = rerank.hashed_query_vectors(q)
+    dv = rerank.hashed_document_vectors(pipe.index)
+    rr = rerank.rerank(pipe.bm25_ranking, qv, dv, 50)
+    rm = E.metrics(E.per_query(q.join(qv.select("query_id"), "query_id"), rr)).first()
+    assert rm["recall_at_50"] == m["recall_at_50"]
