@@ -284,8 +284,8 @@ rerank_queries AS (SELECT q.* FROM queries q WHERE q.query_id IN (SELECT query_i
 DENSE = EVAL + (STORED, rerank_ctes("rr", "bm25", "qvecs", "vectors", 50))
 
 BENCH_Q = "bench_q AS (SELECT item_id AS query_id, text AS query_text FROM benchmark)"
-CONV_Q = ("conv_q AS (SELECT conv_id * 1000 + turn AS query_id, text AS query_text "
-          "FROM conversations WHERE role = 'user')")
+CONV_Q = ("conv_q AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS query_id, "
+          "text AS query_text FROM conversations WHERE role = 'user')")
 
 
 def preview(x: str, limit: int = PREVIEW_LIMIT) -> str:

@@ -71,5 +71,6 @@ def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns of the conversations as ad-hoc queries."""
     c = read_table(spark, sf_dir, "conversations")
     return c.filter(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+        .alias("query_id"),
         F.col("text").alias("query_text"))
