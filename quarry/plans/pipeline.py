@@ -116,6 +116,17 @@ class Pipeline:
     def bm25_metrics(self) -> DataFrame:
         return E.metrics(self.bm25_per_query)
 
+    def bm25_result(self) -> DataFrame:
+        """The evaluation run as one nested row: setup, index statistics,
+        metrics and the sample rankings (write it with
+        ``sinks.write_result``)."""
+        from quarry.sources.sinks import evaluation_result
+        setup = {"query_split": self.query_split, "retrieval_depth": self.depth,
+                 "relevance_assumption": "each docstring query's own document is the relevant one"}
+        flat = E.sample_rankings(self.queries, self.bm25_ranking)
+        return evaluation_result(setup, self.index.statistics, self.bm25_metrics,
+                                 E.sample_rankings_nested(flat))
+
 
 def long_rank(df: DataFrame) -> DataFrame:
     return df.withColumn("rank", F.col("rank").cast("long"))
@@ -163,6 +174,19 @@ class DensePipeline(Pipeline):
     def rerank_metrics(self) -> DataFrame:
         return E.metrics(E.per_query(self.rerank_queries, self.rerank_ranking))
 
+    def rerank_result(self, encoder: str = "stored vectors") -> DataFrame:
+        """The rerank evaluation run as one nested row (samples carry the
+        BM25 score beside the cosine)."""
+        from quarry.sources.sinks import evaluation_result
+        setup = {"query_split": self.query_split, "retrieval_depth": self.depth,
+                 "bm25_candidate_count": max(self.bm25_candidates, self.depth),
+                 "reranker": encoder,
+                 "relevance_assumption": "each docstring query's own document is the relevant one"}
+        flat = E.sample_rankings(self.rerank_queries, self.rerank_ranking,
+                                 extra_cols=("bm25_score",))
+        return evaluation_result(setup, self.index.statistics, self.rerank_metrics,
+                                 E.sample_rankings_nested(flat, ("bm25_score",)))
+
 
 class HashedDensePipeline(DensePipeline):
     """The dense stages with the built-in hashed encoder on both sides: every

@@ -146,3 +146,15 @@ def test_streaming_search_with_rerank(spark, pipeline):
                          dv, 5).select("query_id", "rank", "doc_id", "score")
     have = got.filter("pipeline = 'rerank'").select("query_id", "rank", "doc_id", "score")
     assert have.exceptAll(want).count() == 0 and want.exceptAll(have).count() == 0
+
+
+def test_evaluation_runs_as_nested_rows(spark, pipeline):
+    out = _tmp()
+    for name, res in (("bm25", pipeline.bm25_result()), ("rerank", pipeline.rerank_result())):
+        sinks.write_result(res, f"{out}/{name}")
+        back = sinks.read_result(spark, f"{out}/{name}").first()
+        assert back["metrics"]["query_count"] >= 1
+        assert back["evaluation_setup"]["retrieval_depth"] == "50"
+        first = back["sample_rankings"][0]
+        assert first["top_results"] and first["top_results"][0]["rank"] == 1
+    assert "bm25_score" in back["sample_rankings"][0]["top_results"][0].asDict()
