@@ -1,0 +1 @@
+"""Column -> Column building blocks: text rules, exact numerics, vector math."""

@@ -1,0 +1 @@
+"""DataFrame operators: corpus build, index, search, rerank, evaluation, quality, reports."""

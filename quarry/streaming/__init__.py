@@ -1,0 +1 @@
+"""Structured Streaming: BM25 (and rerank) search over a stream of queries."""
