@@ -75,10 +75,10 @@ def read_index(spark: SparkSession, out_dir: str) -> BM25Index:
     over the existing files."""
     n = spark.read.json(f"{out_dir}/postings_layout").first()["buckets"]
     name = f"quarry_postings_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE TABLE {name} (doc_id BIGINT, term STRING, term_frequency BIGINT, "
-              f"doc_length BIGINT) USING parquet CLUSTERED BY (doc_id) SORTED BY (term) "
-              f"INTO {n} BUCKETS "
-              f"LOCATION '{out_dir}/postings'")
+    schema = spark.read.parquet(f"{out_dir}/postings").schema  # id type follows the corpus
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) "
+              f"SORTED BY (term) INTO {n} BUCKETS LOCATION '{out_dir}/postings'")
     return BM25Index(spark.read.parquet(f"{out_dir}/documents"), spark.table(name),
                      spark.read.parquet(f"{out_dir}/vocabulary"),
                      spark.read.parquet(f"{out_dir}/statistics"), n)
