@@ -72,8 +72,9 @@ def cmd_rerank(spark, a):
     cands = search.bm25_topk(idx, queries, max(a.bm25_candidates, depth))
     if a.vectors:
         dv = spark.read.parquet(a.vectors).select("doc_id", "embedding")
-        qv = queries.select("query_id", F.col("relevant_doc_id").alias("doc_id")) \
-            .join(dv, "doc_id").select("query_id", "embedding")
+        q = queries.select("query_id", F.col("relevant_doc_id").alias("doc_id"))
+        ids = search.bounded_broadcast(q.select("doc_id").distinct())
+        qv = q.join(dv.join(ids, "doc_id", "left_semi"), "doc_id").select("query_id", "embedding")
         encoder = a.vectors
     else:
         dv, qv, encoder = rerank.hashed_document_vectors(idx), rerank.hashed_query_vectors(queries), \
