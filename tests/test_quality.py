@@ -40,3 +40,28 @@ def test_split_totals_round_trip(spark, pipeline):
               sinks.read_split_totals(spark, f"{out}/corpus_stats").collect()}
     assert totals == {r["split"]: r["kept_records"] for r in stats.collect()}
     assert sinks.read_split_totals(spark, f"{out}/absent").count() == 0
+
+
+def test_examples_fallback_and_first_line_rule(spark):
+    from quarry.operators import report
+    from quarry.operators.index import build_index
+    long = "word " * 40  # longer than 150 characters: never a candidate
+    docs = spark.createDataFrame([
+        (1, "test", "f_one", long, "parse json config"),
+        (2, "test", "f_two", long, "open ssh session"),
+        (3, "train", "f_three", "x", "unrelated text"),
+    ], "id long, split string, func_name string, docstring string, lexical_document string")
+    idx = build_index(docs.select("id", "split", "func_name", "lexical_document")).materialized()
+    ex = report.example_queries(idx, docs).orderBy("example_rank").collect()
+    assert [r["example_rank"] for r in ex] == [1, 2, 3, 4, 5, 6]
+    assert all(r["doc_id"] is None for r in ex)
+    # copies: the same docstring on two lines counts once, at its first qualifying line
+    docs2 = spark.createDataFrame([
+        (10, "test", "a", "parse json", "parse json"),
+        (11, "test", "b", "parse json", "parse json"),
+        (12, "test", "c", "open ssh", "open ssh session"),
+    ], "id long, split string, func_name string, docstring string, lexical_document string")
+    idx2 = build_index(docs2.select("id", "split", "func_name", "lexical_document")).materialized()
+    ex2 = [(r["example_rank"], r["query_text"], r["doc_id"])
+           for r in report.example_queries(idx2, docs2).orderBy("example_rank").collect()]
+    assert ex2 == [(1, "parse json", 10), (2, "open ssh", 12)]
