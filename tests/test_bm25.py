@@ -107,3 +107,17 @@ def test_pruned_topk_equals_exhaustive(spark, pipeline):
         a = search.bm25_topk(idx, qs, k).drop("score_fp")
         b = search.bm25_topk_pruned(idx, qs, k, bounds, fwd, 5).drop("score_fp")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_index_build_has_one_exchange_by_doc_id(spark, pipeline):
+    from quarry.operators.index import build_index
+    plan = build_index(pipeline.documents).postings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "Exchange hashpartitioning(doc_id" in plan
+
+
+def test_hashed_vectors_need_no_exchange(pipeline):
+    from quarry.operators import rerank
+    plan = rerank.hashed_document_vectors(pipeline.index)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
