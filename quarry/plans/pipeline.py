@@ -72,8 +72,12 @@ class Pipeline:
     # -- index ------------------------------------------------------------
     @cached_property
     def index(self) -> BM25Index:
-        idx = build_index(self.documents)
-        return idx.materialized() if self.materialize else idx
+        if not self.materialize:
+            return build_index(self.documents)
+        from quarry.session import partition_count
+        # bucket count from the corpus size (a metadata count on the stored stage)
+        n = partition_count(self.spark, self.prepared.count())
+        return build_index(self.documents, num_partitions=n).materialized()
 
     # -- evaluation -------------------------------------------------------
     @cached_property

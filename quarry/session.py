@@ -106,6 +106,22 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int,
     return spark.table(table)
 
 
+# Documents per partition / postings bucket: ~50k documents of ~200 tokens
+# make ~6M postings, about 100-150 MB.
+ROWS_PER_PARTITION = 50_000
+
+
+def partition_count(spark: SparkSession, rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partitions for ``rows`` documents: enough for every core, and one per
+    ``rows_per_partition`` beyond that - independent of the session's
+    shuffle-partition setting (which may be tuned for other jobs)."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(int(cores), -(-int(rows) // rows_per_partition), 1)
+
+
 def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Hash-partition ``df`` by ``key`` only when its scan puts the rows in
     too few tasks (for example one file with a single parquet row group is
@@ -116,13 +132,13 @@ def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     reduced on the executors to a single row (tasks with rows, the largest
     task, the total)."""
     from pyspark.sql import functions as F
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_task = df.select(key).groupBy(F.spark_partition_id().alias("_p")).agg(
         F.count(F.lit(1)).alias("_n"))
     s = per_task.agg(F.count(F.lit(1)).alias("tasks"), F.max("_n").alias("biggest"),
                      F.sum("_n").alias("total")).first()
     if not s["total"]:
         return df
+    n = partitions or partition_count(df.sparkSession, s["total"])
     if s["tasks"] < n and s["biggest"] > 2 * s["total"] / n:
         return df.repartition(n, key)
     return df
