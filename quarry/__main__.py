@@ -40,7 +40,7 @@ def _processed(spark, path, splits):
 
 def cmd_corpus(spark, a):
     raw = jsonl.read_records(spark, {s: f"{a.raw_dir}/{s}.jsonl" for s in a.splits})
-    corpus = ingest.build_corpus(raw)
+    corpus = ingest.build_corpus(raw, a.splits)
     sinks.write_processed(corpus.documents, corpus.metadata, a.output_dir)
     sinks.write_stats(ingest.corpus_stats_nested(corpus.stats, corpus.histogram),
                       f"{a.output_dir}/corpus_stats")

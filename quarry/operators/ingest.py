@@ -92,9 +92,10 @@ def drop_reason_counts(prepared: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def corpus_stats(prepared: DataFrame) -> DataFrame:
+def corpus_stats(prepared: DataFrame, splits=None) -> DataFrame:
     """One row per split with the reference's counters, totals, averages
-    (2 decimals) and missing-docstring rate (4 decimals)."""
+    (2 decimals) and missing-docstring rate (4 decimals).  With ``splits``,
+    a split without records still gets its row (all counters 0)."""
     kept = F.col("drop_reason").isNull()
     doc_text_len = F.length(T.document_text("func_name", "docstring", "code"))
     agg = prepared.groupBy("split").agg(
@@ -112,6 +113,12 @@ def corpus_stats(prepared: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(kept, F.length("docstring"))), F.lit(0)).cast("long")
          .alias("docstring_char_total"),
     )
+    if splits:
+        spark = prepared.sparkSession
+        expected = spark.createDataFrame([(x,) for x in splits], "split string")
+        counters = [c for c in agg.columns if c != "split"]
+        agg = expected.join(agg, "split", "left").select(
+            "split", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counters])
     denom = "greatest(kept_records, 1)"
     return agg.select(
         "*",
@@ -151,7 +158,7 @@ class Corpus:
     histogram: DataFrame
 
 
-def build_corpus(raw: DataFrame) -> Corpus:
+def build_corpus(raw: DataFrame, splits=None) -> Corpus:
     prepared = prepare(raw)
     docs = documents(prepared)
-    return Corpus(docs, metadata(prepared), corpus_stats(prepared), length_histogram(docs))
+    return Corpus(docs, metadata(prepared), corpus_stats(prepared, splits), length_histogram(docs))

@@ -168,3 +168,17 @@ def test_pipeline_from_jsonl_end_to_end(spark):
     rr = rerank.rerank(pipe.bm25_ranking, qv, dv, 50)
     rm = E.metrics(E.per_query(q.join(qv.select("query_id"), "query_id"), rr)).first()
     assert rm["recall_at_50"] == m["recall_at_50"]
+
+
+def test_empty_split_gets_zero_stats(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    paths = {}
+    for split, recs in (("train", RECORDS[:1]), ("valid", [])):
+        p = os.path.join(d, f"{split}.jsonl")
+        with open(p, "w", encoding="utf-8") as fh:
+            fh.write("".join(json.dumps(r) + "\n" for r in recs))
+        paths[split] = p
+    raw = jsonl.read_records(spark, paths)
+    stats = {r["split"]: r for r in ingest.corpus_stats(ingest.prepare(raw), list(paths)).collect()}
+    assert stats["valid"]["raw_records"] == 0 and stats["valid"]["lexical_token_avg"] == 0.0
+    assert stats["train"]["kept_records"] == 1
