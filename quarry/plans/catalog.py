@@ -42,12 +42,14 @@ def _explode_vector(df: DataFrame, key: str, col: str = "embedding") -> DataFram
 
 @register
 def q_normalize_ws(spark, sf_dir):
+    """whitespace normalisation of every document's whole text."""
     return _docs_table(spark, sf_dir).select(
         "doc_id", T.normalize_whitespace("text").alias("normalized"))
 
 
 @register
 def q_split_identifier(spark, sf_dir):
+    """identifier splitting of every document's whole text."""
     d = _docs_table(spark, sf_dir).select("doc_id", T.split_identifier("text").alias("p"))
     return d.select("doc_id", F.size("p").cast("long").alias("piece_count"),
                     F.array_join("p", " ").alias("pieces"))
@@ -55,6 +57,7 @@ def q_split_identifier(spark, sf_dir):
 
 @register
 def q_tokenize(spark, sf_dir):
+    """lexical tokens of every document's whole text, one row per position."""
     d = _docs_table(spark, sf_dir).select("doc_id", T.tokenize("text").alias("t"))
     return d.select("doc_id", F.posexplode("t").alias("pos", "token")).select(
         "doc_id", (F.col("pos") + 1).cast("long").alias("pos"), "token")
@@ -62,12 +65,14 @@ def q_tokenize(spark, sf_dir):
 
 @register
 def q_document_text(spark, sf_dir):
+    """document text of every raw record (name, docstring, code)."""
     p = Pipeline(spark, sf_dir).prepared
     return p.select("id", T.document_text("func_name", "docstring", "code").alias("document_text"))
 
 
 @register
 def q_preview(spark, sf_dir):
+    """whitespace-flattened 160-character preview of every text."""
     return _docs_table(spark, sf_dir).select("doc_id", T.preview("text").alias("text_preview"))
 
 
@@ -75,26 +80,31 @@ def q_preview(spark, sf_dir):
 
 @register
 def q_documents(spark, sf_dir):
+    """Processed documents (kept records)."""
     return Pipeline(spark, sf_dir).documents
 
 
 @register
 def q_metadata(spark, sf_dir):
+    """Metadata rows with the missing-key defaults."""
     return Pipeline(spark, sf_dir).metadata
 
 
 @register
 def q_rejected_records(spark, sf_dir):
+    """P5: every dropped record with its single reason."""
     return ingest.rejected(Pipeline(spark, sf_dir).prepared)
 
 
 @register
 def q_drop_reasons(spark, sf_dir):
+    """P5: dropped records per split and reason."""
     return ingest.drop_reason_counts(Pipeline(spark, sf_dir).prepared)
 
 
 @register
 def q_corpus_stats(spark, sf_dir):
+    """Per-split statistics and the total of kept records."""
     s = ingest.corpus_stats(Pipeline(spark, sf_dir).prepared)
     # one row per split: the total over splits is a window over a few rows
     return s.withColumn("total_kept_records",
@@ -103,6 +113,7 @@ def q_corpus_stats(spark, sf_dir):
 
 @register
 def q_length_histogram(spark, sf_dir):
+    """Token-length histogram per split."""
     return ingest.length_histogram(Pipeline(spark, sf_dir).documents)
 
 
@@ -110,12 +121,14 @@ def q_length_histogram(spark, sf_dir):
 
 @register
 def q_postings(spark, sf_dir):
+    """Postings (term frequency per document)."""
     return Pipeline(spark, sf_dir).index.postings.select(
         "doc_id", "term", F.col("term_frequency").cast("long").alias("term_frequency"))
 
 
 @register
 def q_vocabulary(spark, sf_dir):
+    """Document / collection frequency and idf per term."""
     v = Pipeline(spark, sf_dir).index.vocabulary
     return v.select("term", "document_frequency", "collection_frequency",
                     round6("idf").alias("idf"))
@@ -123,11 +136,13 @@ def q_vocabulary(spark, sf_dir):
 
 @register
 def q_index_stats(spark, sf_dir):
+    """Corpus totals, rounded average length, vocabulary size."""
     return Pipeline(spark, sf_dir).index.statistics
 
 
 @register
 def q_index_stats_kv(spark, sf_dir):
+    """The statistics as key / JSON-value rows."""
     from quarry.operators.index import statistics_long
     return statistics_long(Pipeline(spark, sf_dir).index.statistics)
 
@@ -136,11 +151,13 @@ def q_index_stats_kv(spark, sf_dir):
 
 @register
 def q_queries(spark, sf_dir):
+    """Query records from the test split's non-blank docstrings."""
     return Pipeline(spark, sf_dir).queries
 
 
 @register
 def q_bm25_scores(spark, sf_dir):
+    """BM25 score of every matching (query, document)."""
     p = Pipeline(spark, sf_dir)
     s = search.bm25_scores(p.index, p.queries)
     return s.select("query_id", "doc_id", from_fixed("score_fp").alias("score"))
@@ -148,19 +165,21 @@ def q_bm25_scores(spark, sf_dir):
 
 @register
 def q_bm25_topk(spark, sf_dir):
+    """BM25 top-50 per query (ties by doc_id)."""
     p = Pipeline(spark, sf_dir)
     return long_rank(p.bm25_ranking.select("query_id", "rank", "doc_id", "score"))
 
 
 @register
 def q_bm25_topk_pruned(spark, sf_dir):
-    """Same rows as q_bm25_topk, computed with exact max-score pruning."""
+    """The same top-50 with exact max-score pruning."""
     p = Pipeline(spark, sf_dir)
     return long_rank(p.bm25_ranking_pruned.select("query_id", "rank", "doc_id", "score"))
 
 
 @register
 def q_bm25_per_query(spark, sf_dir):
+    """Per-query rank of the relevant document and metrics."""
     pq = Pipeline(spark, sf_dir).bm25_per_query
     return pq.select("query_id", F.col("relevant_rank").cast("long").alias("relevant_rank"),
                      *[round6(c).alias(c) for c in
@@ -169,17 +188,20 @@ def q_bm25_per_query(spark, sf_dir):
 
 @register
 def q_bm25_metrics(spark, sf_dir):
+    """A10 H8: MRR@10, Recall@10/50, nDCG@10 over the queries."""
     return Pipeline(spark, sf_dir).bm25_metrics
 
 
 @register
 def q_sample_rankings(spark, sf_dir):
+    """First five queries with their top five results."""
     p = Pipeline(spark, sf_dir)
     return long_rank(E.sample_rankings(p.queries, p.bm25_ranking))
 
 
 @register
 def q_adhoc_search(spark, sf_dir):
+    """H1: ad-hoc search of the benchmark texts (top 10)."""
     p = Pipeline(spark, sf_dir)
     qs = tables.benchmark_queries(spark, sf_dir)
     return long_rank(search.search(p.index, qs, TOP_K).drop("score_fp"))
@@ -187,6 +209,7 @@ def q_adhoc_search(spark, sf_dir):
 
 @register
 def q_conversation_search(spark, sf_dir):
+    """H1: ad-hoc search of the conversations' user turns (top 10)."""
     p = Pipeline(spark, sf_dir)
     qs = tables.conversation_queries(spark, sf_dir)
     return long_rank(search.search(p.index, qs, TOP_K).drop("score_fp"))
@@ -194,6 +217,7 @@ def q_conversation_search(spark, sf_dir):
 
 @register
 def q_examples(spark, sf_dir):
+    """Self-retrieving example queries."""
     p = Pipeline(spark, sf_dir)
     return report.example_queries(p.index, p.documents)
 
@@ -202,50 +226,59 @@ def q_examples(spark, sf_dir):
 
 @register
 def q_l2_normalize(spark, sf_dir):
+    """V3: L2-normalised stored vectors."""
     v = tables.stored_vectors(spark, sf_dir)
     return _explode_vector(rerank.normalized(v), "doc_id")
 
 
 @register
 def q_cosine(spark, sf_dir):
+    """V4: cosine of each BM25 candidate with its query's vector."""
     p = DensePipeline(spark, sf_dir)
     return rerank.cosine_pairs(p.candidates, p.query_vectors, p.vectors)
 
 
 @register
 def q_mean_pool(spark, sf_dir):
+    """Hashed-encoder document vectors (mean pooled, normalised)."""
     p = Pipeline(spark, sf_dir)
     return _explode_vector(rerank.hashed_document_vectors(p.index), "doc_id")
 
 
 @register
 def q_rerank_topk(spark, sf_dir):
+    """Rerank of the BM25 candidates by stored vectors."""
     return DensePipeline(spark, sf_dir).rerank_ranking
 
 
 @register
 def q_rerank_metrics(spark, sf_dir):
+    """A10: metrics of the stored-vector rerank."""
     return DensePipeline(spark, sf_dir).rerank_metrics
 
 
 @register
 def q_rerank_hashed_topk(spark, sf_dir):
+    """Rerank with the hashed encoder on both sides."""
     return HashedDensePipeline(spark, sf_dir).rerank_ranking
 
 
 @register
 def q_rerank_hashed_metrics(spark, sf_dir):
+    """A10: metrics of the hashed-encoder rerank."""
     return HashedDensePipeline(spark, sf_dir).rerank_metrics
 
 
 @register
 def q_metrics_table(spark, sf_dir):
+    """Metrics side by side for the two pipelines."""
     p = DensePipeline(spark, sf_dir)
     return report.metrics_table(p.bm25_metrics, p.rerank_metrics)
 
 
 @register
 def q_compare_pipelines(spark, sf_dir):
+    """H3: both pipelines for each benchmark text, with counts."""
     p = Pipeline(spark, sf_dir)
     qs = tables.benchmark_queries(spark, sf_dir)
     return report.compare_pipelines(p.index, qs, rerank.hashed_query_vectors(qs),
@@ -254,6 +287,7 @@ def q_compare_pipelines(spark, sf_dir):
 
 @register
 def q_dense_summary(spark, sf_dir):
+    """Documents, vectors and judged queries per split; dimension."""
     p = DensePipeline(spark, sf_dir)
     docs = p.documents.filter(T.strip("document_text") != "") \
         .select("split", F.col("id").alias("doc_id"))
@@ -275,12 +309,14 @@ def q_dense_summary(spark, sf_dir):
 
 @register
 def q_document_lookup(spark, sf_dir):
+    """Documents with the truthy metadata overrides."""
     p = Pipeline(spark, sf_dir)
     return report.document_lookup(p.documents, p.metadata)
 
 
 @register
 def q_result_cards(spark, sf_dir):
+    """Enriched top-10 result rows (late materialisation)."""
     p = Pipeline(spark, sf_dir)
     top = p.bm25_ranking.filter(F.col("rank") <= TOP_K).drop("score_fp")
     cards = report.result_cards(top, documents=p.documents, metadata=p.metadata)
@@ -291,33 +327,39 @@ def q_result_cards(spark, sf_dir):
 
 @register
 def q_dq_counts(spark, sf_dir):
+    """Document and metadata counts per split."""
     p = Pipeline(spark, sf_dir)
     return quality.count_check(p.documents, p.metadata)
 
 
 @register
 def q_dq_id_mismatch(spark, sf_dir):
+    """Id-set comparison of documents and metadata."""
     p = Pipeline(spark, sf_dir)
     return quality.id_report(p.documents, p.metadata)
 
 
 @register
 def q_dq_empty_fields(spark, sf_dir):
+    """Blank name / code / lexical text per split."""
     return quality.empty_fields(Pipeline(spark, sf_dir).documents)
 
 
 @register
 def q_dq_sample(spark, sf_dir):
+    """Seeded sample per split with previews."""
     return quality.sample(Pipeline(spark, sf_dir).documents)
 
 
 @register
 def q_dq_stats_present(spark, sf_dir):
+    """Statistics present for every expected split."""
     return quality.split_stats_present(ingest.corpus_stats(Pipeline(spark, sf_dir).prepared))
 
 
 @register
 def q_dq_vector_alignment(spark, sf_dir):
+    """Query / vector alignment and vector dimensions."""
     p = DensePipeline(spark, sf_dir)
     return quality.vector_alignment(p.queries, p.query_vectors, p.vectors)
 
