@@ -163,5 +163,8 @@ def example_queries(index: BM25Index, documents: DataFrame, split: str = "test",
     fallback = spark.createDataFrame(
         [(i + 1, t) for i, t in enumerate(FALLBACK_EXAMPLES)],
         "example_rank long, query_text string").withColumn("doc_id", F.lit(None).cast("long"))
-    # at most ``count`` rows: the fallback applies only when none qualified
+    # at most ``count`` rows, stored once: the fallback applies only when
+    # none qualified, and the check does not recompute the selection
+    from quarry.session import materialize
+    chosen = materialize(chosen, "examples")
     return chosen if chosen.take(1) else fallback
