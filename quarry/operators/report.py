@@ -112,22 +112,33 @@ def metrics_table(bm25_metrics: DataFrame | None, rerank_metrics: DataFrame | No
 
 
 def compare_pipelines(index: BM25Index, query_texts: DataFrame, query_vectors: DataFrame,
-                      doc_vectors: DataFrame, top_k: int = 10,
-                      bm25_candidates: int = 50) -> DataFrame:
+                      doc_vectors: DataFrame, top_k: int = 10, bm25_candidates: int = 50,
+                      isolate_rerank: bool = True) -> DataFrame:
     """Both pipelines for each query: BM25 top-k and the rerank of
     ``max(candidates, top_k)`` BM25 candidates cut to top-k, tagged by
-    ``pipeline``, with the candidate and reranked counts per query.  Blank
-    queries produce nothing."""
+    ``pipeline``, with the candidate and shown counts per query.  Blank
+    queries produce nothing.
+
+    The BM25 candidates are stored once (used three times).  With
+    ``isolate_rerank`` the rerank runs as its own job, and if it fails (for
+    example a broken encoder) the BM25 rows are still returned, without
+    rerank rows."""
     from quarry.operators.rerank import rerank
+    from quarry.session import materialize
     q = query_texts.filter(T.strip(F.coalesce("query_text", F.lit(""))) != "")
     depth = max(bm25_candidates, top_k)
-    cands = bm25_topk(index, q, depth)
+    cands = materialize(bm25_topk(index, q, depth), "compare_candidates")
     hits = cands.groupBy("query_id").agg(F.count(F.lit(1)).alias("bm25_hits"))
     bm25_rows = cands.filter(F.col("rank") <= top_k).select(
         "query_id", F.lit("bm25").alias("pipeline"), F.col("rank").cast("long").alias("rank"),
         "doc_id", "score", F.col("score").alias("bm25_score"))
     rr = rerank(cands, query_vectors, doc_vectors, top_k).select(
         "query_id", F.lit("rerank").alias("pipeline"), "rank", "doc_id", "score", "bm25_score")
+    if isolate_rerank:
+        try:
+            rr = materialize(rr, "compare_rerank")
+        except Exception:  # noqa: BLE001 - the rerank failed: BM25 rows stand alone
+            rr = bm25_rows.limit(0)
     both = bm25_rows.unionByName(rr)
     counts = both.groupBy("query_id", "pipeline").agg(F.count(F.lit(1)).alias("shown"))
     return both.join(hits, "query_id").join(counts, ["query_id", "pipeline"])

@@ -158,3 +158,14 @@ def test_evaluation_runs_as_nested_rows(spark, pipeline):
         first = back["sample_rankings"][0]
         assert first["top_results"] and first["top_results"][0]["rank"] == 1
     assert "bm25_score" in back["sample_rankings"][0]["top_results"][0].asDict()
+
+
+def test_compare_keeps_bm25_when_rerank_fails(spark, pipeline):
+    from quarry.operators import report
+    qs = pipeline.queries.select("query_id", "query_text")
+    broken = qs.select("query_id", F.raise_error(F.lit("encoder unavailable"))
+                       .cast("array<double>").alias("embedding"))
+    out = report.compare_pipelines(pipeline.index, qs, broken,
+                                   rerank.hashed_document_vectors(pipeline.index), top_k=5)
+    per = {r["pipeline"]: r["n"] for r in out.groupBy("pipeline").agg(F.count("*").alias("n")).collect()}
+    assert "rerank" not in per and per["bm25"] == search.bm25_topk(pipeline.index, qs, 5).count()
