@@ -115,3 +115,23 @@ def vector_alignment(queries: DataFrame, query_vectors: DataFrame,
     return a.select("*", F.lit(d["n"]).cast("long").alias("document_vectors"),
                     F.lit(d["lo"]).cast("long").alias("min_dimension"),
                     F.lit(d["hi"]).cast("long").alias("max_dimension"))
+
+
+def sanity_check(documents: DataFrame, metadata: DataFrame, stats: DataFrame,
+                 splits=EXPECTED_SPLITS, n: int = SAMPLES_PER_SPLIT,
+                 seed: int = SAMPLE_SEED) -> DataFrame:
+    """The corpus validation run: statistics present for every split, equal
+    document / metadata counts and id sets, no blank name, code or lexical
+    text.  Raises :class:`QualityError` on the first failed check (each check
+    fetches at most one violating row); returns the seeded sample with
+    previews for inspection."""
+    present = split_stats_present(stats, splits)
+    assert_clean(present.filter(~F.col("present")), "missing split statistics")
+    docs = documents.filter(F.col("split").isin(list(splits)))
+    meta = metadata.filter(F.col("split").isin(list(splits)))
+    assert_clean(count_check(docs, meta).filter(~F.col("counts_match")), "count mismatch")
+    assert_clean(id_mismatch(docs, meta), "id mismatch")
+    blank = empty_fields(docs).filter(
+        (F.col("empty_func_name") + F.col("empty_code") + F.col("empty_lexical_document")) > 0)
+    assert_clean(blank, "empty fields")
+    return sample(docs, n, seed)

@@ -65,3 +65,13 @@ def test_examples_fallback_and_first_line_rule(spark):
     ex2 = [(r["example_rank"], r["query_text"], r["doc_id"])
            for r in report.example_queries(idx2, docs2).orderBy("example_rank").collect()]
     assert ex2 == [(1, "parse json", 10), (2, "open ssh", 12)]
+
+
+def test_sanity_check_run(pipeline):
+    stats = ingest.corpus_stats(pipeline.prepared)
+    samples = quality.sanity_check(pipeline.documents, pipeline.metadata, stats)
+    assert samples.count() == 9
+    with pytest.raises(quality.QualityError, match="id mismatch|count mismatch"):
+        quality.sanity_check(pipeline.documents, pipeline.metadata.filter(F.col("id") % 5 != 0), stats)
+    with pytest.raises(quality.QualityError, match="missing split"):
+        quality.sanity_check(pipeline.documents, pipeline.metadata, stats.filter("split != 'valid'"))
