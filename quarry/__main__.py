@@ -8,6 +8,7 @@
     python -m quarry rerank   --processed-dir PROCESSED --index-dir INDEX --output OUT
                               [--vectors PARQUET] [--top-k 10] [--bm25-candidates 50] [--query-split test]
     python -m quarry search   --index-dir INDEX --queries QUERIES.jsonl --output OUT [--top-k 10]
+    python -m quarry sanity   --processed-dir PROCESSED [--samples 3] [--seed 13] [--splits ...]
 
 ``RAW`` holds ``{split}.jsonl``; every output is a folder of parquet / JSON
 files.  Without ``--vectors`` the rerank uses the built-in hashed encoder on
@@ -28,6 +29,8 @@ from quarry.operators.index import build_index
 from quarry.sources import jsonl, sinks
 
 SPLITS = ("train", "valid", "test")
+META_SCHEMA = ("id string, split string, language string, repository_name string, "
+               "func_path_in_repository string, func_name string, func_code_url string")
 PROCESSED_SCHEMA = ("id string, split string, func_name string, docstring string, code string, "
                     "document_text string, lexical_document string, lexical_token_count long, "
                     "has_docstring boolean")
@@ -89,6 +92,17 @@ def cmd_rerank(spark, a):
     sinks.write_result(sinks.evaluation_result(setup, idx.statistics, metrics, samples), a.output)
 
 
+def cmd_sanity(spark, a):
+    from quarry.operators import quality
+    docs = _processed(spark, a.processed_dir, a.splits)
+    meta = spark.read.schema(META_SCHEMA).json(f"{a.processed_dir}/metadata")
+    stats = sinks.read_split_stats(spark, f"{a.processed_dir}/corpus_stats")
+    samples = quality.sanity_check(docs, meta, stats, a.splits, a.samples, a.seed)
+    stats.orderBy("split").show(truncate=False)
+    samples.orderBy("split", "sample_rank").show(truncate=False, vertical=True)
+    print("Sanity checks passed.")
+
+
 def cmd_search(spark, a):
     idx = sinks.read_index(spark, a.index_dir)
     qs = spark.read.schema("query_id string, query_text string").json(a.queries)
@@ -118,6 +132,11 @@ def parser() -> argparse.ArgumentParser:
         if name == "rerank":
             e.add_argument("--vectors", default=None)
             e.add_argument("--bm25-candidates", type=int, default=50)
+    q = sub.add_parser("sanity")
+    q.add_argument("--processed-dir", required=True)
+    q.add_argument("--splits", nargs="+", default=list(SPLITS))
+    q.add_argument("--samples", type=int, default=3)
+    q.add_argument("--seed", type=int, default=13)
     s = sub.add_parser("search")
     s.add_argument("--index-dir", required=True)
     s.add_argument("--queries", required=True)
@@ -127,7 +146,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"corpus": cmd_corpus, "index": cmd_index, "evaluate": cmd_evaluate,
-            "rerank": cmd_rerank, "search": cmd_search}
+            "rerank": cmd_rerank, "search": cmd_search, "sanity": cmd_sanity}
 
 
 def main(argv=None, spark: SparkSession | None = None) -> None:

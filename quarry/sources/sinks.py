@@ -50,6 +50,17 @@ def read_split_totals(spark: SparkSession, path: str) -> DataFrame:
         .select(F.col("key").alias("split"), F.col("value.kept_records").alias("kept_records"))
 
 
+def read_split_stats(spark: SparkSession, path: str) -> DataFrame:
+    """``(split, kept_records, missing_docstring_rate, lexical_token_avg)``
+    from a written statistics document."""
+    s = spark.read.json(path)
+    schema = ("map<string, struct<kept_records: long, missing_docstring_rate: double, "
+              "lexical_token_avg: double>>")
+    return s.select(F.explode(F.from_json(F.to_json("splits"), schema))).select(
+        F.col("key").alias("split"), "value.kept_records", "value.missing_docstring_rate",
+        "value.lexical_token_avg")
+
+
 def write_index(index: BM25Index, out_dir: str, buckets: int | None = None) -> None:
     """Full rebuild of the index folder (overwrite)."""
     spark = index.postings.sparkSession

@@ -21,6 +21,7 @@ def test_cli_stages(spark):
                                      "func_documentation_string": f"{t} {split} {i}"}) + "\n")
     processed, index = os.path.join(d, "processed"), os.path.join(d, "index")
     main(["corpus", "--raw-dir", raw, "--output-dir", processed], spark)
+    main(["sanity", "--processed-dir", processed], spark)
     main(["index", "--processed-dir", processed, "--output-dir", index], spark)
     main(["evaluate", "--processed-dir", processed, "--index-dir", index,
           "--output", os.path.join(d, "bm25")], spark)
