@@ -9,6 +9,10 @@
                               [--vectors PARQUET] [--top-k 10] [--bm25-candidates 50] [--query-split test]
     python -m quarry search   --index-dir INDEX --queries QUERIES.jsonl --output OUT [--top-k 10]
     python -m quarry sanity   --processed-dir PROCESSED [--samples 3] [--seed 13] [--splits ...]
+    python -m quarry embed    --processed-dir PROCESSED --index-dir INDEX --output-dir VECTORS
+                              [--query-splits test]
+    (rerank also takes --query-vectors VECTORS/queries: stored query vectors,
+     encoded on the fly only for queries without one)
 
 ``RAW`` holds ``{split}.jsonl``; every output is a folder of parquet / JSON
 files.  Without ``--vectors`` the rerank uses the built-in hashed encoder on
@@ -70,10 +74,36 @@ def cmd_evaluate(spark, a):
     sinks.write_result(sinks.evaluation_result(setup, idx.statistics, metrics, samples), a.output)
 
 
+def cmd_embed(spark, a):
+    """Document vectors of every indexed document, query vectors per query
+    split, and a one-row summary (the built-in hashed encoder)."""
+    idx = sinks.read_index(spark, a.index_dir)
+    dv = rerank.hashed_document_vectors(idx).join(
+        idx.documents.select("doc_id", "split"), "doc_id")
+    sinks.write_vectors(dv, f"{a.output_dir}/documents", partition_by="split")
+    docs = _processed(spark, a.processed_dir, a.query_splits)
+    for split in a.query_splits:
+        q = E.build_queries(docs, split)
+        qv = q.join(rerank.hashed_query_vectors(q), "query_id").withColumn("split", F.lit(split))
+        qv.withColumn("embedding", F.col("embedding").cast("array<float>")) \
+            .write.mode("overwrite").parquet(f"{a.output_dir}/queries/split={split}")
+    stored = spark.read.parquet(f"{a.output_dir}/documents")
+    summary = stored.groupBy("split").agg(F.count(F.lit(1)).alias("documents"),
+                                          F.max(F.size("embedding")).alias("embedding_dimension"))
+    summary.coalesce(1).write.mode("overwrite").json(f"{a.output_dir}/summary")
+
+
 def cmd_rerank(spark, a):
     idx, queries, depth = _evaluation(spark, a)
     cands = search.bm25_topk(idx, queries, max(a.bm25_candidates, depth))
-    if a.vectors:
+    if a.query_vectors:
+        dv = spark.read.parquet(a.vectors).select("doc_id", "embedding") if a.vectors \
+            else rerank.hashed_document_vectors(idx)
+        stored = spark.read.parquet(a.query_vectors).filter(F.col("split") == a.query_split) \
+            .select("query_id", "embedding")
+        qv = rerank.vectors_or_encode(queries, stored, rerank.hashed_query_vectors)
+        encoder = f"stored query vectors ({a.query_vectors}), hashed tokens for misses"
+    elif a.vectors:
         dv = spark.read.parquet(a.vectors).select("doc_id", "embedding")
         q = queries.select("query_id", F.col("relevant_doc_id").alias("doc_id"))
         ids = search.bounded_broadcast(q.select("doc_id").distinct())
@@ -131,7 +161,13 @@ def parser() -> argparse.ArgumentParser:
         e.add_argument("--query-split", default="test")
         if name == "rerank":
             e.add_argument("--vectors", default=None)
+            e.add_argument("--query-vectors", default=None)
             e.add_argument("--bm25-candidates", type=int, default=50)
+    m = sub.add_parser("embed")
+    m.add_argument("--processed-dir", required=True)
+    m.add_argument("--index-dir", required=True)
+    m.add_argument("--output-dir", required=True)
+    m.add_argument("--query-splits", nargs="+", default=["test"])
     q = sub.add_parser("sanity")
     q.add_argument("--processed-dir", required=True)
     q.add_argument("--splits", nargs="+", default=list(SPLITS))
@@ -146,7 +182,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"corpus": cmd_corpus, "index": cmd_index, "evaluate": cmd_evaluate,
-            "rerank": cmd_rerank, "search": cmd_search, "sanity": cmd_sanity}
+            "rerank": cmd_rerank, "search": cmd_search, "sanity": cmd_sanity,
+            "embed": cmd_embed}
 
 
 def main(argv=None, spark: SparkSession | None = None) -> None:

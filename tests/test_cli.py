@@ -27,10 +27,21 @@ def test_cli_stages(spark):
           "--output", os.path.join(d, "bm25")], spark)
     main(["rerank", "--processed-dir", processed, "--index-dir", index,
           "--output", os.path.join(d, "rerank")], spark)
+    vectors = os.path.join(d, "vectors")
+    main(["embed", "--processed-dir", processed, "--index-dir", index, "--output-dir", vectors], spark)
+    main(["rerank", "--processed-dir", processed, "--index-dir", index, "--output",
+          os.path.join(d, "rerank_stored"), "--vectors", os.path.join(vectors, "documents"),
+          "--query-vectors", os.path.join(vectors, "queries")], spark)
+    summary = {r["split"]: r["documents"] for r in
+               spark.read.json(os.path.join(vectors, "summary")).collect()}
+    assert summary == {"train": 12, "valid": 4, "test": 8}
+    stored = spark.read.json(os.path.join(d, "rerank_stored")).first()
     bm25 = spark.read.json(os.path.join(d, "bm25")).first()
     rr = spark.read.json(os.path.join(d, "rerank")).first()
     assert bm25["metrics"]["query_count"] == 8 and bm25["metrics"]["recall_at_10"] == 1.0
     assert rr["metrics"]["recall_at_50"] == bm25["metrics"]["recall_at_50"]
+    # stored hashed vectors give the same rerank as encoding on the fly
+    assert stored["metrics"].asDict() == rr["metrics"].asDict()
     qfile = os.path.join(d, "q.jsonl")
     with open(qfile, "w") as fh:
         fh.write(json.dumps({"query_id": "a", "query_text": "ssh connection"}) + "\n")
