@@ -182,3 +182,14 @@ def test_empty_split_gets_zero_stats(spark):
     stats = {r["split"]: r for r in ingest.corpus_stats(ingest.prepare(raw), list(paths)).collect()}
     assert stats["valid"]["raw_records"] == 0 and stats["valid"]["lexical_token_avg"] == 0.0
     assert stats["train"]["kept_records"] == 1
+
+
+def test_line_numbers_in_gzip_files(spark):
+    import gzip
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with gzip.open(os.path.join(d, "part.jsonl.gz"), "wt", encoding="utf-8") as fh:
+        for i in range(1, 3001):
+            fh.write("\n" if i % 10 == 0 else json.dumps({"k": i}) + "\n")
+    lines = jsonl.numbered_lines(spark, d).filter(F.col("value") != "")
+    bad = lines.filter(F.get_json_object("value", "$.k").cast("long") != F.col("line_no"))
+    assert lines.count() == 2700 and bad.count() == 0
