@@ -1,5 +1,6 @@
-"""The end-to-end plan over the driver tables, exposed as lazy stages so the
-registered queries and the benchmark share one definition."""
+"""The end-to-end plan over the driver tables (or raw JSON-lines files),
+exposed as lazy stages so the registered queries, the benchmark and the
+command line share one definition."""
 
 from __future__ import annotations
 
@@ -15,12 +16,15 @@ from quarry.sources import tables
 
 
 class Pipeline:
-    """Stages of the code-search pipeline over one scale-factor folder.
+    """Stages of the code-search pipeline over one scale-factor folder (or
+    any raw-record DataFrame).
 
     Nothing is computed until a stage's DataFrame is acted on.  With
-    ``materialize=True`` the tokenized corpus and the index tables are cut
-    from their lineage once (checkpoint in the shared folder, or persisted
-    when the session has none) so several reports reuse them.
+    ``materialize=True`` the tokenized corpus, the index tables, the queries
+    and the rankings are stored once - parquet (postings: a table bucketed by
+    doc_id) in the folder named by ``spark.checkpoint.dir``, or persisted
+    when the session has none - so several reports reuse them and a lost
+    executor costs at most the stage being computed.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None, materialize: bool = True,
