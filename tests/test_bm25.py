@@ -121,3 +121,12 @@ def test_hashed_vectors_need_no_exchange(pipeline):
     plan = rerank.hashed_document_vectors(pipeline.index)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_unhinted_path_scores_equal_broadcast_scores(spark, pipeline):
+    # beyond the limit no broadcast hint is given (the planner may still pick
+    # a broadcast for tiny inputs); the scores must not change
+    idx, q = pipeline.index, pipeline.queries
+    a = search.bm25_scores(idx, q)
+    b = search.bm25_scores(idx, q, broadcast_limit=0)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
