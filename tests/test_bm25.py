@@ -130,3 +130,11 @@ def test_unhinted_path_scores_equal_broadcast_scores(spark, pipeline):
     a = search.bm25_scores(idx, q)
     b = search.bm25_scores(idx, q, broadcast_limit=0)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # with automatic broadcasts off, the fallback is a real shuffle join
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        c = search.bm25_scores(idx, q, broadcast_limit=0)
+        assert "SortMergeJoin" in c._jdf.queryExecution().executedPlan().toString()
+        assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
