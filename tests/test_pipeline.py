@@ -83,3 +83,12 @@ def test_oracle_agrees_on_sf0001(spark, name):
                              else (None if v is None or v != v else v) for v in row))
         return sorted(out, key=repr)
     assert rows(s) == rows(d)
+
+
+def test_lazy_pipeline_equals_stored_pipeline(spark):
+    from quarry.plans.pipeline import Pipeline
+    lazy, stored = Pipeline(spark, SF001, materialize=False), Pipeline(spark, SF001)
+    a = lazy.bm25_ranking.select("query_id", "rank", "doc_id", "score")
+    b = stored.bm25_ranking.select("query_id", "rank", "doc_id", "score")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert lazy.bm25_metrics.first() == stored.bm25_metrics.first()
