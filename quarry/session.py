@@ -4,9 +4,9 @@ materialising intermediate tables in the cluster's shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,29 +57,25 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut the lineage of ``df`` so later jobs and lost executors do not
-    recompute it.
-
-    With a shared checkpoint folder configured, the table is written there
-    as parquet and read back (reliable: survives the loss of the executors
-    that computed it; columnar, compressed, with column pruning and filter
-    pushdown on re-read).  Without one (a plain local session) the table is
-    persisted to memory and disk and counted.
-    """
+    recompute it: the table is written as parquet into the shared checkpoint
+    folder and read back (columnar, compressed, with column pruning and filter
+    pushdown on re-read)."""
     spark = df.sparkSession
-    if checkpoint_root(spark):
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.count()
-    return cached
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared checkpoint folder for written tables."""
+    """A fresh path in the shared checkpoint folder for written tables.  Only
+    a local session may do without ``spark.checkpoint.dir``: driver and
+    executors are one process there, so a temporary folder is shared."""
     root = checkpoint_root(spark)
     if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass an explicit output path")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="quarry-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -90,20 +86,20 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int,
     the bucketed scan reports ``HashPartitioning(key, buckets)``, so later
     aggregations and joins keyed on ``key`` need no exchange.  ``sort_by``
     orders rows inside each bucket, so the parquet min/max statistics let
-    lookups on that column skip row groups.  Without a shared folder the
-    table is persisted and counted instead."""
+    lookups on that column skip row groups.  The catalog entry only carries
+    the bucket layout into the returned DataFrame and is dropped at once; the
+    files stay."""
     spark = df.sparkSession
-    if not checkpoint_root(spark):
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.count()
-        return cached
     path = scratch_path(spark, name)
     table = f"quarry_{name}_{uuid.uuid4().hex[:12]}"
     w = df.write.bucketBy(buckets, key)
     if sort_by:
         w = w.sortBy(sort_by)
     w.option("path", path).saveAsTable(table)
-    return spark.table(table)
+    out = spark.table(table)
+    out.schema  # resolves the plan while the entry exists  # noqa: B018
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 # Documents per partition / postings bucket: ~50k documents of ~200 tokens
