@@ -40,14 +40,15 @@ class Mapping:
     items: str | None = None
     role: str | None = None
     text: str | None = None
+    rename: bool = False  # roles by ROLE_NAMES
     fields: tuple[tuple[tuple[str, ...], str], ...] = ()
 
 
 MAPPINGS = (
     Mapping("messages", ("messages", "messages[].content", "messages[].role"), "messages", "role", "content"),
     Mapping("from_value", ("conversations", "conversations[].from", "conversations[].value"),
-            "conversations", "from", "value"),
-    Mapping("turns", ("turns", "turns[].speaker", "turns[].text"), "turns", "speaker", "text"),
+            "conversations", "from", "value", rename=True),
+    Mapping("turns", ("turns", "turns[].speaker", "turns[].text"), "turns", "speaker", "text", rename=True),
     Mapping("prompt_response", ("prompt", "response"),
             fields=((("prompt",), "user"), (("response",), "assistant"))),
     Mapping("prompt_completion", ("completion", "prompt"),
@@ -77,11 +78,15 @@ def _inner(record: Column, name: str) -> Column:
 def fingerprint(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS) -> Column:
     """Hash of the record's nested field paths, of those that a mapping names."""
     known = sorted({p for m in mappings for p in m.paths})
+
+    def prefixed(name: str):
+        return lambda k: F.concat(F.lit(f"{name}[]."), k)
+
     paths = [F.json_object_keys(record)]
     for name in LISTS:
         keys = F.flatten(F.transform(_inner(record, name), lambda e: F.coalesce(
             F.json_object_keys(e), F.array().cast("array<string>"))))
-        paths.append(F.transform(keys, lambda k, name=name: F.concat(F.lit(f"{name}[]."), k)))
+        paths.append(F.transform(keys, prefixed(name)))
     none = F.array().cast("array<string>")
     found = F.array_intersect(F.flatten(F.array(*[F.coalesce(p, none) for p in paths])),
                               F.array(*[F.lit(k) for k in known]))
@@ -92,14 +97,19 @@ def canonical_turns(record: Column, print_: Column, mappings: tuple[Mapping, ...
     """``array<struct<role, text>>`` by the mapping that the fingerprint selects."""
     empty = lambda c: F.coalesce(c, F.lit(""))
     names = F.create_map(*[F.lit(x) for kv in ROLE_NAMES.items() for x in kv])
+
+    def turn(m: Mapping):
+        def role(e):
+            return F.coalesce(F.try_element_at(names, e[m.role]), e[m.role]) if m.rename else e[m.role]
+
+        return lambda e: F.struct(empty(role(e)).alias("role"), empty(e[m.text]).alias("text"))
+
     out = None
     for m in mappings:
         if m.items:
             entries = F.from_json(F.get_json_object(record, f"$.{m.items}"),
                                   f"array<struct<`{m.role}`:string,`{m.text}`:string>>")
-            turns = F.transform(entries, lambda e, m=m: F.struct(
-                empty(F.coalesce(F.try_element_at(names, e[m.role]), e[m.role])).alias("role"),
-                empty(e[m.text]).alias("text")))
+            turns = F.transform(entries, turn(m))
         else:
             turns = F.array(*[F.struct(F.lit(role).alias("role"), F.array_join(F.array_compact(F.array(*[
                 F.nullif(F.get_json_object(record, f"$.{p}"), F.lit("")) for p in paths])), "\n\n").alias("text"))

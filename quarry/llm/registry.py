@@ -101,3 +101,10 @@ def op1_pivot_permutation(spark, sf_dir):
     """Operator 1 over all of ``embeddings``."""
     from quarry.llm import pivot_permutation
     return pivot_permutation.near_links(only(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label"))
+
+
+@register
+def op2_language_id(spark, sf_dir):
+    """Operator 2 over all of ``documents``."""
+    from quarry.llm import language_id
+    return language_id.identify(only(read_table(spark, sf_dir, "documents"), "doc_id", "text", "lang"))
