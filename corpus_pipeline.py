@@ -1,27 +1,57 @@
-"""The corpus pipeline: stages that each take all documents the one before has
-kept and return documents again (the last returns its result)."""
+"""The corpus pipeline: each stage takes all documents that the one before has
+kept, its decisions take effect, and it returns documents again (the last
+returns its result).  Stages are written to the shared folder and read back."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import quality_rules
+from quarry.llm import byte_bpe, order_minhash, quality_rules, source_mixing, substring_dedup
 from quarry.session import materialize
 from quarry.sources.tables import read_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: rejected documents go."""
-    return quality_rules.judge(docs).filter("kept").select(*docs.columns)
+    """Operator 4: documents that the rules reject go."""
+    return quality_rules.judge(docs).filter("kept").select(*[f"`{c}`" for c in docs.columns])
 
 
-STAGES = [("quality rules", quality_stage)]
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: of each class of near-copies the smallest id stays."""
+    return order_minhash.keep_one(docs)
 
-ORACLE_SQL = None  # no single SQL text: see tests/llm/test_pipeline.py
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: passages that start earlier are cut out of the texts."""
+    return substring_dedup.dedup_texts(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: each document as often as its source's target asks for."""
+    return source_mixing.mix_documents(docs)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: token ids of each text, checked by decoding them."""
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("MinHash near-dedup", near_dedup_stage),
+    ("substring dedup", substring_stage),
+    ("source mixing", mixing_stage),
+    ("byte-level BPE", encoding_stage),
+]
+
+# sketches, random keys and token merges have no SQL; tests/llm checks each stage by brute force
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), "stage")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
