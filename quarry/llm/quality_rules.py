@@ -147,5 +147,9 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     passed, broken = compile_rules(rules)
     base = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return t.select("*", base.alias("base_failed"), broken.alias("broken_rules"),
-                    (~base & passed).alias("kept")).drop("_m")
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    # as the one entry of an exploded array, so that a later filter on a result stays above the
+    # projections: pushed below, it would compute the words anew for each word
+    t = t.select(*[f"`{c}`" for c in t.columns if c not in (*made, "_m")], F.explode(F.array(F.struct(
+        *made, base.alias("base_failed"), broken.alias("broken_rules"), (~base & passed).alias("kept")))).alias("_j"))
+    return t.select(*[f"`{c}`" for c in t.columns if c != "_j"], "_j.*")
