@@ -221,4 +221,4 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` without the near-copies: one document of each class stays."""
     c = connected_components(links(docs.select("doc_id", "text"), least))
     gone = materialize(c.filter("node <> component").select(F.col("node").alias("_gone")), "near_copies")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -83,7 +83,7 @@ def _repeated_words(text_windows: Column) -> tuple[Column, Column]:
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words`` (long) and ``_m``, the metrics of the rules."""
-    own = [c for c in df.columns if c not in (
+    own = [c for c in df.columns if c.lower() not in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_m", "_t", "_words",
         "_lines", "_hashes", "_sorted", "_twice")]
     keep = [F.col(f"`{c}`") for c in own]

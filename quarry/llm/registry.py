@@ -108,3 +108,12 @@ def op2_language_id(spark, sf_dir):
     """Operator 2 over all of ``documents``."""
     from quarry.llm import language_id
     return language_id.identify(only(read_table(spark, sf_dir, "documents"), "doc_id", "text", "lang"))
+
+
+@register
+def op7_token_files(spark, sf_dir):
+    """Operator 7 over all of ``documents``."""
+    import public_tokenizers
+    from quarry.llm import binary_output
+    d = only(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return binary_output.round_trip(d, public_tokenizers.path("word_bpe_49k.json"))
