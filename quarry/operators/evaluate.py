@@ -21,14 +21,14 @@ SAMPLE_RESULTS = 5
 def build_queries(documents: DataFrame, split: str = "test",
                   max_queries: int | None = None) -> DataFrame:
     """Query records from a split's documents with a non-blank docstring:
-    ``(query_id, query_text, relevant_doc_id, func_name)``.  ``max_queries``
-    keeps the first n in id order (after the blank filter)."""
+    ``(query_id, query_text, relevant_doc_id, func_name, ordinal)``.
+    ``max_queries`` keeps the first n in file order (after the blank filter)."""
     q = (documents.filter(F.col("split") == split)
          .select(F.col("id").alias("query_id"), T.strip("docstring").alias("query_text"),
-                 F.col("id").alias("relevant_doc_id"), "func_name")
+                 F.col("id").alias("relevant_doc_id"), "func_name", "ordinal")
          .filter(F.col("query_text") != ""))
     if max_queries is not None:
-        q = q.orderBy("query_id").limit(max_queries)
+        q = q.orderBy("ordinal", "query_id").limit(max_queries)
     return q
 
 
@@ -72,9 +72,9 @@ def metrics(per_query_df: DataFrame) -> DataFrame:
 def sample_rankings(queries: DataFrame, ranking: DataFrame,
                     n_queries: int = SAMPLE_QUERIES, n_results: int = SAMPLE_RESULTS,
                     extra_cols: tuple[str, ...] = ()) -> DataFrame:
-    """The first ``n_queries`` queries in id order with their top
+    """The first ``n_queries`` queries in file order with their top
     ``n_results`` rows (flat: one row per (query, rank))."""
-    first = queries.orderBy("query_id").limit(n_queries) \
+    first = queries.orderBy("ordinal", "query_id").limit(n_queries) \
         .select("query_id", "func_name", "query_text")
     top = ranking.filter(F.col("rank") <= n_results) \
         .select("query_id", "rank", "doc_id", "score", *extra_cols)

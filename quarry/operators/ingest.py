@@ -24,7 +24,7 @@ DROP_MISSING_CODE = "missing_code"
 DROP_EMPTY_LEXICAL = "empty_lexical"
 
 DOCUMENT_COLUMNS = ("id", "split", "func_name", "docstring", "code", "document_text",
-                    "lexical_document", "lexical_token_count", "has_docstring")
+                    "lexical_document", "lexical_token_count", "has_docstring", "ordinal")
 METADATA_COLUMNS = ("id", "split", "language", "repository_name",
                     "func_path_in_repository", "func_name", "func_code_url")
 
@@ -45,7 +45,7 @@ def prepare(raw: DataFrame) -> DataFrame:
         return F.when(F.array_contains(F.col("_keys"), key), F.col(key)).otherwise(F.lit(default))
 
     staged = raw.select(
-        "id", "split",
+        "id", "split", F.col("ordinal" if "ordinal" in raw.columns else "id").alias("ordinal"),
         name.alias("func_name"), docstring.alias("docstring"), code.alias("code"),
         meta("language", "python").alias("language"),
         meta("repository_name", "").alias("repository_name"),
@@ -71,7 +71,7 @@ def documents(prepared: DataFrame) -> DataFrame:
         "id", "split", "func_name", "docstring", "code",
         T.document_text("func_name", "docstring", "code").alias("document_text"),
         "lexical_document", "lexical_token_count",
-        (F.length("docstring") > 0).alias("has_docstring"),
+        (F.length("docstring") > 0).alias("has_docstring"), "ordinal",
     ]
     return prepared.filter(F.col("drop_reason").isNull()).select(*cols)
 

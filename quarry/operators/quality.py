@@ -49,15 +49,19 @@ def id_mismatch(documents: DataFrame, metadata: DataFrame) -> DataFrame:
 def id_report(documents: DataFrame, metadata: DataFrame) -> DataFrame:
     """Per split: matched ids, ids only in documents, ids only in metadata,
     and distinct id counts on each side."""
-    d = documents.select("split", "id", F.lit(True).alias("_d"))
-    m = metadata.select("split", "id", F.lit(True).alias("_m"))
-    j = d.join(m, ["split", "id"], "full_outer")
+    def rows_by_id(df, name):
+        return df.groupBy("split", "id").agg(F.count(F.lit(1)).alias(name))
+
+    # one row per id and side: distinct counts are plain counts, by the join's own partitioning
+    j = rows_by_id(documents, "_d").join(rows_by_id(metadata, "_m"), ["split", "id"], "full_outer")
+    both = F.col("_d").isNotNull() & F.col("_m").isNotNull()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return j.groupBy("split").agg(
-        F.count_if(F.col("_d").isNotNull() & F.col("_m").isNotNull()).alias("matched_ids"),
-        F.count_if(F.col("_m").isNull()).alias("documents_only"),
-        F.count_if(F.col("_d").isNull()).alias("metadata_only"),
-        F.count_distinct(F.when(F.col("_d").isNotNull(), F.col("id"))).alias("distinct_document_ids"),
-        F.count_distinct(F.when(F.col("_m").isNotNull(), F.col("id"))).alias("distinct_metadata_ids"),
+        total(F.when(both, F.col("_d") * F.col("_m"))).alias("matched_ids"),
+        total(F.when(F.col("_m").isNull(), F.col("_d"))).alias("documents_only"),
+        total(F.when(F.col("_d").isNull(), F.col("_m"))).alias("metadata_only"),
+        F.count("_d").alias("distinct_document_ids"),
+        F.count("_m").alias("distinct_metadata_ids"),
     )
 
 

@@ -15,9 +15,8 @@ from quarry.operators.search import BROADCAST_ROW_LIMIT, bm25_topk, bounded_broa
 from quarry.operators.index import BM25Index
 
 # Metadata fields that override the document's, and the
-# example-query rules (line limit, length limit, count, fallback texts).
+# example-query rules (length limit, count, fallback texts).
 OVERRIDE_FIELDS = ("repository_name", "func_path_in_repository", "func_code_url", "language")
-EXAMPLE_MAX_LINE = 5000
 EXAMPLE_MAX_CHARS = 150
 EXAMPLE_COUNT = 8
 EXAMPLE_PROBE_K = 5
@@ -69,7 +68,7 @@ def result_cards(ranked: DataFrame, lookup_table: DataFrame | None = None,
                  documents: DataFrame | None = None,
                  metadata: DataFrame | None = None) -> DataFrame:
     """Enriched result rows: rank, id, display name, repository, url,
-    scores, docstring and code cut at 1800 characters.  Pass ``documents``
+    scores, docstring, the whole code and its preview of 1800 characters.  Pass ``documents``
     and ``metadata`` (preferred: only ranked ids are looked up) or a prepared
     ``lookup_table``."""
     if documents is not None:
@@ -85,7 +84,8 @@ def result_cards(ranked: DataFrame, lookup_table: DataFrame | None = None,
         F.coalesce(F.col("func_code_url"), F.lit("")).alias("func_code_url"),
         "score", *extra,
         T.strip(F.coalesce(F.col("docstring"), F.lit(""))).alias("docstring"),
-        T.truncate_code(T.strip(F.coalesce(F.col("code"), F.lit("")))).alias("code"),
+        T.strip(F.coalesce(F.col("code"), F.lit(""))).alias("code"),
+        T.truncate_code(T.strip(F.coalesce(F.col("code"), F.lit("")))).alias("code_preview"),
     )
 
 
@@ -121,8 +121,8 @@ def compare_pipelines(index: BM25Index, query_texts: DataFrame, query_vectors: D
 
     The BM25 candidates are stored once (used three times).  With
     ``isolate_rerank`` the rerank runs as its own job, and if it fails (for
-    example a broken encoder) the BM25 rows are still returned, without
-    rerank rows."""
+    example a broken encoder) the BM25 rows are still returned, without rerank
+    rows and with the failure in ``rerank_error`` (null after a success)."""
     from quarry.operators.rerank import rerank
     from quarry.session import materialize
     q = query_texts.filter(T.strip(F.coalesce("query_text", F.lit(""))) != "")
@@ -134,46 +134,43 @@ def compare_pipelines(index: BM25Index, query_texts: DataFrame, query_vectors: D
         "doc_id", "score", F.col("score").alias("bm25_score"))
     rr = rerank(cands, query_vectors, doc_vectors, top_k).select(
         "query_id", F.lit("rerank").alias("pipeline"), "rank", "doc_id", "score", "bm25_score")
+    error = None
     if isolate_rerank:
         try:
             rr = materialize(rr, "compare_rerank")
-        except Exception:  # noqa: BLE001 - the rerank failed: BM25 rows stand alone
-            rr = bm25_rows.limit(0)
+        except Exception as e:  # noqa: BLE001 - any failure of the encoder is reported beside the BM25 rows
+            rr, error = bm25_rows.limit(0), f"{type(e).__name__}: {e}"[:2000]
     both = bm25_rows.unionByName(rr)
     counts = both.groupBy("query_id", "pipeline").agg(F.count(F.lit(1)).alias("shown"))
-    return both.join(hits, "query_id").join(counts, ["query_id", "pipeline"])
+    return both.join(hits, "query_id").join(counts, ["query_id", "pipeline"]) \
+        .withColumn("rerank_error", F.lit(error).cast("string"))
 
 
 def example_queries(index: BM25Index, documents: DataFrame, split: str = "test",
-                    count: int = EXAMPLE_COUNT, max_line: int = EXAMPLE_MAX_LINE,
-                    max_chars: int = EXAMPLE_MAX_CHARS) -> DataFrame:
+                    count: int = EXAMPLE_COUNT, max_chars: int = EXAMPLE_MAX_CHARS) -> DataFrame:
     """Docstrings that retrieve their own document at rank 1: candidates are
-    the split's documents at line <= ``max_line`` (line = position in id
-    order) with a one-line docstring of 1..150 characters; a text counts at
-    its first qualifying line; the first ``count`` texts are kept.  When none
-    qualifies, the fixed fallback texts are returned."""
+    all of the split's documents with a one-line docstring of 1..150
+    characters; a text counts at its first place in file order; the first
+    ``count`` texts are kept.  When none qualifies, the fixed fallback texts
+    are returned."""
     spark = documents.sparkSession
-    split_docs = documents.filter(F.col("split") == split)
-    # line numbers of the first ``max_line`` records: a bounded top-n by id
-    # (per-partition partial sort), numbered in one small task
-    head = split_docs.select("id").orderBy("id").limit(max_line)
-    head = head.withColumn("line_no", F.row_number().over(Window.orderBy("id")))
-    cands = (split_docs.join(F.broadcast(head), "id")
+    cands = (documents.filter(F.col("split") == split)
              .withColumn("query_text", T.strip("docstring"))
              .filter((F.col("query_text") != "") & (F.length("query_text") <= max_chars)
                      & (F.instr("query_text", "\n") == 0))
-             .select(F.col("id").alias("query_id"), "query_text", "line_no"))
+             .select(F.col("id").alias("query_id"), "query_text", "ordinal"))
     top1 = bm25_topk(index, cands.select("query_id", "query_text"), 1)
     hit = cands.join(top1.select("query_id", "doc_id"), "query_id") \
         .filter(F.col("doc_id") == F.col("query_id"))
-    first = hit.groupBy("query_text").agg(F.min("line_no").alias("line_no"),
-                                          F.min_by("query_id", "line_no").alias("doc_id"))
-    top = first.orderBy("line_no").limit(count)
-    chosen = top.select(F.row_number().over(Window.orderBy("line_no")).cast("long")
+    place = F.struct("ordinal", "query_id")
+    first = hit.groupBy("query_text").agg(F.min(place).alias("place"))
+    top = first.orderBy("place").limit(count).select("query_text", "place", F.col("place.query_id").alias("doc_id"))
+    chosen = top.select(F.row_number().over(Window.orderBy("place")).cast("long")
                         .alias("example_rank"), "query_text", "doc_id")
     fallback = spark.createDataFrame(
         [(i + 1, t) for i, t in enumerate(FALLBACK_EXAMPLES)],
-        "example_rank long, query_text string").withColumn("doc_id", F.lit(None).cast("long"))
+        "example_rank long, query_text string").withColumn(
+        "doc_id", F.lit(None).cast(documents.schema["id"].dataType))
     # at most ``count`` rows, stored once: the fallback applies only when
     # none qualified, and the check does not recompute the selection
     from quarry.session import materialize

@@ -18,7 +18,8 @@ from quarry.functions.numeric import from_fixed, round6
 from quarry.operators import evaluate as E
 from quarry.operators import ingest, quality, report, rerank, search
 from quarry.plans.pipeline import DensePipeline, HashedDensePipeline, Pipeline, long_rank
-from quarry.sources import tables
+from quarry.session import scratch_path
+from quarry.sources import jsonl, sinks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOP_K = 10
@@ -209,7 +210,7 @@ def q_adhoc_search(spark, sf_dir):
 
 @register
 def q_conversation_search(spark, sf_dir):
-    """H1: ad-hoc search of the conversations' user turns (top 10)."""
+    """H1: ad-hoc search of all turns of the conversations (top 10)."""
     p = Pipeline(spark, sf_dir)
     qs = tables.conversation_queries(spark, sf_dir)
     return long_rank(search.search(p.index, qs, TOP_K).drop("score_fp"))
@@ -240,20 +241,21 @@ def q_cosine(spark, sf_dir):
 
 @register
 def q_mean_pool(spark, sf_dir):
-    """Hashed-encoder document vectors (mean pooled, normalised)."""
+    """V1: hashed-encoder document vectors (summed and normalised)."""
     p = Pipeline(spark, sf_dir)
     return _explode_vector(rerank.hashed_document_vectors(p.index), "doc_id")
 
 
 @register
 def q_rerank_topk(spark, sf_dir):
-    """Rerank of the BM25 candidates by stored vectors."""
+    """Rerank of the BM25 candidates by stored document
+    vectors (encoded on a miss) and the encoded query texts."""
     return DensePipeline(spark, sf_dir).rerank_ranking
 
 
 @register
 def q_rerank_metrics(spark, sf_dir):
-    """A10: metrics of the stored-vector rerank."""
+    """A10: metrics of that rerank over all queries."""
     return DensePipeline(spark, sf_dir).rerank_metrics
 
 
@@ -289,20 +291,49 @@ def q_compare_pipelines(spark, sf_dir):
 def q_dense_summary(spark, sf_dir):
     """Documents, vectors and judged queries per split; dimension."""
     p = DensePipeline(spark, sf_dir)
-    docs = p.documents.filter(T.strip("document_text") != "") \
-        .select("split", F.col("id").alias("doc_id"))
-    dv = docs.join(p.vectors, "doc_id")
-    per_split = docs.groupBy("split").agg(F.count(F.lit(1)).alias("documents")) \
-        .join(dv.groupBy("split").agg(F.count(F.lit(1)).alias("vectors"),
-                                      F.max(F.size("embedding")).cast("long")
-                                      .alias("embedding_dimension")), "split", "left") \
-        .join(p.rerank_queries.select("query_id").withColumn("split", F.lit(p.query_split))
-              .groupBy("split").agg(F.count(F.lit(1)).alias("queries_with_vector")),
-              "split", "left")
-    return per_split.select("split", "documents",
-                            F.coalesce("vectors", F.lit(0)).alias("vectors"),
-                            "embedding_dimension",
-                            F.coalesce("queries_with_vector", F.lit(0)).alias("queries_with_vector"))
+    docs = p.documents.select("split", F.col("id").alias("doc_id"),
+                              (T.strip("document_text") != "").alias("full")).filter("full")
+    sizes = p.vectors.select("doc_id", F.size("embedding").cast("long").alias("dimension"))
+    dv = docs.join(sizes, "doc_id", "left")
+    with_vector = p.queries.join(p.query_vectors.select("query_id"), "query_id").count()
+    return dv.groupBy("split").agg(
+        F.count(F.lit(1)).alias("documents"), F.count("dimension").alias("vectors"),
+        F.max("dimension").alias("embedding_dimension")).select(
+        "*", F.when(F.col("split") == p.query_split, F.lit(with_vector)).otherwise(0).cast("long")
+        .alias("queries_with_vector"))
+
+
+@register
+def q_encode_on_miss(spark, sf_dir):
+    """V7: document vectors, stored where there is one and encoded otherwise."""
+    return _explode_vector(DensePipeline(spark, sf_dir).vectors, "doc_id")
+
+
+@register
+def q_masked_mean_pool(spark, sf_dir):
+    """Masked mean of three token vectors (the stored vector, its
+    reverse, its negative) by the signs of its first three components; a zero
+    vector when no token counts."""
+    v = tables.stored_vectors(spark, sf_dir).select("doc_id", F.transform(
+        "embedding", lambda x: x.cast("double")).alias("e"))
+    v = v.select("doc_id", F.array("e", F.reverse("e"), F.transform("e", lambda x: -x)).alias("v"),
+                 F.array(*[(F.get("e", i) > 0).cast("int") for i in range(3)]).alias("m"))
+    return _explode_vector(v.select("doc_id", rerank.mean_pool("v", "m").alias("embedding")), "doc_id")
+
+
+@register
+def q_latest_turn(spark, sf_dir):
+    """The last turn of each conversation (last wins by key)."""
+    c = tables.read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return rerank.latest_by_key(c.withColumn("last_turn", F.col("turn")), "conv_id", "turn")
+
+
+@register
+def q_vector_sink(spark, sf_dir):
+    """Normalised vectors written as float32 and read back."""
+    path = scratch_path(spark, "vectors")
+    sinks.write_vectors(rerank.normalized(tables.stored_vectors(spark, sf_dir)), path)
+    return _explode_vector(spark.read.parquet(path), "doc_id")
 
 
 # -- reports -------------------------------------------------------------------------------
@@ -323,6 +354,47 @@ def q_result_cards(spark, sf_dir):
     return long_rank(cards)
 
 
+@register
+def q_max_queries(spark, sf_dir):
+    """P10: the first twenty queries in file order."""
+    return E.build_queries(Pipeline(spark, sf_dir).documents, "test", 20)
+
+
+@register
+def q_evaluation_run(spark, sf_dir):
+    """H8: the evaluation run, written as one nested record, read back and
+    flattened to its sample results."""
+    path = scratch_path(spark, "result")
+    sinks.write_result(Pipeline(spark, sf_dir).bm25_result(), path)
+    r = sinks.read_result(spark, path).select(
+        "metrics.*", F.col("index_statistics.document_count").alias("document_count"),
+        F.explode("sample_rankings").alias("s"))
+    return r.select("query_count", "mrr_at_10", "recall_at_10", "recall_at_50", "ndcg_at_10", "document_count",
+                    F.col("s.query_id").alias("query_id"), F.explode("s.top_results").alias("t")).select(
+        "*", F.col("t.rank").cast("long").alias("rank"), "t.doc_id", "t.score").drop("t")
+
+
+@register
+def q_postings_lookup(spark, sf_dir):
+    """Point lookup of the postings of three terms."""
+    return search.postings_for_terms(Pipeline(spark, sf_dir).index, ["the", "und", "que"]).select(
+        "term", "doc_id", F.col("term_frequency").cast("long").alias("term_frequency"))
+
+
+@register
+def q_jsonl_records(spark, sf_dir):
+    """The raw records written as JSON lines, a folder per
+    split in file order, read back strictly with ids from line numbers."""
+    raw = tables.raw_records(spark, sf_dir)
+    base = scratch_path(spark, "jsonl")
+    paths = {split: f"{base}/{split}" for split in quality.EXPECTED_SPLITS}
+    for split, path in paths.items():
+        raw.filter(F.col("split") == split).orderBy("ordinal").select(*jsonl.RAW_FIELDS).write.json(path)
+    return jsonl.read_records(spark, paths).select(
+        "id", "split", F.col("ordinal").cast("long").alias("ordinal"), "func_name", "func_code_url",
+        F.md5("whole_func_string").alias("text_md5"))
+
+
 # -- data quality ----------------------------------------------------------------------------
 
 @register
@@ -359,9 +431,55 @@ def q_dq_stats_present(spark, sf_dir):
 
 @register
 def q_dq_vector_alignment(spark, sf_dir):
-    """Query / vector alignment and vector dimensions."""
+    """Query / vector alignment and dimensions of the stored vectors."""
     p = DensePipeline(spark, sf_dir)
-    return quality.vector_alignment(p.queries, p.query_vectors, p.vectors)
+    return quality.vector_alignment(p.queries, p.query_vectors, p.stored_vectors)
+
+
+def _ids(spark, sf_dir, name: str, key: str) -> DataFrame:
+    t = tables.read_table(spark, sf_dir, name)
+    return t.select(tables.split_of(key).alias("split"), F.col(key).alias("id"))
+
+
+@register
+def q_dq_label_counts(spark, sf_dir):
+    """Documents and labels per split (labels cover only some documents)."""
+    return quality.count_check(_ids(spark, sf_dir, "documents", "doc_id"), _ids(spark, sf_dir, "labels", "doc_id"))
+
+
+@register
+def q_dq_label_ids(spark, sf_dir):
+    """Id sets of documents and labels."""
+    return quality.id_report(_ids(spark, sf_dir, "documents", "doc_id"), _ids(spark, sf_dir, "labels", "doc_id"))
+
+
+@register
+def q_dq_vector_ids(spark, sf_dir):
+    """Documents without a stored vector and vectors without a document."""
+    return quality.id_mismatch(_ids(spark, sf_dir, "documents", "doc_id"), _ids(spark, sf_dir, "embeddings", "vec_id"))
+
+
+@register
+def q_dq_raw_empty_fields(spark, sf_dir):
+    """Blank fields of the raw records, before the fallback and the
+    drops: a text without a newline has no code of its own."""
+    raw = tables.raw_records(spark, sf_dir)
+    return quality.empty_fields(raw.select(
+        "split", "func_name", F.col("func_code_string").alias("code"),
+        F.col("func_documentation_string").alias("lexical_document")))
+
+
+@register
+def q_lookup_overrides(spark, sf_dir):
+    """Lookup with metadata from another table, of which some values
+    are empty and some documents have none."""
+    docs = Pipeline(spark, sf_dir).documents.select("id", "func_name")
+    lab = tables.read_table(spark, sf_dir, "labels")
+    name = lambda c: F.when(F.col(c) == 1, F.concat(F.lit(f"{c}/"), F.col("doc_id").cast("string"))).otherwise("")
+    meta = lab.select(F.col("doc_id").alias("id"), name("quality").alias("repository_name"),
+                      name("toxic").alias("func_path_in_repository"), F.lit("").alias("func_code_url"),
+                      F.lit(None).cast("string").alias("language"))
+    return report.document_lookup(docs, meta)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

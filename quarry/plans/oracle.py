@@ -88,7 +88,7 @@ RAW = f"""raw AS (
          concat_ws('_', source, lang) AS func_name,
          CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, strpos(text, chr(10)) + 1) END
            AS func_code_string,
-         CAST(NULL AS VARCHAR) AS whole_func_string,
+         text AS whole_func_string, doc_id AS ordinal,
          split_part(text, chr(10), 1) AS func_documentation_string,
          lang AS language, source AS repository_name,
          printf('%s/%s/%d.py', source, lang, doc_id) AS func_path_in_repository,
@@ -100,7 +100,7 @@ STAGED = f"""staged AS (
          {strip("coalesce(func_name, '')")} AS func_name,
          {normalize_ws("coalesce(" + blank_null("func_documentation_string") + ", '')")} AS docstring,
          {strip("coalesce(" + blank_null("func_code_string") + ", " + blank_null("whole_func_string") + ", '')")} AS code,
-         language, repository_name, func_path_in_repository, func_code_url
+         language, repository_name, func_path_in_repository, func_code_url, ordinal
   FROM raw)"""
 
 PREPARED = f"""tokd AS (
@@ -116,7 +116,7 @@ DOCS = f"""docs AS (
          {document_text("func_name", "docstring", "code")} AS document_text,
          array_to_string(tokens, ' ') AS lexical_document,
          CAST(len(tokens) AS BIGINT) AS lexical_token_count,
-         length(docstring) > 0 AS has_docstring
+         length(docstring) > 0 AS has_docstring, ordinal
   FROM prepared WHERE drop_reason IS NULL)"""
 
 INDEX = f"""idx_docs AS (
@@ -145,7 +145,7 @@ stats AS (
   FROM totals)"""
 
 QUERIES = f"""queries AS (
-  SELECT id AS query_id, {strip("docstring")} AS query_text, id AS relevant_doc_id, func_name
+  SELECT id AS query_id, {strip("docstring")} AS query_text, id AS relevant_doc_id, func_name, ordinal
   FROM docs WHERE split = 'test' AND {strip("docstring")} <> '')"""
 
 
@@ -266,10 +266,10 @@ def rerank_ctes(name: str, cands: str, qvecs: str, dvecs: str, depth: int) -> st
     """``{name}`` (query_id, rank, doc_id, score, bm25_score) from candidates
     (query_id, doc_id, score_fp), query vectors (query_id, embedding) and doc
     vectors (doc_id, embedding)."""
-    cos = f"CASE WHEN dv.embedding IS NULL THEN {DBL(-2.0)} ELSE {dot('qv.embedding', 'dv.embedding')} END"
+    cos = f"CASE WHEN dv.embedding IS NULL OR qv.embedding IS NULL THEN {DBL(-2.0)} ELSE {dot('qv.embedding', 'dv.embedding')} END"
     return f"""{name}_scored AS (
   SELECT c.query_id, c.doc_id, c.score_fp, {to_fixed(cos)} AS cos_fp
-  FROM {cands} c JOIN {qvecs} qv ON qv.query_id = c.query_id
+  FROM {cands} c LEFT JOIN {qvecs} qv ON qv.query_id = c.query_id
        LEFT JOIN {dvecs} dv ON dv.doc_id = c.doc_id),
 {name} AS (
   SELECT query_id, rank, doc_id, {from_fixed("cos_fp")} AS score, {from_fixed("score_fp")} AS bm25_score
@@ -277,15 +277,18 @@ def rerank_ctes(name: str, cands: str, qvecs: str, dvecs: str, depth: int) -> st
         FROM {name}_scored) WHERE rank <= {depth})"""
 
 
-STORED = """vectors AS (SELECT vec_id AS doc_id, embedding FROM embeddings),
-qvecs AS (SELECT q.query_id, v.embedding FROM queries q JOIN vectors v ON v.doc_id = q.relevant_doc_id),
-rerank_queries AS (SELECT q.* FROM queries q WHERE q.query_id IN (SELECT query_id FROM qvecs))"""
+STORED = """vectors AS (
+  SELECT d.id AS doc_id, e.embedding FROM docs d JOIN embeddings e ON e.vec_id = d.id
+  UNION ALL
+  SELECT doc_id, list_transform(embedding, lambda x: CAST(x AS FLOAT)) FROM hashed_docs
+  WHERE doc_id NOT IN (SELECT vec_id FROM embeddings))"""
 
-DENSE = EVAL + (STORED, rerank_ctes("rr", "bm25", "qvecs", "vectors", 50))
+DENSE = EVAL + (_hashed_docs(), hashed_queries("hq", "queries"), STORED,
+                rerank_ctes("rr", "bm25", "hq", "vectors", 50))
 
 BENCH_Q = "bench_q AS (SELECT item_id AS query_id, text AS query_text FROM benchmark)"
 CONV_Q = ("conv_q AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS query_id, "
-          "text AS query_text FROM conversations WHERE role = 'user')")
+          "text AS query_text FROM conversations)")
 
 
 def preview(x: str, limit: int = PREVIEW_LIMIT) -> str:
@@ -392,7 +395,7 @@ ORACLE["q_bm25_metrics"] = with_ctes(*EVAL) + metrics_select(per_query("queries"
 
 ORACLE["q_sample_rankings"] = with_ctes(*EVAL) + """SELECT f.query_id, f.func_name, f.query_text,
   r.rank, r.doc_id, r.score
-FROM (SELECT query_id, func_name, query_text FROM queries ORDER BY query_id LIMIT 5) f
+FROM (SELECT query_id, func_name, query_text FROM queries ORDER BY ordinal, query_id LIMIT 5) f
 LEFT JOIN (SELECT * FROM bm25 WHERE rank <= 5) r ON r.query_id = f.query_id"""
 
 ORACLE["q_adhoc_search"] = with_ctes(*INDEXED, BENCH_Q, bm25_ctes("adhoc", "bench_q", 10)) + \
@@ -401,13 +404,10 @@ ORACLE["q_adhoc_search"] = with_ctes(*INDEXED, BENCH_Q, bm25_ctes("adhoc", "benc
 ORACLE["q_conversation_search"] = with_ctes(*INDEXED, CONV_Q, bm25_ctes("conv", "conv_q", 10)) + \
     "SELECT query_id, rank, doc_id, score FROM conv"
 
-EXAMPLES = f"""head AS (
-  SELECT id, row_number() OVER (ORDER BY id) AS line_no FROM docs WHERE split = 'test'
-  ORDER BY id LIMIT 5000),
-ex_cands AS (
-  SELECT d.id AS query_id, {strip("d.docstring")} AS query_text, h.line_no
-  FROM docs d JOIN head h ON h.id = d.id
-  WHERE {strip("d.docstring")} <> '' AND length({strip("d.docstring")}) <= 150
+EXAMPLES = f"""ex_cands AS (
+  SELECT d.id AS query_id, {strip("d.docstring")} AS query_text, d.ordinal AS line_no
+  FROM docs d
+  WHERE d.split = 'test' AND {strip("d.docstring")} <> '' AND length({strip("d.docstring")}) <= 150
     AND strpos({strip("d.docstring")}, chr(10)) = 0),
 {bm25_ctes("probe", "ex_cands", 1)},
 ex_hits AS (
@@ -432,22 +432,21 @@ ORACLE["q_l2_normalize"] = explode_vector(
 
 ORACLE["q_cosine"] = with_ctes(*DENSE) + f"""SELECT c.query_id, c.doc_id,
   {round6(dot("qv.embedding", "v.embedding"))} AS cosine
-FROM bm25 c JOIN qvecs qv ON qv.query_id = c.query_id JOIN vectors v ON v.doc_id = c.doc_id"""
+FROM bm25 c JOIN hq qv ON qv.query_id = c.query_id JOIN vectors v ON v.doc_id = c.doc_id"""
 
 ORACLE["q_mean_pool"] = with_ctes(*INDEXED, _hashed_docs()) + explode_vector(
     "hashed_docs", "doc_id", "embedding")
 
 ORACLE["q_rerank_topk"] = with_ctes(*DENSE) + "SELECT * FROM rr"
 
-ORACLE["q_rerank_metrics"] = with_ctes(*DENSE) + metrics_select(per_query("rerank_queries", "rr"))
+ORACLE["q_rerank_metrics"] = with_ctes(*DENSE) + metrics_select(per_query("queries", "rr"))
 
 HASHED = EVAL + (_hashed_docs(), hashed_queries("hq", "queries"),
-                 "hq_queries AS (SELECT q.* FROM queries q WHERE q.query_id IN (SELECT query_id FROM hq))",
                  rerank_ctes("hrr", "bm25", "hq", "hashed_docs", 50))
 
 ORACLE["q_rerank_hashed_topk"] = with_ctes(*HASHED) + "SELECT * FROM hrr"
 
-ORACLE["q_rerank_hashed_metrics"] = with_ctes(*HASHED) + metrics_select(per_query("hq_queries", "hrr"))
+ORACLE["q_rerank_hashed_metrics"] = with_ctes(*HASHED) + metrics_select(per_query("queries", "hrr"))
 
 METRIC_ROWS = (("query_count", "Queries evaluated"), ("mrr_at_10", "MRR@10"),
                ("recall_at_10", "Recall@10"), ("recall_at_50", "Recall@50"),
@@ -462,7 +461,7 @@ def _metrics_long(src: str) -> str:
 ORACLE["q_metrics_table"] = with_ctes(
     *DENSE,
     f"m_bm25 AS ({metrics_select(per_query('queries', 'bm25'))})",
-    f"m_rr AS ({metrics_select(per_query('rerank_queries', 'rr'))})",
+    f"m_rr AS ({metrics_select(per_query('queries', 'rr'))})",
     "names AS (" + " UNION ALL ".join(
         f"SELECT '{k}' AS metric, '{label}' AS label, CAST({i} AS INTEGER) AS position"
         for i, (k, label) in enumerate(METRIC_ROWS)) + ")",
@@ -478,18 +477,51 @@ ORACLE["q_compare_pipelines"] = with_ctes(
     """cmp_both AS (
   SELECT query_id, 'bm25' AS pipeline, rank, doc_id, score, score AS bm25_score FROM cmp WHERE rank <= 10
   UNION ALL SELECT query_id, 'rerank', rank, doc_id, score, bm25_score FROM cmp_rr)""",
-) + """SELECT b.*, h.bm25_hits, c.shown FROM cmp_both b
+) + """SELECT b.*, h.bm25_hits, c.shown, CAST(NULL AS VARCHAR) AS rerank_error FROM cmp_both b
 JOIN (SELECT query_id, count(*) AS bm25_hits FROM cmp GROUP BY query_id) h ON h.query_id = b.query_id
 JOIN (SELECT query_id, pipeline, count(*) AS shown FROM cmp_both GROUP BY ALL) c
   ON c.query_id = b.query_id AND c.pipeline = b.pipeline"""
 
-ORACLE["q_dense_summary"] = with_ctes(*DENSE) + f"""SELECT d.split, d.documents,
-  coalesce(v.vectors, 0) AS vectors, v.embedding_dimension, coalesce(q.n, 0) AS queries_with_vector
-FROM (SELECT split, count(*) AS documents FROM docs WHERE {strip("document_text")} <> '' GROUP BY split) d
-LEFT JOIN (SELECT d2.split, count(*) AS vectors, CAST(max(len(v2.embedding)) AS BIGINT) AS embedding_dimension
-           FROM docs d2 JOIN vectors v2 ON v2.doc_id = d2.id WHERE {strip("d2.document_text")} <> ''
-           GROUP BY d2.split) v ON v.split = d.split
-LEFT JOIN (SELECT 'test' AS split, count(*) AS n FROM rerank_queries) q ON q.split = d.split"""
+ORACLE["q_dense_summary"] = with_ctes(*DENSE) + f"""SELECT d.split, count(*) AS documents,
+  count(v.doc_id) AS vectors, CAST(max(len(v.embedding)) AS BIGINT) AS embedding_dimension,
+  CASE WHEN d.split = 'test' THEN (SELECT count(*) FROM queries q JOIN hq ON hq.query_id = q.query_id) ELSE 0 END
+    AS queries_with_vector
+FROM docs d LEFT JOIN vectors v ON v.doc_id = d.id WHERE {strip("d.document_text")} <> '' GROUP BY d.split"""
+
+ORACLE["q_encode_on_miss"] = with_ctes(*INDEXED, _hashed_docs(), STORED) + explode_vector(
+    "vectors", "doc_id", "embedding")
+
+# one, two or three tokens may count: the sum in token order over their number
+_TOKENS = ("e[i]", "e[len(e) + 1 - i]", "-e[i]")
+_POOLED = " + ".join(f"CASE WHEN e[{k + 1}] > 0 THEN {t} ELSE 0.0 END" for k, t in enumerate(_TOKENS))
+_COUNTED = " + ".join(f"CASE WHEN e[{k + 1}] > 0 THEN 1 ELSE 0 END" for k in range(3))
+ORACLE["q_masked_mean_pool"] = explode_vector(
+    f"""(SELECT vec_id AS doc_id, list_transform(range(1, len(e) + 1),
+          lambda i: ({_POOLED}) / greatest(CAST({_COUNTED} AS DOUBLE), {DBL('1e-9')})) AS p
+        FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings))""",
+    "doc_id", "p")
+
+ORACLE["q_latest_turn"] = """SELECT conv_id, role, text, turn AS last_turn FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r = 1"""
+
+ORACLE["q_vector_sink"] = explode_vector(
+    f"(SELECT vec_id AS doc_id, list_transform({l2_normalize('embedding')}, lambda x: CAST(x AS FLOAT)) AS e "
+    "FROM embeddings)", "doc_id", "e")
+
+ORACLE["q_max_queries"] = with_ctes(*BASE, QUERIES) + "SELECT * FROM queries ORDER BY ordinal, query_id LIMIT 20"
+
+ORACLE["q_evaluation_run"] = with_ctes(*EVAL) + f"""SELECT m.*, (SELECT document_count FROM stats) AS document_count,
+  f.query_id, r.rank, r.doc_id, r.score
+FROM (SELECT query_id FROM queries ORDER BY ordinal, query_id LIMIT 5) f
+JOIN bm25 r ON r.query_id = f.query_id AND r.rank <= 5
+CROSS JOIN ({metrics_select(per_query("queries", "bm25"))}) m"""
+
+ORACLE["q_postings_lookup"] = with_ctes(*INDEXED) + """SELECT term, doc_id, term_frequency FROM postings
+WHERE term IN ('the', 'und', 'que')"""
+
+ORACLE["q_jsonl_records"] = with_ctes(RAW) + """SELECT split || '-' || CAST(n AS VARCHAR) AS id, split, n AS ordinal,
+  func_name, func_code_url, md5(whole_func_string) AS text_md5
+FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY ordinal) AS n FROM raw)"""
 
 ORACLE["q_document_lookup"] = with_ctes(*BASE, META, LOOKUP) + "SELECT * FROM lookup"
 
@@ -497,7 +529,8 @@ ORACLE["q_result_cards"] = with_ctes(*EVAL, META, LOOKUP) + f"""SELECT r.query_i
   coalesce(nullif(l.func_name, ''), {q(UNKNOWN_FUNCTION)}) AS display_name,
   coalesce(l.repository_name, '') AS repository_name, coalesce(l.func_code_url, '') AS func_code_url,
   r.score, {strip("coalesce(l.docstring, '')")} AS docstring,
-  {truncate_code(strip("coalesce(l.code, '')"))} AS code
+  {strip("coalesce(l.code, '')")} AS code,
+  {truncate_code(strip("coalesce(l.code, '')"))} AS code_preview
 FROM bm25 r LEFT JOIN lookup l ON l.id = r.doc_id WHERE r.rank <= 10"""
 
 ORACLE["q_dq_counts"] = with_ctes(*BASE, META) + """SELECT coalesce(d.split, m.split) AS split,
@@ -539,11 +572,50 @@ LEFT JOIN split_stats s ON s.split = e.split"""
 
 ORACLE["q_dq_vector_alignment"] = with_ctes(*DENSE) + """SELECT
   (SELECT count(*) FROM queries) AS queries,
-  (SELECT count(*) FROM queries q JOIN qvecs v ON v.query_id = q.query_id) AS queries_with_vector,
-  (SELECT count(*) FROM qvecs v WHERE v.query_id NOT IN (SELECT query_id FROM queries)) AS vectors_without_query,
-  (SELECT count(*) FROM vectors) AS document_vectors,
-  (SELECT CAST(min(len(embedding)) AS BIGINT) FROM vectors) AS min_dimension,
-  (SELECT CAST(max(len(embedding)) AS BIGINT) FROM vectors) AS max_dimension"""
+  (SELECT count(*) FROM queries q JOIN hq v ON v.query_id = q.query_id) AS queries_with_vector,
+  (SELECT count(*) FROM hq v WHERE v.query_id NOT IN (SELECT query_id FROM queries)) AS vectors_without_query,
+  (SELECT count(*) FROM embeddings) AS document_vectors,
+  (SELECT CAST(min(len(embedding)) AS BIGINT) FROM embeddings) AS min_dimension,
+  (SELECT CAST(max(len(embedding)) AS BIGINT) FROM embeddings) AS max_dimension"""
+
+
+def _split(key: str) -> str:
+    return f"CASE (({key} % 20) + 20) % 20 WHEN 0 THEN 'test' WHEN 1 THEN 'valid' ELSE 'train' END"
+
+
+def _id_sets(other: str, key: str) -> str:
+    return f"""WITH d AS (SELECT {_split('doc_id')} AS split, doc_id AS id FROM documents),
+m AS (SELECT {_split(key)} AS split, {key} AS id FROM {other})
+"""
+
+
+ORACLE["q_dq_label_counts"] = _id_sets("labels", "doc_id") + """SELECT d.split, d.n AS documents,
+  coalesce(m.n, 0) AS metadata, d.n = coalesce(m.n, 0) AS counts_match
+FROM (SELECT split, count(*) AS n FROM d GROUP BY split) d
+LEFT JOIN (SELECT split, count(*) AS n FROM m GROUP BY split) m ON m.split = d.split"""
+
+ORACLE["q_dq_label_ids"] = _id_sets("labels", "doc_id") + """SELECT coalesce(d.split, m.split) AS split,
+  count(*) FILTER (WHERE d.id IS NOT NULL AND m.id IS NOT NULL) AS matched_ids,
+  count(*) FILTER (WHERE m.id IS NULL) AS documents_only,
+  count(*) FILTER (WHERE d.id IS NULL) AS metadata_only,
+  count(DISTINCT d.id) AS distinct_document_ids, count(DISTINCT m.id) AS distinct_metadata_ids
+FROM d FULL OUTER JOIN m ON m.split = d.split AND m.id = d.id GROUP BY 1"""
+
+ORACLE["q_dq_vector_ids"] = _id_sets("embeddings", "vec_id") + """SELECT coalesce(d.split, m.split) AS split,
+  coalesce(d.id, m.id) AS id, CASE WHEN d.id IS NULL THEN 'metadata_only' ELSE 'documents_only' END AS side
+FROM d FULL OUTER JOIN m ON m.split = d.split AND m.id = d.id WHERE d.id IS NULL OR m.id IS NULL"""
+
+ORACLE["q_dq_raw_empty_fields"] = with_ctes(RAW) + f"""SELECT split, count(*) AS documents,
+  count(*) FILTER (WHERE {_blank("func_name")}) AS empty_func_name,
+  count(*) FILTER (WHERE {_blank("func_code_string")}) AS empty_code,
+  count(*) FILTER (WHERE {_blank("func_documentation_string")}) AS empty_lexical_document
+FROM raw GROUP BY split"""
+
+ORACLE["q_lookup_overrides"] = with_ctes(*BASE) + """SELECT d.id, d.func_name,
+  CASE WHEN l.quality = 1 THEN 'quality/' || CAST(l.doc_id AS VARCHAR) END AS repository_name,
+  CASE WHEN l.toxic = 1 THEN 'toxic/' || CAST(l.doc_id AS VARCHAR) END AS func_path_in_repository,
+  CAST(NULL AS VARCHAR) AS func_code_url, CAST(NULL AS VARCHAR) AS language
+FROM docs d LEFT JOIN labels l ON l.doc_id = d.id"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -28,13 +28,16 @@ class Pipeline:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None, materialize: bool = True,
-                 top_k: int = 10, query_split: str = "test", raw: DataFrame | None = None):
+                 top_k: int = 10, query_split: str = "test", raw: DataFrame | None = None,
+                 max_queries: int | None = None, splits: tuple[str, ...] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
         self.top_k = top_k
         self.query_split = query_split
         self._raw = raw
+        self.max_queries = max_queries
+        self.splits = splits
 
     @classmethod
     def from_jsonl(cls, spark: SparkSession, paths_by_split: dict[str, str],
@@ -54,6 +57,8 @@ class Pipeline:
     @cached_property
     def raw(self) -> DataFrame:
         raw = self._raw if self._raw is not None else tables.raw_records(self.spark, self.sf_dir)
+        if self.splits:
+            raw = raw.filter(F.col("split").isin(list(self.splits)))
         if not self.materialize:
             return raw
         # tokenization is the costly per-row step: make sure the rows are
@@ -86,7 +91,7 @@ class Pipeline:
     # -- evaluation -------------------------------------------------------
     @cached_property
     def queries(self) -> DataFrame:
-        return self._cut(E.build_queries(self.documents, self.query_split), "queries")
+        return self._cut(E.build_queries(self.documents, self.query_split, self.max_queries), "queries")
 
     @property
     def depth(self) -> int:
@@ -141,29 +146,49 @@ def long_rank(df: DataFrame) -> DataFrame:
 
 
 class DensePipeline(Pipeline):
-    """Adds the dense stages: stored vectors keyed by doc id (the query vector
-    of a judged query is its own document's stored vector), the rerank of
-    ``max(bm25_candidates, depth)`` BM25 candidates, and its evaluation."""
+    """Adds the dense stages: document vectors from a table (``vectors``, by
+    default the driver folder's embeddings; none for other corpora) and, for
+    documents that it misses, from the encoder; query vectors by the encoder
+    from the query text; the rerank of ``max(bm25_candidates, depth)`` BM25
+    candidates; its evaluation over all queries.
+
+    ``encoder``: ``DataFrame(key, text) -> DataFrame(key, embedding)`` for
+    both sides.  Without one the built-in hashed encoder is used, for documents
+    from their postings."""
 
     bm25_candidates = 50
 
+    def __init__(self, *args, vectors: DataFrame | None = None, encoder=None, **kwargs):
+        super().__init__(*args, **kwargs)
+        self._vectors, self.encoder = vectors, encoder
+
     @cached_property
-    def vectors(self) -> DataFrame:
-        return tables.stored_vectors(self.spark, self.sf_dir)
+    def stored_vectors(self) -> DataFrame | None:
+        if self._vectors is not None:
+            return self._vectors
+        return tables.stored_vectors(self.spark, self.sf_dir) if self.sf_dir else None
 
     @cached_property
-    def query_vectors(self) -> DataFrame:
-        """The stored vector of each judged query's own document: the vector
-        table is streamed through a semi-join against the (counted,
-        broadcast) query documents, then joined to the few matches."""
-        q = self.queries.select("query_id", F.col("relevant_doc_id").alias("doc_id"))
-        ids = search.bounded_broadcast(q.select("doc_id").distinct())
-        found = self.vectors.join(ids, "doc_id", "left_semi")
-        return self._cut(q.join(found, "doc_id").select("query_id", "embedding"), "query_vectors")
+    def vectors(self) -> DataFrame:
+        """A vector of every indexed document: stored, or encoded on a miss."""
+        from quarry.operators import rerank
+        docs = self.documents.select(F.col("id").alias("doc_id"), F.col("document_text").alias("text"))
+        hashed = self.encoder is None
+
+        def encode(missing):
+            if hashed:
+                return rerank.hashed_document_vectors(self.index).join(missing.select("doc_id"), "doc_id", "left_semi")
+            return self.encoder(missing)
+
+        if self.stored_vectors is None:
+            return self._cut(encode(docs), "vectors")
+        return self._cut(rerank.vectors_or_encode(docs, self.stored_vectors, encode, "doc_id", "text"), "vectors")
 
     @cached_property
-    def rerank_queries(self) -> DataFrame:
-        return self.queries.join(self.query_vectors.select("query_id"), "query_id")
+    def query_vectors(self) -> DataFrame:
+        from quarry.operators import rerank
+        q = self.queries.select("query_id", "query_text")
+        return self._cut(self.encoder(q) if self.encoder else rerank.hashed_query_vectors(q), "query_vectors")
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -180,9 +205,9 @@ class DensePipeline(Pipeline):
 
     @cached_property
     def rerank_metrics(self) -> DataFrame:
-        return E.metrics(E.per_query(self.rerank_queries, self.rerank_ranking))
+        return E.metrics(E.per_query(self.queries, self.rerank_ranking))
 
-    def rerank_result(self, encoder: str = "stored vectors") -> DataFrame:
+    def rerank_result(self, encoder: str = "stored vectors, hashed tokens on a miss") -> DataFrame:
         """The rerank evaluation run as one nested row (samples carry the
         BM25 score beside the cosine)."""
         from quarry.sources.sinks import evaluation_result
@@ -190,22 +215,13 @@ class DensePipeline(Pipeline):
                  "bm25_candidate_count": max(self.bm25_candidates, self.depth),
                  "reranker": encoder,
                  "relevance_assumption": "each docstring query's own document is the relevant one"}
-        flat = E.sample_rankings(self.rerank_queries, self.rerank_ranking,
+        flat = E.sample_rankings(self.queries, self.rerank_ranking,
                                  extra_cols=("bm25_score",))
         return evaluation_result(setup, self.index.statistics, self.rerank_metrics,
                                  E.sample_rankings_nested(flat, ("bm25_score",)))
 
 
 class HashedDensePipeline(DensePipeline):
-    """The dense stages with the built-in hashed encoder on both sides: every
-    indexed document and every judged query gets a vector."""
-
-    @cached_property
-    def vectors(self) -> DataFrame:
-        from quarry.operators.rerank import hashed_document_vectors
-        return self._cut(hashed_document_vectors(self.index), "hashed_doc_vectors")
+    """The dense stages with the built-in hashed encoder for all documents."""
 
-    @cached_property
-    def query_vectors(self) -> DataFrame:
-        from quarry.operators.rerank import hashed_query_vectors
-        return self._cut(hashed_query_vectors(self.queries), "hashed_query_vectors")
+    stored_vectors = None

@@ -4,16 +4,20 @@
 record shape used by :mod:`quarry.operators.ingest`:
 
 * every physical line is numbered from 1, blank lines included (they are
-  counted and then skipped), so record ids ``{split}-{line}`` are stable;
+  counted and then skipped), so record ids ``{split}-{line}`` are stable; in a
+  folder the numbers run on from file to file in path order;
+* a line is valid if the whole of it is one JSON object (nothing after it);
 * ``mode='FAILFAST'`` fails the job on the first malformed line, naming the
-  file and line; ``mode='DROPMALFORMED'`` skips such lines;
+  file and line; ``mode='DROPMALFORMED'`` skips such lines.  Both are filters,
+  so no plan can drop the check, whatever columns it reads;
 * ``_keys`` lists the keys present in each record, so defaults can apply
   only to missing keys (an explicit null stays null).
 
 Line numbers are computed without shuffling the text: rows of one file
 block are read in order inside one task, so a row's line number is the
 block's line offset plus its position in the block.  The offsets come from
-a tiny per-block aggregate (one row per file block), broadcast back.
+a small aggregate (one row per file block), broadcast back while it is small
+and joined otherwise.
 """
 
 from __future__ import annotations
@@ -32,52 +36,67 @@ RAW_SCHEMA = Ty.StructType([Ty.StructField(f, Ty.StringType()) for f in RAW_FIEL
 SPLIT_RENAMES = {"validation": "valid"}
 
 
+# Bytes of the block offsets that may be broadcast; a row is its file's path and four numbers.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, line_no, value)`` for every physical line of the text files."""
+    """``(file, line_no, ordinal, value)`` for every physical line of the text
+    files: its number in its file and in the whole folder."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("_row"))
     blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"),
                                                 F.min("_row").alias("first_row"))
-    w = Window.partitionBy("file").orderBy("block") \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "block", "first_row",
-                            F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
-    return lines.join(F.broadcast(offsets), ["file", "block"]).select(
-        "file", (F.col("offset") + F.col("_row") - F.col("first_row") + 1).alias("line_no"),
-        "value")
+                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = offsets.withColumn("file_offset", F.min("offset").over(Window.partitionBy("file")))
+    size = blocks.agg(F.sum(F.length("file") + 64)).first()[0] or 0
+    small = F.broadcast(offsets) if size <= BROADCAST_BYTES else offsets
+    place = F.col("offset") + F.col("_row") - F.col("first_row") + 1
+    return lines.join(small, ["file", "block"]).select(
+        "file", (place - F.col("file_offset")).alias("line_no"), place.alias("ordinal"), "value")
+
+
+def is_record(value: str = "value") -> F.Column:
+    """Whether the whole line is one JSON object.  A parser stops after the
+    object, so what follows it shows only inside brackets: no text can close
+    both a list and an object."""
+    v = F.col(value)
+    listed = F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>")
+    inside = F.from_json(F.concat(F.lit('{"r":'), v, F.lit("}")), "struct<r:string>")
+    return (F.json_object_keys(v).isNotNull() & F.coalesce(F.size(listed) == 1, F.lit(False))
+            & F.coalesce(inside["r"].isNotNull(), F.lit(False)))
 
 
 def parse_records(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Non-blank numbered lines parsed into raw records with ``_keys``."""
-    nonblank = lines.filter(T.strip("value") != "")
-    keys = F.json_object_keys("value")
-    parsed = nonblank.select("file", "line_no", keys.alias("_keys"),
-                             F.from_json("value", RAW_SCHEMA).alias("r"))
+    lines = lines.filter(T.strip("value") != "")
     if mode.upper() == "FAILFAST":
-        checked = parsed.withColumn("_keys", F.when(
-            F.col("_keys").isNull(),
-            F.raise_error(F.concat(F.lit("Invalid JSON in "), F.col("file"),
-                                   F.lit(" at line "), F.col("line_no").cast("string"))))
-            .otherwise(F.col("_keys")))
+        lines = lines.filter(F.when(is_record(), F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit("Invalid JSON in "), F.col("file"), F.lit(" at line "),
+            F.col("line_no").cast("string"))).cast("boolean")))
     elif mode.upper() in ("DROPMALFORMED", "PERMISSIVE"):
-        checked = parsed.filter(F.col("_keys").isNotNull())
+        lines = lines.filter(is_record())
     else:
         raise ValueError(f"unknown mode {mode}")
-    return checked.select("file", "line_no", "_keys", "r.*")
+    return lines.select("file", "line_no", "ordinal", F.json_object_keys("value").alias("_keys"),
+                        F.from_json("value", RAW_SCHEMA).alias("r")).select(
+        "file", "line_no", "ordinal", "_keys", "r.*")
 
 
 def read_records(spark: SparkSession, paths_by_split: dict[str, str],
                  mode: str = "FAILFAST") -> DataFrame:
     """Raw records of several splits; the split comes from the file (not
-    from the record) and the id is ``{split}-{line}``."""
+    from the record), the id is ``{split}-{line}`` and ``ordinal`` the line."""
     frames = []
     for split, path in paths_by_split.items():
         recs = parse_records(numbered_lines(spark, path), mode)
         frames.append(recs.select(
-            F.concat_ws("-", F.lit(split), F.col("line_no").cast("string")).alias("id"),
-            F.lit(split).alias("split"), "line_no", *RAW_FIELDS, "_keys"))
+            F.concat_ws("-", F.lit(split), F.col("ordinal").cast("string")).alias("id"),
+            F.lit(split).alias("split"), "line_no", "ordinal", *RAW_FIELDS, "_keys"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -90,7 +109,7 @@ def read_offsets(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
     its last line."""
     lines = numbered_lines(spark, path).filter(T.strip("value") != "")
     k = F.get_json_object("value", f"$.{key}")
-    good = lines.filter(F.json_object_keys("value").isNotNull()).select(
+    good = lines.filter(is_record()).select(
         k.alias(key), "file", "line_no").filter(F.col(key).isNotNull() & (F.col(key) != ""))
     return good.groupBy(key).agg(F.max_by(F.struct("file", "line_no"), "line_no").alias("loc")) \
         .select(key, "loc.file", "loc.line_no")

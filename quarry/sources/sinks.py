@@ -13,11 +13,15 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.index import BM25Index
 
+# Error conditions of a path that does not exist or holds no record
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def write_processed(documents: DataFrame, metadata: DataFrame, out_dir: str,
                     fmt: str = "json") -> None:
@@ -43,7 +47,9 @@ def read_split_totals(spark: SparkSession, path: str) -> DataFrame:
     document does not exist."""
     try:
         s = spark.read.json(path)
-    except Exception:  # noqa: BLE001 - a missing file means "no totals"
+    except AnalysisException as e:  # a missing file means "no totals"; any other failure is one
+        if e.getCondition() not in ABSENT:
+            raise
         return spark.createDataFrame([], "split string, kept_records long")
     return s.select(F.explode(F.from_json(F.to_json("splits"),
                                           "map<string, struct<kept_records: long>>"))) \
@@ -136,7 +142,9 @@ def read_result(spark: SparkSession, path: str) -> DataFrame | None:
     """Tolerant read of an evaluation result: ``None`` when absent or corrupt."""
     try:
         df = spark.read.json(path)
-    except Exception:  # noqa: BLE001
+    except AnalysisException as e:
+        if e.getCondition() not in ABSENT:
+            raise
         return None
     if "_corrupt_record" in df.columns or "metrics" not in df.columns:
         return None

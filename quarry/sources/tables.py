@@ -8,8 +8,9 @@ Mapping (one raw record per ``documents`` row):
                       (0 / 1 / rest: the 5 % / 5 % / 90 % split ratio)
 * ``func_name``     = ``source || '_' || lang``
 * docstring         = first line of ``text``
-* code              = text after the first newline (absent without one, which
-                      exercises the missing-code drop)
+* code              = text after the first newline; without one the fallback
+                      field, the whole text, is the code, so no text is lost
+* ``ordinal``       = ``doc_id`` (the order of the corpus)
 * metadata          = ``language = lang``, ``repository_name = source`` and a
                       path / URL built from ``doc_id``
 * vectors           = ``embeddings`` row with ``vec_id = doc_id``
@@ -42,9 +43,10 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         F.col("doc_id").alias("id"),
         split_of("doc_id").alias("split"),
+        F.col("doc_id").alias("ordinal"),
         F.concat_ws("_", "source", "lang").alias("func_name"),
         T.after_first_line("text").alias("func_code_string"),
-        F.lit(None).cast("string").alias("whole_func_string"),
+        F.col("text").alias("whole_func_string"),
         T.first_line("text").alias("func_documentation_string"),
         F.col("lang").alias("language"),
         F.col("source").alias("repository_name"),
@@ -68,9 +70,9 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns of the conversations as ad-hoc queries."""
+    """All turns of the conversations as ad-hoc queries."""
     c = read_table(spark, sf_dir, "conversations")
-    return c.filter(F.col("role") == "user").select(
+    return c.select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
         .alias("query_id"),
         F.col("text").alias("query_text"))

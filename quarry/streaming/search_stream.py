@@ -6,9 +6,9 @@ Spark form is a stream of query records ``(query_id, query_text)`` (files
 landing in a folder, a Kafka topic, ...) where every micro-batch is searched
 as one batch against the stored index: ``foreachBatch`` hands the batch to
 the same batch operators (broadcast query terms, doc-partitioned postings,
-per-query top-k) and appends the results to a sink.  No state is kept
-between batches, so a restarted query resumes from its checkpoint without
-replaying results.
+per-query top-k) and writes the results to the batch's own ``epoch=n`` folder,
+overwriting it, so a batch that is run again after a failure replaces its rows.
+No state is kept between batches.
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def start_search_stream(index: BM25Index, queries: DataFrame, output_path: str,
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         res = search_batch(index, batch, top_k, query_vectors, doc_vectors)
-        res.withColumn("epoch", F.lit(epoch_id)).write.mode("append").format(fmt).save(output_path)
+        res.write.mode("overwrite").format(fmt).save(f"{output_path.rstrip('/')}/epoch={epoch_id}")
 
     location = checkpoint_location or scratch_path(queries.sparkSession, "search-stream")
     writer = (queries.writeStream.foreachBatch(run)
