@@ -167,8 +167,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
     def learn(t):
         """One task over the bounded sample."""
         t = t.sort_by([("r", "ascending"), ("lang", "ascending")])
-        pairs = [(counts(x), langs.index(y)) for x, y in zip(t.column("text").to_pylist(), t.column("lang").to_pylist())]
-        pairs = [(vector(c, idf), y) for c, y in pairs if c is not None]
+        pairs = []
+        for text, lang in zip(t.column("text"), t.column("lang")):
+            c = counts(text.as_py())
+            if c is not None:
+                pairs.append((vector(c, idf), langs.index(lang.as_py())))
         w, temperature = fit([p[0] for p in pairs], np.array([p[1] for p in pairs], int), len(langs))
         return pa.table({"w": pa.array([w.astype(np.float32).tobytes()], pa.binary()), "t": [temperature]})
 
