@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from quarry.operators import evaluate as E
 from quarry.operators import ingest, rerank, search
 from quarry.operators.index import build_index
+from quarry.session import bucket_count
 from quarry.sources import jsonl, sinks
 
 SPLITS = ("train", "valid", "test")
@@ -37,7 +38,7 @@ META_SCHEMA = ("id string, split string, language string, repository_name string
                "func_path_in_repository string, func_name string, func_code_url string")
 PROCESSED_SCHEMA = ("id string, split string, func_name string, docstring string, code string, "
                     "document_text string, lexical_document string, lexical_token_count long, "
-                    "has_docstring boolean")
+                    "has_docstring boolean, ordinal long")
 
 
 def _processed(spark, path, splits):
@@ -54,8 +55,9 @@ def cmd_corpus(spark, a):
 
 
 def cmd_index(spark, a):
-    idx = build_index(_processed(spark, a.processed_dir, a.splits), a.buckets)
-    sinks.write_index(idx, a.output_dir, a.buckets)
+    docs = _processed(spark, a.processed_dir, a.splits)
+    n = a.buckets or bucket_count(spark, docs.agg(F.sum("lexical_token_count")).first()[0] or 0)
+    sinks.write_index(build_index(docs, n).materialized(), a.output_dir, n)  # the postings are built once
 
 
 def _evaluation(spark, a):
@@ -113,9 +115,8 @@ def cmd_rerank(spark, a):
         dv, qv, encoder = rerank.hashed_document_vectors(idx), rerank.hashed_query_vectors(queries), \
             "hashed tokens"
     ranking = rerank.rerank(cands, qv, dv, depth)
-    judged = queries.join(qv.select("query_id"), "query_id")
-    metrics = E.metrics(E.per_query(judged, ranking))
-    samples = E.sample_rankings_nested(E.sample_rankings(judged, ranking, extra_cols=("bm25_score",)),
+    metrics = E.metrics(E.per_query(queries, ranking))
+    samples = E.sample_rankings_nested(E.sample_rankings(queries, ranking, extra_cols=("bm25_score",)),
                                        ("bm25_score",))
     setup = {"query_split": a.query_split, "retrieval_depth": depth,
              "bm25_candidate_count": max(a.bm25_candidates, depth), "reranker": encoder}

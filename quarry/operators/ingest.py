@@ -159,6 +159,7 @@ class Corpus:
 
 
 def build_corpus(raw: DataFrame, splits=None) -> Corpus:
-    prepared = prepare(raw)
+    from quarry.session import materialize
+    prepared = materialize(prepare(raw), "prepared")  # tokenized once for all outputs
     docs = documents(prepared)
     return Corpus(docs, metadata(prepared), corpus_stats(prepared, splits), length_histogram(docs))

@@ -8,12 +8,12 @@ because the postings are already hash-partitioned by ``doc_id``; and the
 per-query top-k keeps at most k rows per (partition, query) before the only
 exchange of the query phase (``WindowGroupLimit``).
 
-When the query-term table is too large to broadcast, :func:`bm25_topk`
-splits the queries into hash batches that each fit the limit and unions
-their results (every batch keeps the no-exchange plan); the bare
-:func:`bm25_scores` falls back to a shuffle join on ``term`` (adaptive
-skew-join splits hot terms).  :func:`bm25_topk_pruned` is an exact
-max-score variant of the top-k.
+The queries run in hash batches whose terms fit the limits (rows, and bytes
+as measured), one after another, each appended to one result table; one batch
+or many are the same code, for :func:`bm25_topk` and its exact max-score
+variant :func:`bm25_topk_pruned` alike, so the plan does not grow with the
+number of queries.  The bare :func:`bm25_scores` falls back to a shuffle join
+on ``term`` (adaptive skew-join splits hot terms).
 """
 
 from __future__ import annotations
@@ -24,10 +24,13 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.functions.numeric import from_fixed, to_fixed
 from quarry.operators.index import BM25Index
+from quarry.session import materialize, scratch_path
 
 # Rows of (query, term, idf) that may be broadcast to every executor
 # (about 40 bytes each: ~40 MB at the limit).
 BROADCAST_ROW_LIMIT = 1_000_000
+# Bytes of the query terms of a batch (terms plus 32 a row), whatever their length.
+BATCH_BYTES = 64 * 1024 * 1024
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -107,29 +110,27 @@ def _topk(scores: DataFrame, k: int) -> DataFrame:
                       from_fixed("score_fp").alias("score"), "score_fp")
 
 
+def in_batches(queries: DataFrame, run, name: str, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """``run(batch)`` of each batch of ``queries``, one after another, appended
+    to one stored table.  Batches are hash ranges of the query ids, as many as
+    the number and the bytes of the query terms ask for."""
+    terms = query_terms(queries)
+    n, size = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0))).first()
+    batches = max(1, -(-n // max(row_limit, 1)), -(-size // BATCH_BYTES))
+    path = scratch_path(queries.sparkSession, name)
+    for i in range(batches):
+        out = run(queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == i))
+        out.write.mode("append").parquet(path)
+    return queries.sparkSession.read.schema(out.schema).parquet(path)
+
+
 def bm25_topk(index: BM25Index, queries: DataFrame, k: int,
               broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """``(query_id, rank, doc_id, score, score_fp)`` for ranks 1..k; ties on
-    the score break by ``doc_id`` ascending.
-
-    When the query terms exceed the broadcast limit, the queries are split
-    into hash batches that each fit it; every batch keeps the broadcast,
-    no-exchange plan (one more scan of the postings per batch instead of a
-    shuffle of every (query, posting) match) and the batches are unioned, so
-    every query is answered."""
-    qterms = query_terms(queries)
-    n_terms = qterms.count()
-    batches = max(1, -(-n_terms // max(broadcast_limit, 1)))
-    if batches == 1:
-        return _topk(bm25_scores(index, queries, broadcast_limit, n_terms), k)
-    parts = []
-    for i in range(batches):
-        part = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == i)
-        parts.append(_topk(bm25_scores(index, part, broadcast_limit * 2), k))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    the score break by ``doc_id`` ascending.  Batches of queries keep the
+    broadcast, no-exchange plan (one scan of the postings each)."""
+    return in_batches(queries, lambda part: _topk(bm25_scores(index, part, broadcast_limit * 2), k),
+                      "ranking", broadcast_limit)
 
 
 def bm25_topk_pruned(index: BM25Index, queries: DataFrame, k: int, bounds: DataFrame,
@@ -145,19 +146,22 @@ def bm25_topk_pruned(index: BM25Index, queries: DataFrame, k: int, bounds: DataF
     postings (summed in their doc_id buckets, no exchange).  The
     non-essential terms' impacts are then added from the forward index
     (``term -> tf`` per document, co-bucketed by doc_id: no exchange).
-    Falls back to the exhaustive plan when ``k > bound_depth`` or the query
-    terms exceed the broadcast limit."""
-    from pyspark.sql import Window as W
-    qterms = query_terms(queries)
-    n_terms = qterms.count()
-    if k > bound_depth or n_terms > broadcast_limit:
+    With ``k > bound_depth`` the bounds say nothing and the exhaustive plan
+    runs."""
+    if k > bound_depth:
         return bm25_topk(index, queries, k, broadcast_limit)
+    return in_batches(queries, lambda part: _pruned_batch(index, part, k, bounds, forward),
+                      "pruned_ranking", broadcast_limit)
+
+
+def _pruned_batch(index: BM25Index, queries: DataFrame, k: int, bounds: DataFrame,
+                  forward: DataFrame) -> DataFrame:
+    qterms = query_terms(queries)
     c = scoring_constants(index)
     wt = weighted_terms(index, qterms, True).join(F.broadcast(
         bounds.join(F.broadcast(qterms.select("term").distinct()), "term", "left_semi")), "term")
     theta = wt.groupBy("query_id").agg(F.max("lb_fp").alias("theta"))
-    w = W.partitionBy("query_id").orderBy("ub_fp", "term").rowsBetween(W.unboundedPreceding, 0)
-    from quarry.session import materialize
+    w = Window.partitionBy("query_id").orderBy("ub_fp", "term").rowsBetween(Window.unboundedPreceding, 0)
     # one small row per (query, term); stored once, read by both branches
     cls = materialize(wt.join(theta, "query_id").withColumn("_cum", F.sum("ub_fp").over(w))
                       .withColumn("essential", F.col("_cum") >= F.col("theta")), "query_terms")

@@ -209,18 +209,6 @@ def l2_normalize(v: str) -> str:
 HEX = "'0123456789abcdef'"
 
 
-def hashed_vector(term: str) -> str:
-    hx = " || ".join(f"md5('{s}:' || {term})" for s in range(4))
-    byte = (f"((instr({HEX}, substr(hx, 2 * j + 1, 1)) - 1) * 16 + "
-            f"(instr({HEX}, substr(hx, 2 * j + 2, 1)) - 1))")
-    return (f"(SELECT list_transform(range(64), lambda j: CAST({byte} AS DOUBLE) / {DBL(127.5)} - {DBL(1.0)}) "
-            f"FROM (SELECT {hx} AS hx))")
-
-
-def vec_sum(vs: str) -> str:
-    return f"list_reduce({vs}, lambda acc, v: list_transform(range(1, len(acc) + 1), lambda i: acc[i] + v[i]))"
-
-
 def explode_vector(src: str, key: str, vec: str) -> str:
     return (f"SELECT {key}, CAST(unnest(range(0, len({vec}))) AS BIGINT) AS dim, "
             f"unnest(list_transform({vec}, lambda x: {round6('x')})) AS value FROM {src}")

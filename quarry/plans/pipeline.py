@@ -83,9 +83,9 @@ class Pipeline:
     def index(self) -> BM25Index:
         if not self.materialize:
             return build_index(self.documents)
-        from quarry.session import partition_count
-        # bucket count from the corpus size (a metadata count on the stored stage)
-        n = partition_count(self.spark, self.prepared.count())
+        from quarry.session import bucket_count
+        # from the tokens of the stored stage
+        n = bucket_count(self.spark, self.prepared.agg(F.sum("lexical_token_count")).first()[0] or 0)
         return build_index(self.documents, num_partitions=n).materialized()
 
     # -- evaluation -------------------------------------------------------

@@ -118,6 +118,19 @@ def partition_count(spark: SparkSession, rows: int, rows_per_partition: int = RO
     return max(int(cores), -(-int(rows) // rows_per_partition), 1)
 
 
+# Tokens of a postings bucket: about 0.6 postings a token, 100 MB.
+TOKENS_PER_BUCKET = 10_000_000
+
+
+def bucket_count(spark: SparkSession, tokens: int) -> int:
+    """Buckets of the postings: one for each core at least, more with the
+    tokens of the corpus, and never more than Spark allows
+    (``spark.sql.sources.bucketing.maxBuckets``); beyond that limit buckets
+    grow, and the aggregations inside them spill."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-int(tokens) // TOKENS_PER_BUCKET), 1))
+
+
 def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Hash-partition ``df`` by ``key`` only when its scan puts the rows in
     too few tasks (for example one file with a single parquet row group is

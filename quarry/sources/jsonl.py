@@ -8,8 +8,8 @@ record shape used by :mod:`quarry.operators.ingest`:
   folder the numbers run on from file to file in path order;
 * a line is valid if the whole of it is one JSON object (nothing after it);
 * ``mode='FAILFAST'`` fails the job on the first malformed line, naming the
-  file and line; ``mode='DROPMALFORMED'`` skips such lines.  Both are filters,
-  so no plan can drop the check, whatever columns it reads;
+  file and line, whatever columns the plan reads; ``mode='DROPMALFORMED'``
+  skips such lines;
 * ``_keys`` lists the keys present in each record, so defaults can apply
   only to missing keys (an explicit null stays null).
 
@@ -62,28 +62,31 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def is_record(value: str = "value") -> F.Column:
     """Whether the whole line is one JSON object.  A parser stops after the
-    object, so what follows it shows only inside brackets: no text can close
-    both a list and an object."""
+    object; inside a list with a mark behind it, it reaches the mark only if
+    nothing else follows the object."""
     v = F.col(value)
-    listed = F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>")
-    inside = F.from_json(F.concat(F.lit('{"r":'), v, F.lit("}")), "struct<r:string>")
-    return (F.json_object_keys(v).isNotNull() & F.coalesce(F.size(listed) == 1, F.lit(False))
-            & F.coalesce(inside["r"].isNotNull(), F.lit(False)))
+    listed = F.concat(F.lit("["), v, F.lit(',"end"]'))
+    return (F.json_object_keys(v).isNotNull() & F.get_json_object(listed, "$[2]").isNull()
+            & F.coalesce(F.get_json_object(listed, "$[1]") == "end", F.lit(False)))
 
 
 def parse_records(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Non-blank numbered lines parsed into raw records with ``_keys``."""
     lines = lines.filter(T.strip("value") != "")
+    record = F.from_json("value", RAW_SCHEMA)
     if mode.upper() == "FAILFAST":
-        lines = lines.filter(F.when(is_record(), F.lit(True)).otherwise(F.raise_error(F.concat(
-            F.lit("Invalid JSON in "), F.col("file"), F.lit(" at line "),
-            F.col("line_no").cast("string"))).cast("boolean")))
+        # in the fields, so that a later filter on them can't get below the check, and as a filter,
+        # so that a plan without the fields keeps it
+        failure = F.raise_error(F.concat(F.lit("Invalid JSON in "), F.col("file"), F.lit(" at line "),
+                                         F.col("line_no").cast("string")))
+        lines = lines.filter(F.when(is_record(), F.lit(True)).otherwise(failure.cast("boolean")))
+        record = F.when(is_record(), record).otherwise(failure.cast(RAW_SCHEMA))
     elif mode.upper() in ("DROPMALFORMED", "PERMISSIVE"):
         lines = lines.filter(is_record())
     else:
         raise ValueError(f"unknown mode {mode}")
     return lines.select("file", "line_no", "ordinal", F.json_object_keys("value").alias("_keys"),
-                        F.from_json("value", RAW_SCHEMA).alias("r")).select(
+                        record.alias("r")).select(
         "file", "line_no", "ordinal", "_keys", "r.*")
 
 

@@ -78,6 +78,7 @@ def write_index(index: BM25Index, out_dir: str, buckets: int | None = None) -> N
     name = f"quarry_postings_{uuid.uuid4().hex[:12]}"
     index.postings.write.mode("overwrite").bucketBy(n, "doc_id").sortBy("term") \
         .option("path", f"{out_dir}/postings").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
     spark.createDataFrame([(n,)], "buckets int").write.mode("overwrite") \
         .json(f"{out_dir}/postings_layout")
 
@@ -96,7 +97,10 @@ def read_index(spark: SparkSession, out_dir: str) -> BM25Index:
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) "
               f"SORTED BY (term) INTO {n} BUCKETS LOCATION '{out_dir}/postings'")
-    return BM25Index(spark.read.parquet(f"{out_dir}/documents"), spark.table(name),
+    postings = spark.table(name)
+    postings.schema  # resolves the plan while the entry exists  # noqa: B018
+    spark.sql(f"DROP TABLE {name}")
+    return BM25Index(spark.read.parquet(f"{out_dir}/documents"), postings,
                      spark.read.parquet(f"{out_dir}/vocabulary"),
                      spark.read.parquet(f"{out_dir}/statistics"), n)
 

@@ -112,7 +112,7 @@ def test_masked_mean_pool(spark):
                                "v array<array<double>>, m array<int>")
     got = [r[0] for r in df.select(rerank.mean_pool("v", "m")).collect()]
     assert got[0] == [2.0, 3.0]
-    assert got[1] is None  # nothing unmasked
+    assert got[1] == [0.0, 0.0]  # nothing unmasked
 
 
 def test_max_queries_keeps_first_in_id_order(pipeline):
@@ -169,3 +169,4 @@ def test_compare_keeps_bm25_when_rerank_fails(spark, pipeline):
                                    rerank.hashed_document_vectors(pipeline.index), top_k=5)
     per = {r["pipeline"]: r["n"] for r in out.groupBy("pipeline").agg(F.count("*").alias("n")).collect()}
     assert "rerank" not in per and per["bm25"] == search.bm25_topk(pipeline.index, qs, 5).count()
+    assert out.filter(F.col("rerank_error").contains("encoder unavailable")).count() == out.count()

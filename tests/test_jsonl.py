@@ -193,3 +193,45 @@ def test_line_numbers_in_gzip_files(spark):
     lines = jsonl.numbered_lines(spark, d).filter(F.col("value") != "")
     bad = lines.filter(F.get_json_object("value", "$.k").cast("long") != F.col("line_no"))
     assert lines.count() == 2700 and bad.count() == 0
+
+
+def test_corrupt_line_fails_whatever_is_read(spark):
+    good = json.dumps(RECORDS[0])
+    for bad in ("{not json", good + " trailing junk", good + good, good + "] }", good + "}", "[1]", "3"):
+        path = _write([good, bad, json.dumps(RECORDS[6])], "bad.jsonl")
+        prepared = ingest.prepare(jsonl.read_records(spark, {"train": path}))
+        for out in (ingest.documents(prepared).select("id"), ingest.corpus_stats(prepared).select("split"),
+                    ingest.rejected(prepared), prepared.groupBy().count()):
+            with pytest.raises(Exception, match="at line 2"):
+                out.collect()
+        tolerant = jsonl.read_records(spark, {"train": path}, mode="DROPMALFORMED")
+        assert sorted(r["line_no"] for r in tolerant.collect()) == [1, 3]
+
+
+def test_first_n_in_file_order(spark):
+    from quarry.operators import evaluate as E
+    from quarry.plans.pipeline import DensePipeline
+    lines = [json.dumps({"func_name": f"f{i}", "func_code_string": f"x = {i}",
+                         "func_documentation_string": f"Unique word{i} text"}) for i in range(1, 25)]
+    pipe = DensePipeline.from_jsonl(spark, {"test": _write(lines, "test.jsonl")}, max_queries=5)
+    assert [r.query_id for r in pipe.queries.orderBy("ordinal").collect()] == [f"test-{i}" for i in range(1, 6)]
+    got = {r.query_id for r in E.sample_rankings(pipe.queries, pipe.bm25_ranking, n_queries=3).collect()}
+    assert got == {"test-1", "test-2", "test-3"}
+    from quarry.operators import report
+    ex = report.example_queries(pipe.index, pipe.documents, count=4).orderBy("example_rank").collect()
+    assert [r.doc_id for r in ex] == [f"test-{i}" for i in range(1, 5)]
+    # the rerank needs no stored vectors, and keeps every query
+    assert pipe.rerank_metrics.first()["query_count"] == 5
+    none = DensePipeline.from_jsonl(spark, {"test": _write(["{}"], "none.jsonl")})
+    shown = report.example_queries(none.index, none.documents)
+    assert dict(shown.dtypes)["doc_id"] == "string" and shown.count() == 6
+
+
+def test_line_numbers_run_on_over_a_folder(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    for name, n in (("a.jsonl", 3), ("b.jsonl", 2)):
+        with open(os.path.join(d, name), "w", encoding="utf-8") as fh:
+            fh.writelines(json.dumps({"func_name": f"{name}{i}"}) + "\n" for i in range(n))
+    got = {r["id"]: r["func_name"] for r in jsonl.read_records(spark, {"train": d}).collect()}
+    assert got == {"train-1": "a.jsonl0", "train-2": "a.jsonl1", "train-3": "a.jsonl2",
+                   "train-4": "b.jsonl0", "train-5": "b.jsonl1"}

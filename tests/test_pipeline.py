@@ -37,6 +37,7 @@ def test_recall50_unchanged_by_rerank_of_50(pipeline):
     dv = rerank.hashed_document_vectors(pipeline.index)
     rr = rerank.rerank(pipeline.bm25_ranking, qv, dv, 50)
     q = pipeline.queries.join(qv.select("query_id"), "query_id")
+    assert q.count() == pipeline.queries.count()
     a = E.metrics(E.per_query(q, pipeline.bm25_ranking)).first()["recall_at_50"]
     b = E.metrics(E.per_query(q, rr)).first()["recall_at_50"]
     assert a == b
@@ -62,7 +63,9 @@ def test_entry_runs(spark):
 
 
 def test_contract_keys_match():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from quarry.plans import catalog, oracle
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", ["q_documents", "q_bm25_topk", "q_rerank_topk", "q_examples",
