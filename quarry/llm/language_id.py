@@ -4,7 +4,7 @@ elastic-net penalties, then calibrated by a temperature.
 
 Document frequencies cover all training texts.  The classifier is fitted on a
 bounded sample: at most ``SAMPLE`` training documents, as many of each
-language, smallest hashes first; a fifth of them only sets the temperature.
+language, by hash; a fifth of them only sets the temperature.
 Prediction reads whole texts and nothing but them.
 
 Features: letters in lower case, anything else as one space; n-grams of one to
@@ -29,7 +29,7 @@ from quarry.llm.common import on_workers
 
 BITS = 16
 SIZE = 1 << BITS
-SAMPLE = 4000  # Spark prunes ranks of up to 1000 a language before the shuffle
+SAMPLE = 4000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.002
 FOLDS, HELD_OUT = 4, 2
@@ -157,9 +157,14 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
     df[rows.feature.to_numpy()] = rows.n.to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    langs = sorted((r[0] for r in docs.select("lang").distinct().collect()), key=lambda s: s.encode())
+    per_lang = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    langs = sorted(per_lang, key=lambda s: s.encode())
     each = max(20, min(1000, sample // len(langs)))
-    keyed = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("k"))
+    # hashes below about twice that share of a language, so that the ranking gets few rows of any
+    parts = 1_000_000_000
+    share = F.create_map(*[F.lit(x) for g in langs for x in (g, min(parts, 2 * each * parts // per_lang[g] + 1))])
+    keyed = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("k")).filter(
+        F.pmod("k", F.lit(parts)) < F.try_element_at(share, F.col("lang")))
     chosen = keyed.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k", "doc_id"))).filter(
         F.col("r") <= each).select(F.col("doc_id").alias("id"), F.col("lang").alias("of"), "r")
     picked = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
