@@ -4,7 +4,7 @@ reset and checksummed.
 
 File format: Parquet rows ("chunks") in the order of ``part, chunk``.  A chunk
 holds whole documents: ``doc_ids`` and ``sizes`` (ids of each, end id
-included), and its ids as ``blocks`` of 4,096 (``payload`` and ``crc``, the
+included), and its ids as ``blocks`` of 2,048 (``payload`` and ``crc``, the
 crc32 of the block's ids as little-endian unsigned 32-bit integers; the last
 block of a chunk may be shorter).  Any block can be decoded alone.
 
@@ -33,8 +33,8 @@ from quarry.llm.range_coder import BLOCK, decode_blocks, encode_blocks
 from quarry.session import scratch_path
 
 END_ID = 2
-CHUNK_IDS = 2048 * BLOCK
-PART_CHARS = 16_000_000
+CHUNK_IDS = 4096 * BLOCK
+PART_CHARS = 24_000_000
 
 CHUNK_TYPE = pa.schema([
     ("part", pa.int64()), ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),

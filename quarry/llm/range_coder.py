@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 4096  # ids of a block
-CONTEXTS = 12  # bits of the tables of orders one and two
+BLOCK = 2048  # ids of a block
+CONTEXTS = 10  # bits of the tables of orders one and two
 _SCALE = 1 << 16
 _LOW32, _LOW48 = np.uint64(2**32 - 1), np.uint64(2**48 - 1)
 _16, _32, _48 = np.uint64(16), np.uint64(32), np.uint64(48)
