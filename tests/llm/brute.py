@@ -106,6 +106,12 @@ def ordered_similarity(a, b, k=5):
     return row[-1] / (len(x) + len(y) - row[-1])
 
 
+def near_copies(a, b, k=5):
+    """In-order similarity of labelled shingles and Jaccard similarity of their sets, both 0.8 or more."""
+    x, y = ({tuple(w[i:i + min(k, len(w))]) for i in range(len(w) - min(k, len(w)) + 1)} if w else set() for w in (a, b))
+    return bool(x and y) and len(x & y) >= 0.8 * len(x | y) and ordered_similarity(a, b, k) >= 0.8
+
+
 def turns(rows):
     """conversations (conv_id, turn, role, text): conv_id -> (n, sha, loss chars, loss sha)."""
     by = defaultdict(list)

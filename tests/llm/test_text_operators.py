@@ -109,7 +109,7 @@ def test_order_minhash_classes(docs, rows):
         if r[0] is not None:
             words[r[0]] = brute.words(r[1])
     ids = sorted(words)
-    edges = [(a, b) for a in ids for b in ids if a < b and brute.ordered_similarity(words[a], words[b]) >= 0.8]
+    edges = [(a, b) for a in ids for b in ids if a < b and brute.near_copies(words[a], words[b])]
     want = brute.components(ids, edges)
     got = order_minhash.classes(docs).collect()
     assert len(got) == len(rows)
@@ -130,6 +130,15 @@ def test_order_minhash_alignment_is_order_sensitive():
     assert len(word_hashes(None)) == 0
 
 
+def test_order_minhash_common_line(spark):
+    """One line repeated in both does not make two texts near-copies."""
+    line = "a very common line indeed. " * 200
+    own = [" ".join(f"x{k}_{i}" for i in range(60)) for k in range(3)]
+    d = spark.createDataFrame([(i, f"{t}\n{line}") for i, t in enumerate(own)] + [(9, f"{own[0]}\n{line}")],
+                              "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in order_minhash.classes(d).collect()} == {0: 0, 1: 1, 2: 2, 9: 0}
+
+
 def test_order_minhash_keep_one(docs):
     kept = order_minhash.keep_one(docs)
     assert kept.columns == docs.columns
@@ -154,7 +163,7 @@ def test_order_minhash_hub_that_differs(spark):
     d = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
     ids = sorted(texts)
     want = brute.components(ids, [(a, b) for a in ids for b in ids
-                                  if a < b and brute.ordered_similarity(texts[a], texts[b]) >= 0.8])
+                                  if a < b and brute.near_copies(texts[a], texts[b])])
     assert {r.doc_id: r.component_id for r in order_minhash.classes(d).collect()} == want
 
 
