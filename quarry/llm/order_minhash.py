@@ -22,8 +22,9 @@ it is connected already.  Nothing is capped.
 
 Before any text moves, the join of candidates compares their signatures (two
 bits each of 512 minimum hashes of distinct shingles, in 16 integers): it drops
-pairs of which fewer than 399 agree, where 435 are expected at similarity 0.8 (a
-true pair is dropped with probability below 1e-5), so pairs that only share a passage never
+pairs of which fewer than 408 agree, where 435 are expected at similarity 0.8 (a
+pair of exactly 0.8 is dropped with probability 3e-4, as the sketches miss one
+with 1e-4; at 0.85 both are below 1e-6), so pairs that only share a passage never
 become rows.  Jaccard distance is a metric, so two members of a bucket whose
 verified distances to the central one differ by more than 0.2 cannot link, and
 that drops pairs between a large family and its more distant relatives.
@@ -59,8 +60,9 @@ SIMILARITY = 0.8
 # (k-mers of a sketch, sketches, fewest and most k-mers of a document)
 LONG, SHORT = (5, 24, 32, None), (2, 12, 1, 50)
 SEED = 7
-LANES, LEAST_EQUAL = 512, 399
+LANES, LEAST_EQUAL = 512, 408
 MATRIX = 2_000_000  # hashes at a time
+BROADCAST_IDS = 2_000_000  # ids of candidates (32 MB) that may be broadcast, counted first
 
 
 def shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
@@ -210,6 +212,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) with their distance and whether they link, stored."""
     pairs = materialize(pairs.distinct(), "candidates")
     named = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    named = materialize(named, "candidate_ids")
+    if named.count() <= BROADCAST_IDS:  # else the texts are shuffled by id to find the candidates'
+        named = F.broadcast(named)
     texts = materialize(docs.join(named, docs.doc_id == named.id, "left_semi"), "texts")
     kind = dict(docs.dtypes)["doc_id"]
     p = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s")), "a")
