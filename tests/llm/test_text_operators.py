@@ -139,6 +139,17 @@ def test_order_minhash_common_line(spark):
     assert {r.doc_id: r.component_id for r in order_minhash.classes(d).collect()} == {0: 0, 1: 1, 2: 2, 9: 0}
 
 
+def test_order_minhash_price_of_the_set_test():
+    """Few own words beside a much repeated line: the alignment alone would link them (README)."""
+    own = [f"x{i}" for i in range(60)]
+    line = "a very common line indeed.".split() * 200
+    a, b = own + line, [f"y{i}" if i in (10, 30, 50) else w for i, w in enumerate(own)] + line
+    x, y = (order_minhash.shingles(word_hashes(" ".join(w))) for w in (a, b))
+    aligned = order_minhash.similarity(order_minhash.labelled(x), order_minhash.labelled(y))
+    assert aligned == pytest.approx(brute.ordered_similarity(a, b)) and round(aligned, 3) == 0.972
+    assert order_minhash.compare(x, y) == (0.625, False) and not brute.near_copies(a, b)
+
+
 def test_order_minhash_keep_one(docs):
     kept = order_minhash.keep_one(docs)
     assert kept.columns == docs.columns
