@@ -22,10 +22,10 @@ it is connected already.  Nothing is capped.
 
 Before any text moves, the join of candidates compares their signatures (two
 bits each of 512 minimum hashes of distinct shingles, in 16 integers): it drops
-pairs of which fewer than 408 agree, where 435 are expected at similarity 0.8 (a
-pair of exactly 0.8 is dropped with probability 3e-4, as the sketches miss one
-with 1e-4; at 0.85 both are below 1e-6), so pairs that only share a passage never
-become rows.  Jaccard distance is a metric, so two members of a bucket whose
+pairs of which fewer than 399 agree, where 435 are expected at similarity 0.8 (a
+pair of exactly 0.8 is dropped with probability 8.2e-6, far less often than the
+sketches miss one, 1e-4; at 0.81 with 7e-7), so pairs that only share a passage
+never become rows.  Jaccard distance is a metric, so two members of a bucket whose
 verified distances to the central one differ by more than 0.2 cannot link, and
 that drops pairs between a large family and its more distant relatives.
 
@@ -60,7 +60,7 @@ SIMILARITY = 0.8
 # (k-mers of a sketch, sketches, fewest and most k-mers of a document)
 LONG, SHORT = (5, 24, 32, None), (2, 12, 1, 50)
 SEED = 7
-LANES, LEAST_EQUAL = 512, 408
+LANES, LEAST_EQUAL = 512, 399
 MATRIX = 2_000_000  # hashes at a time
 BROADCAST_IDS = 2_000_000  # ids of candidates (32 MB) that may be broadcast, counted first
 
