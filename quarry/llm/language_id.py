@@ -4,7 +4,8 @@ elastic-net penalties, then calibrated by a temperature.
 
 Document frequencies cover all training texts.  The classifier is fitted on a
 bounded sample: at most ``SAMPLE`` training documents, as many of each
-language, by hash; a fifth of them only sets the temperature.
+language, by hash; a fifth of them only sets the temperature.  The one task that
+fits it gets sparse counts, at most 65,536 a document, never texts.
 Prediction reads whole texts and nothing but them.
 
 Features: letters in lower case, anything else as one space; n-grams of one to
@@ -75,7 +76,12 @@ def counts(text: str | None) -> np.ndarray | None:
 
 def vector(n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(n)
-    x = (1 + np.log(n[at])) * idf[at]
+    return sparse_vector(at, n[at], idf)
+
+
+def sparse_vector(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the counts above zero and their places."""
+    x = (1 + np.log(n)) * idf[at]
     return at, x / max(np.sqrt(x @ x), 1e-12)
 
 
@@ -169,18 +175,27 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
         F.col("r") <= each).select(F.col("doc_id").alias("id"), F.col("lang").alias("of"), "r")
     picked = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
 
+    def ngrams(batches):
+        """Sparse counts of the picked documents, so that no whole text reaches the one task."""
+        for b in batches:
+            found = [counts(text) for text in b.column(2).to_pylist()]
+            at = [None if c is None else np.flatnonzero(c) for c in found]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(at, pa.list_(pa.int32())),
+                 pa.array([None if c is None else c[i] for c, i in zip(found, at)], pa.list_(pa.int64()))],
+                ["r", "lang", "at", "n"])
+
     def learn(t):
-        """One task over the bounded sample."""
+        """One task over the bounded sample: at most SIZE counts a document."""
         t = t.sort_by([("r", "ascending"), ("lang", "ascending")])
         pairs = []
-        for text, lang in zip(t.column("text"), t.column("lang")):
-            c = counts(text.as_py())
-            if c is not None:
-                pairs.append((vector(c, idf), langs.index(lang.as_py())))
+        for at, n, lang in zip(t.column("at"), t.column("n"), t.column("lang")):
+            pairs.append((sparse_vector(at.values.to_numpy(), n.values.to_numpy(), idf), langs.index(lang.as_py())))
         w, temperature = fit([p[0] for p in pairs], np.array([p[1] for p in pairs], int), len(langs))
         return pa.table({"w": pa.array([w.astype(np.float32).tobytes()], pa.binary()), "t": [temperature]})
 
-    model = picked.select(F.lit(0).alias("g"), "r", "lang", "text").groupBy("g").applyInArrow(
+    grams = picked.select("r", "lang", "text").mapInArrow(ngrams, "r int, lang string, at array<int>, n array<bigint>")
+    model = grams.filter("at is not null").select(F.lit(0).alias("g"), "r", "lang", "at", "n").groupBy("g").applyInArrow(
         learn, "w binary, t double").first()
     if model is None:
         return None

@@ -215,3 +215,22 @@ def test_language_counts_by_pieces(monkeypatch):
     whole = language_id.counts(text)
     monkeypatch.setattr(language_id, "PIECE", 17)
     assert (language_id.counts(text) == whole).all()
+
+
+def test_language_fitting_task_gets_no_texts(spark, monkeypatch):
+    """Whole texts stay in the tasks that read them; the fitting one gets counts, and the same model."""
+    from pyspark.sql.group import GroupedData
+    real, seen = GroupedData.applyInArrow, []
+
+    def spy(self, func, schema):
+        seen.append(self._df.dtypes)
+        return real(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", spy)
+    rows = [(i, ("the cat and dog " if i % 2 else "der Hund und die ") * (1 + i % 9), ("de", "en")[i % 2]) for i in range(120)]
+    rows += [(500, "12 34", "en"), (501, "", "de")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model["langs"] == ["de", "en"] and len(seen) == 1
+    assert not {"text"} & {c for c, _ in seen[0]} and all("lang" == c or t != "string" for c, t in seen[0])
+    at, x = language_id.vector(language_id.counts("the cat and"), model["idf"])
+    assert np.argmax(x @ model["w"][at] + model["w"][language_id.SIZE]) == 1
