@@ -183,6 +183,19 @@ def test_pivot_lists_in_chunks(spark, monkeypatch):
     assert all(got[i].n_links <= deg[i] for i in got)
 
 
+def test_pivot_recall_at_every_count():
+    """Pairs at cosine 0.98 in random directions still share 3 of 6 pivots with more pivots (README)."""
+    r = np.random.default_rng(8)
+    a, e = pivot_permutation.unit(r.normal(size=(3000, 64))), r.normal(size=(3000, 64))
+    e = pivot_permutation.unit(e - (e * a).sum(1, keepdims=True) * a)
+    b = 0.98 * a + math.sqrt(1 - 0.98**2) * e
+    sizes = sorted({pivot_permutation.pivot_count(n) for n in (1, 10**6 + 1, 10**7, 10**8, 10**9, 10**12)})
+    assert sizes == [128, 256, 512, 1024]
+    for n in sizes:
+        x, y = (pivot_permutation.describe(v, a[:n], pivot_permutation.PREFIX)[n:] for v in (a, b))
+        assert ((x[:, :, None] == y[:, None, :]).any(2).sum(1) >= pivot_permutation.SHARED).mean() > 0.98
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1400)] + [(5000, 5000), (7, 3), (7, 3)]
     got = {r.node: r.component for r in components.connected_components(
