@@ -13,8 +13,8 @@ from quarry.sources.tables import read_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents that the rules reject go."""
-    return quality_rules.judge(docs).filter("kept").select(*[f"`{c}`" for c in docs.columns])
+    """Operator 4: documents that the rules of a corpus reject go."""
+    return quality_rules.judge(docs, rules=quality_rules.CORPUS_RULES).filter("kept").select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

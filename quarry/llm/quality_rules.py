@@ -10,7 +10,7 @@ untouched unless they have the name of a result column, which replaces them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +51,10 @@ RULES = (
     Rule("bullet_lines", "bullet_ratio", most=0.9),
 )
 
+# For a corpus that is to keep its clean short texts: ten words with one function word and a number
+# or two pass (the share of stop words still has its bound)
+CORPUS_RULES = tuple(replace(r, least=0.6) if r.name == "alphabetic" else r for r in RULES if r.name != "stop_words")
+
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 
 
