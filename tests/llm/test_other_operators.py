@@ -8,6 +8,7 @@ from os.path import dirname
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -69,6 +70,17 @@ def test_range_coder_round_trip():
     assert range_coder.encode_blocks([blocks[4]])[0] == packed[4]
 
 
+def test_range_coder_bytes_per_id():
+    """Ids of real texts take less than 1.5 of 2 bytes (README: 1.39 on check_s)."""
+    t = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()[:400]
+    lib = Tokenizer.from_file(WORDS)
+    ids = np.concatenate([np.array([*lib.encode(x or "", add_special_tokens=False).ids, 2], np.uint16) for x in t])
+    blocks = [ids[i:i + range_coder.BLOCK] for i in range(0, len(ids), range_coder.BLOCK)]
+    packed = range_coder.encode_blocks(blocks)
+    assert (np.concatenate(range_coder.decode_blocks(packed, [len(b) for b in blocks])) == ids).all()
+    assert sum(map(len, packed)) < 1.5 * len(ids)
+
+
 def test_token_files(docs, rows, empty):
     lib = Tokenizer.from_file(WORDS)
     lib.encode_special_tokens = True
