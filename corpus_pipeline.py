@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm import byte_bpe, order_minhash, quality_rules, source_mixing, substring_dedup
 from quarry.session import materialize
@@ -14,7 +15,9 @@ from quarry.sources.tables import read_table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents that the rules of a corpus reject go."""
-    return quality_rules.judge(docs, rules=quality_rules.CORPUS_RULES).filter("kept").select(*[f"`{c}`" for c in docs.columns])
+    # packed, since the results of ``judge`` replace columns of their names
+    packed = docs.select("text", F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"))
+    return quality_rules.judge(packed, rules=quality_rules.CORPUS_RULES).filter("kept").select("_row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +48,8 @@ STAGES = [
     ("byte-level BPE", encoding_stage),
 ]
 
-# sketches, random keys and token merges have no SQL; tests/llm checks each stage by brute force
+# sketches, random keys and token merges have no SQL; tests/llm/test_corpus_pipeline.py checks each stage
+# and the chain by brute force
 ORACLE_SQL = None
 
 
