@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.functions.numeric import round6
+from quarry.operators.ingest import file_order
 
 # Evaluation cut-offs of the reference.
 EVAL_DEPTH = 50
@@ -25,7 +26,7 @@ def build_queries(documents: DataFrame, split: str = "test",
     ``max_queries`` keeps the first n in file order (after the blank filter)."""
     q = (documents.filter(F.col("split") == split)
          .select(F.col("id").alias("query_id"), T.strip("docstring").alias("query_text"),
-                 F.col("id").alias("relevant_doc_id"), "func_name", "ordinal")
+                 F.col("id").alias("relevant_doc_id"), "func_name", file_order(documents))
          .filter(F.col("query_text") != ""))
     if max_queries is not None:
         q = q.orderBy("ordinal", "query_id").limit(max_queries)

@@ -29,6 +29,12 @@ METADATA_COLUMNS = ("id", "split", "language", "repository_name",
                     "func_path_in_repository", "func_name", "func_code_url")
 
 
+def file_order(records: DataFrame) -> F.Column:
+    """``ordinal``, the place of a record in its file; tables without one are
+    in the order of their ids."""
+    return F.col("ordinal" if "ordinal" in records.columns else "id").alias("ordinal")
+
+
 def prepare(raw: DataFrame) -> DataFrame:
     """Every raw record with its cleaned fields, tokens and drop reason
     (null for kept records).  Tokenizes once; persist the result when it is
@@ -45,7 +51,7 @@ def prepare(raw: DataFrame) -> DataFrame:
         return F.when(F.array_contains(F.col("_keys"), key), F.col(key)).otherwise(F.lit(default))
 
     staged = raw.select(
-        "id", "split", F.col("ordinal" if "ordinal" in raw.columns else "id").alias("ordinal"),
+        "id", "split", file_order(raw),
         name.alias("func_name"), docstring.alias("docstring"), code.alias("code"),
         meta("language", "python").alias("language"),
         meta("repository_name", "").alias("repository_name"),

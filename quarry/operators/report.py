@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators.search import BROADCAST_ROW_LIMIT, bm25_topk, bounded_broadcast
 from quarry.operators.index import BM25Index
+from quarry.operators.ingest import file_order
 
 # Metadata fields that override the document's, and the
 # example-query rules (length limit, count, fallback texts).
@@ -158,7 +159,7 @@ def example_queries(index: BM25Index, documents: DataFrame, split: str = "test",
              .withColumn("query_text", T.strip("docstring"))
              .filter((F.col("query_text") != "") & (F.length("query_text") <= max_chars)
                      & (F.instr("query_text", "\n") == 0))
-             .select(F.col("id").alias("query_id"), "query_text", "ordinal"))
+             .select(F.col("id").alias("query_id"), "query_text", file_order(documents)))
     top1 = bm25_topk(index, cands.select("query_id", "query_text"), 1)
     hit = cands.join(top1.select("query_id", "doc_id"), "query_id") \
         .filter(F.col("doc_id") == F.col("query_id"))
