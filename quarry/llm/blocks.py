@@ -66,10 +66,10 @@ def corpus_chars(docs: DataFrame) -> int:
     return docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
 
 
-def store_blocks(docs: DataFrame, chars: int, name: str) -> DataFrame:
+def store_blocks(docs: DataFrame, chars: int, name: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` (doc_id, text and more) with ``block``, stored in buckets of
     blocks; rows of one id share a block."""
-    n = max(LEAST_BLOCKS, -(-chars // BLOCK_CHARS))
+    n = max(LEAST_BLOCKS, -(-chars // block_chars))
     buckets = min(max(LEAST_BLOCKS, n // 2), 50_000)
     d = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("long"))
     return save_bucketed(d.repartition(buckets, "block"), name, "block", buckets)

@@ -1,5 +1,5 @@
 """DuckDB SQL of the training-data queries that SQL can express: operators 1,
-4, 6 and 10.  The others rest on trained models, random keys or token merges
+4, 6 and 10 to 13.  The others rest on trained models, random keys or token merges
 and are tested against brute force in ``tests/llm``."""
 
 from __future__ import annotations
@@ -81,3 +81,41 @@ joined AS (SELECT conv_id, count(*) AS n_turns,
   FROM turns GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(body) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
   sha256(loss) AS loss_sha256, formatted_chars FROM joined"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SQL["op11_line_dedup"] = f"""WITH listed AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos FROM listed),
+keyed AS (SELECT *, {_LOWER.format(f"trim(line, {_BLANK})")} AS k FROM lines),
+common AS (SELECT k AS c FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common ON k = c GROUP BY doc_id"""
+
+_TERMS = f"""regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+SQL["op12_best_position"] = f"""WITH d AS (SELECT doc_id, unnest({_TERMS}) AS t FROM documents),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+s AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS l FROM n),
+m AS (SELECT doc_id, 100 - 50 + (50 * n * big_n) // l AS m FROM n, s),
+f AS (SELECT doc_id, t, count(*) AS tf FROM d WHERE t IN (SELECT t FROM q) GROUP BY doc_id, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM f, s GROUP BY t),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+  doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50"""
+
+SQL["op13_hard_negatives"] = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS s
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT p.a, p.b, p.s, n.b AS nb, n.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) AS r
+  FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s)
+SELECT a AS anchor_id, b AS positive_id, CAST(r AS INTEGER) AS rank, nb AS negative_id, s AS positive_score,
+  ns AS negative_score FROM n WHERE r <= 3"""

@@ -117,3 +117,25 @@ def op7_token_files(spark, sf_dir):
     from quarry.llm import binary_output
     d = only(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return binary_output.round_trip(d, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op11_line_dedup(spark, sf_dir):
+    """Operator 11 over all of ``documents``."""
+    from quarry.llm import line_dedup
+    return line_dedup.drop_lines(only(read_table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+@register
+def op12_best_position(spark, sf_dir):
+    """Operator 12: all of ``documents`` for each of ``benchmark``."""
+    from quarry.llm import best_position
+    return best_position.search(only(read_table(spark, sf_dir, "documents"), "doc_id", "text"),
+                                only(read_table(spark, sf_dir, "benchmark"), "item_id", "text"))
+
+
+@register
+def op13_hard_negatives(spark, sf_dir):
+    """Operator 13 over all of ``embeddings``."""
+    from quarry.llm import hard_negatives
+    return hard_negatives.hard_negatives(only(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label"))
