@@ -57,7 +57,7 @@ def cmd_corpus(spark, a):
 def cmd_index(spark, a):
     docs = _processed(spark, a.processed_dir, a.splits)
     n = a.buckets or bucket_count(spark, docs.agg(F.sum("lexical_token_count")).first()[0] or 0)
-    sinks.write_index(build_index(docs, n).materialized(), a.output_dir, n)  # the postings are built once
+    sinks.write_index(build_index(docs, n).materialized(), a.output_dir)  # the postings are built once
 
 
 def _evaluation(spark, a):

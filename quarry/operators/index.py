@@ -1,78 +1,106 @@
-"""Inverted index as DataFrames: documents, postings, vocabulary, statistics.
-
-Layout for scale: the processed documents are hash-partitioned by ``doc_id``
-once (one shuffle of the compact space-joined token text).  Everything per
-document - token split, term frequencies, the postings table - then runs
-without another exchange, and the postings keep the ``doc_id`` partitioning
-that the query phase relies on (scores are summed per ``(query, doc)``
-inside the doc partition).  The only other shuffle is the document- and
-collection-frequency count by term, which is partially aggregated map-side.
+"""Inverted index as DataFrames: documents, posting lists, vocabulary,
+statistics.
+
+Layout for scale: the processed documents are dealt once (one shuffle of the
+compact space-joined token text) into document buckets by a hash of their id.
+Everything per bucket - token split, term frequencies, posting lists - then
+runs without another exchange.  A posting list is one row per (document bucket,
+term) with its documents in order and the largest idf-free impact among them
+(the block maximum that the ranking prunes with), so a term's text and hash are
+handled once a bucket, not once a posting.
+
+The lists are stored as a table in two levels: ``bucket`` is what Spark buckets
+the table by, ``part`` divides a bucket further when there are more document
+buckets than Spark allows buckets.  The only other shuffle is the document- and
+collection-frequency sum by term, over one number per list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import round_ratio
+from quarry.session import materialize, save_bucketed, two_levels
 
 # BM25 parameters of the reference.
 K1 = 1.5
 B = 0.75
+LAYOUT = ("bucket", "part")
 
 
 class BM25Index:
-    """Four tables of the index.
+    """Tables of the index.
 
     * ``documents``  (doc_id, split, func_name, lexical_token_count)
-    * ``postings``   (doc_id, term, term_frequency, doc_length), hash-partitioned by doc_id
+    * ``lists``      (bucket, part, term, df, cf, max_factor, docs), ``docs`` an array of
+      (doc_id, term_frequency, doc_length) by doc_id; bucketed by ``bucket``
+    * ``postings``   (doc_id, term, term_frequency, doc_length, bucket, part): the lists unrolled
     * ``vocabulary`` (term, document_frequency, collection_frequency, idf)
     * ``statistics`` one row (document_count, total_token_count,
       average_document_length, vocabulary_size, k1, b)
 
-    When ``vocabulary`` / ``statistics`` are not given they are derived from
-    the postings and documents on first use (they need the corpus size,
-    read as a scalar from a one-row aggregate).
+    What is not given is derived from the unrolled postings or the lists on
+    first use (corpus totals are read as a scalar from a one-row aggregate).
+    ``files`` and ``parts`` are the two levels of the layout.
     """
 
-    def __init__(self, documents: DataFrame, postings: DataFrame,
+    def __init__(self, documents: DataFrame, lists: DataFrame | None = None,
                  vocabulary: DataFrame | None = None, statistics: DataFrame | None = None,
-                 num_partitions: int = 0, k1: float = K1, b: float = B):
+                 files: int = 1, parts: int = 1, k1: float = K1, b: float = B,
+                 raw_postings: DataFrame | None = None):
         self.documents = documents
-        self.postings = postings
-        self._vocabulary = vocabulary
-        self._statistics = statistics
-        self.num_partitions = num_partitions
+        self.files, self.parts = files, parts
         self.k1 = k1
         self.b = b
+        self._raw = raw_postings
+        for name, table in (("lists", lists), ("vocabulary", vocabulary), ("statistics", statistics)):
+            if table is not None:
+                self.__dict__[name] = table
 
     @property
+    def spark(self) -> SparkSession:
+        return self.documents.sparkSession
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        if self._raw is not None:
+            return self._raw
+        return self.lists.select("term", *LAYOUT, F.inline("docs")).select(
+            "doc_id", "term", "term_frequency", "doc_length", *LAYOUT)
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return _corpus_totals(self.documents)
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        return lists_from(self._raw, self.totals, self.k1, self.b)
+
+    @cached_property
     def vocabulary(self) -> DataFrame:
-        if self._vocabulary is None:
-            self._vocabulary = vocabulary_from(self.postings, _corpus_totals(self.documents))
-        return self._vocabulary
+        return vocabulary_from(self.lists, self.totals)
 
-    @property
+    @cached_property
     def statistics(self) -> DataFrame:
-        if self._statistics is None:
-            self._statistics = statistics_from(self.documents, self.vocabulary, None,
-                                               self.k1, self.b)
-        return self._statistics
+        return statistics_from(self.documents, self.vocabulary, self.totals, self.k1, self.b)
+
+    def labels(self) -> DataFrame:
+        return bucket_labels(self.spark, self.files)
 
     def materialized(self) -> "BM25Index":
-        """Store the index once: postings as a table bucketed by doc_id (keeps
-        the layout the query phase needs), the small tables as parquet."""
-        from quarry.session import materialize, save_bucketed
-        n = self.num_partitions or int(
-            self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # bucketed by doc_id for the query phase; sorted by term inside each
-        # bucket so ad-hoc term lookups skip row groups (the term index)
-        postings = save_bucketed(self.postings, "postings", "doc_id", n, sort_by="term")
+        """Store the index once: the lists as a bucketed table (the layout that
+        the query phase needs), the small tables as parquet."""
         docs = materialize(self.documents, "documents")
         totals = materialize(_corpus_totals(docs), "totals")
-        vocab = materialize(vocabulary_from(postings, totals), "vocabulary")
+        # in the order of terms inside a bucket, so that look-ups skip row groups
+        lists = save_bucketed(lists_from(self._raw, totals, self.k1, self.b), "postings", "bucket",
+                              self.files, sort_by=("part", "term")) if self._raw is not None else self.lists
+        vocab = materialize(vocabulary_from(lists, totals), "vocabulary")
         stats = materialize(statistics_from(docs, vocab, totals, self.k1, self.b), "statistics")
-        return BM25Index(docs, postings, vocab, stats, n, self.k1, self.b)
+        return BM25Index(docs, lists, vocab, stats, self.files, self.parts, self.k1, self.b)
 
 
 def idf(document_count, document_frequency) -> F.Column:
@@ -93,14 +121,26 @@ def _corpus_totals(docs: DataFrame) -> DataFrame:
         .alias("average_document_length"))
 
 
-def vocabulary_from(postings: DataFrame, totals: DataFrame) -> DataFrame:
-    """Document and collection frequency per term (partial-aggregated by
-    term, so a term in every document is combined map-side) and its idf.
+def bucket_labels(spark: SparkSession, files: int) -> DataFrame:
+    """``slot, bucket``: for each of ``files`` hash slots the smallest number
+    that Spark's own hash sends there, so that rows with that ``bucket`` fill
+    exactly one bucket (or shuffle partition) of ``files``, and every one."""
+    wide = 8 * files + 64
+    while True:
+        ids = spark.range(wide).select(F.pmod(F.hash("id"), F.lit(files)).alias("slot"), F.col("id").alias("bucket"))
+        labels = ids.groupBy("slot").agg(F.min("bucket").alias("bucket")).collect()
+        if len(labels) == files:  # one row a file, at most the limit on buckets
+            return spark.createDataFrame(labels, "slot int, bucket long")
+        wide *= 2
+
+
+def vocabulary_from(lists: DataFrame, totals: DataFrame) -> DataFrame:
+    """Document and collection frequency per term (sums over one row per
+    bucket, so a term in every document costs no more than another) and its idf.
     The corpus size is read from the one-row totals and folded in as a
     constant."""
-    counts = postings.groupBy("term").agg(
-        F.count(F.lit(1)).alias("document_frequency"),
-        F.sum("term_frequency").cast("long").alias("collection_frequency"))
+    counts = lists.groupBy("term").agg(F.sum("df").cast("long").alias("document_frequency"),
+                                       F.sum("cf").cast("long").alias("collection_frequency"))
     n = totals.select("document_count").first()["document_count"]
     return counts.select("term", "document_frequency", "collection_frequency",
                          idf(F.lit(n), F.col("document_frequency")).alias("idf"))
@@ -117,33 +157,56 @@ def statistics_from(docs: DataFrame, vocabulary: DataFrame, totals: DataFrame |
         F.lit(k1).alias("k1"), F.lit(b).alias("b"))
 
 
+def term_factor(avgdl: float, k1: float, b: float, tf="term_frequency", dl="doc_length"):
+    """The idf-free part of the BM25 weight, ``tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl))``."""
+    tf, dl = F.col(tf), F.col(dl)
+    k1c, bc = F.lit(float(k1)), F.lit(float(b))
+    return (tf * (k1c + F.lit(1.0))) / (tf + k1c * (F.lit(1.0) - bc + bc * dl / F.lit(float(avgdl))))
+
+
+def lists_from(postings: DataFrame, totals: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+    """One row per document bucket and term, inside the buckets (no exchange).
+    A list is bounded by the documents of its bucket."""
+    avgdl = totals.first()["average_document_length"]
+    return postings.groupBy(*LAYOUT, "term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("term_frequency").cast("long").alias("cf"),
+        F.max(term_factor(avgdl, k1, b)).alias("max_factor"),
+        F.sort_array(F.collect_list(F.struct("doc_id", "term_frequency", "doc_length"))).alias("docs"))
+
+
 def build_index(processed: DataFrame, num_partitions: int | None = None,
-                k1: float = K1, b: float = B) -> BM25Index:
+                k1: float = K1, b: float = B, files: int | None = None) -> BM25Index:
     """Index processed documents (``id, split, func_name, lexical_document``).
 
-    Documents whose lexical text is empty are not indexed.  ``num_partitions``
-    defaults to ``spark.sql.shuffle.partitions``; on a cluster size it so one
-    partition's postings fit an executor's memory (about 128-256 MB each).
+    Documents whose lexical text is empty are not indexed.  ``num_partitions``:
+    document buckets, by default ``spark.sql.shuffle.partitions``; on a cluster
+    size them so that one bucket's postings fit a task's memory (about 100-250
+    MB each, see ``session.bucket_count``).  ``files``: buckets of the stored
+    table, by default as many as Spark allows.
     """
     spark = processed.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files, parts = two_levels(spark, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), files)
     indexed = processed.filter(F.col("lexical_document") != "")
     count = (F.col("lexical_token_count") if "lexical_token_count" in processed.columns
              else F.size(F.split("lexical_document", " "))).cast("long")
     # the per-document table needs no particular layout: no shuffle
     doc_table = indexed.select(F.col("id").alias("doc_id"), "split", "func_name",
                                count.alias("lexical_token_count"))
-    # postings: one shuffle of the compact token text by doc_id, after which
-    # term counting and the postings table keep that partitioning
-    docs = (indexed.select(F.col("id").alias("doc_id"), "lexical_document")
-            .repartition(n, "doc_id")
+    # postings: one shuffle of the compact token text by bucket, after which
+    # term counting and the posting lists keep that partitioning
+    dealt = indexed.select(F.col("id").alias("doc_id"), "lexical_document",
+                           F.pmod(F.hash("id"), F.lit(files)).alias("slot"),
+                           F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
+    docs = (dealt.join(F.broadcast(bucket_labels(spark, files)), "slot")
+            .select(*LAYOUT, "doc_id", "lexical_document")
+            .repartition(files, "bucket")
             .withColumn("tokens", F.split("lexical_document", " ")))
-    postings = (docs.select("doc_id", F.size("tokens").cast("long").alias("doc_length"),
+    postings = (docs.select(*LAYOUT, "doc_id", F.size("tokens").cast("long").alias("doc_length"),
                             F.explode("tokens").alias("term"))
-                .groupBy("doc_id", "doc_length", "term")
+                .groupBy(*LAYOUT, "doc_id", "doc_length", "term")
                 .agg(F.count(F.lit(1)).alias("term_frequency"))
-                .select("doc_id", "term", "term_frequency", "doc_length"))
-    return BM25Index(doc_table, postings, None, None, n, k1, b)
+                .select("doc_id", "term", "term_frequency", "doc_length", *LAYOUT))
+    return BM25Index(doc_table, files=files, parts=parts, k1=k1, b=b, raw_postings=postings)
 
 
 def statistics_long(statistics: DataFrame) -> DataFrame:
@@ -157,46 +220,3 @@ def statistics_long(statistics: DataFrame) -> DataFrame:
         F.lit("bm25_parameters"), F.to_json(F.struct("k1", "b")),
     )).alias("key", "value")).select(
         "key", F.regexp_replace("value", r"^\[(.*)\]$", "$1").alias("value"))
-
-
-def term_factor(avgdl: float, k1: float, b: float, tf="term_frequency", dl="doc_length"):
-    """The idf-free part of the BM25 weight, ``tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl))``."""
-    tf, dl = F.col(tf), F.col(dl)
-    k1c, bc = F.lit(float(k1)), F.lit(float(b))
-    return (tf * (k1c + F.lit(1.0))) / (tf + k1c * (F.lit(1.0) - bc + bc * dl / F.lit(float(avgdl))))
-
-
-def scoring_bounds(index: BM25Index, depth: int = 50) -> DataFrame:
-    """Per term: ``ub_fp``, an upper bound of its fixed-point impact in any
-    document, and ``lb_fp``, a lower bound of its ``depth``-th largest impact
-    (0 when fewer documents hold it).  Used for exact top-k pruning.
-
-    The maximum is a partial-aggregated ``groupBy(term)``; the depth-th
-    largest keeps at most ``depth`` rows per term and partition before its
-    exchange (``WindowGroupLimit``), so a term in every document moves only
-    ``depth`` rows per partition.  Margins of 2 fixed-point units cover the
-    different rounding of ``idf * f`` and the scorer's operation order."""
-    from pyspark.sql import Window
-    from quarry.functions.numeric import to_fixed
-    s = index.statistics.select("average_document_length", "k1", "b").first()
-    f = term_factor(s["average_document_length"], s["k1"], s["b"])
-    per = index.postings.select("term", f.alias("f"))
-    maxf = per.groupBy("term").agg(F.max("f").alias("max_f"))
-    w = Window.partitionBy("term").orderBy(F.desc("f"))
-    top = per.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= depth)
-    kth = top.groupBy("term").agg(F.min("f").alias("kth_f"), F.count(F.lit(1)).alias("_n")) \
-        .filter(F.col("_n") >= depth).select("term", "kth_f")
-    b = index.vocabulary.select("term", "idf").join(maxf, "term").join(kth, "term", "left")
-    return b.select(
-        "term",
-        (to_fixed(F.col("idf") * F.col("max_f")) + F.lit(2)).alias("ub_fp"),
-        F.coalesce(F.greatest(to_fixed(F.col("idf") * F.col("kth_f")) - F.lit(2), F.lit(0)),
-                   F.lit(0)).cast("long").alias("lb_fp"))
-
-
-def forward_index(index: BM25Index) -> DataFrame:
-    """``(doc_id, doc_length, terms)``: each document's ``term -> tf`` map,
-    built inside the postings' doc_id buckets (no exchange; one document's
-    map is bounded by the document itself)."""
-    return index.postings.groupBy("doc_id", "doc_length").agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "term_frequency"))).alias("terms"))

@@ -1,19 +1,15 @@
 """BM25 search over a batch of queries.
 
-Plan (checked with ``explain``): the query-term table, joined to the
-vocabulary for its idf, is small and broadcast (its size is counted first);
-the postings stream through a broadcast hash join inside their ``doc_id``
-partitions; impacts are summed per ``(query_id, doc_id)`` with no exchange,
-because the postings are already hash-partitioned by ``doc_id``; and the
-per-query top-k keeps at most k rows per (partition, query) before the only
-exchange of the query phase (``WindowGroupLimit``).
-
-The queries run in hash batches whose terms fit the limits (rows, and bytes
-as measured), one after another, each appended to one result table; one batch
-or many are the same code, for :func:`bm25_topk` and its exact max-score
-variant :func:`bm25_topk_pruned` alike, so the plan does not grow with the
-number of queries.  The bare :func:`bm25_scores` falls back to a shuffle join
-on ``term`` (adaptive skew-join splits hot terms).
+The ranking (:func:`bm25_topk`) is one scan of the stored posting lists for any
+number of queries (``blockmax``): the weighted queries are sent to the document
+buckets, which return at most k documents a query each, and only those move to
+the final cut (``WindowGroupLimit``).
+
+:func:`bm25_scores` is the relational form over all pairs: the query terms are
+joined to the posting lists by term, the lists unrolled, and impacts summed per
+``(query_id, doc_id)`` inside the document buckets with no exchange.  Its query
+terms are broadcast behind a count; beyond the limit it falls back to a shuffle
+join on ``term`` (adaptive skew-join splits hot terms).
 """
 
 from __future__ import annotations
@@ -23,14 +19,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.functions.numeric import from_fixed, to_fixed
-from quarry.operators.index import BM25Index
-from quarry.session import materialize, scratch_path
+from quarry.operators import blockmax
+from quarry.operators.index import LAYOUT, BM25Index
+from quarry.session import materialize, settings
 
 # Rows of (query, term, idf) that may be broadcast to every executor
 # (about 40 bytes each: ~40 MB at the limit).
 BROADCAST_ROW_LIMIT = 1_000_000
-# Bytes of the query terms of a batch (terms plus 32 a row), whatever their length.
-BATCH_BYTES = 64 * 1024 * 1024
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -84,17 +79,20 @@ def bm25_scores(index: BM25Index, queries: DataFrame,
     small = within_limit(qterms, broadcast_limit, n_terms)
     wt = weighted_terms(index, qterms, small)
     c = scoring_constants(index)
-    matches = index.postings.join(F.broadcast(wt) if small else wt, "term")
-    return (matches.groupBy("query_id", "doc_id")
-            .agg(F.sum(to_fixed(impact(**c))).alias("score_fp")))
+    matches = index.lists.select(*LAYOUT, "term", "docs").join(F.broadcast(wt) if small else wt, "term") \
+        .select(*LAYOUT, "query_id", "idf", F.inline("docs"))
+    return (matches.groupBy("bucket", "query_id", "doc_id")
+            .agg(F.sum(to_fixed(impact(**c))).alias("score_fp"))
+            .select("query_id", "doc_id", "score_fp"))
 
 
 def postings_for_terms(index: BM25Index, terms: list[str]) -> DataFrame:
     """Point lookup of the postings of a few terms (ad hoc): the ``IN``
     filter is pushed to the parquet scan, where the per-bucket term order
-    lets row groups be skipped.  Batches of queries use the join instead."""
-    return index.postings.filter(F.col("term").isin(list(terms))) \
-        .select("term", "doc_id", "term_frequency")
+    lets row groups be skipped.  It opens every bucket; many look-ups use the
+    term-clustered copy (``term_store``), batches of queries the ranking."""
+    return index.lists.filter(F.col("term").isin(list(terms))) \
+        .select("term", F.inline("docs")).select("term", "doc_id", "term_frequency")
 
 
 def rank_by(df: DataFrame, partition: str, *order, k: int | None = None,
@@ -110,79 +108,36 @@ def _topk(scores: DataFrame, k: int) -> DataFrame:
                       from_fixed("score_fp").alias("score"), "score_fp")
 
 
-def in_batches(queries: DataFrame, run, name: str, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """``run(batch)`` of each batch of ``queries``, one after another, appended
-    to one stored table.  Batches are hash ranges of the query ids, as many as
-    the number and the bytes of the query terms ask for."""
-    terms = query_terms(queries)
-    n, size = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0))).first()
-    batches = max(1, -(-n // max(row_limit, 1)), -(-size // BATCH_BYTES))
-    path = scratch_path(queries.sparkSession, name)
-    for i in range(batches):
-        out = run(queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == i))
-        out.write.mode("append").parquet(path)
-    return queries.sparkSession.read.schema(out.schema).parquet(path)
+def weighted_queries(index: BM25Index, queries: DataFrame) -> DataFrame:
+    """``(query_id, terms, idfs)``: one row per query with a known term."""
+    wt = weighted_terms(index, query_terms(queries)).groupBy("query_id").agg(
+        F.collect_list(F.struct("term", "idf")).alias("t"))
+    return wt.select("query_id", F.col("t.term").alias("terms"), F.col("t.idf").alias("idfs"))
 
 
-def bm25_topk(index: BM25Index, queries: DataFrame, k: int,
-              broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def bm25_topk(index: BM25Index, queries: DataFrame, k: int) -> DataFrame:
     """``(query_id, rank, doc_id, score, score_fp)`` for ranks 1..k; ties on
-    the score break by ``doc_id`` ascending.  Batches of queries keep the
-    broadcast, no-exchange plan (one scan of the postings each)."""
-    return in_batches(queries, lambda part: _topk(bm25_scores(index, part, broadcast_limit * 2), k),
-                      "ranking", broadcast_limit)
-
-
-def bm25_topk_pruned(index: BM25Index, queries: DataFrame, k: int, bounds: DataFrame,
-                     forward: DataFrame, bound_depth: int,
-                     broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Exact top-k with max-score pruning; same rows as :func:`bm25_topk`.
-
-    Per query, ``theta`` = the largest lower bound of a term's
-    ``bound_depth``-th impact: at least ``bound_depth >= k`` documents score
-    at least ``theta``.  Terms sorted by upper bound whose bounds sum below
-    ``theta`` are non-essential: a document holding only those scores below
-    the k-th best, so candidates come only from the essential terms'
-    postings (summed in their doc_id buckets, no exchange).  The
-    non-essential terms' impacts are then added from the forward index
-    (``term -> tf`` per document, co-bucketed by doc_id: no exchange).
-    With ``k > bound_depth`` the bounds say nothing and the exhaustive plan
-    runs."""
-    if k > bound_depth:
-        return bm25_topk(index, queries, k, broadcast_limit)
-    return in_batches(queries, lambda part: _pruned_batch(index, part, k, bounds, forward),
-                      "pruned_ranking", broadcast_limit)
-
-
-def _pruned_batch(index: BM25Index, queries: DataFrame, k: int, bounds: DataFrame,
-                  forward: DataFrame) -> DataFrame:
-    qterms = query_terms(queries)
-    c = scoring_constants(index)
-    wt = weighted_terms(index, qterms, True).join(F.broadcast(
-        bounds.join(F.broadcast(qterms.select("term").distinct()), "term", "left_semi")), "term")
-    theta = wt.groupBy("query_id").agg(F.max("lb_fp").alias("theta"))
-    w = Window.partitionBy("query_id").orderBy("ub_fp", "term").rowsBetween(Window.unboundedPreceding, 0)
-    # one small row per (query, term); stored once, read by both branches
-    cls = materialize(wt.join(theta, "query_id").withColumn("_cum", F.sum("ub_fp").over(w))
-                      .withColumn("essential", F.col("_cum") >= F.col("theta")), "query_terms")
-    essential = cls.filter("essential").select("term", "query_id", "idf")
-    optional = cls.filter(~F.col("essential")).groupBy("query_id").agg(
-        F.collect_list(F.struct("term", "idf")).alias("ne"))
-    e_scores = (index.postings.join(F.broadcast(essential), "term")
-                .groupBy("query_id", "doc_id").agg(F.sum(to_fixed(impact(**c))).alias("e_fp")))
-    joined = e_scores.join(forward, "doc_id").join(F.broadcast(optional), "query_id", "left")
-    k1, b, avgdl = (F.lit(float(c["k1"])), F.lit(float(c["b"])), F.lit(float(c["avgdl"])))
-    dl = F.col("doc_length")
-
-    def add(acc, x):
-        tf = F.try_element_at(F.col("terms"), x["term"])
-        w_ = x["idf"] * (tf * (k1 + F.lit(1.0))) / (tf + k1 * (F.lit(1.0) - b + b * dl / avgdl))
-        return acc + F.coalesce(to_fixed(w_), F.lit(0).cast("long"))
-
-    ne_fp = F.aggregate(F.coalesce(F.col("ne"), F.array().cast("array<struct<term:string,idf:double>>")),
-                        F.lit(0).cast("long"), add)
-    scores = joined.select("query_id", "doc_id", (F.col("e_fp") + ne_fp).alias("score_fp"))
-    return _topk(scores, k)
+    the score break by ``doc_id`` ascending.  Any number of queries is one scan
+    of the posting lists, pruned by block maxima (``blockmax``); the result is
+    stored."""
+    weighted = materialize(weighted_queries(index, queries), "weighted_queries")
+    with settings(index.spark, blockmax.KEEP_BUCKETS):
+        found = blockmax.rank_buckets(index, weighted, k, scoring_constants(index))
+        return materialize(_topk(found, k), "ranking")
+
+
+def bm25_topk_exhaustive(index: BM25Index, queries: DataFrame, k: int) -> DataFrame:
+    """The same rows from the scores of all pairs, by relational operators
+    only: the plan that :func:`bm25_topk` is compared with."""
+    return _topk(bm25_scores(index, queries), k)
+
+
+def bm25_candidates(index: BM25Index, queries: DataFrame, k: int) -> DataFrame:
+    """``(query_id, doc_id, score_fp)`` of the pairs that can be in a top-k under any order
+    of ties: scores of at least the query's k-th best."""
+    w = Window.partitionBy("query_id").orderBy(F.desc("score_fp"))
+    s = bm25_scores(index, queries)
+    return s.withColumn("_r", F.rank().over(w)).filter(F.col("_r") <= k).drop("_r")
 
 
 def search(index: BM25Index, query_texts: DataFrame, top_k: int = 10) -> DataFrame:

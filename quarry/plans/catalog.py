@@ -17,6 +17,7 @@ from quarry.functions import text as T
 from quarry.functions.numeric import from_fixed, round6
 from quarry.operators import evaluate as E
 from quarry.operators import ingest, quality, report, rerank, search
+from quarry.operators.index import build_index
 from quarry.plans.pipeline import DensePipeline, HashedDensePipeline, Pipeline, long_rank
 from quarry.session import scratch_path
 from quarry.sources import jsonl, sinks, tables
@@ -158,9 +159,9 @@ def q_queries(spark, sf_dir):
 
 @register
 def q_bm25_scores(spark, sf_dir):
-    """BM25 score of every matching (query, document)."""
-    p = Pipeline(spark, sf_dir)
-    s = search.bm25_scores(p.index, p.queries)
+    """BM25 scores of the candidates of each query, by the
+    relational plan: documents that score at least its 50th best, ties included."""
+    s = Pipeline(spark, sf_dir).bm25_candidates_scored
     return s.select("query_id", "doc_id", from_fixed("score_fp").alias("score"))
 
 
@@ -173,9 +174,12 @@ def q_bm25_topk(spark, sf_dir):
 
 @register
 def q_bm25_topk_pruned(spark, sf_dir):
-    """The same top-50 with exact max-score pruning."""
+    """The same top-50 from an index with more document buckets than
+    files (its second level), pruned by the block maxima of each."""
     p = Pipeline(spark, sf_dir)
-    return long_rank(p.bm25_ranking_pruned.select("query_id", "rank", "doc_id", "score"))
+    n = p.index.files * p.index.parts
+    idx = build_index(p.documents, 4 * n, files=n).materialized()
+    return long_rank(search.bm25_topk(idx, p.queries, p.depth).select("query_id", "rank", "doc_id", "score"))
 
 
 @register

@@ -367,7 +367,8 @@ UNION ALL SELECT 'bm25_parameters', CAST(to_json({'k1': k1, 'b': b}) AS VARCHAR)
 ORACLE["q_queries"] = with_ctes(*BASE, QUERIES) + "SELECT * FROM queries"
 
 ORACLE["q_bm25_scores"] = with_ctes(*EVAL) + \
-    f"SELECT query_id, doc_id, {from_fixed('score_fp')} AS score FROM bm25_scores"
+    f"""SELECT query_id, doc_id, {from_fixed('score_fp')} AS score FROM bm25_scores
+QUALIFY rank() OVER (PARTITION BY query_id ORDER BY score_fp DESC) <= 50"""
 
 ORACLE["q_bm25_topk"] = with_ctes(*EVAL) + "SELECT query_id, rank, doc_id, score FROM bm25"
 

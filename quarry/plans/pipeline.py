@@ -99,27 +99,11 @@ class Pipeline:
 
     @cached_property
     def bm25_ranking(self) -> DataFrame:
-        return self._cut(search.bm25_topk(self.index, self.queries, self.depth), "bm25_ranking")
+        return search.bm25_topk(self.index, self.queries, self.depth)  # stored by itself
 
     @cached_property
-    def scoring_bounds(self) -> DataFrame:
-        from quarry.operators.index import scoring_bounds
-        return self._cut(scoring_bounds(self.index, self.depth), "scoring_bounds")
-
-    @cached_property
-    def forward_index(self) -> DataFrame:
-        from quarry.operators.index import forward_index
-        fwd = forward_index(self.index)
-        if not self.materialize:
-            return fwd
-        from quarry.session import save_bucketed
-        return save_bucketed(fwd, "forward", "doc_id", self.index.num_partitions, sort_by="doc_id")
-
-    @cached_property
-    def bm25_ranking_pruned(self) -> DataFrame:
-        return self._cut(search.bm25_topk_pruned(self.index, self.queries, self.depth,
-                                                 self.scoring_bounds, self.forward_index,
-                                                 self.depth), "bm25_ranking_pruned")
+    def bm25_candidates_scored(self) -> DataFrame:
+        return search.bm25_candidates(self.index, self.queries, self.depth)
 
     @cached_property
     def bm25_per_query(self) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,18 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     return root or None
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it
+    (a cluster gets the package by ``--py-files`` as usual)."""
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if PACKAGE_ROOT not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, known) if x)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut the lineage of ``df`` so later jobs and lost executors do not
     recompute it: the table is written as parquet into the shared checkpoint
@@ -80,7 +93,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int,
-                  sort_by: str | None = None) -> DataFrame:
+                  sort_by: str | tuple[str, ...] | None = None) -> DataFrame:
     """Write ``df`` as a table bucketed by ``key`` into the shared checkpoint
     folder and read it back.  Unlike a checkpoint under adaptive execution,
     the bucketed scan reports ``HashPartitioning(key, buckets)``, so later
@@ -94,7 +107,7 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int,
     table = f"quarry_{name}_{uuid.uuid4().hex[:12]}"
     w = df.write.bucketBy(buckets, key)
     if sort_by:
-        w = w.sortBy(sort_by)
+        w = w.sortBy(*([sort_by] if isinstance(sort_by, str) else sort_by))
     w.option("path", path).saveAsTable(table)
     out = spark.table(table)
     out.schema  # resolves the plan while the entry exists  # noqa: B018
@@ -123,12 +136,35 @@ TOKENS_PER_BUCKET = 10_000_000
 
 
 def bucket_count(spark: SparkSession, tokens: int) -> int:
-    """Buckets of the postings: one for each core at least, more with the
-    tokens of the corpus, and never more than Spark allows
-    (``spark.sql.sources.bucketing.maxBuckets``); beyond that limit buckets
-    grow, and the aggregations inside them spill."""
+    """Document buckets of the postings: one for each core at least, more with
+    the tokens of the corpus, without a limit (see :func:`two_levels`)."""
+    return max(spark.sparkContext.defaultParallelism, -(-int(tokens) // TOKENS_PER_BUCKET), 1)
+
+
+def two_levels(spark: SparkSession, buckets: int, files: int | None = None) -> tuple[int, int]:
+    """``(files, parts)``: how ``buckets`` document buckets are laid out.  Spark
+    allows ``spark.sql.sources.bucketing.maxBuckets`` buckets of a table; beyond
+    that a file holds several document buckets, one after another, and work
+    inside a file goes bucket by bucket.  ``files``: a smaller limit."""
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    return min(most, max(spark.sparkContext.defaultParallelism, -(-int(tokens) // TOKENS_PER_BUCKET), 1))
+    files = max(1, min(most, buckets, files or buckets))
+    return files, -(-buckets // files)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the jobs inside the block, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:

@@ -2,8 +2,8 @@
 
 * processed corpus: documents and metadata partitioned by ``split`` (JSON
   lines or parquet), the nested statistics document as JSON;
-* index: documents, vocabulary, statistics as parquet and the postings as a
-  table bucketed by ``doc_id`` (re-registered over its files on read, so the
+* index: documents, vocabulary, statistics as parquet and the posting lists as a
+  table bucketed by document bucket (re-registered over its files on read, so the
   query phase keeps its no-exchange layout);
 * vectors and query vectors as parquet; evaluation results as one nested
   JSON row; tolerant result reads (missing or corrupt -> ``None``).
@@ -67,19 +67,18 @@ def read_split_stats(spark: SparkSession, path: str) -> DataFrame:
         "value.lexical_token_avg")
 
 
-def write_index(index: BM25Index, out_dir: str, buckets: int | None = None) -> None:
-    """Full rebuild of the index folder (overwrite)."""
-    spark = index.postings.sparkSession
-    n = buckets or index.num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def write_index(index: BM25Index, out_dir: str) -> None:
+    """Full rebuild of the index folder (overwrite), in the index's layout."""
+    spark = index.spark
     index.documents.write.mode("overwrite").parquet(f"{out_dir}/documents")
     index.vocabulary.write.mode("overwrite").parquet(f"{out_dir}/vocabulary")
     index.statistics.write.mode("overwrite").parquet(f"{out_dir}/statistics")
     write_summary(index.statistics, f"{out_dir}/summary")
     name = f"quarry_postings_{uuid.uuid4().hex[:12]}"
-    index.postings.write.mode("overwrite").bucketBy(n, "doc_id").sortBy("term") \
+    index.lists.write.mode("overwrite").bucketBy(index.files, "bucket").sortBy("part", "term") \
         .option("path", f"{out_dir}/postings").saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay
-    spark.createDataFrame([(n,)], "buckets int").write.mode("overwrite") \
+    spark.createDataFrame([(index.files, index.parts)], "files int, parts int").write.mode("overwrite") \
         .json(f"{out_dir}/postings_layout")
 
 
@@ -89,20 +88,20 @@ def write_summary(statistics: DataFrame, path: str) -> None:
 
 
 def read_index(spark: SparkSession, out_dir: str) -> BM25Index:
-    """Open a written index; the postings are registered as a bucketed table
-    over the existing files."""
-    n = spark.read.json(f"{out_dir}/postings_layout").first()["buckets"]
+    """Open a written index; the posting lists are registered as a bucketed
+    table over the existing files."""
+    layout = spark.read.json(f"{out_dir}/postings_layout").first()
     name = f"quarry_postings_{uuid.uuid4().hex[:12]}"
     schema = spark.read.parquet(f"{out_dir}/postings").schema  # id type follows the corpus
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) "
-              f"SORTED BY (term) INTO {n} BUCKETS LOCATION '{out_dir}/postings'")
-    postings = spark.table(name)
-    postings.schema  # resolves the plan while the entry exists  # noqa: B018
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (bucket) "
+              f"SORTED BY (part, term) INTO {layout['files']} BUCKETS LOCATION '{out_dir}/postings'")
+    lists = spark.table(name)
+    lists.schema  # resolves the plan while the entry exists  # noqa: B018
     spark.sql(f"DROP TABLE {name}")
-    return BM25Index(spark.read.parquet(f"{out_dir}/documents"), postings,
+    return BM25Index(spark.read.parquet(f"{out_dir}/documents"), lists,
                      spark.read.parquet(f"{out_dir}/vocabulary"),
-                     spark.read.parquet(f"{out_dir}/statistics"), n)
+                     spark.read.parquet(f"{out_dir}/statistics"), layout["files"], layout["parts"])
 
 
 def write_vectors(vectors: DataFrame, path: str, key: str = "doc_id",

@@ -26,12 +26,12 @@ def main() -> None:
     p = DensePipeline(spark, sf_dir)
     idx = p.index
     shown = {
-        "Index build: postings from the processed documents (one exchange by doc_id)":
+        "Index build: postings from the processed documents (one exchange by bucket)":
             __import__("quarry.operators.index", fromlist=["build_index"])
             .build_index(p.documents).postings,
         "Vocabulary from the stored postings (partial aggregation by term)":
             __import__("quarry.operators.index", fromlist=["vocabulary_from"])
-            .vocabulary_from(idx.postings, idx.statistics),
+            .vocabulary_from(idx.lists, idx.statistics),
         "BM25 query phase over the bucketed postings": search.bm25_topk(idx, p.queries, 50),
         "Rerank of the BM25 candidates (stored vectors)":
             rerank.rerank(p.bm25_ranking, p.query_vectors, p.vectors, 50),

@@ -2,12 +2,15 @@
 
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.operators import blockmax, rerank, search
 from quarry.operators import evaluate as E
-from quarry.operators import search
-from quarry.operators.index import build_index
+from quarry.operators.index import bucket_labels, build_index
+from quarry.session import settings
 
 
 @pytest.fixture(scope="module")
@@ -62,7 +65,7 @@ def test_repeated_terms_oov_and_empty(spark, tiny):
 def test_no_exchange_between_join_and_aggregate(spark, tiny):
     plan = search.bm25_scores(tiny, _q(spark, "a c"))._jdf.queryExecution() \
         .executedPlan().toString()
-    # the aggregate over (query_id, doc_id) is satisfied by the doc_id bucketing
+    # the aggregate over (query_id, doc_id) is satisfied by the bucketing
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning(query_id" not in plan
 
@@ -80,12 +83,19 @@ def test_metrics_closed_form(spark):
     assert all(r["ndcg_at_10"] >= r["rr_at_10"] for r in pq)
 
 
-def test_query_batches_give_the_same_ranking(spark, tiny):
-    qs = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(
-        ["a", "b c", "a c", "c", "a b c", "b", "z", "a a"])], "query_id string, query_text string")
-    whole = search.bm25_topk(tiny, qs, 3)
-    batched = search.bm25_topk(tiny, qs, 3, broadcast_limit=3)
-    assert whole.exceptAll(batched).count() == 0 and batched.exceptAll(whole).count() == 0
+def test_many_queries_are_one_scan(spark, tiny):
+    """All queries share one scan of the lists, which stay in their buckets."""
+    qs = _q(spark, *["a", "b c", "a c", "c", "a b c", "b", "z", "a a"] * 40)
+    with settings(spark, blockmax.KEEP_BUCKETS):
+        found = blockmax.rank_buckets(tiny, search.weighted_queries(tiny, qs), 3, search.scoring_constants(tiny))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("max_factor") and plan.count("Bucketed: true") == 1
+    assert plan.count("Exchange hashpartitioning(bucket") == 1  # the queries'
+    left = plan[plan.index("FlatMapCoGroups"):plan.index("Bucketed: true")]
+    assert "Exchange" not in left
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+    whole, other = search.bm25_topk(tiny, qs, 3), search.bm25_topk_exhaustive(tiny, qs, 3)
+    assert whole.count() > 0 and whole.exceptAll(other).count() == 0 and other.exceptAll(whole).count() == 0
 
 
 def test_postings_point_lookup_is_pushed_down(spark, tiny):
@@ -96,28 +106,77 @@ def test_postings_point_lookup_is_pushed_down(spark, tiny):
     assert "PushedFilters: [In(term" in plan or "PushedFilters: [IsNotNull(term), In(term" in plan
 
 
-def test_pruned_topk_equals_exhaustive(spark, pipeline):
-    from quarry.operators.index import forward_index, scoring_bounds
-    from quarry.session import save_bucketed
-    idx = pipeline.index
-    bounds = scoring_bounds(idx, 5).cache()
-    fwd = save_bucketed(forward_index(idx), "fwd_test", "doc_id", idx.num_partitions)
+def _same(a, b):
+    a, b = (x.select("query_id", "rank", "doc_id", "score_fp") for x in (a, b))
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+def test_pruned_topk_equals_exhaustive(pipeline):
     qs = pipeline.queries.select("query_id", "query_text")
-    for k in (1, 3, 5):
-        a = search.bm25_topk(idx, qs, k).drop("score_fp")
-        b = search.bm25_topk_pruned(idx, qs, k, bounds, fwd, 5).drop("score_fp")
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for k in (1, 3, 50):
+        assert _same(search.bm25_topk(pipeline.index, qs, k), search.bm25_topk_exhaustive(pipeline.index, qs, k))
 
 
-def test_index_build_has_one_exchange_by_doc_id(spark, pipeline):
-    from quarry.operators.index import build_index
+def test_chunks_of_queries(pipeline, monkeypatch):
+    qs = pipeline.queries.select("query_id", "query_text")
+    want = search.bm25_topk(pipeline.index, qs, 7)
+    monkeypatch.setattr(blockmax, "QUERY_BYTES", 4000)
+    assert _same(search.bm25_topk(pipeline.index, qs, 7), want)
+
+
+def test_two_levels_beyond_the_bucket_limit(spark, pipeline):
+    """A tiny token target asks for more document buckets than Spark may make:
+    files hold several, rows and plans are the same, nothing is moved."""
+    tokens = pipeline.index.statistics.first()["total_token_count"]
+    with settings(spark, {"spark.sql.sources.bucketing.maxBuckets": "4"}):
+        idx = build_index(pipeline.documents, -(-tokens // 3000)).materialized()
+    assert idx.files == 4 and idx.parts > 5
+    per = idx.lists.select("bucket", "part").distinct().groupBy("bucket").count().collect()
+    assert len(per) == 4 and all(r["count"] > 5 for r in per)
+    qs = pipeline.queries.select("query_id", "query_text")
+    assert _same(search.bm25_topk(idx, qs, 10), search.bm25_topk(pipeline.index, qs, 10))
+    for df in (search.bm25_scores(idx, qs), rerank.hashed_document_vectors(idx)):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    assert idx.postings.select("doc_id", "term", "term_frequency").exceptAll(
+        pipeline.index.postings.select("doc_id", "term", "term_frequency")).count() == 0
+
+
+def test_bucket_labels_fill_every_file(spark):
+    for n in (1, 7, 64):
+        labels = bucket_labels(spark, n)
+        spread = labels.select(F.pmod(F.hash("bucket"), F.lit(n)).alias("p"), "slot").collect()
+        assert sorted(r["p"] for r in spread) == list(range(n)) and all(r["p"] == r["slot"] for r in spread)
+
+
+def test_block_maxima_skip_postings():
+    """Lists that cannot bring a document into the top-k are only looked up."""
+    r = np.random.default_rng(3)
+    n = 5000
+    rows = []
+    for term, share in (("rare", 0.02), ("mid", 0.2), ("common", 0.9), ("most", 1.0)):
+        docs = np.flatnonzero(r.random(n) < share)
+        rows.append({"term": term, "max_factor": 2.5, "ids": docs, "tfs": r.integers(1, 9, len(docs)),
+                     "dls": np.full(len(docs), 100)})
+    bucket = blockmax.Bucket(pa.Table.from_pylist(rows), 100.0, 1.5, 0.75)
+    terms, idfs = ["common", "rare", "most", "mid"], np.array([0.05, 6.0, 0.01, 2.0])
+    at = np.array([bucket.terms.to_pylist().index(t) for t in terms])
+    places, scores = bucket.best(at, idfs, 10)
+    full = np.zeros(n, np.int64)
+    for i, w in zip(at, idfs):
+        docs, impact = bucket.impacts(i, w)
+        full[docs] += impact
+    want = np.lexsort((np.arange(n), -full))[:10]
+    assert places.tolist() == want.tolist() and scores.tolist() == full[want].tolist()
+    assert not bucket.sums.any()
+
+
+def test_index_build_has_one_exchange_by_bucket(pipeline):
     plan = build_index(pipeline.documents).postings._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    assert "Exchange hashpartitioning(doc_id" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(bucket" in plan
 
 
 def test_hashed_vectors_need_no_exchange(pipeline):
-    from quarry.operators import rerank
     plan = rerank.hashed_document_vectors(pipeline.index)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan
