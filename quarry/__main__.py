@@ -80,13 +80,13 @@ def cmd_embed(spark, a):
     """Document vectors of every indexed document, query vectors per query
     split, and a one-row summary (the built-in hashed encoder)."""
     idx = sinks.read_index(spark, a.index_dir)
-    dv = rerank.hashed_document_vectors(idx).join(
+    dv = _by_hash(rerank.hashed_document_vectors(idx)).join(
         idx.documents.select("doc_id", "split"), "doc_id")
     sinks.write_vectors(dv, f"{a.output_dir}/documents", partition_by="split")
     docs = _processed(spark, a.processed_dir, a.query_splits)
     for split in a.query_splits:
         q = E.build_queries(docs, split)
-        qv = q.join(rerank.hashed_query_vectors(q), "query_id").withColumn("split", F.lit(split))
+        qv = q.join(_by_hash(rerank.hashed_query_vectors(q)), "query_id").withColumn("split", F.lit(split))
         qv.withColumn("embedding", F.col("embedding").cast("array<float>")) \
             .write.mode("overwrite").parquet(f"{a.output_dir}/queries/split={split}")
     stored = spark.read.parquet(f"{a.output_dir}/documents")
@@ -95,25 +95,30 @@ def cmd_embed(spark, a):
     summary.coalesce(1).write.mode("overwrite").json(f"{a.output_dir}/summary")
 
 
+def _by_hash(vectors):
+    return vectors.withColumn("encoder", F.lit(rerank.HASHED))
+
+
+def _named_vectors(spark, path, key, where=None):
+    v = spark.read.parquet(path)
+    if "encoder" not in v.columns:
+        raise SystemExit(f"{path} does not name the encoder of its vectors")
+    return (v if where is None else v.filter(where)).select(
+        key, F.col("embedding").cast("array<double>").alias("embedding"), "encoder")
+
+
 def cmd_rerank(spark, a):
     idx, queries, depth = _evaluation(spark, a)
     cands = search.bm25_topk(idx, queries, max(a.bm25_candidates, depth))
+    # every vector table names its encoder; rerank fails where the two sides differ
+    dv = _named_vectors(spark, a.vectors, "doc_id") if a.vectors \
+        else _by_hash(rerank.hashed_document_vectors(idx, search.bounded_broadcast(cands.select("doc_id").distinct())))
+    qv = _by_hash(rerank.hashed_query_vectors(queries))
+    encoder = rerank.HASHED
     if a.query_vectors:
-        dv = spark.read.parquet(a.vectors).select("doc_id", "embedding") if a.vectors \
-            else rerank.hashed_document_vectors(idx)
-        stored = spark.read.parquet(a.query_vectors).filter(F.col("split") == a.query_split) \
-            .select("query_id", "embedding")
-        qv = rerank.vectors_or_encode(queries, stored, rerank.hashed_query_vectors)
+        stored = _named_vectors(spark, a.query_vectors, "query_id", F.col("split") == a.query_split)
+        qv = stored.unionByName(qv.join(stored, "query_id", "left_anti"))
         encoder = f"stored query vectors ({a.query_vectors}), hashed tokens for misses"
-    elif a.vectors:
-        dv = spark.read.parquet(a.vectors).select("doc_id", "embedding")
-        q = queries.select("query_id", F.col("relevant_doc_id").alias("doc_id"))
-        ids = search.bounded_broadcast(q.select("doc_id").distinct())
-        qv = q.join(dv.join(ids, "doc_id", "left_semi"), "doc_id").select("query_id", "embedding")
-        encoder = a.vectors
-    else:
-        dv, qv, encoder = rerank.hashed_document_vectors(idx), rerank.hashed_query_vectors(queries), \
-            "hashed tokens"
     ranking = rerank.rerank(cands, qv, dv, depth)
     metrics = E.metrics(E.per_query(queries, ranking))
     samples = E.sample_rankings_nested(E.sample_rankings(queries, ranking, extra_cols=("bm25_score",)),

@@ -7,7 +7,7 @@ join, and only the matched rows are joined back to the ranking."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -20,7 +20,7 @@ from quarry.operators.ingest import file_order
 OVERRIDE_FIELDS = ("repository_name", "func_path_in_repository", "func_code_url", "language")
 EXAMPLE_MAX_CHARS = 150
 EXAMPLE_COUNT = 8
-EXAMPLE_PROBE_K = 5
+EXAMPLE_BATCH, EXAMPLE_MOST = 64, 65_536  # candidates of the first search, and of the last one but all others
 FALLBACK_EXAMPLES = (
     "read a json file and return a dict",
     "establish an ssh connection",
@@ -148,32 +148,52 @@ def compare_pipelines(index: BM25Index, query_texts: DataFrame, query_vectors: D
 
 
 def example_queries(index: BM25Index, documents: DataFrame, split: str = "test",
-                    count: int = EXAMPLE_COUNT, max_chars: int = EXAMPLE_MAX_CHARS) -> DataFrame:
+                    count: int = EXAMPLE_COUNT, max_chars: int = EXAMPLE_MAX_CHARS,
+                    first_batch: int = EXAMPLE_BATCH) -> DataFrame:
     """Docstrings that retrieve their own document at rank 1: candidates are
-    all of the split's documents with a one-line docstring of 1..150
-    characters; a text counts at its first place in file order; the first
+    the split's documents with a one-line docstring of 1..150 characters, in
+    file order; a text counts at its first place that qualifies; the first
     ``count`` texts are kept.  When none qualifies, the fixed fallback texts
-    are returned."""
+    are returned.
+
+    The search widens: the first ``first_batch`` candidates are searched, then
+    the next ones, four times as many each time up to ``EXAMPLE_MOST`` (a bounded
+    top-n by place), then all others at once, until ``count`` texts qualify.  So
+    the work is bounded by where the answer lies, and the jobs are few."""
     spark = documents.sparkSession
-    cands = (documents.filter(F.col("split") == split)
-             .withColumn("query_text", T.strip("docstring"))
-             .filter((F.col("query_text") != "") & (F.length("query_text") <= max_chars)
-                     & (F.instr("query_text", "\n") == 0))
-             .select(F.col("id").alias("query_id"), "query_text", file_order(documents)))
-    top1 = bm25_topk(index, cands.select("query_id", "query_text"), 1)
-    hit = cands.join(top1.select("query_id", "doc_id"), "query_id") \
-        .filter(F.col("doc_id") == F.col("query_id"))
-    place = F.struct("ordinal", "query_id")
-    first = hit.groupBy("query_text").agg(F.min(place).alias("place"))
-    top = first.orderBy("place").limit(count).select("query_text", "place", F.col("place.query_id").alias("doc_id"))
-    chosen = top.select(F.row_number().over(Window.orderBy("place")).cast("long")
-                        .alias("example_rank"), "query_text", "doc_id")
-    fallback = spark.createDataFrame(
-        [(i + 1, t) for i, t in enumerate(FALLBACK_EXAMPLES)],
-        "example_rank long, query_text string").withColumn(
-        "doc_id", F.lit(None).cast(documents.schema["id"].dataType))
-    # at most ``count`` rows, stored once: the fallback applies only when
-    # none qualified, and the check does not recompute the selection
     from quarry.session import materialize
-    chosen = materialize(chosen, "examples")
-    return chosen if chosen.take(1) else fallback
+    cands = materialize(documents.filter(F.col("split") == split)
+                        .withColumn("query_text", T.strip("docstring"))
+                        .filter((F.col("query_text") != "") & (F.length("query_text") <= max_chars)
+                                & (F.instr("query_text", "\n") == 0))
+                        .select(F.col("id").alias("query_id"), "query_text",
+                                F.struct(file_order(documents), F.col("id").alias("id")).alias("place")),
+                        "example_candidates")
+    chosen, size, after = [], first_batch, None
+    while len(chosen) < count:
+        left = cands if after is None else cands.filter(F.col("place") > after)
+        batch = left.orderBy("place").limit(size) if size <= EXAMPLE_MOST else left
+        batch = materialize(batch, "example_batch")
+        hit = materialize(_own_first(index, batch, count), "example_hits")  # enough, whatever of them is known
+        known = {r["query_text"] for r in chosen}
+        chosen += [r for r in hit.orderBy("place").collect() if r["query_text"] not in known]
+        last = batch.agg(F.max("place").alias("p"), F.count(F.lit(1)).alias("n")).first()
+        if last["n"] < size or size > EXAMPLE_MOST:
+            break
+        after = F.struct(F.lit(last["p"]["ordinal"]).alias("ordinal"), F.lit(last["p"]["id"]).alias("id"))
+        size *= 4
+    ids = documents.schema["id"].dataType
+    rows = [(i, r["query_text"], r["place"]["id"]) for i, r in enumerate(chosen[:count], 1)]
+    if rows:
+        return spark.createDataFrame(rows, f"example_rank long, query_text string, doc_id {ids.simpleString()}")
+    return spark.createDataFrame(
+        [(i + 1, t, None) for i, t in enumerate(FALLBACK_EXAMPLES)],
+        f"example_rank long, query_text string, doc_id {ids.simpleString()}")
+
+
+def _own_first(index: BM25Index, cands: DataFrame, count: int) -> DataFrame:
+    """``(query_text, place)`` of the first ``count`` texts of ``cands`` that
+    retrieve their own document first."""
+    top1 = bm25_topk(index, cands.select("query_id", "query_text"), 1)
+    hit = cands.join(top1.select("query_id", "doc_id"), "query_id").filter(F.col("doc_id") == F.col("query_id"))
+    return hit.groupBy("query_text").agg(F.min("place").alias("place")).orderBy("place").limit(count)

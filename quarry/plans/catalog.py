@@ -18,7 +18,8 @@ from quarry.functions.numeric import from_fixed, round6
 from quarry.operators import evaluate as E
 from quarry.operators import ingest, quality, report, rerank, search
 from quarry.operators.index import build_index
-from quarry.plans.pipeline import DensePipeline, HashedDensePipeline, Pipeline, long_rank
+from quarry.operators.term_store import write_term_store
+from quarry.plans.pipeline import DensePipeline, Pipeline, long_rank
 from quarry.session import scratch_path
 from quarry.sources import jsonl, sinks, tables
 
@@ -92,16 +93,31 @@ def q_metadata(spark, sf_dir):
     return Pipeline(spark, sf_dir).metadata
 
 
+def _flawed_records(spark, sf_dir):
+    """All records of ``documents`` and a record per row of ``labels``: of low
+    quality without a name, toxic ones without code, others with odd ids
+    without a token."""
+    raw = tables.raw_records(spark, sf_dir)
+    lab = tables.read_table(spark, sf_dir, "labels")
+    even = F.col("doc_id") % 2 == 0
+    code = F.when(F.col("toxic") == 1, F.lit(" \n")).when(even, F.lit("x = 1")).otherwise(F.lit("();\u00e9"))
+    flawed = lab.select(
+        F.col("doc_id").alias("id"), tables.split_of("doc_id").alias("split"), F.col("doc_id").alias("ordinal"),
+        F.when(F.col("quality") == 1, F.lit("\u00e9\u00e8")).otherwise(F.lit("  ")).alias("func_name"),
+        code.alias("func_code_string"))
+    return raw.unionByName(flawed, allowMissingColumns=True)
+
+
 @register
 def q_rejected_records(spark, sf_dir):
     """P5: every dropped record with its single reason."""
-    return ingest.rejected(Pipeline(spark, sf_dir).prepared)
+    return ingest.rejected(Pipeline(spark, sf_dir, raw=_flawed_records(spark, sf_dir)).prepared)
 
 
 @register
 def q_drop_reasons(spark, sf_dir):
     """P5: dropped records per split and reason."""
-    return ingest.drop_reason_counts(Pipeline(spark, sf_dir).prepared)
+    return ingest.drop_reason_counts(Pipeline(spark, sf_dir, raw=_flawed_records(spark, sf_dir)).prepared)
 
 
 @register
@@ -229,6 +245,18 @@ def q_examples(spark, sf_dir):
 
 # -- vectors and rerank -----------------------------------------------------------------
 
+def _with_stored_vectors(spark, sf_dir):
+    """The dense stages with a stored vector table: hashed vectors of the
+    documents that ``embeddings`` lists, written as float32 and read back."""
+    p = Pipeline(spark, sf_dir)
+    path = scratch_path(spark, "stored_vectors")
+    listed = tables.stored_vectors(spark, sf_dir).select("doc_id").distinct()
+    sinks.write_vectors(rerank.hashed_document_vectors(p.index, listed), path)
+    out = DensePipeline(spark, sf_dir, vectors=spark.read.parquet(path), vectors_encoder=rerank.HASHED)
+    out.__dict__.update(prepared=p.prepared, index=p.index)
+    return out
+
+
 @register
 def q_l2_normalize(spark, sf_dir):
     """V3: L2-normalised stored vectors."""
@@ -239,8 +267,8 @@ def q_l2_normalize(spark, sf_dir):
 @register
 def q_cosine(spark, sf_dir):
     """V4: cosine of each BM25 candidate with its query's vector."""
-    p = DensePipeline(spark, sf_dir)
-    return rerank.cosine_pairs(p.candidates, p.query_vectors, p.vectors)
+    p = _with_stored_vectors(spark, sf_dir)
+    return rerank.cosine_pairs(p.candidates, p.query_vectors, p.candidate_vectors)
 
 
 @register
@@ -253,32 +281,32 @@ def q_mean_pool(spark, sf_dir):
 @register
 def q_rerank_topk(spark, sf_dir):
     """Rerank of the BM25 candidates by stored document
-    vectors (encoded on a miss) and the encoded query texts."""
-    return DensePipeline(spark, sf_dir).rerank_ranking
+    vectors (encoded on a miss) and the query texts, both by one encoder."""
+    return _with_stored_vectors(spark, sf_dir).rerank_ranking
 
 
 @register
 def q_rerank_metrics(spark, sf_dir):
     """A10: metrics of that rerank over all queries."""
-    return DensePipeline(spark, sf_dir).rerank_metrics
+    return _with_stored_vectors(spark, sf_dir).rerank_metrics
 
 
 @register
 def q_rerank_hashed_topk(spark, sf_dir):
     """Rerank with the hashed encoder on both sides."""
-    return HashedDensePipeline(spark, sf_dir).rerank_ranking
+    return DensePipeline(spark, sf_dir).rerank_ranking
 
 
 @register
 def q_rerank_hashed_metrics(spark, sf_dir):
     """A10: metrics of the hashed-encoder rerank."""
-    return HashedDensePipeline(spark, sf_dir).rerank_metrics
+    return DensePipeline(spark, sf_dir).rerank_metrics
 
 
 @register
 def q_metrics_table(spark, sf_dir):
     """Metrics side by side for the two pipelines."""
-    p = DensePipeline(spark, sf_dir)
+    p = _with_stored_vectors(spark, sf_dir)
     return report.metrics_table(p.bm25_metrics, p.rerank_metrics)
 
 
@@ -310,7 +338,11 @@ def q_dense_summary(spark, sf_dir):
 @register
 def q_encode_on_miss(spark, sf_dir):
     """V7: document vectors, stored where there is one and encoded otherwise."""
-    return _explode_vector(DensePipeline(spark, sf_dir).vectors, "doc_id")
+    p = Pipeline(spark, sf_dir)
+    ids = p.documents.select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    return _explode_vector(rerank.vectors_or_encode(
+        ids, tables.stored_vectors(spark, sf_dir), lambda missing: rerank.hashed_document_vectors(
+            p.index, missing.select("doc_id")), "doc_id", "text"), "doc_id")
 
 
 @register
@@ -380,16 +412,17 @@ def q_evaluation_run(spark, sf_dir):
 
 @register
 def q_postings_lookup(spark, sf_dir):
-    """Point lookup of the postings of three terms."""
-    return search.postings_for_terms(Pipeline(spark, sf_dir).index, ["the", "und", "que"]).select(
+    """Point lookup of the postings of three terms in the term-clustered copy."""
+    return write_term_store(Pipeline(spark, sf_dir).index, files=32).postings(["the", "und", "que"]).select(
         "term", "doc_id", F.col("term_frequency").cast("long").alias("term_frequency"))
 
 
 @register
 def q_jsonl_records(spark, sf_dir):
-    """The raw records written as JSON lines, a folder per
-    split in file order, read back strictly with ids from line numbers."""
-    raw = tables.raw_records(spark, sf_dir)
+    """The raw records, their splits under the dataset's names
+    renamed by the export, written as JSON lines, a folder per split in file
+    order, read back strictly with ids from line numbers."""
+    raw = jsonl.export_splits(tables.raw_records(spark, sf_dir).replace({"valid": "validation"}, subset=["split"]))
     base = scratch_path(spark, "jsonl")
     paths = {split: f"{base}/{split}" for split in quality.EXPECTED_SPLITS}
     for split, path in paths.items():
@@ -437,7 +470,7 @@ def q_dq_stats_present(spark, sf_dir):
 def q_dq_vector_alignment(spark, sf_dir):
     """Query / vector alignment and dimensions of the stored vectors."""
     p = DensePipeline(spark, sf_dir)
-    return quality.vector_alignment(p.queries, p.query_vectors, p.stored_vectors)
+    return quality.vector_alignment(p.queries, p.query_vectors, tables.stored_vectors(spark, sf_dir))
 
 
 def _ids(spark, sf_dir, name: str, key: str) -> DataFrame:

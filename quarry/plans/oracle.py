@@ -271,7 +271,11 @@ STORED = """vectors AS (
   SELECT doc_id, list_transform(embedding, lambda x: CAST(x AS FLOAT)) FROM hashed_docs
   WHERE doc_id NOT IN (SELECT vec_id FROM embeddings))"""
 
-DENSE = EVAL + (_hashed_docs(), hashed_queries("hq", "queries"), STORED,
+# one encoder on both sides; stored vectors are float32, and so are those encoded on a miss beside them
+ONE_ENCODER = """vectors AS (
+  SELECT doc_id, list_transform(embedding, lambda x: CAST(x AS FLOAT)) AS embedding FROM hashed_docs)"""
+
+DENSE = EVAL + (_hashed_docs(), hashed_queries("hq", "queries"), ONE_ENCODER,
                 rerank_ctes("rr", "bm25", "hq", "vectors", 50))
 
 BENCH_Q = "bench_q AS (SELECT item_id AS query_id, text AS query_text FROM benchmark)"
@@ -336,11 +340,17 @@ ORACLE["q_documents"] = with_ctes(*BASE) + "SELECT * FROM docs"
 
 ORACLE["q_metadata"] = with_ctes(*BASE, META) + "SELECT * FROM meta"
 
-ORACLE["q_rejected_records"] = with_ctes(*BASE) + \
-    "SELECT id, split, drop_reason FROM prepared WHERE drop_reason IS NOT NULL"
+# what the records made from labels lack, beside those of documents
+FLAWED = """flawed AS (SELECT id, split, drop_reason FROM prepared UNION ALL
+  SELECT doc_id, CASE ((doc_id % 20) + 20) % 20 WHEN 0 THEN 'test' WHEN 1 THEN 'valid' ELSE 'train' END,
+    CASE WHEN quality IS DISTINCT FROM 1 THEN 'missing_name' WHEN toxic = 1 THEN 'missing_code'
+         WHEN doc_id % 2 <> 0 THEN 'empty_lexical' END FROM labels)"""
+
+ORACLE["q_rejected_records"] = with_ctes(*BASE, FLAWED) + \
+    "SELECT id, split, drop_reason FROM flawed WHERE drop_reason IS NOT NULL"
 
-ORACLE["q_drop_reasons"] = with_ctes(*BASE) + """SELECT split, drop_reason, count(*) AS n_records
-FROM prepared WHERE drop_reason IS NOT NULL GROUP BY split, drop_reason"""
+ORACLE["q_drop_reasons"] = with_ctes(*BASE, FLAWED) + """SELECT split, drop_reason, count(*) AS n_records
+FROM flawed WHERE drop_reason IS NOT NULL GROUP BY split, drop_reason"""
 
 ORACLE["q_corpus_stats"] = with_ctes(*BASE, STATS_SQL) + """SELECT s.*,
   (SELECT CAST(sum(kept_records) AS BIGINT) FROM split_stats) AS total_kept_records FROM split_stats s"""

@@ -130,43 +130,59 @@ def long_rank(df: DataFrame) -> DataFrame:
 
 
 class DensePipeline(Pipeline):
-    """Adds the dense stages: document vectors from a table (``vectors``, by
-    default the driver folder's embeddings; none for other corpora) and, for
-    documents that it misses, from the encoder; query vectors by the encoder
-    from the query text; the rerank of ``max(bm25_candidates, depth)`` BM25
-    candidates; its evaluation over all queries.
+    """Adds the dense stages: query vectors by the encoder from the query text;
+    document vectors from a table (``vectors``: doc_id, embedding) and, for
+    documents that it misses, from the same encoder; the rerank of
+    ``max(bm25_candidates, depth)`` BM25 candidates; its evaluation over all
+    queries.  Only candidates are encoded.
 
     ``encoder``: ``DataFrame(key, text) -> DataFrame(key, embedding)`` for
-    both sides.  Without one the built-in hashed encoder is used, for documents
-    from their postings."""
+    both sides, named ``encoder_name``.  Without one the built-in hashed encoder
+    is used, for documents from their posting lists.  ``vectors`` made by another
+    encoder (``vectors_encoder``) than the query vectors are refused."""
 
     bm25_candidates = 50
 
-    def __init__(self, *args, vectors: DataFrame | None = None, encoder=None, **kwargs):
+    def __init__(self, *args, vectors: DataFrame | None = None, vectors_encoder: str | None = None, encoder=None,
+                 encoder_name: str | None = None, **kwargs):
         super().__init__(*args, **kwargs)
-        self._vectors, self.encoder = vectors, encoder
+        from quarry.operators.rerank import HASHED
+        if encoder is not None and not encoder_name:
+            raise ValueError("name the encoder, so that vectors of another one can be told apart")
+        self.encoder, self.encoder_name = encoder, encoder_name or HASHED
+        if vectors is not None and vectors_encoder != self.encoder_name:
+            raise ValueError(f"document vectors of {vectors_encoder or 'an unnamed encoder'}, "
+                             f"query vectors of {self.encoder_name}")
+        self.stored_vectors = vectors
+
+    def _encode(self, documents: DataFrame) -> DataFrame:
+        """Vectors of ``documents`` (doc_id) by the encoder."""
+        from quarry.operators import rerank
+        if self.encoder is None:
+            return rerank.hashed_document_vectors(self.index, search.bounded_broadcast(documents.select("doc_id")))
+        texts = self.documents.select(F.col("id").alias("doc_id"), F.col("document_text").alias("text"))
+        return self.encoder(texts.join(search.bounded_broadcast(documents.select("doc_id")), "doc_id", "left_semi"))
 
-    @cached_property
-    def stored_vectors(self) -> DataFrame | None:
-        if self._vectors is not None:
-            return self._vectors
-        return tables.stored_vectors(self.spark, self.sf_dir) if self.sf_dir else None
+    def _vectors_of(self, ids: DataFrame, name: str) -> DataFrame:
+        from quarry.operators import rerank
+        if self.stored_vectors is None:
+            return self._cut(self._encode(ids), name)
+        return self._cut(rerank.vectors_or_encode(ids.withColumn("text", F.lit(None).cast("string")), self.stored_vectors,
+                                                  self._encode, "doc_id", "text"), name)
 
     @cached_property
     def vectors(self) -> DataFrame:
         """A vector of every indexed document: stored, or encoded on a miss."""
-        from quarry.operators import rerank
-        docs = self.documents.select(F.col("id").alias("doc_id"), F.col("document_text").alias("text"))
-        hashed = self.encoder is None
-
-        def encode(missing):
-            if hashed:
-                return rerank.hashed_document_vectors(self.index).join(missing.select("doc_id"), "doc_id", "left_semi")
-            return self.encoder(missing)
+        if self.stored_vectors is None and self.encoder is None:
+            from quarry.operators import rerank
+            return self._cut(rerank.hashed_document_vectors(self.index), "vectors")
+        return self._vectors_of(self.documents.select(F.col("id").alias("doc_id")), "vectors")
 
-        if self.stored_vectors is None:
-            return self._cut(encode(docs), "vectors")
-        return self._cut(rerank.vectors_or_encode(docs, self.stored_vectors, encode, "doc_id", "text"), "vectors")
+    @cached_property
+    def candidate_vectors(self) -> DataFrame:
+        """The same of the documents that are candidates of a query."""
+        return self._vectors_of(self._cut(self.candidates.select("doc_id").distinct(), "candidate_ids"),
+                                "candidate_vectors")
 
     @cached_property
     def query_vectors(self) -> DataFrame:
@@ -184,28 +200,23 @@ class DensePipeline(Pipeline):
     @cached_property
     def rerank_ranking(self) -> DataFrame:
         from quarry.operators.rerank import rerank
-        return self._cut(rerank(self.candidates, self.query_vectors, self.vectors, self.depth),
-                         "rerank_ranking")
+        name = F.lit(self.encoder_name)
+        return self._cut(rerank(self.candidates, self.query_vectors.withColumn("encoder", name),
+                                self.candidate_vectors.withColumn("encoder", name), self.depth), "rerank_ranking")
 
     @cached_property
     def rerank_metrics(self) -> DataFrame:
         return E.metrics(E.per_query(self.queries, self.rerank_ranking))
 
-    def rerank_result(self, encoder: str = "stored vectors, hashed tokens on a miss") -> DataFrame:
+    def rerank_result(self) -> DataFrame:
         """The rerank evaluation run as one nested row (samples carry the
         BM25 score beside the cosine)."""
         from quarry.sources.sinks import evaluation_result
         setup = {"query_split": self.query_split, "retrieval_depth": self.depth,
                  "bm25_candidate_count": max(self.bm25_candidates, self.depth),
-                 "reranker": encoder,
+                 "reranker": self.encoder_name,
                  "relevance_assumption": "each docstring query's own document is the relevant one"}
         flat = E.sample_rankings(self.queries, self.rerank_ranking,
                                  extra_cols=("bm25_score",))
         return evaluation_result(setup, self.index.statistics, self.rerank_metrics,
                                  E.sample_rankings_nested(flat, ("bm25_score",)))
-
-
-class HashedDensePipeline(DensePipeline):
-    """The dense stages with the built-in hashed encoder for all documents."""
-
-    stored_vectors = None

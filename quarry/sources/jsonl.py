@@ -22,6 +22,8 @@ and joined otherwise.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -60,14 +62,21 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         "file", (place - F.col("file_offset")).alias("line_no"), place.alias("ordinal"), "value")
 
 
+# double quotes only, no raw control characters in strings
+STRICT = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false", "columnNameOfCorruptRecord": "_bad"}
+
+
 def is_record(value: str = "value") -> F.Column:
-    """Whether the whole line is one JSON object.  A parser stops after the
-    object; inside a list with a mark behind it, it reaches the mark only if
-    nothing else follows the object."""
+    """Whether the whole line is one JSON object.  The strict parser stops after
+    the object; inside a list with a random mark behind it, a parser reaches the
+    mark only if nothing else follows the object.  As Python decides, but that
+    NaN and Infinity, which are not JSON, are refused."""
     v = F.col(value)
-    listed = F.concat(F.lit("["), v, F.lit(',"end"]'))
-    return (F.json_object_keys(v).isNotNull() & F.get_json_object(listed, "$[2]").isNull()
-            & F.coalesce(F.get_json_object(listed, "$[1]") == "end", F.lit(False)))
+    mark = uuid.uuid4().hex
+    listed = F.concat(F.lit("["), v, F.lit(f',"{mark}"]'))
+    bad = F.from_json(v, "_bad string", STRICT)["_bad"]
+    return (F.json_object_keys(v).isNotNull() & bad.isNull()
+            & F.coalesce(F.get_json_object(listed, "$[1]") == mark, F.lit(False)))
 
 
 def parse_records(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:

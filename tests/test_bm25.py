@@ -197,3 +197,38 @@ def test_unhinted_path_scores_equal_broadcast_scores(spark, pipeline):
         assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_term_store_opens_few_files(spark, pipeline):
+    from quarry.operators.term_store import write_term_store
+    store = write_term_store(pipeline.index, files=40)
+    assert store.manifest.count() > 20
+    vocab = pipeline.index.vocabulary.orderBy(F.desc("document_frequency"))
+    hot = [r["term"] for r in vocab.limit(2).collect()]
+    rare = [r["term"] for r in vocab.filter("document_frequency = 1").orderBy("term").limit(1).collect()]
+    for terms in (rare, hot + rare, ["zzzzzzzzqq"], []):
+        got, want = store.postings(terms), search.postings_for_terms(pipeline.index, terms)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        assert len(got.inputFiles()) <= 2 * len(terms) + 1  # a hot term's lists may span files
+    assert store.postings(hot + rare).count() > 0
+
+
+def test_examples_widen_until_enough(spark, monkeypatch):
+    """Batches grow by place until enough texts qualify; the rows are those of
+    one search over all candidates."""
+    from quarry.operators import report
+    n = 90
+    text = lambda i: f"word{i % 70} shared" if i % 3 else "shared"  # noqa: E731  ids 1 and 71 have the same text
+    docs = spark.createDataFrame([(i, "test" if i % 2 else "train", "f", text(i), text(i)) for i in range(n)],
+                                 "id long, split string, func_name string, docstring string, lexical_document string")
+    idx = build_index(docs.select("id", "split", "func_name", "lexical_document")).materialized()
+    sizes = []
+    monkeypatch.setattr(report, "bm25_topk", lambda i, q, k: sizes.append(q.count()) or search.bm25_topk(i, q, k))
+    run = lambda first, count=8: [tuple(r) for r in report.example_queries(
+        idx, docs, count=count, first_batch=first).orderBy("example_rank").collect()]
+    want = run(1000)
+    assert sizes == [45] and len(want) == 8 and len({t for _, t, _ in want}) == 8
+    sizes.clear()
+    assert run(3) == want and sizes[0] == 3 and sum(sizes) < 45
+    sizes.clear()
+    assert len(run(3, 1000)) < 45 and sum(sizes) == 45 and len(sizes) <= 4

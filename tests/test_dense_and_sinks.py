@@ -65,6 +65,42 @@ def test_missing_vector_scores_minus_two(spark, pipeline):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_rerank_refuses_vectors_that_do_not_match(spark, pipeline):
+    cands = spark.createDataFrame([(1, 10, 5), (1, 11, 4)], "query_id long, doc_id long, score_fp long")
+    vec = lambda key, rows: spark.createDataFrame(
+        rows, f"{key} long, embedding array<double>, encoder string")
+    q, d = vec("query_id", [(1, [1.0, 0.0], "a")]), vec("doc_id", [(10, [0.0, 1.0], "a"), (11, [1.0, 0.0], "a")])
+    assert [r["doc_id"] for r in rerank.rerank(cands, q, d, 2).orderBy("rank").collect()] == [11, 10]
+    for queries, documents, message in (
+            (vec("query_id", [(1, [1.0, 0.0, 0.0], "a")]), d, "different lengths: 3 and 2"),
+            (q, vec("doc_id", [(10, [1.0], "a")]), "different lengths: 2 and 1"),
+            (vec("query_id", [(1, [1.0, 0.0], "b")]), d, "query vectors of b, document vectors of a"),
+            (vec("query_id", [(2, [1.0, 0.0], "a")]), d, "no vector of query 1"),
+            (vec("query_id", [(1, None, "a")]), d, "no vector of query 1")):
+        with pytest.raises(Exception, match=message):
+            rerank.rerank(cands, queries, documents, 2).collect()
+    # a document without a vector keeps its place in the list
+    assert rerank.rerank(cands, q, d.filter("doc_id = 11"), 2).orderBy("rank").collect()[1]["score"] == -2.0
+
+
+def test_pipeline_refuses_vectors_of_another_encoder(spark, pipeline):
+    from quarry.plans.pipeline import DensePipeline
+    v = spark.createDataFrame([(1, [1.0])], "doc_id long, embedding array<float>")
+    for kwargs in ({"vectors": v}, {"vectors": v, "vectors_encoder": "model"}, {"encoder": lambda d: d}):
+        with pytest.raises(ValueError, match="encoder|vectors of model"):
+            DensePipeline(spark, pipeline.sf_dir, **kwargs)
+
+
+def test_only_candidates_are_encoded(pipeline):
+    ids = pipeline.candidates.select("doc_id").distinct()
+    got = pipeline.candidate_vectors
+    assert got.count() == ids.count() and got.join(ids, "doc_id", "left_anti").count() == 0
+    some = pipeline.documents.select("id").filter("id % 5 = 0").select(F.col("id").alias("doc_id"))
+    part, full = (rerank.hashed_document_vectors(pipeline.index, x) for x in (some, None))
+    want = full.join(some, "doc_id", "left_semi")
+    assert part.exceptAll(want).count() == 0 and part.count() == want.count() > 0
+
+
 def test_index_round_trip_keeps_bucketing(spark, pipeline):
     out = _tmp()
     sinks.write_index(pipeline.index, out)

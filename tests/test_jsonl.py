@@ -235,3 +235,30 @@ def test_line_numbers_run_on_over_a_folder(spark):
     got = {r["id"]: r["func_name"] for r in jsonl.read_records(spark, {"train": d}).collect()}
     assert got == {"train-1": "a.jsonl0", "train-2": "a.jsonl1", "train-3": "a.jsonl2",
                    "train-4": "b.jsonl0", "train-5": "b.jsonl1"}
+
+
+# line, and whether it is one JSON object
+LINES = [('{"a":1}', True), ("{'a':1}", False), ('{"a":"x\ty"}', False), ('{"a":1},"end"]', False), ('{"a":1} x', False),
+         ('{"a":NaN}', False), ('{"a":1,"a":2}', True), ("[1]", False), ('"x"', False), ("{}", True), ("{a:1}", False),
+         ('{"a":1}}', False), (' {"a":1} ', True), ('{"a":01}', False), ('{"a":1,}', False), ('{"a":"\x01"}', False),
+         ('{"a":"\\q"}', False), ("null", False), ('{"a":\t1}', True), ('{"a":{"b":[1,{"c":"d"}]}}', True)]
+
+
+def test_strict_json(spark):
+    """As Python's parser decides (but for NaN): strict mode fails on each
+    invalid line, tolerant mode skips them all."""
+    for text, good in LINES:
+        try:
+            python = isinstance(json.loads(text), dict)
+        except ValueError:
+            python = False
+        assert good == (python and "NaN" not in text)
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LINES)], "i int, value string")
+    got = {r["i"]: r["k"] for r in d.select("i", jsonl.is_record().alias("k")).collect()}
+    assert [got[i] for i in range(len(LINES))] == [good for _, good in LINES]
+    path = _write([t for t, _ in LINES], "mixed.jsonl")
+    kept = jsonl.read_records(spark, {"test": path}, "DROPMALFORMED").select("line_no").collect()
+    assert sorted(r[0] for r in kept) == [i for i, (_, good) in enumerate(LINES, 1) if good]
+    for text in ("{'a':1}", '{"a":"x\ty"}', '{"a":1},"end"]'):
+        with pytest.raises(Exception, match="Invalid JSON in .* at line 2"):
+            jsonl.read_records(spark, {"test": _write(['{"a":1}', text], "bad.jsonl")}).collect()
