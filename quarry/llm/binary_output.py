@@ -46,7 +46,8 @@ CHUNK_SCHEMA = ("part long, chunk long, doc_ids array<bigint>, sizes array<bigin
 class WordIds(dict):
     """Packed ids of white-space separated words, by the tokenizers library.
     White space is dropped by this vocabulary and nothing in it looks across
-    it, so a text's ids are those of its words in a row.  Bounded memory."""
+    it, so a text's ids are those of its words in a row.  As in the library, the
+    string of a special token is that token, also inside a word.  Bounded memory."""
 
     MOST = 400_000
     LONGEST = 64
@@ -55,7 +56,6 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not known yet; the short ones are kept."""

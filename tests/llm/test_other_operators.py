@@ -81,9 +81,16 @@ def test_range_coder_bytes_per_id():
     assert sum(map(len, packed)) < 1.5 * len(ids)
 
 
-def test_token_files(docs, rows, empty):
+SPECIAL = ["<|startoftext|>", "a<|endoftext|>b <|ENDOFTEXT|>", "x <|startoftext|><|endoftext|>\ny <|start oftext|>",
+           "<|endoftext|>" * 5 + "é", "<|startoftext|", "<|Startoftext|>s"]
+
+
+def test_token_files(spark, docs, rows, empty):
+    """Ids, order and offsets as the unchanged library gives them."""
     lib = Tokenizer.from_file(WORDS)
-    lib.encode_special_tokens = True
+    rows = rows + [(1000 + i, t, *rows[0][2:]) for i, t in enumerate(SPECIAL)]
+    docs = docs.unionByName(spark.createDataFrame(rows[-len(SPECIAL):], docs.schema))
+    assert 49407 in lib.encode(SPECIAL[1], add_special_tokens=False).ids
     at, want = 0, []
     for i, t in sorted([r[:2] for r in rows], key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = [*lib.encode(t or "", add_special_tokens=False).ids, 2]
