@@ -79,6 +79,27 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []  # scratch paths given out and not released
+
+
+def release_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more, and let Spark clean up
+    the shuffle files of plans that are gone."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        if p in _written:
+            _written.remove(p)
+    jvm.System.gc()
+
+
+def scratch_written() -> list[str]:
+    """Paths of the scratch tables written so far and not released."""
+    return list(_written)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder for written tables.  Only
     a local session may do without ``spark.checkpoint.dir``: driver and
@@ -89,7 +110,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quarry-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex[:12]}"
+    _written.append(path)
+    return path
 
 
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int,
