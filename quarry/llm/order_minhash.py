@@ -15,12 +15,15 @@ documents does not link them.
 
 Copies (equal word sequences) collapse to their smallest id first.  In each
 bucket all members are verified against the most central one (that shares most
-buckets with most others; linear); what is then
-still in different components of a bucket is compared with the members outside
-the bucket's largest component, so no candidate pair is left untested unless
-it is connected already.  Nothing is capped.
-
-Before any text moves, the join of candidates compares their signatures (two
+buckets with most others; linear).  Members that are then still in different
+components of a bucket are compared by signature, chunk by chunk, those outside
+the bucket's largest component with all: first only the likeliest pair of each
+such member and component is verified, and, with the components that this
+connects, all other pairs that can link.  So no candidate pair is left untested
+unless it is connected already, and families of copies never become pairs.
+Nothing is capped.
+
+Before any text moves, candidates are compared by their signatures (two
 bits each of 512 minimum hashes of distinct shingles, in 16 integers): it drops
 pairs of which fewer than 399 agree, where 435 are expected at similarity 0.8 (a
 pair of exactly 0.8 is dropped with probability 8.2e-6, far less often than the
@@ -62,6 +65,7 @@ LONG, SHORT = (5, 24, 32, None), (2, 12, 1, 50)
 SEED = 7
 LANES, LEAST_EQUAL = 512, 399
 MATRIX = 2_000_000  # hashes at a time
+FEW, MANY = 1000, 4000  # members of a bucket that a task compares with each other
 BROADCAST_IDS = 2_000_000  # ids of candidates (32 MB) that may be broadcast, counted first
 
 
@@ -223,6 +227,99 @@ def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
         _verify(least), f"a {kind}, b {kind}, distance double, linked boolean"), "verified")
 
 
+def _signed(pairs: DataFrame, alone: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose signatures and counts can belong to a link."""
+    one = lambda side: alone.select(*[F.col(c).alias(f"{side}_{c}") for c in ("doc_id", "n", "signs")])
+    p = pairs.join(one("s"), F.col("a") == F.col("s_doc_id")).join(one("t"), F.col("b") == F.col("t_doc_id"))
+    return p.filter(_alike(F.col("s_signs"), F.col("t_signs"), F.col("s_n"), F.col("t_n"), least)).select("a", "b")
+
+
+def _equal_lanes(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Equal lanes of each row of ``s`` and each of ``t`` (16 integers a row)."""
+    equal = np.full((len(s), len(t)), LANES, np.int32)
+    for i in range(LANES // 32):
+        x = s[:, i, None] ^ t[None, :, i]
+        x = (x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)
+        equal -= np.bitwise_count(x)
+    return equal
+
+
+def _candidates(least: float, every: bool):
+    """Pairs of a chunk of outside members and a chunk of all members of a
+    bucket that can link and are not connected: all, or only the likeliest of
+    each outside member and component.  Two members meet in all their common
+    buckets, each of which is open (they are not connected); the one with the
+    smallest key counts the pair."""
+    def run(key, t):
+        bucket = key[0].as_py()
+        t = t.sort_by("doc_id")
+        keys = t.column("keys").combine_chunks()
+        width = int(pa.compute.max(keys.value_lengths()).as_py())
+        table = np.full((t.num_rows, width), bucket, np.int64)  # rows with fewer keys repeat this bucket's
+        size = keys.value_lengths().to_numpy()
+        table[np.arange(width) < size[:, None]] = keys.flatten().to_numpy()
+        few = np.flatnonzero(t.column("mine").to_numpy(zero_copy_only=False))
+        many = np.flatnonzero(t.column("other").to_numpy(zero_copy_only=False))
+        ids, n, label = (t.column(c).to_numpy() for c in ("doc_id", "n", "label"))
+        outside = t.column("outside").to_numpy(zero_copy_only=False)
+        away = t.column("distance").to_numpy(zero_copy_only=False)  # NaN where it is not known
+        signs = np.array(t.column("signs").combine_chunks().flatten().to_numpy()).reshape(len(ids), -1).view(np.uint64)
+        a, b = [np.empty(0, ids.dtype)], [np.empty(0, ids.dtype)]
+        for i in range(0, len(few), 200):
+            x = few[i:i + 200, None]
+            can = (label[x] != label[many]) & (~outside[many] | (ids[x] < ids[many]))
+            can &= np.minimum(n[x], n[many]) >= least * np.maximum(n[x], n[many])
+            can &= ~(np.abs(away[x] - away[many]) > 1 - least + 1e-9)
+            equal = np.where(can, _equal_lanes(signs[x[:, 0]], signs[many]), 0)
+            r, c = np.nonzero(equal >= LEAST_EQUAL)
+            first = np.ones(len(r), bool)
+            for k in range(0, len(r), 1000):
+                u, v = table[x[r[k:k + 1000], 0]], table[many[c[k:k + 1000]]]
+                first[k:k + 1000] = ~((u < bucket) & (u[:, :, None] == v[:, None, :]).any(2)).any(1)
+            r, c = r[first], c[first]
+            if not every:
+                order = np.lexsort((c, -equal[r, c], label[many[c]], r))
+                r, c = r[order], c[order]
+                first = np.append(True, (r[1:] != r[:-1]) | (label[many[c[1:]]] != label[many[c[:-1]]]))[:len(r)]
+                r, c = r[first], c[first]
+            p, q = ids[x[r, 0]], ids[many[c]]
+            a.append(np.minimum(p, q))
+            b.append(np.maximum(p, q))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+    return run
+
+
+def _open_pairs(rows: DataFrame, label: DataFrame, alone: DataFrame, near: DataFrame, least: float,
+                every: bool) -> DataFrame | None:
+    """Candidates (a, b) inside the buckets ``rows`` (key, hub, doc_id) that hold
+    members of several components: members outside the largest component of the
+    bucket against all, chunk by chunk, so that no task holds a bucket.  None
+    where there is no such bucket."""
+    named = materialize(rows.join(label, rows.doc_id == label.node, "left").select(
+        "key", "hub", "doc_id", F.coalesce("component", "doc_id").alias("label")), "bucket_labels")
+    sizes = named.groupBy("key", "label").agg(F.count("*").alias("c"))
+    split = sizes.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"),
+                                     F.max("c").alias("inside"))
+    split = materialize(split.filter("all > inside").select(
+        "key", "main", F.ceil((F.col("all") - F.col("inside")) / FEW).cast("int").alias("ps"),
+        F.ceil(F.col("all") / MANY).cast("int").alias("qs")), "split_buckets")
+    if split.isEmpty():
+        return None
+    m = named.join(split, "key").filter("doc_id <> hub").join(  # the hub has been compared with all
+        near, (F.col("hub") == F.col("near_a")) & (F.col("doc_id") == F.col("near_b")), "left")
+    m = m.join(alone.select(F.col("doc_id").alias("of"), "n", "signs", "keys"), F.col("doc_id") == F.col("of"))
+    m = m.withColumn("outside", F.col("label") != F.col("main"))
+    share = lambda k, salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col(k)).cast("int")
+    kept = ["key", "doc_id", "label", "outside", "n", "signs", "keys", F.coalesce("distance", F.lit(float("nan"))).alias("distance")]
+    spread = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    mine = m.filter("outside").select(*kept, share("ps", 1).alias("p"), spread("qs").alias("q"),
+                                      F.lit(True).alias("mine"), F.lit(False).alias("other"))
+    other = m.select(*kept, spread("ps").alias("p"), share("qs", 2).alias("q"),
+                     F.lit(False).alias("mine"), F.lit(True).alias("other"))
+    kind = dict(alone.dtypes)["doc_id"]
+    return mine.union(other).groupBy("key", "p", "q").applyInArrow(_candidates(least, every), f"a {kind}, b {kind}")
+
+
 def links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Links (a, b) whose components are the classes of near-copies."""
     on_workers(docs.sparkSession)
@@ -235,43 +332,36 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     more = firsts.filter("rows > 1")
     copies = materialize(s.select("copy", "doc_id").join(more, "copy").filter("doc_id <> first").select(
         F.col("first").alias("a"), F.col("doc_id").alias("b")), "copy_links")
-    alone = s.join(firsts, (s.doc_id == firsts["first"]) & (s.copy == firsts.copy), "left_semi")
-    rows = alone.select("doc_id", "n", "signs", F.explode("keys").alias("key"))
+    alone = s.join(firsts, (s.doc_id == firsts["first"]) & (s.copy == firsts.copy), "left_semi") \
+        .groupBy("doc_id").agg(F.first(F.struct("n", "signs", "keys")).alias("r")).select("doc_id", "r.*")
+    alone = materialize(alone, "distinct_sketches")
+    rows = alone.select("doc_id", F.explode("keys").alias("key"))
     sizes = materialize(rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "bucket_sizes")
     rows = materialize(rows.join(sizes, "key"), "bucket_rows")
     # the member that shares most with others: an original, where the rest are its edited copies
     central = materialize(rows.groupBy("doc_id").agg(F.sum("c").alias("weight")).withColumnRenamed("doc_id", "of"),
                           "bucket_weights")
-    rows = materialize(rows.join(central, rows.doc_id == central.of).drop("of", "c"), "bucket_rows")
-    buckets = materialize(rows.groupBy("key").agg(F.max_by(F.struct("doc_id", "n", "signs"), F.struct(
+    buckets = materialize(rows.join(central, rows.doc_id == central.of).groupBy("key").agg(F.max_by("doc_id", F.struct(
         "weight", (-F.col("doc_id")).alias("i"))).alias("hub")), "buckets")
-    rows = materialize(rows.drop("weight").join(buckets, "key"), "bucket_rows")
-    tested = _verified(rows.filter((F.col("doc_id") != F.col("hub.doc_id")) & _alike(
-        F.col("signs"), F.col("hub.signs"), F.col("n"), F.col("hub.n"), least)).select(
-        F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")), docs, least)
+    rows = materialize(rows.select("key", "doc_id").join(buckets, "key"), "bucket_rows")
+    hubs = rows.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    tested = _verified(_signed(hubs, alone, least), docs, least)
     found = tested.filter("linked").select("a", "b")
-    # members that are not yet connected inside a bucket
+    near = tested.select(F.col("a").alias("near_a"), F.col("b").alias("near_b"), "distance").distinct()
+    # members that are not yet connected inside a bucket: the likeliest pairs first, then all that are left
     label = materialize(connected_components(found), "labels")
-    near = tested.groupBy("a", "b").agg(F.min("distance").alias("distance"))
-    rows = rows.select("key", F.col("hub.doc_id").alias("hub"), "doc_id", "n", "signs")
-    rows = rows.join(near, (rows.hub == near.a) & (rows.doc_id == near.b), "left")
-    named = materialize(rows.join(label, rows.doc_id == label.node, "left").select(
-        "key", "hub", "doc_id", "n", "signs", "distance", F.coalesce("component", "doc_id").alias("label")),
-        "bucket_labels")
-    sizes = named.groupBy("key", "label").agg(F.count("*").alias("c"))
-    split = sizes.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"),
-                                     F.count("*").alias("labels"))
-    split = materialize(split.filter("labels > 1").select("key", "main"), "split_buckets")
-    open_ = materialize(named.join(split, "key"), "open_buckets")
-    few = open_.filter("label <> main").select(
-        F.col("key").alias("k"), F.col("doc_id").alias("x"), F.col("n").alias("xn"), F.col("signs").alias("xs"),
-        F.col("label").alias("xl"), F.col("distance").alias("xd"), "hub").filter("x <> hub")
-    pairs = few.join(open_.select("key", "doc_id", "n", "signs", "distance", "label", "main"),
-                     (F.col("k") == F.col("key")) & (F.col("xl") != F.col("label")) & (F.col("doc_id") != F.col("hub"))
-                     & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("doc_id")))
-                     & (F.coalesce(F.abs(F.col("xd") - F.col("distance")), F.lit(0.0)) <= 1 - least + 1e-9)
-                     & _alike(F.col("xs"), F.col("signs"), F.col("xn"), F.col("n"), least))
-    rest = _verified(pairs.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")), docs, least)
+    pairs = _open_pairs(rows, label, alone, near, least, False)
+    if pairs is None:
+        return copies.union(found)
+    likely = _verified(pairs, docs, least)
+    joined = likely.filter("linked").select("a", "b")
+    if not joined.isEmpty():
+        found = materialize(found.union(joined), "links")
+        label = materialize(connected_components(found), "labels")
+    pairs = _open_pairs(rows, label, alone, near, least, True)
+    if pairs is None:
+        return copies.union(found)
+    rest = _verified(pairs.join(likely.select("a", "b"), ["a", "b"], "left_anti"), docs, least)
     return copies.union(found).union(rest.filter("linked").select("a", "b"))
 
 
