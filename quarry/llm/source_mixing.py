@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import SPACE, SPACE_CHARS, WORD
+from quarry.session import materialize
 
 WEIGHTS = (1, 2, 3)  # by source in order, repeating
 MOST_EPOCHS = 3
@@ -74,22 +75,27 @@ def budgets(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     bits = bin_bits(spark)
     d = sized(docs, bits, list(extra))
     bins = d.select("source", "_bin", "size").groupBy("source", "_bin").agg(F.sum("size").alias("_n"))
+    bins = materialize(bins, "mixing_bins")  # a row per source and bin
     sums = bins.groupBy("source").agg(F.sum("_n").alias("source_size"))
     in_source = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bins.select("source", "_bin", F.coalesce(F.sum("_n").over(in_source), F.lit(0)).alias("_offset"))
+    offsets = bins.select("source", "_bin", "_n", F.coalesce(F.sum("_n").over(in_source), F.lit(0)).alias("_offset"))
     t = targets(sums).withColumnRenamed("source", "_s")
-    offsets = offsets.join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
-        F.col("source").alias("_s"), F.col("_bin").alias("_b"), "_offset", "source_size", "target")
-    placed = Window.partitionBy("source", "_bin").orderBy("_key", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, -1)
-    d = d.withColumn("_before", F.coalesce(F.sum("size").over(placed), F.lit(0)))
-    d = d.join(offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bin") == F.col("_b")))
     budget = F.floor(F.col("target") + 0.5)
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
-    rest = budget - whole * F.col("source_size")
-    cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_offset") - F.col("_before")))
-    return d.select(*extra, "doc_id", "size", "source_size", "target",
-                    (whole * F.col("size") + cut).cast("long").alias("taken"))
+    offsets = materialize(offsets.join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
+        F.col("source").alias("_s"), F.col("_bin").alias("_b"), "source_size", "target", whole.alias("_whole"),
+        (budget - whole * F.col("source_size") - F.col("_offset")).alias("_rest"), "_n"), "mixing_offsets")
+    d = d.join(offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bin") == F.col("_b")))
+    # only in the bin at the cut does a document's place matter; the others are wholly in or out
+    at_cut = (F.col("_rest") > 0) & (F.col("_rest") < F.col("_n"))
+    placed = Window.partitionBy("source", "_bin").orderBy("_key", "doc_id", "size").rowsBetween(
+        Window.unboundedPreceding, -1)
+    clear = d.filter(~at_cut).withColumn("_before", F.lit(0).cast("long"))
+    split = d.filter(at_cut).withColumn("_before", F.coalesce(F.sum("size").over(placed), F.lit(0)))
+    cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before")))
+    taken = (F.col("_whole") * F.col("size") + cut).cast("long").alias("taken")
+    clear, split = (x.select(*extra, "doc_id", "size", "source_size", "target", taken) for x in (clear, split))
+    return clear.union(split)
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:

@@ -108,3 +108,16 @@ def test_null_and_empty_tables(spark, empty, tmp_path):
         assert stage(spark, empty, "").count() == 0, name
         n = stage(spark, nulls, "").count()
         assert n == {"quality rules": 0, "source mixing": 0}.get(name, 3), name
+
+
+def test_scratch_of_a_stage_is_deleted(docs):
+    """A stage deletes what the one before wrote, unless its documents read it."""
+    import corpus_pipeline
+    from quarry.session import materialize, scratch_written
+    spark = docs.sparkSession
+    stored = materialize(corpus_pipeline.near_dedup_stage(spark, docs, ""), "stored")
+    own = list(corpus_pipeline._left)
+    assert own and all(p in scratch_written() for p in own)
+    lazy = corpus_pipeline.substring_stage(spark, stored, "")
+    assert not any(p in scratch_written() for p in own)
+    assert corpus_pipeline.mixing_stage(spark, lazy, "").count() > 0  # not stored: its tables stay
