@@ -4,9 +4,10 @@ reset and checksummed.
 
 File format: Parquet rows ("chunks") in the order of ``part, chunk``.  A chunk
 holds whole documents: ``doc_ids`` and ``sizes`` (ids of each, end id
-included), and its ids as ``blocks`` of 2,048 (``payload`` and ``crc``, the
-crc32 of the block's ids as little-endian unsigned 32-bit integers; the last
-block of a chunk may be shorter).  Any block can be decoded alone.
+included), the order-zero table of its ids (``symbols`` and their ``widths``)
+and the ids as ``blocks`` of 2,048 (``payload`` and ``crc``, the crc32 of the
+block's ids as little-endian unsigned 32-bit integers; the last block of a chunk
+may be shorter).  Any block can be decoded with its chunk's table alone.
 
 The documents are range-partitioned by id, so each task writes one run of the
 order; a chunk closes at ``CHUNK_IDS`` ids, which bounds memory.  Offsets in
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.blocks import corpus_chars
 from quarry.llm.common import on_workers, split_words
-from quarry.llm.range_coder import BLOCK, decode_blocks, encode_blocks
+from quarry.llm.range_coder import BLOCK, OrderZero, decode_blocks, encode_blocks
 from quarry.session import scratch_path
 
 END_ID = 2
@@ -38,9 +39,10 @@ PART_CHARS = 24_000_000
 
 CHUNK_TYPE = pa.schema([
     ("part", pa.int64()), ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+    ("symbols", pa.list_(pa.int32())), ("widths", pa.list_(pa.int32())),
     ("blocks", pa.list_(pa.struct([("payload", pa.binary()), ("crc", pa.int64())])))])
 CHUNK_SCHEMA = ("part long, chunk long, doc_ids array<bigint>, sizes array<bigint>, "
-                "blocks array<struct<payload:binary,crc:bigint>>")
+                "symbols array<int>, widths array<int>, blocks array<struct<payload:binary,crc:bigint>>")
 
 
 class WordIds(dict):
@@ -109,9 +111,11 @@ def write_chunks(docs: DataFrame, path: str) -> DataFrame:
         def close():
             flat = np.concatenate(ids)
             blocks = [flat[i:i + BLOCK] for i in range(0, len(flat), BLOCK)]
-            packed = [{"payload": p, "crc": crc_of(b)} for p, b in zip(encode_blocks(blocks), blocks)]
+            zero = OrderZero.of(flat)
+            packed = [{"payload": p, "crc": crc_of(b)} for p, b in zip(encode_blocks(blocks, zero), blocks)]
             return pa.RecordBatch.from_pylist([{
-                "part": part, "chunk": chunk, "doc_ids": doc_ids, "sizes": [len(x) for x in ids], "blocks": packed}],
+                "part": part, "chunk": chunk, "doc_ids": doc_ids, "sizes": [len(x) for x in ids],
+                "symbols": zero.symbols.tolist(), "widths": zero.widths.tolist(), "blocks": packed}],
                 schema=CHUNK_TYPE)
 
         for b in batches:
@@ -145,7 +149,7 @@ def read_documents(chunks: DataFrame) -> DataFrame:
                 sizes = np.array(row["sizes"], np.int64)
                 total = int(sizes.sum())
                 n = [min(BLOCK, total - i) for i in range(0, total, BLOCK)]
-                blocks = decode_blocks([x["payload"] for x in row["blocks"]], n)
+                blocks = decode_blocks([x["payload"] for x in row["blocks"]], n, OrderZero(row["symbols"], row["widths"]))
                 for x, ids in zip(row["blocks"], blocks, strict=True):
                     if crc_of(ids) != x["crc"]:
                         raise ValueError(f"checksum of a block differs: part {row['part']}, chunk {row['chunk']}")
@@ -157,7 +161,7 @@ def read_documents(chunks: DataFrame) -> DataFrame:
                      pa.array([crc_of(ids[e - s:e]) for s, e in zip(sizes, last)], pa.int64())],
                     ["part", "chunk", "at", "doc_id", "n_tokens", "ids_crc32"])
 
-    return chunks.select("part", "chunk", "doc_ids", "sizes", "blocks").mapInArrow(
+    return chunks.select("part", "chunk", "doc_ids", "sizes", "symbols", "widths", "blocks").mapInArrow(
         run, "part long, chunk long, at long, doc_id long, n_tokens long, ids_crc32 long")
 
 
