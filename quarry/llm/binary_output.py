@@ -21,6 +21,7 @@ read; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -49,37 +50,75 @@ class WordIds(dict):
     """Packed ids of white-space separated words, by the tokenizers library.
     White space is dropped by this vocabulary and nothing in it looks across
     it, so a text's ids are those of its words in a row.  As in the library, the
-    string of a special token is that token, also inside a word.  Bounded memory."""
+    string of a special token is that token, also inside a word.
 
-    MOST = 400_000
+    A new word is looked up as a core and the ASCII marks after it: the
+    vocabulary always cuts between an ASCII letter or digit and such a mark, and
+    lower-cases.  Cores of ASCII letters go to the library many at a time, joined
+    by spaces; each is one token string with one end-of-word id, the last.
+    Bounded memory."""
+
+    MOST = 600_000
     LONGEST = 64
+    MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, path: str):
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives each core a task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces: dict[bytes, bytes] = {}
+        self.last = np.zeros(1 << 16, bool)  # ids that end a word
+        self.last[[i for x, i in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
+
+    def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(
+            [x.decode("utf-8", "surrogatepass") for x in pieces], add_special_tokens=False)]
+
+    def cut(self, word: bytes) -> tuple[bytes, bytes]:
+        """Core and marks of a word; no marks where the cut is not sure."""
+        core = word.rstrip(self.MARKS)
+        if b"<|" in word or not core[-1:].isalnum():
+            return word, b""
+        return (core.lower() if core.isascii() else core), word[len(core):]
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not known yet; the short ones are kept."""
-        found = {}
-        for i in range(0, len(words), 5000):
-            some = words[i:i + 5000]
-            for w, e in zip(some, self.tokenizer.encode_batch(
-                    [w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False)):
-                found[w] = np.array(e.ids, np.uint16).tobytes()
-        self.update((w, x) for w, x in found.items() if len(w) <= self.LONGEST)
-        return found
+        cuts = list(map(self.cut, words))
+        new = {x for c in cuts for x in c}.difference(self.pieces)
+        found = {b"": b""}
+        letters = [x for x in new if x.isalpha()]
+        for i in range(0, len(letters), 1000):
+            some = letters[i:i + 1000]
+            ids, = self.encode([b" ".join(some)])
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 2
+            packed, start = ids.tobytes(), 0
+            for x, end in zip(some, ends.tolist(), strict=True):
+                found[x] = packed[start:end]
+                start = end
+        others = [x for x in new if not x.isalpha() and x]
+        for i in range(0, len(others), 5000):
+            some = others[i:i + 5000]
+            found.update((x, ids.tobytes()) for x, ids in zip(some, self.encode(some)))
+        self.pieces.update((x, ids) for x, ids in found.items() if len(x) <= self.LONGEST)
+        ids_of = (lambda x: found[x] if x in found else self.pieces[x])
+        out = {w: ids_of(c) + ids_of(m) if m else ids_of(c) for w, (c, m) in zip(words, cuts)}
+        self.update((w, x) for w, x in out.items() if len(w) <= self.LONGEST)
+        return out
 
     def encode_all(self, texts: list) -> list[np.ndarray]:
         """Ids of each text with the end id."""
         if len(self) > self.MOST:
             self.clear()
+            self.pieces.clear()
         words = [split_words(x) for x in texts]
-        new = set().union(*words).difference(self)
-        long = {w: x for w, x in self.learn(list(new)).items() if len(w) > self.LONGEST}
-        ids_of = (lambda w: long[w] if w in long else self[w]) if long else self.__getitem__
+        found = [list(map(self.get, ws)) for ws in words]
+        open_ = [i for i, f in enumerate(found) if None in f]
+        new = self.learn(list({w for i in open_ for w, x in zip(words[i], found[i]) if x is None}))
+        for i in open_:
+            found[i] = [new[w] if x is None else x for w, x in zip(words[i], found[i])]
         end = np.array([END_ID], np.uint16).tobytes()
-        return [np.frombuffer(b"".join(map(ids_of, ws)) + end, np.uint16) for ws in words]
+        return [np.frombuffer(b"".join(f) + end, np.uint16) for f in found]
 
 
 _loaded: dict[str, WordIds] = {}

@@ -3,7 +3,8 @@
 Orders two and one predict the next id (the last one seen after the same one
 or two ids, with the length of its run of hits as confidence).  A mixed model
 codes which prediction holds, order two, order one or neither, from two
-adaptive tables whose mixing weight follows the better one.  After "neither"
+adaptive tables whose mixing weight follows the better one; the tables learn in
+turns, one at each step, the weight every fourth.  After "neither"
 order zero codes the id by the frequencies of a table (``OrderZero``) that the
 blocks of one chunk share and that is stored once beside them.
 
@@ -23,9 +24,8 @@ CONTEXTS = 10  # bits of the tables of orders one and two
 ZERO_BITS = 20  # frequencies of order zero add up to 2**ZERO_BITS
 _BITS = 16  # probabilities of the mixed model, in 2**-16
 _LEAST = 64  # least probability that a distribution is pulled to
-_RATE = 4  # a distribution moves 2**-RATE of the way at each symbol
-_LOW32, _LOW48 = np.uint64(2**32 - 1), np.uint64(2**48 - 1)
-_16, _32, _LEAST_RANGE = np.uint64(16), np.uint64(32), np.uint64(2**32)
+_RATE = 3  # a distribution moves 2**-RATE of the way at each symbol
+_LOW32, _LOW48, _LEAST_RANGE = 2**32 - 1, 2**48 - 1, 2**32
 
 
 class OrderZero:
@@ -35,7 +35,7 @@ class OrderZero:
     def __init__(self, symbols, widths):
         self.symbols = np.asarray(symbols, np.int64)
         self.widths = np.asarray(widths, np.int64)
-        self.width = np.zeros(1 << 16, np.uint64)
+        self.width = np.zeros(1 << 16, np.int64)
         self.width[self.symbols] = self.widths
         self.below = np.cumsum(self.width) - self.width
 
@@ -62,15 +62,15 @@ class _Out:
     already written."""
 
     def __init__(self, lanes: int, most: int, zero: OrderZero):
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, 1 << 48, np.uint64)
+        self.low = np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, 1 << 48, np.int64)
         self.digits = np.zeros((lanes, 3 * most + 8), np.uint16)
         self.n = np.zeros(lanes, np.int64)
         self.zero = zero
 
     def hit(self, k, first, second, hit):
         """Codes which of three symbols follows in each of the first ``k`` lanes."""
-        self.put(slice(k), _below(first, second, hit), _width(first, second, hit), _BITS)
+        self.put(slice(k), *_interval(first, second, hit), _BITS)
         return hit
 
     def id(self, lanes, x):
@@ -78,9 +78,10 @@ class _Out:
         return x
 
     def put(self, lanes, below, width, bits):
-        r = self.range[lanes] >> np.uint64(bits)
-        low = self.low[lanes] + r * below.astype(np.uint64)
-        r *= width.astype(np.uint64)
+        r = self.range[lanes] >> bits
+        low = r * below
+        low += self.low[lanes]
+        r *= width
         every = isinstance(lanes, slice)
         over = (low > _LOW48).nonzero()[0]
         if len(over):
@@ -94,10 +95,10 @@ class _Out:
         small = (r < _LEAST_RANGE).nonzero()[0]
         while len(small):  # twice at most
             to = small if every else lanes[small]
-            self.digits[to, self.n[to]] = low[small] >> _32
+            self.digits[to, self.n[to]] = low[small] >> 32
             self.n[to] += 1
-            low[small] = (low[small] & _LOW32) << _16
-            wider = r[small] << _16
+            low[small] = (low[small] & _LOW32) << 16
+            wider = r[small] << 16
             r[small] = wider
             small = small[wider < _LEAST_RANGE]
         self.low[lanes] = low
@@ -106,7 +107,7 @@ class _Out:
     def finish(self) -> list[bytes]:
         lanes = np.arange(len(self.low))
         for shift in (32, 16, 0):
-            self.digits[lanes, self.n] = (self.low >> np.uint64(shift)) & np.uint64(0xFFFF)
+            self.digits[lanes, self.n] = self.low >> shift & 0xFFFF
             self.n += 1
         return [row[:n].astype("<u2").tobytes() for row, n in zip(self.digits, self.n)]
 
@@ -120,51 +121,49 @@ class _In:
         self.digits = np.zeros((len(payloads), most), np.uint16)
         for i, p in enumerate(payloads):
             self.digits[i, :len(p) // 2] = np.frombuffer(p, "<u2")
-        d = self.digits[:, :3].astype(np.uint64)
-        self.value = d[:, 0] << _32 | d[:, 1] << _16 | d[:, 2]
-        self.range = np.full(len(payloads), 1 << 48, np.uint64)
+        d = self.digits[:, :3].astype(np.int64)
+        self.value = d[:, 0] << 32 | d[:, 1] << 16 | d[:, 2]
+        self.range = np.full(len(payloads), 1 << 48, np.int64)
         self.n = np.full(len(payloads), 3)
         self.zero = zero
 
     def hit(self, k, first, second, hit):
-        r = self.range[:k] >> np.uint64(_BITS)
-        place = (self.value[:k] // r).astype(np.int32)
-        hit = (place >= first).astype(np.int64) + (place >= second)
-        self.take(slice(k), r, _below(first, second, hit), _width(first, second, hit))
+        r = self.range[:k] >> _BITS
+        value = self.value[:k]
+        hit = (value >= r * first).astype(np.int64)
+        hit += value >= r * second
+        self.take(slice(k), r, *_interval(first, second, hit))
         return hit
 
     def id(self, lanes, x):
-        r = self.range[lanes] >> np.uint64(ZERO_BITS)
-        place = np.minimum(self.value[lanes] // r, np.uint64((1 << ZERO_BITS) - 1))
-        x = self.zero.at[place.astype(np.int64)]
+        r = self.range[lanes] >> ZERO_BITS
+        place = self.value[lanes].view(np.uint64) // r.view(np.uint64)  # faster than signed
+        x = self.zero.at[np.minimum(place.view(np.int64), (1 << ZERO_BITS) - 1)]
         self.take(lanes, r, self.zero.below[x], self.zero.width[x])
         return x
 
     def take(self, lanes, r, below, width):
-        value = self.value[lanes] - r * below.astype(np.uint64)
-        r = r * width.astype(np.uint64)
+        value = self.value[lanes] - r * below
+        r *= width
         small = (r < _LEAST_RANGE).nonzero()[0]
         while len(small):  # twice at most
             to = small if isinstance(lanes, slice) else lanes[small]
             at = np.minimum(self.n[to], self.digits.shape[1] - 1)
-            value[small] = value[small] << _16 | self.digits[to, at]
+            value[small] = value[small] << 16 | self.digits[to, at]
             self.n[to] += 1
-            wider = r[small] << _16
+            wider = r[small] << 16
             r[small] = wider
             small = small[wider < _LEAST_RANGE]
         self.value[lanes] = value
         self.range[lanes] = r
 
 
-def _below(first, second, hit):
-    """Lower edge of the symbols ``hit`` between the inner edges ``first`` and
-    ``second`` of three symbols."""
-    return np.where(hit == 0, 0, np.where(hit == 1, first, second))
-
-
-def _width(first, second, hit):
-    """Width of the symbols ``hit``."""
-    return np.where(hit == 0, first, np.where(hit == 1, second - first, (1 << _BITS) - second))
+def _interval(first, second, hit):
+    """Lower edge and width of the symbols ``hit`` between the inner edges
+    ``first`` and ``second`` of three symbols."""
+    none, one = hit == 0, hit == 1
+    below = np.where(none, 0, np.where(one, first, second))
+    return below, np.where(none, first, np.where(one, second, 1 << _BITS)) - below
 
 
 class _Three:
@@ -195,13 +194,14 @@ def _run(coder, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
     by_trust = _Three(lanes * 32)  # by both confidences and agreement
     by_past = _Three(lanes * 9)  # by the last two outcomes
     weight = np.full(lanes, 32, np.int32)
-    one, two, past = (np.zeros(lanes, np.int64) for _ in range(3))
+    one, two, hit, past = (np.zeros(lanes, np.int64) for _ in range(4))
     k = 0
     for t in range(steps):
         if k != working[t]:
             k = int(working[t])
             start, trust_at, past_at = every[:k] << CONTEXTS, every[:k] << 5, every[:k] * 9
             one, two, past, weight = one[:k], two[:k], past[:k], weight[:k]
+            hit = hit[:k]
         key = one * 0x9E3779B1
         c1 = start + (key >> 7 & last)
         c2 = start + (key + two * 0x85EBCA6B >> 9 & last)
@@ -209,6 +209,8 @@ def _run(coder, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
         g1, g2 = e1 >> 2, e2 >> 2
         a = trust_at + (((e2 & 3) << 3) + ((e1 & 3) << 1) + (g1 == g2))
         b = past_at + past
+        b += hit
+        past = hit * 3
         a1, a2, b1, b2 = by_trust.first[a], by_trust.second[a], by_past.first[b], by_past.second[b]
         if ids is None:
             hit = None
@@ -216,11 +218,13 @@ def _run(coder, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
             now = ids[t, :k].astype(np.uint32)
             hit = np.where(now == g2, 2, now == g1)
         hit = coder.hit(k, b1 + ((a1 - b1) * weight >> 6), b2 + ((a2 - b2) * weight >> 6), hit)
-        better = np.sign(_width(a1, a2, hit) - _width(b1, b2, hit))
-        weight = np.minimum(np.maximum(weight + better, 4), 60)
-        by_trust.update(a, a1, a2, hit)
-        by_past.update(b, b1, b2, hit)
-        past = past % 3 * 3 + hit
+        if t & 1:
+            by_past.update(b, b1, b2, hit)
+        else:
+            by_trust.update(a, a1, a2, hit)
+        if t & 3 == 3:
+            better = np.sign(_interval(a1, a2, hit)[1] - _interval(b1, b2, hit)[1])
+            weight = np.clip(weight + 2 * better, 4, 60).astype(np.int32)
         miss = (hit == 0).nonzero()[0]
         if ids is None:
             now = np.where(hit == 2, g2, g1)

@@ -104,6 +104,22 @@ SPECIAL = ["<|startoftext|>", "a<|endoftext|>b <|ENDOFTEXT|>", "x <|startoftext|
            "<|endoftext|>" * 5 + "é", "<|startoftext|", "<|Startoftext|>s"]
 
 
+def test_word_ids_as_the_library():
+    """Odd words, a core with marks after it among them, one cache over all calls."""
+    lib = Tokenizer.from_file(WORDS)
+    r = random.Random(8)
+    parts = ["a", "Word", "x1", "'s", "'", "s", "'LL", "ve", "\u0301", "\u0338", "I\u0307", "É", "ß", "Σ", "漢", "٣", "½", "ª", "🙂", "...", ",",
+             ")", "<|", "<|endoftext|>", "|>", "\"", "_", "-", "</w>", "<", "\u2019", "\u200d", "\x00", "\x1f", "\u00a0", "\u2028", "\\"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(1, 7))) for _ in range(6000)]
+    texts = [" ".join(texts[i:i + 3]) for i in range(0, 6000, 3)] + ["z" * 5000 + ".", "Ab" * 40 + "?! ok", "", None]
+    known = binary_output.WordIds(WORDS)
+    for _ in range(2):
+        for i in range(0, len(texts), 150):
+            some = texts[i:i + 150]
+            for t, ids in zip(some, known.encode_all(some), strict=True):
+                assert ids.tolist() == [*lib.encode(t or "", add_special_tokens=False).ids, 2], t
+
+
 def test_token_files(spark, docs, rows, empty):
     """Ids, order and offsets as the unchanged library gives them."""
     lib = Tokenizer.from_file(WORDS)
