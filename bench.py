@@ -61,7 +61,7 @@ def main() -> None:
 
     p = DensePipeline(spark, sf_dir, materialize=True)
     timed("corpus_build", lambda: p.prepared)
-    stats_rows = timed("corpus_stats", lambda: ingest.corpus_stats(p.prepared).collect())
+    stats_rows = timed("corpus_stats", lambda: p.corpus_stats.collect())
     rows["corpus_stats"] = len(stats_rows)
     idx = timed("index_build", lambda: p.index)
     rows["postings"] = idx.postings.count()

@@ -6,14 +6,17 @@ func_code_string, whole_func_string, func_documentation_string, language,
 repository_name, func_path_in_repository, func_code_url`` and optionally
 ``_keys`` (the JSON keys present in the record, for the missing-vs-null rule
 of the metadata defaults).  Everything is a narrow projection except the
-statistics, which are one partial-aggregated ``groupBy(split)``.
+statistics: counters that are taken while the prepared rows are written
+(``observed``), or one partial-aggregated ``groupBy(split)`` where the splits
+are not known beforehand.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -98,33 +101,67 @@ def drop_reason_counts(prepared: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_records"))
 
 
+def _counters(of: F.Column) -> list[F.Column]:
+    """The counters and totals over the prepared records where ``of`` holds."""
+    kept = of & F.col("drop_reason").isNull()
+    doc_text_len = F.length(T.document_text("func_name", "docstring", "code"))
+
+    def count(name: str, condition: F.Column) -> F.Column:
+        return F.count_if(condition).alias(name)
+
+    def total(name: str, value: F.Column) -> F.Column:
+        return F.coalesce(F.sum(F.when(kept, value)), F.lit(0)).cast("long").alias(name)
+
+    return [
+        count("raw_records", of),
+        count("kept_records", kept),
+        count("dropped_missing_name", of & (F.col("drop_reason") == DROP_MISSING_NAME)),
+        count("dropped_missing_code", of & (F.col("drop_reason") == DROP_MISSING_CODE)),
+        count("dropped_empty_lexical", of & (F.col("drop_reason") == DROP_EMPTY_LEXICAL)),
+        count("records_with_docstring", kept & (F.length("docstring") > 0)),
+        count("records_without_docstring", kept & (F.length("docstring") == 0)),
+        total("document_char_total", doc_text_len),
+        total("lexical_token_total", F.col("lexical_token_count")),
+        total("docstring_char_total", F.length("docstring")),
+    ]
+
+
 def corpus_stats(prepared: DataFrame, splits=None) -> DataFrame:
     """One row per split with the reference's counters, totals, averages
     (2 decimals) and missing-docstring rate (4 decimals).  With ``splits``,
     a split without records still gets its row (all counters 0)."""
-    kept = F.col("drop_reason").isNull()
-    doc_text_len = F.length(T.document_text("func_name", "docstring", "code"))
-    agg = prepared.groupBy("split").agg(
-        F.count(F.lit(1)).alias("raw_records"),
-        F.count_if(kept).alias("kept_records"),
-        F.count_if(F.col("drop_reason") == DROP_MISSING_NAME).alias("dropped_missing_name"),
-        F.count_if(F.col("drop_reason") == DROP_MISSING_CODE).alias("dropped_missing_code"),
-        F.count_if(F.col("drop_reason") == DROP_EMPTY_LEXICAL).alias("dropped_empty_lexical"),
-        F.count_if(kept & (F.length("docstring") > 0)).alias("records_with_docstring"),
-        F.count_if(kept & (F.length("docstring") == 0)).alias("records_without_docstring"),
-        F.coalesce(F.sum(F.when(kept, doc_text_len)), F.lit(0)).cast("long")
-         .alias("document_char_total"),
-        F.coalesce(F.sum(F.when(kept, F.col("lexical_token_count"))), F.lit(0)).cast("long")
-         .alias("lexical_token_total"),
-        F.coalesce(F.sum(F.when(kept, F.length("docstring"))), F.lit(0)).cast("long")
-         .alias("docstring_char_total"),
-    )
+    agg = prepared.groupBy("split").agg(*_counters(F.lit(True)))
     if splits:
         spark = prepared.sparkSession
         expected = spark.createDataFrame([(x,) for x in splits], "split string")
         counters = [c for c in agg.columns if c != "split"]
         agg = expected.join(agg, "split", "left").select(
             "split", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counters])
+    return _with_averages(agg)
+
+
+def observed(prepared: DataFrame, splits: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``prepared`` with the counters of each of ``splits`` taken by the first
+    action on it, so that the statistics need no second read of the texts.  The
+    observed node must stay in the stage that writes (no shuffle after it):
+    there Spark counts each partition once, tasks that run again included.
+    Records of other splits are not counted."""
+    seen = Observation()
+    return prepared.observe(seen, F.count(F.lit(1)).alias("records"), *[
+        F.struct(*_counters(F.col("split") == s)).alias(f"split_{i}") for i, s in enumerate(splits)]), seen
+
+
+def observed_stats(spark: SparkSession, seen: Observation, splits: Sequence[str]) -> DataFrame:
+    """``corpus_stats(prepared, splits)`` from the counters of ``observed``, whose
+    action must have run.  What reaches the driver is one row a split."""
+    found = seen.get
+    rows = [(s, *found[f"split_{i}"]) for i, s in enumerate(splits)]
+    names = found["split_0"].__fields__
+    return _with_averages(spark.createDataFrame(
+        rows, "split string not null, " + ", ".join(f"{c} long not null" for c in names)))
+
+
+def _with_averages(agg: DataFrame) -> DataFrame:
     denom = "greatest(kept_records, 1)"
     return agg.select(
         "*",
@@ -164,8 +201,18 @@ class Corpus:
     histogram: DataFrame
 
 
-def build_corpus(raw: DataFrame, splits=None) -> Corpus:
+def store_prepared(raw: DataFrame, splits: Sequence[str] | None) -> tuple[DataFrame, Observation | None]:
+    """The prepared records, tokenized once and stored for all outputs, with the
+    counters of ``splits`` (none: not observed)."""
     from quarry.session import materialize
-    prepared = materialize(prepare(raw), "prepared")  # tokenized once for all outputs
+    prepared, seen = observed(prepare(raw), splits) if splits else (prepare(raw), None)
+    return materialize(prepared, "prepared"), seen
+
+
+def build_corpus(raw: DataFrame, splits=None) -> Corpus:
+    """The corpus of ``raw``.  With ``splits`` the statistics come from the pass
+    that stores the records; the histogram reads the stored token counts only."""
+    prepared, seen = store_prepared(raw, splits)
+    stats = observed_stats(raw.sparkSession, seen, splits) if seen else corpus_stats(prepared)
     docs = documents(prepared)
-    return Corpus(docs, metadata(prepared), corpus_stats(prepared, splits), length_histogram(docs))
+    return Corpus(docs, metadata(prepared), stats, length_histogram(docs))

@@ -123,7 +123,7 @@ def q_drop_reasons(spark, sf_dir):
 @register
 def q_corpus_stats(spark, sf_dir):
     """Per-split statistics and the total of kept records."""
-    s = ingest.corpus_stats(Pipeline(spark, sf_dir).prepared)
+    s = Pipeline(spark, sf_dir).corpus_stats
     # one row per split: the total over splits is a window over a few rows
     return s.withColumn("total_kept_records",
                         F.sum("kept_records").over(Window.partitionBy()).cast("long"))
@@ -463,7 +463,7 @@ def q_dq_sample(spark, sf_dir):
 @register
 def q_dq_stats_present(spark, sf_dir):
     """Statistics present for every expected split."""
-    return quality.split_stats_present(ingest.corpus_stats(Pipeline(spark, sf_dir).prepared))
+    return quality.split_stats_present(Pipeline(spark, sf_dir).corpus_stats)
 
 
 @register

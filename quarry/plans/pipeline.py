@@ -45,6 +45,7 @@ class Pipeline:
         """The pipeline over raw JSON-lines files, one file (or folder) per
         split; record ids are ``{split}-{line}``."""
         from quarry.sources import jsonl
+        kwargs.setdefault("splits", tuple(paths_by_split))
         return cls(spark, None, raw=jsonl.read_records(spark, paths_by_split, mode), **kwargs)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
@@ -66,9 +67,24 @@ class Pipeline:
         from quarry.session import spread
         return spread(raw, "id")
 
+    @cached_property
+    def _stored(self):
+        """Prepared records and the counters taken while they were stored; the
+        splits of the driver tables are known."""
+        return ingest.store_prepared(self.raw, self.splits or (tables.SPLITS if self._raw is None else None))
+
     @cached_property
     def prepared(self) -> DataFrame:
-        return self._cut(ingest.prepare(self.raw), "prepared")
+        return self._stored[0] if self.materialize else ingest.prepare(self.raw)
+
+    @cached_property
+    def corpus_stats(self) -> DataFrame:
+        """Statistics per split, from the pass that stored the records where the
+        splits are known.  Without ``splits`` only those with records."""
+        if not self.materialize or self._stored[1] is None:
+            return ingest.corpus_stats(self.prepared, self.splits)
+        stats = ingest.observed_stats(self.spark, self._stored[1], self.splits or tables.SPLITS)
+        return stats if self.splits else stats.filter("raw_records > 0")
 
     @cached_property
     def documents(self) -> DataFrame:
