@@ -376,9 +376,9 @@ def q_vector_sink(spark, sf_dir):
 
 @register
 def q_document_lookup(spark, sf_dir):
-    """Documents with the truthy metadata overrides."""
-    p = Pipeline(spark, sf_dir)
-    return report.document_lookup(p.documents, p.metadata)
+    """Documents with the truthy metadata overrides, from tables stored
+    by id."""
+    return Pipeline(spark, sf_dir).records.lookup()
 
 
 @register

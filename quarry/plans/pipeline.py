@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarry.operators import evaluate as E
 from quarry.operators import ingest, search
 from quarry.operators.index import BM25Index, build_index
+from quarry.operators.record_store import RecordStore
 from quarry.sources import tables
 
 
@@ -94,15 +95,23 @@ class Pipeline:
     def metadata(self) -> DataFrame:
         return ingest.metadata(self.prepared)
 
+    @cached_property
+    def buckets(self) -> int:
+        """Buckets by document id, from the tokens of the stored stage."""
+        from quarry.session import bucket_count
+        return bucket_count(self.spark, self.prepared.agg(F.sum("lexical_token_count")).first()[0] or 0)
+
+    @cached_property
+    def records(self) -> RecordStore:
+        """Documents and metadata stored by id."""
+        return RecordStore.build(self.documents, self.metadata, self.buckets)
+
     # -- index ------------------------------------------------------------
     @cached_property
     def index(self) -> BM25Index:
         if not self.materialize:
             return build_index(self.documents)
-        from quarry.session import bucket_count
-        # from the tokens of the stored stage
-        n = bucket_count(self.spark, self.prepared.agg(F.sum("lexical_token_count")).first()[0] or 0)
-        return build_index(self.documents, num_partitions=n).materialized()
+        return build_index(self.documents, num_partitions=self.buckets).materialized()
 
     # -- evaluation -------------------------------------------------------
     @cached_property
