@@ -3,6 +3,7 @@ import sys
 from collections import Counter, defaultdict
 from os.path import dirname
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, dirname(__file__))
@@ -120,6 +121,24 @@ def test_order_minhash_classes(docs, rows):
     assert len(set(want.values())) < len(want)
 
 
+def test_order_minhash_smallest_and_distinct():
+    """op8 sorts no places and no text twice: the same places as a full sort, also where values are equal."""
+    r = np.random.default_rng(4)
+    for v in (r.permutation(4000).reshape(8, 500), r.integers(0, 9, (8, 40)), r.permutation(24).reshape(6, 4)):
+        v = v.astype(np.uint64)
+        at = order_minhash._smallest(v, 5)
+        take = min(5, v.shape[1])
+        assert at.shape == (len(v), take) and (np.diff(at, axis=1) > 0).all()
+        assert (np.sort(np.take_along_axis(v, at, 1), 1) == np.sort(v, 1)[:, :take]).all()
+    for x in (r.integers(0, 50, 200), r.integers(0, 50, 1), r.integers(0, 50, 0)):
+        assert order_minhash._distinct(x).tolist() == sorted(set(x.tolist()))
+    x = np.unique(r.integers(0, 2**63, 70_000).astype(np.uint64))
+    short = (x >> np.uint64(32)).astype(np.uint32)
+    low = [int(((short ^ b) * a).min()) for a, b in zip(*order_minhash._lanes)]
+    bits = [int(order_minhash.mix64(np.array([m], np.uint64))[0]) & 3 for m in low]
+    assert [(v >> 2 * j) & 3 for v in order_minhash.signature(x) for j in range(32)] == bits
+
+
 def test_order_minhash_alignment_is_order_sensitive():
     a = [f"w{i}" for i in range(60)]
     k = lambda w: order_minhash.kmers(" ".join(w))
