@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import on_workers, text_bytes
+from quarry.llm.common import hold, on_workers, text_bytes
 
 
 class RankQueue:
@@ -183,25 +183,28 @@ _loaded: dict[tuple[str, str], ByteBPE] = {}
 def load(path: str, pattern: str) -> ByteBPE:
     if (path, pattern) not in _loaded:
         _loaded[path, pattern] = ByteBPE(path, pattern)
+    hold(_loaded[path, pattern])
     return _loaded[path, pattern]
 
 
-def _add(df: DataFrame, kind: str, fn) -> DataFrame:
-    """``df`` with columns that ``fn`` makes of each Arrow batch."""
+def _add(df: DataFrame, kind: str, fn, without: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with columns that ``fn`` makes of each Arrow batch; the columns
+    ``without`` stay in the worker."""
     on_workers(df.sparkSession)
+    keep = [i for i, c in enumerate(df.columns) if c not in without]
 
     def run(batches):
         for b in batches:
             t = pa.table(b.columns, names=[f"c{i}" for i in range(b.num_columns)])
-            made = fn(t)
+            made, t = fn(t), t.select(keep)
             for c in made.column_names:
                 t = t.append_column(c, made.column(c))
             yield from t.to_batches()
 
     names = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(names))])
-    made = plain.mapInArrow(run, ", ".join(f"c{i} {t}" for i, (_, t) in enumerate(df.dtypes)) + ", " + kind)
-    return made.toDF(*names, *made.columns[len(names):])
+    made = plain.mapInArrow(run, ", ".join(f"c{i} {df.dtypes[i][1]}" for i in keep) + ", " + kind)
+    return made.toDF(*[names[i] for i in keep], *made.columns[len(keep):])
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -233,15 +236,16 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def fn(t):
         enc = load(path, pattern)
         n, ids_sha, decoded_sha, exact = [], [], [], []
-        texts = t.column(1).to_pylist()
-        for x, packed in zip(texts, enc.encode_all(texts)):
-            back = enc.decode(np.frombuffer(packed, "<u4").tolist())
-            n.append(len(packed) // 4)
-            ids_sha.append(hashlib.sha256(packed).hexdigest())
-            decoded_sha.append(hashlib.sha256(back).hexdigest())
-            exact.append(back == text_bytes(x))
+        for i in range(0, t.num_rows, enc.TEXTS):  # a batch's texts and ids are never all held
+            texts = t.column(1).slice(i, enc.TEXTS).to_pylist()
+            for x, packed in zip(texts, enc.encode_all(texts)):
+                back = enc.decode(np.frombuffer(packed, "<u4").tolist())
+                n.append(len(packed) // 4)
+                ids_sha.append(hashlib.sha256(packed).hexdigest())
+                decoded_sha.append(hashlib.sha256(back).hexdigest())
+                exact.append(back == text_bytes(x))
         return pa.table({"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()),
                          "decoded_sha256": pa.array(decoded_sha, pa.string()), "exact": pa.array(exact, pa.bool_())})
 
     return _add(docs.select(F.col("doc_id"), F.col("text")),
-                "n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean", fn).drop("text")
+                "n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean", fn, without=("text",))

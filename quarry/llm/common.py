@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,20 @@ def split_words(text: str | None) -> list[bytes]:
     return text_bytes(text).split()
 
 
+_held: list[dict] = []  # the table that this worker uses
+
+
+def hold(table: dict) -> None:
+    """Empties the table of words that this worker used before, if it is another
+    one: Spark hands its workers from one operator to the next, and their memory
+    should hold the tables of one."""
+    if not _held or _held[0] is not table:
+        for other in _held:
+            other.clear()
+        _held[:] = [table]
+        pa.default_memory_pool().release_unused()
+
+
 class HashCache(dict):
     """64-bit hashes of words; emptied when it holds ``most`` entries, so its
     memory is bounded whatever the vocabulary."""
@@ -60,6 +75,7 @@ _words = HashCache()
 
 
 def word_hashes(text: str | None) -> np.ndarray:
+    hold(_words)
     w = split_words(text)
     return np.fromiter(map(_words.__getitem__, w), np.uint64, len(w))
 

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, dirname(__file__))
 import brute  # noqa: E402
 
-from quarry.llm import (binary_output, byte_bpe, chat_formatting, components, language_id, pivot_permutation,  # noqa: E402
+from quarry.llm import (binary_output, byte_bpe, chat_formatting, common, components, language_id, pivot_permutation,  # noqa: E402
                         range_coder, registry)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -46,6 +46,24 @@ def test_byte_bpe_tables_of_ids(docs, empty):
     assert byte_bpe.round_trip(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_a_worker_holds_one_table_of_words(docs):
+    """Words of the operator before go when the next one begins; texts stay in the worker."""
+    common.word_hashes("some words")
+    enc = byte_bpe.load(RANKS, public_tokenizers.PATTERN)
+    assert not common._words
+    ids = enc.encode_all(["some words"])
+    assert len(enc) == 2 and enc.encode_all(["some words"]) == ids
+    hashes = common.word_hashes("some words").tolist()
+    assert not enc and len(common._words) == 2
+    assert byte_bpe.load(RANKS, public_tokenizers.PATTERN).encode_all(["some words"]) == ids
+    assert common.word_hashes("some words").tolist() == hashes
+    result = byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    made = result._jdf.queryExecution().optimizedPlan()
+    while made.nodeName() != "MapInArrow":
+        made = made.children().head()
+    assert made.output().size() == len(result.columns) == 5
+
+
 def test_rank_queue_order():
     q, r = byte_bpe.RankQueue(50_000), random.Random(2)
     want = {}
