@@ -22,7 +22,9 @@ read; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from quarry.llm.range_coder import BLOCK, OrderZero, decode_blocks, encode_block
 from quarry.session import scratch_path
 
 END_ID = 2
-CHUNK_IDS = 4096 * BLOCK
+CHUNK_IDS = 8192 * BLOCK
 PART_CHARS = 24_000_000
 
 CHUNK_TYPE = pa.schema([
@@ -53,64 +55,83 @@ class WordIds(dict):
     string of a special token is that token, also inside a word.
 
     A new word is looked up as a core and the ASCII marks after it: the
-    vocabulary always cuts between an ASCII letter or digit and such a mark, and
-    lower-cases.  Cores of ASCII letters go to the library many at a time, joined
-    by spaces; each is one token string with one end-of-word id, the last.
-    Bounded memory."""
+    vocabulary always cuts between a letter or an ASCII digit and such a mark, and
+    lower-cases.  A core of Latin letters is one piece of the vocabulary, so it goes
+    to the library's model at once, spelled in its letters for bytes; all other
+    pieces take the library's whole way.  Bounded memory."""
 
-    MOST = 600_000
+    MOST = 1_000_000
     LONGEST = 64
-    MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")  # each is in normal form, also in lower case
 
     def __init__(self, path: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives each core a task
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[bytes, bytes] = {}
-        self.last = np.zeros(1 << 16, bool)  # ids that end a word
-        self.last[[i for x, i in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, bytes] = {}
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spell(chr(c))[0][0] for c in range(ord("ß"), ord("ÿ") + 1)}
 
-    def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(
-            [x.decode("utf-8", "surrogatepass") for x in pieces], add_special_tokens=False)]
+    def clear(self) -> None:
+        super().clear()
+        self.pieces.clear()
 
-    def cut(self, word: bytes) -> tuple[bytes, bytes]:
-        """Core and marks of a word; no marks where the cut is not sure."""
-        core = word.rstrip(self.MARKS)
-        if b"<|" in word or not core[-1:].isalnum():
-            return word, b""
-        return (core.lower() if core.isascii() else core), word[len(core):]
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint16).tobytes()
+                for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def letters(self, core: str) -> bytes:
+        """Ids of a core of lower-case Latin letters."""
+        spelled = core if core.isascii() else core.translate(self.spelling)
+        return array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not known yet; the short ones are kept."""
-        cuts = list(map(self.cut, words))
-        new = {x for c in cuts for x in c}.difference(self.pieces)
-        found = {b"": b""}
-        letters = [x for x in new if x.isalpha()]
-        for i in range(0, len(letters), 1000):
-            some = letters[i:i + 1000]
-            ids, = self.encode([b" ".join(some)])
-            ends = (np.flatnonzero(self.last[ids]) + 1) * 2
-            packed, start = ids.tobytes(), 0
-            for x, end in zip(some, ends.tolist(), strict=True):
-                found[x] = packed[start:end]
-                start = end
-        others = [x for x in new if not x.isalpha() and x]
-        for i in range(0, len(others), 5000):
-            some = others[i:i + 5000]
-            found.update((x, ids.tobytes()) for x, ids in zip(some, self.encode(some)))
-        self.pieces.update((x, ids) for x, ids in found.items() if len(x) <= self.LONGEST)
-        ids_of = (lambda x: found[x] if x in found else self.pieces[x])
-        out = {w: ids_of(c) + ids_of(m) if m else ids_of(c) for w, (c, m) in zip(words, cuts)}
-        self.update((w, x) for w, x in out.items() if len(w) <= self.LONGEST)
+        out, pieces, is_letters, longest = {}, self.pieces, self.LETTERS.fullmatch, self.LONGEST
+        others: dict[str, None] = {}
+        marked = []
+        for w in words:
+            word = w.decode("utf-8", "surrogatepass")
+            core = word.rstrip(self.MARKS)
+            marks = word[len(core):]
+            if is_letters(core):
+                core = core.lower()
+                ids = pieces.get(core)
+                if ids is None:
+                    ids = self.letters(core)
+                    if len(core) <= longest:
+                        pieces[core] = ids
+            else:
+                if "<|" in word or not (core[-1:].isascii() and core[-1:].isalnum()):
+                    core, marks = word, ""
+                elif core.isascii():
+                    core = core.lower()
+                ids = pieces.get(core)
+                if ids is None:
+                    others[core] = None
+            if marks and marks not in pieces:
+                others[marks] = None
+            if ids is None or marks:
+                marked.append((w, core, ids, marks))
+            else:
+                out[w] = ids
+        names = list(others)
+        found = {"": b""}
+        for i in range(0, len(names), 5000):
+            found.update(zip(names[i:i + 5000], self.encode(names[i:i + 5000])))
+        pieces.update((x, ids) for x, ids in found.items() if x and len(x) <= longest)
+        for w, core, ids, marks in marked:
+            out[w] = (found[core] if ids is None else ids) + (found[marks] if marks in found else pieces[marks])
+        self.update((w, x) for w, x in out.items() if len(w) <= longest)
         return out
 
     def encode_all(self, texts: list) -> list[np.ndarray]:
         """Ids of each text with the end id."""
         if len(self) > self.MOST:
             self.clear()
-            self.pieces.clear()
         words = [split_words(x) for x in texts]
         found = [list(map(self.get, ws)) for ws in words]
         open_ = [i for i, f in enumerate(found) if None in f]
@@ -137,8 +158,8 @@ def crc_of(ids: np.ndarray) -> int:
 def write_chunks(docs: DataFrame, path: str) -> DataFrame:
     """Chunks of the token-id files of ``docs`` (doc_id, text)."""
     on_workers(docs.sparkSession)
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                -(-corpus_chars(docs) // PART_CHARS))
+    # the coder takes all blocks of a chunk at once: few large parts cost it less than many small ones
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-corpus_chars(docs) // PART_CHARS))
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(
         parts, "doc_id").sortWithinPartitions("doc_id", "text").select(
         F.spark_partition_id().cast("long").alias("part"), "doc_id", "text")

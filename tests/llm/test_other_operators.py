@@ -138,6 +138,18 @@ def test_word_ids_as_the_library():
                 assert ids.tolist() == [*lib.encode(t or "", add_special_tokens=False).ids, 2], t
 
 
+def test_latin_words_go_to_the_model_at_once(monkeypatch):
+    """Equal to the library's whole way, which only marks and other words take."""
+    lib, known, asked = Tokenizer.from_file(WORDS), binary_output.WordIds(WORDS), []
+    monkeypatch.setattr(known, "encode", lambda x, f=known.encode: asked.extend(x) or f(x))
+    latin = "".join(map(chr, range(0xC0, 0x100))).replace("\u00d7", "").replace("\u00f7", "")
+    words = ["Été,", "naïve", "STRAẞE", "STRASSE", latin, *latin, "ñandú's", "ªº", "Über-Öl?!", "a\u0301b", "Ÿ", "x\u00d7y", "µ"]
+    ids, = known.encode_all([" ".join(words)])
+    assert ids.tolist() == [*lib.encode(" ".join(words), add_special_tokens=False).ids, 2]
+    assert not {"été", "Été,", "naïve", "strasse", latin, latin.lower(), *latin}.intersection(asked)
+    assert {",", "STRAẞE", "ªº", "µ"} <= set(asked)
+
+
 def test_token_files(spark, docs, rows, empty):
     """Ids, order and offsets as the unchanged library gives them."""
     lib = Tokenizer.from_file(WORDS)
