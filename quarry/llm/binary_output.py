@@ -22,23 +22,24 @@ read; extra columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.blocks import corpus_chars
-from quarry.llm.common import on_workers, split_words
+from quarry.llm.common import on_workers
 from quarry.llm.range_coder import BLOCK, OrderZero, decode_blocks, encode_blocks
 from quarry.session import scratch_path
 
 END_ID = 2
 CHUNK_IDS = 8192 * BLOCK
 PART_CHARS = 24_000_000
+TEXT_BYTES = 12_000_000  # of text that is encoded at a time
 
 CHUNK_TYPE = pa.schema([
     ("part", pa.int64()), ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
@@ -48,98 +49,141 @@ CHUNK_SCHEMA = ("part long, chunk long, doc_ids array<bigint>, sizes array<bigin
                 "symbols array<int>, widths array<int>, blocks array<struct<payload:binary,crc:bigint>>")
 
 
-class WordIds(dict):
-    """Packed ids of white-space separated words, by the tokenizers library.
-    White space is dropped by this vocabulary and nothing in it looks across
-    it, so a text's ids are those of its words in a row.  As in the library, the
-    string of a special token is that token, also inside a word.
+def runs(flat: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs of ``n`` values from ``start`` on in ``flat``, one after the other."""
+    end = np.cumsum(n)
+    return flat[np.repeat(start - (end - n), n) + np.arange(n.sum())]
 
-    A new word is looked up as a core and the ASCII marks after it: the
-    vocabulary always cuts between a letter or an ASCII digit and such a mark, and
-    lower-cases.  A core of Latin letters is one piece of the vocabulary, so it goes
-    to the library's model at once, spelled in its letters for bytes; all other
-    pieces take the library's whole way.  Bounded memory."""
+
+def _numpy(a: pa.Array) -> np.ndarray:
+    return a.to_numpy(zero_copy_only=False)
+
+
+class WordIds:
+    """Ids of texts, by the tokenizers library.  White space is dropped by this
+    vocabulary and nothing in it looks across it, so a text's ids are those of its
+    words in a row.  As in the library, the string of a special token is that
+    token, also inside a word.
+
+    The words of some texts are cut and numbered in Arrow, and each distinct one is
+    taken once, as a core and the ASCII marks after it: the vocabulary always cuts
+    between a letter or an ASCII digit and such a mark, and lower-cases.  A core of
+    Latin letters is one piece of the vocabulary, so these go to the library's
+    model at once, many in one string, spelled in its letters for bytes; all other
+    pieces take the library's whole way and are kept, in bounded memory."""
 
     MOST = 1_000_000
     LONGEST = 64
     MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-    LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")  # each is in normal form, also in lower case
+    LETTERS = r"\A[A-Za-zÀ-ÖØ-öø-ÿ]+\z"  # each is in normal form, also in lower case
+    ALNUM = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives each core a task
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.last = np.zeros(1 << 16, bool)  # ids that end a word: nothing in a core of letters is spelled so
+        self.last[[i for x, i in self.tokenizer.get_vocab().items() if x.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.pieces: dict[str, bytes] = {}
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.spelling = {c: spell(chr(c))[0][0] for c in range(ord("ß"), ord("ÿ") + 1)}
-
-    def clear(self) -> None:
-        super().clear()
-        self.pieces.clear()
+        self.spelling = {c: spell(c)[0][0] for c in map(chr, range(ord("ß"), ord("ÿ") + 1))}
 
     def encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint16).tobytes()
                 for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def letters(self, core: str) -> bytes:
-        """Ids of a core of lower-case Latin letters."""
-        spelled = core if core.isascii() else core.translate(self.spelling)
-        return array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not known yet; the short ones are kept."""
-        out, pieces, is_letters, longest = {}, self.pieces, self.LETTERS.fullmatch, self.LONGEST
-        others: dict[str, None] = {}
-        marked = []
-        for w in words:
-            word = w.decode("utf-8", "surrogatepass")
-            core = word.rstrip(self.MARKS)
-            marks = word[len(core):]
-            if is_letters(core):
-                core = core.lower()
-                ids = pieces.get(core)
-                if ids is None:
-                    ids = self.letters(core)
-                    if len(core) <= longest:
-                        pieces[core] = ids
-            else:
-                if "<|" in word or not (core[-1:].isascii() and core[-1:].isalnum()):
-                    core, marks = word, ""
-                elif core.isascii():
-                    core = core.lower()
-                ids = pieces.get(core)
-                if ids is None:
-                    others[core] = None
-            if marks and marks not in pieces:
-                others[marks] = None
-            if ids is None or marks:
-                marked.append((w, core, ids, marks))
-            else:
-                out[w] = ids
-        names = list(others)
-        found = {"": b""}
-        for i in range(0, len(names), 5000):
-            found.update(zip(names[i:i + 5000], self.encode(names[i:i + 5000])))
-        pieces.update((x, ids) for x, ids in found.items() if x and len(x) <= longest)
-        for w, core, ids, marks in marked:
-            out[w] = (found[core] if ids is None else ids) + (found[marks] if marks in found else pieces[marks])
-        self.update((w, x) for w, x in out.items() if len(w) <= longest)
-        return out
+    def letters(self, cores: list[str]) -> list[bytes]:
+        """Ids of cores of lower-case Latin letters."""
+        rows = [" ".join(cores[i:i + 100]) for i in range(0, len(cores), 100)]
+        for i, row in enumerate(rows):
+            if not row.isascii():
+                for c, spelled in self.spelling.items():
+                    row = row.replace(c, spelled)
+                rows[i] = row
+        found = self.model.encode_batch_fast(rows, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint16) for e in found])
+        end = ((np.flatnonzero(self.last[ids]) + 1) * 2).tolist()
+        ids = ids.tobytes()
+        return [ids[i:j] for i, j in zip([0] + end, end)]
+
+    def look_up(self, pieces: list[str], encode) -> list[bytes]:
+        """Ids of pieces, of which ``encode`` gives those that are not known, a few
+        thousand at a time; the short ones are kept."""
+        if len(self.pieces) > self.MOST:
+            self.pieces.clear()
+        found = list(map(self.pieces.get, pieces))
+        new = [i for i, x in enumerate(found) if x is None]
+        for i in range(0, len(new), 5000):
+            at = new[i:i + 5000]
+            for j, ids in zip(at, encode([pieces[j] for j in at]), strict=True):
+                found[j] = ids
+                if len(pieces[j]) <= self.LONGEST:
+                    self.pieces[pieces[j]] = ids
+        return found
+
+    def of_words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words (a dictionary) in a row, and how many each has."""
+        core = pc.utf8_rtrim(words, characters=self.MARKS)
+        end = np.frombuffer(words.buffers()[1], np.int32)[1:len(words) + 1].astype(np.int64)
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        kept = pc.binary_length(core).to_numpy()
+        marks = np.diff(end, prepend=0) - kept
+        letters = _numpy(pc.match_substring_regex(core, self.LETTERS))
+        ends_alnum = kept > 0
+        ends_alnum[ends_alnum] = self.ALNUM[data[(end - marks - 1)[ends_alnum]]]
+        whole = ~letters & (~ends_alnum | _numpy(pc.match_substring(words, "<|")))
+        marks[whole] = 0
+        lower = ~whole & (letters | _numpy(pc.string_is_ascii(core)))
+        core = pc.if_else(pa.array(lower), pc.utf8_lower(core), pc.if_else(pa.array(whole), words, core)).dictionary_encode()
+        marked = np.flatnonzero(marks)
+        n = marks[marked]
+        tails = pa.StringArray.from_buffers(len(marked), pa.py_buffer(np.append(0, np.cumsum(n)).astype(np.int32)),
+                                            pa.py_buffer(runs(data, end[marked] - n, n))).dictionary_encode()
+
+        of_letters = np.zeros(len(core.dictionary), bool)
+        of_letters[core.indices.to_numpy()] = letters
+        place = np.empty(len(of_letters), np.int64)  # of a core among the pieces: letters, other cores, marks, nothing
+        place[np.argsort(~of_letters, kind="stable")] = np.arange(len(place))
+        names = _numpy(core.dictionary)
+        found = self.look_up(names[of_letters].tolist(), self.letters)
+        found += self.look_up(names[~of_letters].tolist() + tails.dictionary.to_pylist(), self.encode)
+        ids = np.frombuffer(b"".join(found), np.uint16)
+        size = np.append(np.fromiter(map(len, found), np.int64, len(found)) // 2, 0)
+        pieces = np.full((len(words), 2), len(size) - 1)
+        pieces[:, 0] = place[core.indices.to_numpy()]
+        pieces[marked, 1] = len(place) + tails.indices.to_numpy()
+        n = size[pieces]
+        return runs(ids, (np.cumsum(size) - size)[pieces.ravel()], n.ravel()), n.sum(axis=1)
+
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, each with the end id, and how many each has."""
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts, "") if texts.null_count else texts)  # the six characters of ``SPACE``
+        words = cut.flatten().dictionary_encode()
+        ids, size = self.of_words(words.dictionary)
+        ids, size = np.append(ids, np.uint16(END_ID)), np.append(size, 1)
+        n = pc.list_value_length(cut).to_numpy() + 1
+        end = np.cumsum(n, dtype=np.int64)
+        is_word = np.ones(len(words) + len(texts), bool)
+        is_word[end - 1] = False
+        word = np.full(len(is_word), len(size) - 1)
+        word[is_word] = words.indices.to_numpy()
+        each = size[word]
+        return runs(ids, (np.cumsum(size) - size)[word], each), np.add.reduceat(each, end - n)
 
     def encode_all(self, texts: list) -> list[np.ndarray]:
         """Ids of each text with the end id."""
-        if len(self) > self.MOST:
-            self.clear()
-        words = [split_words(x) for x in texts]
-        found = [list(map(self.get, ws)) for ws in words]
-        open_ = [i for i, f in enumerate(found) if None in f]
-        new = self.learn(list({w for i in open_ for w, x in zip(words[i], found[i]) if x is None}))
-        for i in open_:
-            found[i] = [new[w] if x is None else x for w, x in zip(words[i], found[i])]
-        end = np.array([END_ID], np.uint16).tobytes()
-        return [np.frombuffer(b"".join(f) + end, np.uint16) for f in found]
+        ids, size = self.encode_texts(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(size)[:-1])
+
+
+def some_texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch (part, doc_id, text), ``TEXT_BYTES`` of text at a time, one at least."""
+    size = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy().astype(np.int64)
+    at = np.flatnonzero(np.diff((np.cumsum(size) - size) // TEXT_BYTES, prepend=-1)).tolist()
+    for begin, end in zip(at, at[1:] + [batch.num_rows]):
+        yield batch.slice(begin, end - begin)
 
 
 _loaded: dict[str, WordIds] = {}
@@ -166,7 +210,7 @@ def write_chunks(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         known = load(path)
-        part, chunk, ids, doc_ids, count = None, 0, [], [], 0
+        part, chunk, ids, sizes, doc_ids, count = None, 0, [], [], [], 0
 
         def close():
             flat = np.concatenate(ids)
@@ -174,7 +218,7 @@ def write_chunks(docs: DataFrame, path: str) -> DataFrame:
             zero = OrderZero.of(flat)
             packed = [{"payload": p, "crc": crc_of(b)} for p, b in zip(encode_blocks(blocks, zero), blocks)]
             return pa.RecordBatch.from_pylist([{
-                "part": part, "chunk": chunk, "doc_ids": doc_ids, "sizes": [len(x) for x in ids],
+                "part": part, "chunk": chunk, "doc_ids": doc_ids, "sizes": np.concatenate(sizes),
                 "symbols": zero.symbols.tolist(), "widths": zero.widths.tolist(), "blocks": packed}],
                 schema=CHUNK_TYPE)
 
@@ -182,15 +226,15 @@ def write_chunks(docs: DataFrame, path: str) -> DataFrame:
             if not b.num_rows:
                 continue
             part = b.column(0)[0].as_py()
-            for i in range(0, b.num_rows, 200):
-                piece = b.slice(i, 200)
-                found = known.encode_all(piece.column(2).to_pylist())
-                ids += found
+            for piece in some_texts(b):
+                found, size = known.encode_texts(piece.column(2))
+                ids.append(found)
+                sizes.append(size)
                 doc_ids += piece.column(1).to_pylist()
-                count += sum(map(len, found))
+                count += len(found)
                 if count >= CHUNK_IDS:
                     yield close()
-                    chunk, ids, doc_ids, count = chunk + 1, [], [], 0
+                    chunk, ids, sizes, doc_ids, count = chunk + 1, [], [], [], 0
         if ids:
             yield close()
 

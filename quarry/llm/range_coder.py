@@ -10,7 +10,8 @@ blocks of one chunk share and that is stored once beside them.
 
 Each block starts from nothing but that table and can be decoded without the
 other blocks.  All blocks of a batch advance in step as numpy lanes; nothing
-passes between lanes.  Integers only, so that every machine decodes alike.
+passes between lanes, and a lane's digits are written or read once a step.  Integers
+only, so that every machine decodes alike.
 """
 
 from __future__ import annotations
@@ -65,51 +66,51 @@ class _Out:
         self.low = np.zeros(lanes, np.int64)
         self.range = np.full(lanes, 1 << 48, np.int64)
         self.digits = np.zeros((lanes, 3 * most + 8), np.uint16)
-        self.n = np.zeros(lanes, np.int64)
+        self.flat = self.digits.reshape(-1)
+        self.first = np.arange(lanes) * self.digits.shape[1]
+        self.at = self.first.copy()  # place of the next digit
         self.zero = zero
 
-    def hit(self, k, first, second, hit):
-        """Codes which of three symbols follows in each of the first ``k`` lanes."""
-        self.put(slice(k), *_interval(first, second, hit), _BITS)
-        return hit
+    def hit(self, k, first, second, one, two):
+        """Codes which of three symbols follows in each of the first ``k`` lanes:
+        whether it is at least the second one, and the third one."""
+        r = self.range[:k] >> _BITS
+        below, self.range[:k] = _interval(r * first, r * second, r << _BITS, one, two)
+        self.low[:k] += below
+        return one, two
 
     def id(self, lanes, x):
-        self.put(lanes, self.zero.below[x], self.zero.width[x], ZERO_BITS)
+        r = self.range.take(lanes) >> ZERO_BITS
+        self.low[lanes] += r * self.zero.below.take(x)
+        self.range[lanes] = r * self.zero.width.take(x)
         return x
 
-    def put(self, lanes, below, width, bits):
-        r = self.range[lanes] >> bits
-        low = r * below
-        low += self.low[lanes]
-        r *= width
-        every = isinstance(lanes, slice)
+    def shift(self, k):
+        """Writes the digits that are settled.  Between two calls a lane codes one
+        symbol and one id: that leaves a range of 4 at least, and one carry."""
+        low, range_ = self.low[:k], self.range[:k]
         over = (low > _LOW48).nonzero()[0]
         if len(over):
             low[over] &= _LOW48
-            to = over if every else lanes[over]
-            at = self.n[to] - 1
-            while len(to):
-                self.digits[to, at] += np.uint16(1)
-                on = self.digits[to, at] == 0
-                to, at = to[on], at[on] - 1
-        small = (r < _LEAST_RANGE).nonzero()[0]
-        while len(small):  # twice at most
-            to = small if every else lanes[small]
-            self.digits[to, self.n[to]] = low[small] >> 32
-            self.n[to] += 1
-            low[small] = (low[small] & _LOW32) << 16
-            wider = r[small] << 16
-            r[small] = wider
+            at = self.at[over] - 1
+            while len(at):
+                self.flat[at] += np.uint16(1)
+                at = at[self.flat[at] == 0] - 1
+        small = (range_ < _LEAST_RANGE).nonzero()[0]
+        while len(small):
+            at, now = self.at.take(small), low.take(small)
+            self.flat[at] = now >> 32
+            self.at[small] = at + 1
+            low[small] = (now & _LOW32) << 16
+            wider = range_.take(small) << 16
+            range_[small] = wider
             small = small[wider < _LEAST_RANGE]
-        self.low[lanes] = low
-        self.range[lanes] = r
 
     def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.low))
         for shift in (32, 16, 0):
-            self.digits[lanes, self.n] = self.low >> shift & 0xFFFF
-            self.n += 1
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.digits, self.n)]
+            self.flat[self.at] = self.low >> shift & 0xFFFF
+            self.at += 1
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.digits, self.at - self.first)]
 
 
 class _In:
@@ -124,62 +125,67 @@ class _In:
         d = self.digits[:, :3].astype(np.int64)
         self.value = d[:, 0] << 32 | d[:, 1] << 16 | d[:, 2]
         self.range = np.full(len(payloads), 1 << 48, np.int64)
-        self.n = np.full(len(payloads), 3)
+        self.last = np.arange(1, len(payloads) + 1) * most - 1
+        self.at = self.last - most + 4
+        self.digits = self.digits.reshape(-1)
         self.zero = zero
 
-    def hit(self, k, first, second, hit):
+    def hit(self, k, first, second, one, two):
         r = self.range[:k] >> _BITS
         value = self.value[:k]
-        hit = (value >= r * first).astype(np.int64)
-        hit += value >= r * second
-        self.take(slice(k), r, *_interval(first, second, hit))
-        return hit
+        first, second = r * first, r * second
+        one, two = value >= first, value >= second
+        below, self.range[:k] = _interval(first, second, r << _BITS, one, two)
+        value -= below
+        return one, two
 
     def id(self, lanes, x):
-        r = self.range[lanes] >> ZERO_BITS
-        place = self.value[lanes].view(np.uint64) // r.view(np.uint64)  # faster than signed
-        x = self.zero.at[np.minimum(place.view(np.int64), (1 << ZERO_BITS) - 1)]
-        self.take(lanes, r, self.zero.below[x], self.zero.width[x])
+        r, value = self.range.take(lanes) >> ZERO_BITS, self.value.take(lanes)
+        place = value.view(np.uint64) // r.view(np.uint64)  # faster than signed
+        x = self.zero.at.take(np.minimum(place.view(np.int64), (1 << ZERO_BITS) - 1)).astype(np.int64)
+        self.value[lanes] = value - r * self.zero.below.take(x)
+        self.range[lanes] = r * self.zero.width.take(x)
         return x
 
-    def take(self, lanes, r, below, width):
-        value = self.value[lanes] - r * below
-        r *= width
-        small = (r < _LEAST_RANGE).nonzero()[0]
-        while len(small):  # twice at most
-            to = small if isinstance(lanes, slice) else lanes[small]
-            at = np.minimum(self.n[to], self.digits.shape[1] - 1)
-            value[small] = value[small] << 16 | self.digits[to, at]
-            self.n[to] += 1
-            wider = r[small] << 16
-            r[small] = wider
-            small = small[wider < _LEAST_RANGE]
-        self.value[lanes] = value
-        self.range[lanes] = r
+    def shift(self, k):
+        """Reads on where ``_Out`` wrote."""
+        value, range_ = self.value[:k], self.range[:k]
+        small = (range_ < _LEAST_RANGE).nonzero()[0]
+        while len(small):
+            at = self.at.take(small)
+            value[small] = value.take(small) << 16 | self.digits.take(np.minimum(at, self.last.take(small)))
+            self.at[small] = at + 1
+            wider = range_.take(small) << 16
+            range_[small] = wider
+            small = small[(wider < _LEAST_RANGE) & (wider > 0)]
 
 
-def _interval(first, second, hit):
-    """Lower edge and width of the symbols ``hit`` between the inner edges
-    ``first`` and ``second`` of three symbols."""
-    none, one = hit == 0, hit == 1
-    below = np.where(none, 0, np.where(one, first, second))
-    return below, np.where(none, first, np.where(one, second, 1 << _BITS)) - below
+def _interval(first, second, every, one, two):
+    """Lower edge and width, of ``every``, of the first symbol, or the second one
+    (``one``), or the third one (also ``two``), between their inner edges."""
+    below = np.where(two, second, np.where(one, first, 0))
+    return below, np.where(two, every, np.where(one, second, first)) - below
 
 
 class _Three:
-    """Adaptive distributions of three symbols, as their two inner edges."""
+    """Adaptive distributions of three symbols, as their two inner edges, which
+    are held in one number."""
 
-    #: edges that symbol 0, 1 or 2 pulls to
-    FIRST = np.array([(1 << _BITS) - 2 * _LEAST, _LEAST, _LEAST], np.int32)
-    SECOND = np.array([(1 << _BITS) - _LEAST, (1 << _BITS) - _LEAST, 2 * _LEAST], np.int32)
+    #: edges that symbol 0, or another, and symbol 2, or another, pulls to
+    FIRST = np.int32((1 << _BITS) - 2 * _LEAST), np.int32(_LEAST)
+    SECOND = np.int32(2 * _LEAST), np.int32((1 << _BITS) - _LEAST)
 
     def __init__(self, rows: int):
-        self.first = np.full(rows, (1 << _BITS) // 3, np.int32)
-        self.second = np.full(rows, (2 << _BITS) // 3, np.int32)
+        self.edges = np.full(rows, ((1 << _BITS) // 3) << _BITS | (2 << _BITS) // 3, np.uint32)
+
+    def get(self, at):
+        edges = self.edges.take(at)
+        return (edges >> _BITS).view(np.int32), (edges & np.uint32((1 << _BITS) - 1)).view(np.int32)
 
-    def update(self, at, first, second, hit):
-        self.first[at] = first + (self.FIRST[hit] - first >> _RATE)
-        self.second[at] = second + (self.SECOND[hit] - second >> _RATE)
+    def update(self, at, first, second, one, two):
+        first = first + (np.where(one, self.FIRST[1], self.FIRST[0]) - first >> _RATE)
+        second = second + (np.where(two, self.SECOND[0], self.SECOND[1]) - second >> _RATE)
+        self.edges[at] = (first << _BITS | second).view(np.uint32)
 
 
 def _run(coder, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
@@ -194,51 +200,54 @@ def _run(coder, sizes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
     by_trust = _Three(lanes * 32)  # by both confidences and agreement
     by_past = _Three(lanes * 9)  # by the last two outcomes
     weight = np.full(lanes, 32, np.int32)
-    one, two, hit, past = (np.zeros(lanes, np.int64) for _ in range(4))
+    before, two_before, hit, past = (np.zeros(lanes, np.int64) for _ in range(4))
     k = 0
     for t in range(steps):
         if k != working[t]:
             k = int(working[t])
             start, trust_at, past_at = every[:k] << CONTEXTS, every[:k] << 5, every[:k] * 9
-            one, two, past, weight = one[:k], two[:k], past[:k], weight[:k]
-            hit = hit[:k]
-        key = one * 0x9E3779B1
+            before, two_before, past, weight, hit = (x[:k] for x in (before, two_before, past, weight, hit))
+        key = before * 0x9E3779B1
         c1 = start + (key >> 7 & last)
-        c2 = start + (key + two * 0x85EBCA6B >> 9 & last)
-        e1, e2 = seen[0][c1], seen[1][c2]
+        c2 = start + (key + two_before * 0x85EBCA6B >> 9 & last)
+        e1, e2 = seen[0].take(c1), seen[1].take(c2)
         g1, g2 = e1 >> 2, e2 >> 2
-        a = trust_at + (((e2 & 3) << 3) + ((e1 & 3) << 1) + (g1 == g2))
+        t1, t2 = e1 & 3, e2 & 3
+        a = trust_at + ((t2 << 3) + (t1 << 1) + (g1 == g2))
         b = past_at + past
         b += hit
         past = hit * 3
-        a1, a2, b1, b2 = by_trust.first[a], by_trust.second[a], by_past.first[b], by_past.second[b]
-        if ids is None:
-            hit = None
-        else:
+        a1, a2 = by_trust.get(a)
+        b1, b2 = by_past.get(b)
+        one = two = None
+        if ids is not None:
             now = ids[t, :k].astype(np.uint32)
-            hit = np.where(now == g2, 2, now == g1)
-        hit = coder.hit(k, b1 + ((a1 - b1) * weight >> 6), b2 + ((a2 - b2) * weight >> 6), hit)
+            two = now == g2
+            one = two | (now == g1)
+        one, two = coder.hit(k, b1 + ((a1 - b1) * weight >> 6), b2 + ((a2 - b2) * weight >> 6), one, two)
         if t & 1:
-            by_past.update(b, b1, b2, hit)
+            by_past.update(b, b1, b2, one, two)
         else:
-            by_trust.update(a, a1, a2, hit)
+            by_trust.update(a, a1, a2, one, two)
         if t & 3 == 3:
-            better = np.sign(_interval(a1, a2, hit)[1] - _interval(b1, b2, hit)[1])
-            weight = np.clip(weight + 2 * better, 4, 60).astype(np.int32)
-        miss = (hit == 0).nonzero()[0]
+            better = np.sign(_interval(a1, a2, 1 << _BITS, one, two)[1] - _interval(b1, b2, 1 << _BITS, one, two)[1])
+            weight = np.minimum(np.maximum(weight + 2 * better, 4), 60).astype(np.int32, copy=False)
+        hit = one.astype(np.int64)
+        hit += two
+        miss = (~one).nonzero()[0]
         if ids is None:
-            now = np.where(hit == 2, g2, g1)
+            now = np.where(two, g2, g1)
         if len(miss):
-            x = coder.id(miss, now[miss])
+            x = coder.id(miss, now.take(miss))
             if ids is None:
                 now[miss] = x
+        coder.shift(k)
         if ids is None:
             out[t, :k] = now
         fresh = now << 2 | 1
-        most = now << 2 | 3
-        seen[0][c1] = np.where(g1 == now, np.minimum(e1 + 1, most), fresh)
-        seen[1][c2] = np.where(g2 == now, np.minimum(e2 + 1, most), fresh)
-        one, two = now.astype(np.int64), one
+        seen[0][c1] = np.where(g1 == now, e1 + (t1 < 3), fresh)
+        seen[1][c2] = np.where(g2 == now, e2 + (t2 < 3), fresh)
+        before, two_before = now.astype(np.int64), before
     return out
 
 

@@ -8,6 +8,7 @@ from os.path import dirname
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
@@ -150,6 +151,41 @@ def test_latin_words_go_to_the_model_at_once(monkeypatch):
     assert {",", "STRAẞE", "ªº", "µ"} <= set(asked)
 
 
+def test_distinct_words_are_taken_once(monkeypatch):
+    """However often words come, in whatever spelling and with whatever marks; the next texts know them."""
+    lib, known, asked = Tokenizer.from_file(WORDS), binary_output.WordIds(WORDS), []
+    monkeypatch.setattr(known, "letters", lambda x, f=known.letters: asked.append(list(x)) or f(x))
+    texts = [None, "", " \n", "Été cd.\x0bCD, (été", "cd\x1cété\x85x"] * 300 + ["\tété\r"]
+    for some in (texts, texts[:50]):
+        for t, ids in zip(some, known.encode_all(some), strict=True):
+            assert ids.tolist() == [*lib.encode(t or "", add_special_tokens=False).ids, 2]
+    assert asked == [["été", "cd"]]
+
+
+def test_texts_are_encoded_a_few_megabytes_at_a_time(monkeypatch):
+    monkeypatch.setattr(binary_output, "TEXT_BYTES", 10)
+    texts = [None, "abc", "é" * 30, "", None, "defg", "hijk", "lmn", "", "x" * 10, "y"]
+    batch = pa.RecordBatch.from_pydict({"part": [0] * len(texts), "doc_id": list(range(len(texts))), "text": texts})
+    got = [b.column(2).to_pylist() for b in binary_output.some_texts(batch)]
+    assert [x for some in got for x in some] == texts and len(got) > 3
+    assert all(len("".join(x or "" for x in some[:-1]).encode()) < 10 for some in got)
+
+
+def test_range_coder_writes_digits_once_a_step(monkeypatch):
+    """Also where an unlikely miss and a rare id come in one step, with carries."""
+    r = np.random.default_rng(6)
+    common = np.zeros(2048, np.uint16)
+    blocks = [np.where(r.random(2048) < p, r.integers(0, 1 << 16, 2048), 7 * common + i % 3).astype(np.uint16)
+              for i, p in enumerate([0.0, 0.001, 0.01, 0.1, 0.9] * 40)]
+    zero = range_coder.OrderZero.of(np.concatenate([*blocks, np.arange(1 << 16, dtype=np.uint16), *[common] * 2000]))
+    shifts = []
+    for kind in (range_coder._Out, range_coder._In):
+        monkeypatch.setattr(kind, "shift", lambda self, k, f=kind.shift: shifts.append(k) or f(self, k))
+    packed = range_coder.encode_blocks(blocks, zero)
+    back = range_coder.decode_blocks(packed, [2048] * len(blocks), zero)
+    assert all((a == b).all() for a, b in zip(blocks, back, strict=True)) and shifts == [len(blocks)] * 2 * 2048
+
+
 def test_token_files(spark, docs, rows, empty):
     """Ids, order and offsets as the unchanged library gives them."""
     lib = Tokenizer.from_file(WORDS)
