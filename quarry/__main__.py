@@ -112,7 +112,7 @@ def cmd_rerank(spark, a):
     cands = search.bm25_topk(idx, queries, max(a.bm25_candidates, depth))
     # every vector table names its encoder; rerank fails where the two sides differ
     dv = _named_vectors(spark, a.vectors, "doc_id") if a.vectors \
-        else _by_hash(rerank.hashed_document_vectors(idx, search.bounded_broadcast(cands.select("doc_id").distinct())))
+        else _by_hash(rerank.hashed_document_vectors(idx, cands.select("doc_id").distinct()))
     qv = _by_hash(rerank.hashed_query_vectors(queries))
     encoder = rerank.HASHED
     if a.query_vectors:
